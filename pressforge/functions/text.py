@@ -65,9 +65,7 @@ def tidy_capital(s) -> Column:
 
 def tidy_terminal(s) -> Column:
     """C3e: append '.' unless it ends with . ! ? ; empty stays empty."""
-    x = _c(s)
-    last = F.substring(x, -1, 1)
-    return F.when(x == F.lit(""), x).when(last.isin(".", "!", "?"), x).otherwise(F.concat(x, F.lit(".")))
+    return F.regexp_replace(_c(s), "([^.!?])\\z", "$1.")
 
 
 def headline_tidy(s, preps=None) -> Column:
@@ -123,41 +121,77 @@ def clean_event(event, rewrites=None) -> Column:
     return x
 
 
+def any_prefix_regex(prefixes) -> str:
+    """One anchored alternation of literal prefixes (\\Q..\\E quoted)."""
+    return "\\A(?:" + "|".join(f"\\Q{p}\\E" for p in prefixes) + ")"
+
+
+def any_substring_regex(keywords) -> str:
+    return "(?:" + "|".join(f"\\Q{k}\\E" for k in keywords) + ")"
+
+
 def starts_with_any(x: Column, prefixes) -> Column:
-    out = F.lit(False)
-    for p in prefixes:
-        out = out | x.startswith(p)
-    return out
+    return x.rlike(any_prefix_regex(prefixes))
 
 
 def contains_any(x: Column, keywords) -> Column:
-    out = F.lit(False)
-    for k in keywords:
-        out = out | x.contains(k)
-    return out
+    return x.rlike(any_substring_regex(keywords))
+
+
+def _loc_prefix(pl: Column, in_kw=None, on_kw=None, starts=None) -> Column:
+    return (F.when(starts_with_any(pl, starts or V.PROMPT_PREP_STARTS), F.lit(""))
+            .when(contains_any(pl, in_kw or V.IN_KEYWORDS), F.lit("in "))
+            .when(contains_any(pl, on_kw or V.ON_KEYWORDS), F.lit("on "))
+            .otherwise(F.lit("at ")))
 
 
 def loc_phrase(place, in_kw=None, on_kw=None, starts=None) -> Column:
-    """Place -> prepositional phrase."""
+    """Place -> prepositional phrase (Column form; see ``add_loc_phrase``)."""
     p = strip(place)
-    pl = F.lower(p)
-    return (F.when(starts_with_any(pl, starts or V.PROMPT_PREP_STARTS), p)
-            .when(contains_any(pl, in_kw or V.IN_KEYWORDS), F.concat(F.lit("in "), p))
-            .when(contains_any(pl, on_kw or V.ON_KEYWORDS), F.concat(F.lit("on "), p))
-            .otherwise(F.concat(F.lit("at "), p)))
+    return F.concat(_loc_prefix(F.lower(p), in_kw, on_kw, starts), p)
 
 
 def participle_regex(words=None) -> str:
     return "\\A(?:[a-z]+ing|" + "|".join(words or V.PARTICIPLES) + f")(?!{WORD})"
 
 
+def _backdrop_prefix(pl: Column) -> Column:
+    return (F.when(starts_with_any(pl, V.CAPTION_CONNECTORS), F.lit(""))
+            .when(pl.rlike(participle_regex()), F.lit("while "))
+            .otherwise(_loc_prefix(pl)))
+
+
 def caption_backdrop(raw) -> Column:
-    """Backdrop phrase for captions."""
+    """Backdrop phrase for captions (Column form; see ``add_caption_backdrop``)."""
     p = strip(raw)
-    pl = F.lower(p)
-    return (F.when(starts_with_any(pl, V.CAPTION_CONNECTORS), p)
-            .when(pl.rlike(participle_regex()), F.concat(F.lit("while "), p))
-            .otherwise(loc_phrase(p)))
+    return F.concat(_backdrop_prefix(F.lower(p)), p)
+
+
+# DataFrame-level forms: the stripped / lower-cased value is computed once as
+# its own column, so the keyword regexes read an attribute instead of
+# re-running the strip for every test.
+
+def add_loc_phrase(df, src: str, out: str):
+    d = df.withColumn("_p", strip(F.col(src))).withColumn("_pl", F.lower(F.col("_p")))
+    return d.withColumn(out, F.concat(_loc_prefix(F.col("_pl")), F.col("_p"))).drop("_p", "_pl")
+
+
+def add_caption_backdrop(df, src: str, out: str):
+    d = df.withColumn("_p", strip(F.col(src))).withColumn("_pl", F.lower(F.col("_p")))
+    return d.withColumn(out, F.concat(_backdrop_prefix(F.col("_pl")), F.col("_p"))).drop("_p", "_pl")
+
+
+def add_headline_tidy(df, src: str, out: str, preps=None):
+    d = df.withColumn(out, tidy_prep(tidy_punct(collapse_ws(F.col(src))), preps))
+    return d.withColumn(out, tidy_terminal(tidy_capital(F.col(out))))
+
+
+def add_role_to_subject(df, src: str, out: str):
+    d = df.withColumn("_r", F.regexp_replace(F.lower(strip(F.col(src))), f"\\A(a|an){WS}+", ""))
+    r = F.col("_r")
+    words = F.filter(F.split(r, f"{WS}+"), lambda t: t != F.lit(""))
+    return d.withColumn(out, F.when(~r.contains(" "), _cap_word(r))
+                        .otherwise(F.array_join(F.transform(words, _cap_word), " "))).drop("_r")
 
 
 def parse_template(t: str) -> list[tuple[bool, str]]:

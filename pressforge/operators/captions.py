@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions import text as T
 from ..functions.sampling import bernoulli, choice, choice_from, pick_index
+from ..session import ensure_parallel
 from .tags import objects_for, role_tags, tag_choice, tag_union, text_tags
 
 SPAN_MODES = ("exact", "reference")
@@ -60,16 +61,21 @@ def ta_span(text: Column, aff: Column, mode: str = "exact") -> Column:
 
 
 def ts_caption(id_col: Column, seed) -> Column:
-    """Irrelevant headline for text swaps."""
+    """Irrelevant headline for text swaps (Column form)."""
     s = choice(seed, id_col, "irr_subject", V.IRREL_SUBJECTS)
     a = choice(seed, id_col, "irr_action", V.IRREL_ACTIONS_BASE)
+    return T.headline_tidy(ts_raw(s, a, id_col, seed))
+
+
+def ts_raw(s: Column, a: Column, id_col: Column, seed) -> Column:
+    """C12 before tidy: subject + conjugated first verb word + rest + place + tail."""
     parts = F.split(a, " ", 2)
     verb_base = F.element_at(parts, 1)
     rest = F.when(F.size(parts) > 1, F.concat(F.lit(" "), F.element_at(parts, 2))).otherwise(F.lit(""))
     verb = T.conjugate_third_person(verb_base, T.is_plural_subject(s))
     p = choice(seed, id_col, "irr_place", V.IRREL_PLACES)
     tail = choice(seed, id_col, "irr_tail", V.IRREL_TAILS)
-    return T.headline_tidy(F.concat(s, F.lit(" "), verb, rest, F.lit(" "), p, tail))
+    return F.concat(s, F.lit(" "), verb, rest, F.lit(" "), p, tail)
 
 
 def ts_span(text: Column) -> Column:
@@ -83,17 +89,31 @@ def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool
 
     Adds ``tags, text, fake_text_pos, fake_cls``; bucket ``lit`` gives a
     literal headline, ``inv`` a text-attribute edit, ``irr`` a text swap.
+    Slots and intermediate texts are separate columns so the optimizer never
+    copies a large sub-expression into several places (keeps every stage in
+    whole-stage codegen).
     """
     idc = F.col("id")
-    tags = tag_union(role_tags(F.col("role")), text_tags(F.col("event"), V.EVENT_TAGS))
-    df = jobs.withColumn("tags", tags)
-    core = headline_core(idc, F.col("role"), F.col("event"), F.col("back_caption"), F.col("tags"),
-                         F.col("dateline"), seed, em_dash)
-    df = df.withColumn("_core", F.when(F.col("bucket") != "irr", core))
+    pats = V.pattern_list(em_dash)
+    b = F.col("bucket")
+    df = ensure_parallel(jobs, "id").withColumn("tags", tag_union(role_tags(F.col("role")), text_tags(F.col("event"), V.EVENT_TAGS)))
+    df = T.add_role_to_subject(df, "role", "_S")
+    df = (df.withColumn("_E", T.clean_event(F.col("event")))
+          .withColumn("_W", F.when(bernoulli(seed, idc, "when_u", V.WHEN_RATE),
+                                   choice(seed, idc, "when", V.WHEN_FRAG)).otherwise(F.lit("")))
+          .withColumn("_V", T.conjugate_third_person(choice(seed, idc, "verb", V.ACTIONS_BASE), False))
+          .withColumn("_O", choice_from(objects_for(tag_choice(F.col("tags"), seed, idc, "tag")), seed, idc, "obj"))
+          .withColumn("_k", pick_index(seed, idc, "pattern", len(pats))))
+    slots = {n: F.col(f"_{n}") for n in "SEWVO"}
+    slots.update({"B": F.col("back_caption"), "D": F.col("dateline")})
+    df = df.withColumn("_raw", F.when(b != "irr", T.render_pattern(F.col("_k"), slots, pats)))
+    df = T.add_headline_tidy(df, "_raw", "_core")
     df = df.withColumn("_aff", affect(idc, seed))
     df = df.withColumn("_ta", ta_caption(F.col("_core"), F.col("_aff")))
-    df = df.withColumn("_ts", F.when(F.col("bucket") == "irr", ts_caption(idc, seed)))
-    b = F.col("bucket")
+    df = (df.withColumn("_is", choice(seed, idc, "irr_subject", V.IRREL_SUBJECTS))
+          .withColumn("_ia", choice(seed, idc, "irr_action", V.IRREL_ACTIONS_BASE)))
+    df = df.withColumn("_tsraw", F.when(b == "irr", ts_raw(F.col("_is"), F.col("_ia"), idc, seed)))
+    df = T.add_headline_tidy(df, "_tsraw", "_ts")
     df = df.withColumn("text", F.when(b == "lit", F.col("_core")).when(b == "inv", F.col("_ta")).otherwise(F.col("_ts")))
     df = df.withColumn("fake_text_pos",
                        F.when(b == "lit", T.empty_int_array())
@@ -101,4 +121,4 @@ def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool
                        .otherwise(ts_span(F.col("_ts"))))
     cls = F.create_map(*[x for k, v in V.BUCKET_CLASS.items() for x in (F.lit(k), F.lit(v))])
     df = df.withColumn("fake_cls", F.element_at(cls, b))
-    return df.drop("_core", "_aff", "_ta", "_ts")
+    return df.drop("_S", "_E", "_W", "_V", "_O", "_k", "_raw", "_core", "_aff", "_ta", "_ts", "_is", "_ia", "_tsraw")

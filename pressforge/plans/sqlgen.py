@@ -80,13 +80,11 @@ def tidy_capital(s: str) -> str:
 
 
 def tidy_terminal(s: str) -> str:
-    return (f"(CASE WHEN {s} = '' THEN {s} WHEN right({s}, 1) IN ('.', '!', '?') THEN {s} "
-            f"ELSE {s} || '.' END)")
+    return f"regexp_replace({s}, '([^.!?])\\z', '\\1.')"
 
 
 def headline_tidy(s: str, preps=None) -> str:
     x = f"({tidy_prep(tidy_punct(collapse_ws(s)), preps)})"
-    # bind once through a lambda-free subexpression: list trick keeps SQL short
     return f"(list_transform([{x}], lambda _t: {tidy_terminal(tidy_capital('_t'))})[1])"
 
 
@@ -138,6 +136,7 @@ def contains_any(x: str, kws) -> str:
     return "(" + " OR ".join(f"contains({x}, {q(k)})" for k in kws) + ")"
 
 
+
 def loc_phrase(place: str) -> str:
     body = (f"CASE WHEN {starts_with_any('lower(_p)', V.PROMPT_PREP_STARTS)} THEN _p "
             f"WHEN {contains_any('lower(_p)', V.IN_KEYWORDS)} THEN 'in ' || _p "

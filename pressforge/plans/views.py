@@ -45,8 +45,8 @@ def v_job(spark: SparkSession, sf_dir: str, seed=SEED, absurd_rate: float = JOB_
         back_raw.alias("back_raw"),
         weighted_choice_col(uniform(seed, idc, "shot"), V.SHOT_TYPES).alias("shot"),
     )
-    return df.withColumn("back_caption", F.when(F.col("mismatch"), T.caption_backdrop(F.col("back_raw")))
-                         .otherwise(F.col("back_raw")))
+    df = T.add_caption_backdrop(df, "back_raw", "_bc")
+    return df.withColumn("back_caption", F.when(F.col("mismatch"), F.col("_bc")).otherwise(F.col("back_raw"))).drop("_bc")
 
 
 def v_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +54,47 @@ def v_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
-def image_path(bucket, id_col, seed=SEED):
-    """<bucket dir>/<10 hex chars>.jpg, unique per (seed, id)."""
-    dirs = F.create_map(*[x for k, v in V.BUCKET_DIR.items() for x in (F.lit(k), F.lit(v))])
-    name = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), id_col.cast("string"), F.lit("img"))), 1, 10)
-    return F.concat(F.element_at(dirs, bucket), F.lit("/"), name, F.lit(".jpg"))
+__all__ = ["table", "v_job", "v_cap", "draw", "SEED"]
 
 
-__all__ = ["table", "v_job", "v_cap", "image_path", "draw", "SEED"]
+IMG_W = IMG_H = 1024
+
+
+def v_face(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Face detections derived from lineitem: one box per line of an order
+    (image = order). Raw detector-style doubles; landmarks missing on every
+    fifth line; some boxes run off the 1024 x 1024 frame or start outside it."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                 "l_quantity", "l_discount", "l_tax")
+    x1 = (F.col("l_partkey") * 37 % 1100).cast("double") + F.when(F.col("l_linenumber") % 2 == 0, 0.5).otherwise(0.0)
+    y1 = (F.col("l_suppkey") * 53 % 1000).cast("double") + F.when(F.col("l_linenumber") % 3 == 0, 0.5).otherwise(0.25)
+    side = F.lit(60.0) + F.col("l_quantity") * 3
+    pts = F.col("l_linenumber") % 5 != 0
+    return li.select(
+        F.col("l_orderkey").alias("img"), F.col("l_linenumber").alias("ix"),
+        F.col("l_partkey").alias("ix2"), F.col("l_suppkey").alias("ix3"),
+        (F.lit(1.0) - F.col("l_discount") * 3).alias("prob"),
+        x1.alias("x1"), y1.alias("y1"), (x1 + side).alias("x2"), (y1 + side).alias("y2"),
+        F.when(pts, x1 + side * 0.3).alias("lx"), F.when(pts, y1 + side * 0.4).alias("ly"),
+        F.when(pts, x1 + side * 0.7).alias("rx"), F.when(pts, y1 + side * 0.4 + side * F.col("l_tax") * 2).alias("ry"))
+
+
+def v_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OCR words derived from lineitem x part: the first word of the part
+    name, confidence from the quantity (unparsable on every seventh line),
+    boxes in 2x OCR coordinates of the 400 x 256 crop."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    conf = F.when(F.col("l_linenumber") == 7, F.lit("x")).otherwise(
+        F.format_string("%.1f", F.col("l_quantity") * 2))
+    word = F.element_at(F.split(F.col("p_name"), " "), 1)
+    return j.select(
+        F.col("l_orderkey").alias("img"), F.col("l_linenumber").alias("ix"), word.alias("text"), conf.alias("conf"),
+        (F.col("l_suppkey") * 29 % 780).cast("int").alias("left"), (F.col("l_partkey") * 31 % 500).cast("int").alias("top"),
+        (F.length(word) * 18 + F.col("l_linenumber")).cast("int").alias("width"), F.lit(22).alias("height"))
+
+
+def v_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One image per order (also those without detections)."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("img"))

@@ -74,3 +74,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         return tempfile.mkdtemp(prefix=f"pf-{name}-")
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+
+
+def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a CPU-heavy narrow stage over the cluster's cores when the input
+    arrives in fewer partitions (a single small file). Planning-only check; no
+    shuffle is added when the input is already split."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)
