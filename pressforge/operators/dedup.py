@@ -30,6 +30,10 @@ def anti_seen(new: DataFrame, seen: DataFrame, col: str = "text") -> DataFrame:
     return new.join(s, new[col].eqNullSafe(s["_seen"]), "left_anti")
 
 
+def _least(cols):
+    return cols[0] if len(cols) == 1 else F.least(*cols)
+
+
 def greedy_keep(nodes: DataFrame, order_col: str, groups: list[tuple[str, DataFrame | None]],
                 max_rounds: int = 10_000) -> DataFrame:
     """Greedy first-wins selection under several conflict relations.
@@ -49,7 +53,6 @@ def greedy_keep(nodes: DataFrame, order_col: str, groups: list[tuple[str, DataFr
 
     Returns ``nodes`` plus boolean ``kept``.
     """
-    spark = nodes.sparkSession
     state = nodes.withColumn("_st", F.lit(0))  # 0 undecided, 1 kept, 2 dropped
     state = cut_lineage(state)
     big = F.lit(2 ** 62).cast("bigint")
@@ -73,8 +76,8 @@ def greedy_keep(nodes: DataFrame, order_col: str, groups: list[tuple[str, DataFr
         und = state.filter(F.col("_st") == 0)
         for gi, ((gcol, _), pv) in enumerate(zip(groups, cols)):
             und = und.join(pv, gcol, "left")
-        kmin = F.least(*[F.coalesce(F.col(f"_k{gi}"), big) for gi in range(len(groups))])
-        umin = F.least(*[F.coalesce(F.col(f"_u{gi}"), big) for gi in range(len(groups))])
+        kmin = _least([F.coalesce(F.col(f"_k{gi}"), big) for gi in range(len(groups))])
+        umin = _least([F.coalesce(F.col(f"_u{gi}"), big) for gi in range(len(groups))])
         o = F.col(order_col)
         verdict = F.when(kmin < o, F.lit(2)).when(umin < o, F.lit(0)).otherwise(F.lit(1))
         und = und.withColumn("_st", verdict).select(*state.columns)
