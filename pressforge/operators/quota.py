@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.sampling import draw
-from ..plans.ranking import ordered_rank, ordered_running_sum
+from ..plans.ranking import DENSE_BITS, ordered_rank, ordered_running_sum
 
 
 def _map(d: dict) -> Column:
@@ -47,27 +47,27 @@ def quota_fill(df: DataFrame, goals: dict[str, int] | Column, order_col: str = "
     Ranks come from the block-split exact rank, so one bucket holding most
     rows is still spread over many tasks."""
     goal = F.element_at(_map(goals), F.col(bucket_col)) if isinstance(goals, dict) else goals
-    r = ordered_rank(df, order_col, [bucket_col], out="_qrank")
+    r = ordered_rank(df, order_col, [bucket_col], out="_qrank", bits=DENSE_BITS)
     return r.filter(F.col("_qrank") <= goal).drop("_qrank")
 
 
 def snapshot_versions(df: DataFrame, order_col: str = "accept_order", every: int = V.SNAP_EVERY) -> DataFrame:
     """H5: arrival number, snapshot version and snapshot boundary flag."""
-    r = ordered_rank(df, order_col, None, out="arrival")
+    r = ordered_rank(df, order_col, None, out="arrival", bits=DENSE_BITS)
     return (r.withColumn("version", F.ceil(F.col("arrival") / F.lit(every)).cast("bigint"))
             .withColumn("is_snapshot", F.pmod(F.col("arrival"), F.lit(every)) == 0))
 
 
 def budget_cap(df: DataFrame, calls_col: str, cap: int, order_col: str = "accept_order") -> DataFrame:
     """H6: rows whose cumulative call count stays within ``cap``."""
-    r = ordered_running_sum(df, calls_col, order_col, None, out="calls_so_far")
+    r = ordered_running_sum(df, calls_col, order_col, None, out="calls_so_far", bits=DENSE_BITS)
     return r.filter(F.col("calls_so_far") <= F.lit(cap))
 
 
 def assign_ids(new: DataFrame, existing_max_id: int, order_col: str = "accept_order") -> DataFrame:
     """H7: ids continue after the largest existing id, in arrival order
     (never reuses an id after a resume)."""
-    r = ordered_rank(new, order_col, None, out="_rn")
+    r = ordered_rank(new, order_col, None, out="_rn", bits=DENSE_BITS)
     return r.withColumn("new_id", (F.lit(int(existing_max_id)) + F.col("_rn")).cast("bigint")).drop("_rn")
 
 
@@ -102,5 +102,5 @@ def bucket_assign(jobs: DataFrame, remainders: dict[str, int], seed, order_col:
     slots = slots.withColumn("_ord", key * F.lit(1 << 27) + F.col("bix").cast("long") * F.lit(1 << 25) + F.col("slot"))
     slots = ordered_rank(slots, "_ord", None, out="_srank").select("bucket", "_srank")
     base = jobs.drop("bucket") if "bucket" in jobs.columns else jobs
-    j = ordered_rank(base, order_col, None, out="job_rank")
+    j = ordered_rank(base, order_col, None, out="job_rank", bits=DENSE_BITS)
     return j.join(slots, j["job_rank"] == slots["_srank"]).drop("_srank")

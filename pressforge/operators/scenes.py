@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions import text as T
 from ..functions.sampling import choice, draw, uniform
-from ..plans.ranking import ordered_rank
+from ..plans.ranking import DENSE_BITS, ordered_rank
 from .dedup import first_wins
 from .tags import role_tags, semantic_match, text_tags
 
@@ -60,7 +60,7 @@ def scene_pool(candidates: DataFrame, n: int, seed) -> DataFrame:
     v = with_validity(candidates).filter("valid")
     p = with_prompt(v, seed).withColumn("accept_order", F.col("id"))
     d = first_wins(p.select("accept_order", "id", *SCENE_KEY, "mismatch"), SCENE_KEY)
-    r = ordered_rank(d, "accept_order", None, out="pool_pos")
+    r = ordered_rank(d, "accept_order", None, out="pool_pos", bits=DENSE_BITS)
     return r.filter(F.col("pool_pos") <= n).drop("accept_order")
 
 

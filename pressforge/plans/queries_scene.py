@@ -190,6 +190,6 @@ _SHUF_SQL = ("list_transform(list_sort([" + ", ".join(
           f"SELECT id, ({_SHUF_SQL})[((row_number() OVER (ORDER BY accept_order) - 1) % {len(V.ROLES)}) + 1] AS role FROM ({JOB})")
 def q_round_robin(spark, sf_dir):
     """Jobs in arrival order cycle through a seeded shuffle of the roles."""
-    j = ordered_rank(v_job(spark, sf_dir).select("id", "accept_order"), "accept_order", None, out="rk")
+    j = ordered_rank(v_job(spark, sf_dir).select("id", "accept_order"), "accept_order", None, out="rk", bits=16)
     roles = SC.shuffled(V.ROLES, SEED)
     return j.select("id", F.element_at(roles, (F.pmod(F.col("rk") - 1, F.lit(len(V.ROLES))) + 1).cast("int")).alias("role"))

@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BLOCKS = 1 << 20
+# Block width for dense integer keys (arrival numbers, row ids): 65,536 keys
+# per block. Exact for any key; only the block sizes depend on density.
+DENSE_BITS = 16
 
 
 def auto_bits(df: DataFrame, order_col: str, max_blocks: int = MAX_BLOCKS) -> int:
