@@ -17,9 +17,25 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+class Prefix:
+    """A precomputed ``"seed|key|"`` column (see ``draw_prefix``). Passing it
+    as the key lets many draws on one row share the key-to-string work; the
+    hashed string, and so every value, is unchanged."""
+
+    def __init__(self, col: Column):
+        self.col = col
+
+
+def draw_prefix(seed, key) -> Column:
+    return F.concat(F.lit(f"{seed}|"), _c(key).cast("string"), F.lit("|"))
+
+
 def draw(seed, key, slot) -> Column:
     """Uniform integer in [0, 2^32) for (seed, key, slot)."""
-    k = F.concat_ws("|", _c(str(seed)), _c(key).cast("string"), _c(slot).cast("string"))
+    if isinstance(key, Prefix):
+        k = F.concat(key.col, _c(slot).cast("string"))
+    else:
+        k = F.concat_ws("|", _c(str(seed)), _c(key).cast("string"), _c(slot).cast("string"))
     return F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("bigint")
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import text as T
-from ..functions.sampling import bernoulli, choice, choice_from, pick_index
+from ..functions.sampling import Prefix, bernoulli, choice, choice_from, draw_prefix, pick_index
 from ..session import ensure_parallel
-from .tags import objects_for, role_tags, tag_choice, tag_union, text_tags
+from .tags import add_text_tags, objects_for, role_tags, tag_choice, tag_union, text_tags
 
 SPAN_MODES = ("exact", "reference")
 
@@ -93,10 +93,13 @@ def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool
     copies a large sub-expression into several places (keeps every stage in
     whole-stage codegen).
     """
-    idc = F.col("id")
+    idc = Prefix(F.col("_dk"))
     pats = V.pattern_list(em_dash)
     b = F.col("bucket")
-    df = ensure_parallel(jobs, "id").withColumn("tags", tag_union(role_tags(F.col("role")), text_tags(F.col("event"), V.EVENT_TAGS)))
+    df = ensure_parallel(jobs, "id").withColumn("_dk", draw_prefix(seed, F.col("id")))
+    df = add_text_tags(df, "role", "_rt", V.ROLE_RULES)
+    df = add_text_tags(df, "event", "_et", V.EVENT_TAGS)
+    df = df.withColumn("tags", tag_union(F.col("_rt"), F.col("_et"))).drop("_rt", "_et")
     df = T.add_role_to_subject(df, "role", "_S")
     df = (df.withColumn("_E", T.clean_event(F.col("event")))
           .withColumn("_W", F.when(bernoulli(seed, idc, "when_u", V.WHEN_RATE),
@@ -121,4 +124,4 @@ def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool
                        .otherwise(ts_span(F.col("_ts"))))
     cls = F.create_map(*[x for k, v in V.BUCKET_CLASS.items() for x in (F.lit(k), F.lit(v))])
     df = df.withColumn("fake_cls", F.element_at(cls, b))
-    return df.drop("_S", "_E", "_W", "_V", "_O", "_k", "_raw", "_core", "_aff", "_ta", "_ts", "_is", "_ia", "_tsraw")
+    return df.drop("_S", "_E", "_W", "_V", "_O", "_k", "_raw", "_core", "_aff", "_ta", "_ts", "_is", "_ia", "_tsraw", "_dk")

@@ -46,7 +46,7 @@ def combo_masks(k: int, m: int) -> list[int]:
 def fingerprint64(vec: Column, n: int = 64) -> Column:
     """Bit i set when v[i] is above the median of the n values.
     (Re-aimed perceptual hash: works on a 64-value feature vector.)"""
-    s = F.array_sort(F.transform(vec, lambda x: x.cast("double")))
+    s = F.sort_array(vec.cast("array<double>"))
     med = (F.element_at(s, n // 2) + F.element_at(s, n // 2 + 1)) / F.lit(2.0)
     bits = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
                        lambda i: F.when(F.element_at(vec, i + 1).cast("double") > med,
@@ -54,6 +54,17 @@ def fingerprint64(vec: Column, n: int = 64) -> Column:
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
 
 
+def add_fingerprint(df: DataFrame, vec: str, out: str = "h", n: int = 64) -> DataFrame:
+    """K11 with the median computed once per row (its own column), so the
+    64-way bit lambda only reads it."""
+    s = F.sort_array(F.col(vec).cast("array<double>"))
+    d = df.withColumn("_med", (F.element_at(s, n // 2) + F.element_at(s, n // 2 + 1)) / F.lit(2.0))
+    bits = F.transform(F.col(vec), lambda x, i: F.when(x.cast("double") > F.col("_med"),
+                                                       F.call_function("shiftleft", F.lit(1).cast("bigint"), i))
+                       .otherwise(F.lit(0).cast("bigint")))
+    return d.withColumn(out, F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))).drop("_med")
+
+
 def hamming(a: Column, b: Column) -> Column:
     """K12."""
     return F.bit_count(a.bitwiseXOR(b)).cast("int")

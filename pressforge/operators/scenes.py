@@ -8,28 +8,29 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import text as T
-from ..functions.sampling import choice, draw, uniform
+from ..functions.sampling import Prefix, choice, draw, draw_prefix, uniform
 from ..plans.ranking import DENSE_BITS, ordered_rank
 from .dedup import first_wins
-from .tags import role_tags, semantic_match, text_tags
+from .tags import add_text_tags, semantic_match
 
 SCENE_KEY = ["prompt", "back_caption", "shot", "role", "event"]
 
 
-def props(id_col: Column, absurd: Column, seed) -> Column:
+def props(id_col, absurd: Column, seed) -> Column:
     """C17: optional prop phrases by Bernoulli gates; default phrase when none."""
     items = []
     for i, ((pa, ra), (pn, rn)) in enumerate(zip(V.PROPS_ABSURD, V.PROPS_NORMAL)):
         u = uniform(seed, id_col, f"prop{i}")
         items.append(F.when(absurd, F.when(u < ra, F.lit(pa))).otherwise(F.when(u < rn, F.lit(pn))))
-    joined = F.array_join(F.array_compact(F.array(*items)), "; ")
+    joined = F.array_join(F.concat(*[F.when(i.isNotNull(), F.array(i)).otherwise(F.array().cast("array<string>")) for i in items]), "; ")
     return F.coalesce(F.nullif(joined, F.lit("")), F.lit(V.PROPS_DEFAULT))
 
 
 def with_prompt(df: DataFrame, seed) -> DataFrame:
     """Image prompt assembled from scene parts (needs id, role, event,
     back_raw, mismatch, shot)."""
-    d = T.add_loc_phrase(df, "back_raw", "_bp")
+    d = T.add_loc_phrase(df, "back_raw", "_bp").withColumn("_dk", draw_prefix(seed, F.col("id")))
+    key = Prefix(F.col("_dk"))
     back_prompt = F.when(F.col("mismatch"), F.col("_bp")).otherwise(F.col("back_raw"))
     no_text = V.NO_TEXT_PREFIX + ", ".join(V.TEXT_BLACKLIST)
     style = F.when(F.col("mismatch"), F.lit(V.STYLE_ABSURD)).otherwise(F.lit(V.STYLE_NORMAL))
@@ -37,17 +38,17 @@ def with_prompt(df: DataFrame, seed) -> DataFrame:
                          F.concat_ws(" ", F.col("role"), F.col("event"), back_prompt),
                          F.col("shot"),
                          F.lit(V.PROMPT_MIDDLE + V.FACE_HINT),
-                         choice(seed, F.col("id"), "light", V.LIGHTING),
-                         props(F.col("id"), F.col("mismatch"), seed),
+                         choice(seed, key, "light", V.LIGHTING),
+                         props(key, F.col("mismatch"), seed),
                          F.lit(no_text), style)
-    return d.withColumn("prompt", prompt).drop("_bp")
+    return d.withColumn("prompt", prompt).drop("_bp", "_dk")
 
 
 def with_validity(df: DataFrame) -> DataFrame:
     """D4 on normal scenes; absurd scenes are valid by construction."""
-    d = df.select("*", role_tags(F.col("role")).alias("role_tags"),
-                  text_tags(F.col("event"), V.EVENT_TAGS).alias("event_tags"),
-                  text_tags(F.col("back_raw"), V.BACKDROP_TAGS).alias("back_tags"))
+    d = add_text_tags(df, "role", "role_tags", V.ROLE_RULES)
+    d = add_text_tags(d, "event", "event_tags", V.EVENT_TAGS)
+    d = add_text_tags(d, "back_raw", "back_tags", V.BACKDROP_TAGS)
     return d.withColumn("valid", F.col("mismatch") | semantic_match(F.col("role_tags"), F.col("event_tags"), F.col("back_tags")))
 
 
@@ -67,4 +68,4 @@ def scene_pool(candidates: DataFrame, n: int, seed) -> DataFrame:
 def shuffled(values: list[str], seed, slot: str = "shuffle") -> Column:
     """E6 for a fixed vocabulary list: order by a draw on the value."""
     arr = F.array(*[F.struct(draw(seed, F.lit(v), slot).alias("d"), F.lit(v).alias("v")) for v in values])
-    return F.transform(F.array_sort(arr), lambda s: s["v"])
+    return F.transform(F.sort_array(arr), lambda s: s["v"])

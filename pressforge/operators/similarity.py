@@ -21,7 +21,7 @@ def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
     (partial aggregation), reassemble in position order (dimension-bounded)."""
     e = df.select(key, F.posexplode(vec).alias("pos", "v"))
     m = e.groupBy(key, "pos").agg(F.avg(F.col("v").cast("double")).alias("v"))
-    return m.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("centroid"))
+    return m.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("centroid"))
 
 
 def centroid_distance(df: DataFrame, key: str, vec: str) -> DataFrame:

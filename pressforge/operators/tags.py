@@ -19,8 +19,34 @@ def text_tags(txt, table: dict[str, list[str]] | None = None, default: str = V.D
     """Sorted tag set of ``txt`` against ``table``; ``[default]`` when none hit."""
     table = table if table is not None else V.EVENT_TAGS
     t = F.lower(txt if isinstance(txt, Column) else F.col(txt))
-    hits = F.array_compact(F.array(*[F.when(contains_any(t, kws), F.lit(tag)) for tag, kws in table.items()]))
-    return F.array_sort(F.when(F.size(hits) > 0, hits).otherwise(F.array(F.lit(default))))
+    hits = _tag_hits([(tag, contains_any(t, kws)) for tag, kws in table.items()])
+    return F.sort_array(F.when(F.size(hits) > 0, hits).otherwise(F.array(F.lit(default))))
+
+
+def _tag_hits(conds) -> Column:
+    """Tags whose condition holds, as a concat of one-element arrays (stays
+    in generated code; a lambda-based compact would not)."""
+    empty = F.array().cast("array<string>")
+    return F.concat(*[F.when(c, F.array(F.lit(tag))).otherwise(empty) for tag, c in conds])
+
+
+def _or_contains(lc: Column, kws) -> Column:
+    out = None
+    for k in kws:
+        c = lc.contains(k)
+        out = c if out is None else (out | c)
+    return out
+
+
+def add_text_tags(df: DataFrame, src: str, out: str, table: dict[str, list[str]] | None = None,
+                  default: str = V.DEFAULT_TAG) -> DataFrame:
+    """D1 / D2, DataFrame form: the text is lower-cased once into a column and
+    every keyword is a plain ``contains`` (indexOf) on it."""
+    table = table if table is not None else V.EVENT_TAGS
+    d = df.withColumn("_lc", F.lower(F.col(src)))
+    hits = _tag_hits([(tag, _or_contains(F.col("_lc"), kws)) for tag, kws in table.items()])
+    d = d.withColumn(out, hits).drop("_lc")
+    return d.withColumn(out, F.sort_array(F.when(F.size(out) > 0, F.col(out)).otherwise(F.array(F.lit(default)))))
 
 
 def role_tags(role) -> Column:
@@ -30,7 +56,7 @@ def role_tags(role) -> Column:
 
 def tag_union(a: Column, b: Column) -> Column:
     """D3 / J3."""
-    return F.array_sort(F.array_union(a, b))
+    return F.sort_array(F.array_union(a, b))
 
 
 def semantic_match(role_t: Column, event_t: Column, back_t: Column) -> Column:
@@ -47,7 +73,7 @@ def objects_for(tag: Column, table: dict[str, list[str]] | None = None) -> Colum
 
 def tag_choice(tags: Column, seed, key, slot="tag") -> Column:
     """Uniform pick from the sorted tag set; default tag when empty."""
-    return F.coalesce(choice_from(F.array_sort(tags), seed, key, slot), F.lit(V.DEFAULT_TAG))
+    return F.coalesce(choice_from(F.sort_array(tags), seed, key, slot), F.lit(V.DEFAULT_TAG))
 
 
 def keyword_table(spark, table: dict[str, list[str]]) -> DataFrame:
@@ -64,5 +90,5 @@ def tags_by_join(df: DataFrame, col: str, kw: DataFrame, key: str = "id",
     aggregated back per key (partial aggregation before the shuffle)."""
     j = (df.select(key, F.lower(F.col(col)).alias("_t"))
          .join(F.broadcast(kw), F.col("_t").contains(F.col("keyword")), "left")
-         .groupBy(key).agg(F.array_sort(F.collect_set("tag")).alias("tags")))
+         .groupBy(key).agg(F.sort_array(F.collect_set("tag")).alias("tags")))
     return j.select(key, F.when(F.size("tags") > 0, F.col("tags")).otherwise(F.array(F.lit(default))).alias("tags"))

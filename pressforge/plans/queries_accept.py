@@ -32,7 +32,7 @@ def accept_batch(spark, sf_dir, seed=SEED, goals=None):
     kept = quota_fill(first_wins(caps, ["text"]), goals or GOALS)
     faces = gated.join(kept.select(F.col("id").alias("img")), "img", "left_semi")
     boxes = G.shot_crop(faces, kept.select(F.col("id").alias("img"), "shot"))
-    per_img = boxes.groupBy("img").agg(F.array_sort(F.collect_list(F.struct(
+    per_img = boxes.groupBy("img").agg(F.sort_array(F.collect_list(F.struct(
         "ix", "ix2", "ix3", F.array(*[F.col(c).cast("int") for c in ("bx1", "by1", "bx2", "by2")]).alias("b")))).alias("_bs"))
     per_img = per_img.select(F.col("img").alias("id"), F.transform("_bs", lambda s: s["b"]).alias("mtcnn_boxes"))
     rec = kept.join(per_img, "id", "left").withColumn("image", image_path(F.col("bucket"), F.col("id"), seed))

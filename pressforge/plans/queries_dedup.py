@@ -18,7 +18,7 @@ DUP_MASKS = [0, 3, 15, 63]
 def v_hash(spark, sf_dir):
     """One fingerprint per embedding."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", "label", N.fingerprint64(F.col("embedding")).alias("h"))
+    return N.add_fingerprint(e.select("vec_id", "label", "embedding"), "embedding", "h").drop("embedding")
 
 
 def v_hash_dup(spark, sf_dir):

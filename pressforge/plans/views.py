@@ -11,14 +11,24 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import text as T
-from ..functions.sampling import choice, draw, uniform, weighted_choice_col
+from ..functions.sampling import Prefix, choice, draw, draw_prefix, uniform, weighted_choice_col
+from ..session import ensure_parallel
 
 SEED = 7
 JOB_ABSURD_RATE = 0.7
 
 
+# Key column of each given table: a single-file table is spread over the
+# cores by this key (a no-op when the scan already has enough partitions).
+TABLE_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey", "part": "p_partkey",
+              "documents": "doc_id", "labels": "doc_id", "embeddings": "vec_id", "events": "event_id",
+              "supplier": "s_suppkey", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = TABLE_KEYS.get(name)
+    return ensure_parallel(df, key) if key else df
 
 
 def v_job(spark: SparkSession, sf_dir: str, seed=SEED, absurd_rate: float = JOB_ABSURD_RATE,
@@ -30,13 +40,14 @@ def v_job(spark: SparkSession, sf_dir: str, seed=SEED, absurd_rate: float = JOB_
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (o.join(c, o.o_custkey == c.c_custkey)
          .join(n, c.c_nationkey == n.n_nationkey))
-    idc = F.col("o_orderkey")
+    j = j.withColumn("_dk", draw_prefix(seed, F.col("o_orderkey")))
+    idc = Prefix(F.col("_dk"))
     absurd = uniform(seed, idc, "absurd") < F.lit(absurd_rate)
     back_raw = F.when(absurd, choice(seed, idc, "absurd_bg", V.ABSURD_BACKDROPS)).otherwise(
         choice(seed, idc, "normal_bg", V.BACKDROPS))
     df = j.select(
-        idc.alias("id"),
-        idc.alias("accept_order"),
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderkey").alias("accept_order"),
         F.col("n_name").alias("dateline"),
         choice(seed, idc, "bucket", buckets or V.BUCKETS).alias("bucket"),
         choice(seed, idc, "role", V.ROLES).alias("role"),

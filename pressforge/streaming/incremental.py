@@ -31,12 +31,19 @@ def _read_before(spark: SparkSession, path: str, batch_id: int, schema: str) ->
 
 def stage_in_order(df: DataFrame, src: str, order_col: str, chunks: int, only=None) -> None:
     """Write candidates as ``chunks`` files by arrival range (one file per
-    range so arrival order is file order)."""
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    range, written one after another, so arrival order is file order).
+
+    The candidates are computed once into a staging table; each chunk file
+    is then a cheap filtered read of it."""
+    stage = os.path.join(os.path.dirname(src.rstrip("/")), "_staged_" + os.path.basename(src.rstrip("/")))
+    if not os.path.exists(stage):
+        df.write.mode("overwrite").parquet(stage)
+    st = df.sparkSession.read.parquet(stage)
+    lo, hi = st.agg(F.min(order_col), F.max(order_col)).first()
     width = max(1, (int(hi) - int(lo)) // chunks + 1)
     c = ((F.col(order_col) - F.lit(int(lo))) / F.lit(width)).cast("int")
     for i in (only if only is not None else range(chunks)):
-        df.filter(c == i).coalesce(1).write.mode("overwrite").parquet(os.path.join(src, f"chunk={i:06d}"))
+        st.filter(c == i).coalesce(1).write.mode("overwrite").parquet(os.path.join(src, f"chunk={i:06d}"))
 
 
 def run_accept(spark: SparkSession, src: str, schema, work: str, goals: dict[str, int],

@@ -60,3 +60,12 @@ def test_ta_caption_and_spans(spark):
     assert r[0]["x"] == "Mayor opens park, looks worried."
     assert list(r[0]["e"]) == [3, 4] and list(r[0]["r"]) == [2, 3]
     assert list(r[1]["e"]) == [3] and list(r[1]["r"]) == [2]
+
+
+def test_whitespace_class_equals_python(spark):
+    from pressforge.functions.text import WS
+    cps = list(range(0, 0x3001)) + [0xFEFF, 0x180E, 0x200B]
+    df = spark.createDataFrame([(c, chr(c)) for c in cps if not 0xD800 <= c <= 0xDFFF], "cp int, ch string")
+    got = {r.cp for r in df.filter(F.col("ch").rlike(f"\\A{WS}\\z")).collect()}
+    want = {c for c in cps if not 0xD800 <= c <= 0xDFFF and chr(c).isspace()}
+    assert got == want
