@@ -58,9 +58,20 @@ def scene_pool(candidates: DataFrame, n: int, seed) -> DataFrame:
     Candidates are rows the caller derives from its tables (one per job);
     the distinct step is a partial aggregation and the cut is an exact
     block-split rank, so no step gathers the pool in one task."""
-    v = with_validity(candidates).filter("valid")
+    return distinct_valid(candidates, seed, n)
+
+
+def distinct_valid(candidates: DataFrame, seed, n: int | None = None) -> DataFrame:
+    """E9 (+ the E8 cut when ``n`` is given). Validity depends only on the
+    scene key, so the filter runs after the first-wins aggregation: a filter
+    on the derived flag before it would be pushed below the projection and
+    repeat the whole tagging work inside the filter."""
+    v = with_validity(candidates)
     p = with_prompt(v, seed).withColumn("accept_order", F.col("id"))
-    d = first_wins(p.select("accept_order", "id", *SCENE_KEY, "mismatch"), SCENE_KEY)
+    d = first_wins(p.select("accept_order", "id", *SCENE_KEY, "mismatch", "valid"), SCENE_KEY)
+    d = d.filter(F.col("valid")).drop("valid")
+    if n is None:
+        return d.drop("accept_order")
     r = ordered_rank(d, "accept_order", None, out="pool_pos", bits=DENSE_BITS)
     return r.filter(F.col("pool_pos") <= n).drop("accept_order")
 

@@ -167,9 +167,7 @@ def q_scene_pool(spark, sf_dir):
           f"SELECT id FROM ({_SCENE_SQL}) QUALIFY row_number() OVER (PARTITION BY prompt, back_caption, shot, role, event ORDER BY id) = 1")
 def q_scene_distinct(spark, sf_dir):
     """First-wins distinct on the scene key over all valid candidates."""
-    v = SC.with_prompt(SC.with_validity(v_job(spark, sf_dir)).filter("valid"), SEED).withColumn("accept_order", F.col("id"))
-    from ..operators.dedup import first_wins
-    return first_wins(v.select("accept_order", "id", *SC.SCENE_KEY), SC.SCENE_KEY).select("id")
+    return SC.distinct_valid(v_job(spark, sf_dir), SEED).select("id")
 
 
 @register("seeded_shuffle",
