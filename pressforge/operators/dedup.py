@@ -51,8 +51,33 @@ def greedy_keep(nodes: DataFrame, order_col: str, groups: list[tuple[str, DataFr
     with no earlier undecided or kept conflict are decided at once; lineage is
     cut every round with a reliable checkpoint.
 
+    Rows without any conflict (their value is unique in every relation and
+    has no neighbour) are kept up front; only the conflicted rest iterates.
+
     Returns ``nodes`` plus boolean ``kept``.
     """
+    cols = nodes.columns
+    flags = nodes
+    for gi, (gcol, edges) in enumerate(groups):
+        cnt = nodes.groupBy(gcol).agg(F.count(F.lit(1)).alias(f"_n{gi}"))
+        flags = flags.join(cnt, gcol, "left")
+        if edges is not None:
+            nb = edges.select(F.col("a").alias(gcol)).distinct().withColumn(f"_e{gi}", F.lit(True))
+            flags = flags.join(nb, gcol, "left")
+    alone = None
+    for gi, (gcol, edges) in enumerate(groups):
+        c = F.col(f"_n{gi}") == 1
+        if edges is not None:
+            c = c & F.col(f"_e{gi}").isNull()
+        c = c | F.col(gcol).isNull()  # a NULL value (unreadable) conflicts with nothing
+        alone = c if alone is None else (alone & c)
+    flags = cut_lineage(flags.withColumn("_alone", alone).select(*cols, "_alone"))
+    free = flags.filter(F.col("_alone")).select(*cols).withColumn("kept", F.lit(True))
+    nodes = flags.filter(~F.col("_alone")).select(*cols)
+    return free.unionByName(_greedy_rounds(nodes, order_col, groups, max_rounds))
+
+
+def _greedy_rounds(nodes: DataFrame, order_col: str, groups, max_rounds: int) -> DataFrame:
     state = nodes.withColumn("_st", F.lit(0))  # 0 undecided, 1 kept, 2 dropped
     state = cut_lineage(state)
     big = F.lit(2 ** 62).cast("bigint")
@@ -60,7 +85,6 @@ def greedy_keep(nodes: DataFrame, order_col: str, groups: list[tuple[str, DataFr
         n_und = state.filter(F.col("_st") == 0).count()
         if n_und == 0:
             break
-        verdict = None
         cols = []
         for gi, (gcol, edges) in enumerate(groups):
             per_val = state.filter(F.col("_st") != 2).groupBy(gcol).agg(
