@@ -47,9 +47,16 @@ def stage_in_order(df: DataFrame, src: str, order_col: str, chunks: int, only=No
 
 
 def run_accept(spark: SparkSession, src: str, schema, work: str, goals: dict[str, int],
-               order_col: str = "accept_order") -> None:
-    """One availableNow run of the accept loop over the files now in ``src``."""
+               order_col: str = "accept_order", snap_every: int = 50) -> None:
+    """One availableNow run of the accept loop over the files now in ``src``.
+
+    M4: when a batch takes the accepted total across a multiple of
+    ``snap_every``, a snapshot *manifest* (version, last batch, rows) is
+    written instead of a full rewrite of all records (which would cost
+    O(n^2 / snap_every) bytes over a run); ``snapshot(version)`` reads the
+    accepted partitions it names."""
     seen_p, acc_p, ck = (os.path.join(work, x) for x in ("seen", "accepted", "checkpoint"))
+    snap_p = os.path.join(work, "snapshots")
     rec_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -61,7 +68,14 @@ def run_accept(spark: SparkSession, src: str, schema, work: str, goals: dict[str
         have = {r["bucket"]: r["n"] for r in accepted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
         left = {b: max(0, g - int(have.get(b, 0))) for b, g in goals.items()}
         out = quota_fill(fresh, left, order_col)
-        out.write.mode("overwrite").parquet(os.path.join(acc_p, f"batch={batch_id}"))
+        out_p = os.path.join(acc_p, f"batch={batch_id}")
+        out.write.mode("overwrite").parquet(out_p)
+        before = sum(int(v) for v in have.values())
+        after = before + s.read.parquet(out_p).count()
+        if after // snap_every > before // snap_every:
+            v = after // snap_every
+            (s.createDataFrame([(v, batch_id, after)], "version long, upto_batch long, rows long")
+             .coalesce(1).write.mode("overwrite").json(os.path.join(snap_p, f"version={v}")))
 
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(src))
@@ -70,6 +84,16 @@ def run_accept(spark: SparkSession, src: str, schema, work: str, goals: dict[str
     q.awaitTermination()
 
 
+def snapshot(spark: SparkSession, work: str, version: int | None = None) -> DataFrame:
+    """Rows of snapshot ``version`` (latest when None): the accepted
+    partitions up to the batch its manifest names."""
+    m = spark.read.json(os.path.join(work, "snapshots"))
+    if version is not None:
+        m = m.filter(F.col("version") == version)
+    upto = m.agg(F.max("upto_batch")).first()[0]
+    return spark.read.parquet(os.path.join(work, "accepted")).filter(F.col("batch") <= upto).drop("batch")
+
+
 def accepted(spark: SparkSession, work: str) -> DataFrame:
     return spark.read.parquet(os.path.join(work, "accepted")).drop("batch")
 

@@ -20,3 +20,21 @@ def test_stream_dedup_distinct_keys(spark):
     q = E.queries()
     s = q["stream_dedup"](spark, SF)
     assert s.count() == s.distinct().count() > 0
+
+
+def test_snapshot_manifests(spark):
+    import os
+    from pyspark.sql import functions as F
+    from pressforge.operators.captions import with_captions
+    from pressforge.plans.views import SEED, v_job
+    from pressforge.session import scratch_dir
+    from pressforge.streaming import incremental as INC
+    work = scratch_dir(spark, "snaptest")
+    c = with_captions(v_job(spark, SF), SEED).select("id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
+    src = os.path.join(work, "src")
+    INC.stage_in_order(c, src, "accept_order", 4)
+    INC.run_accept(spark, src, c.schema, work, {"lit": 60, "inv": 60, "irr": 60}, snap_every=50)
+    m = spark.read.json(os.path.join(work, "snapshots")).orderBy("version").collect()
+    total = INC.accepted(spark, work).count()
+    assert m and m[-1].rows == INC.snapshot(spark, work, m[-1].version).count()
+    assert all(r.rows >= 50 * r.version for r in m) and total >= m[-1].rows
