@@ -18,12 +18,24 @@ def _c(x) -> Column:
 
 
 class Prefix:
-    """A precomputed ``"seed|key|"`` column (see ``draw_prefix``). Passing it
-    as the key lets many draws on one row share the key-to-string work; the
-    hashed string, and so every value, is unchanged."""
+    """A precomputed ``"seed|key|"`` column, by name (see ``draw_prefix``).
+    Passing it as the key lets many draws on one row share the key-to-string
+    work; the hashed string, and so every value, is unchanged. Draws on a
+    prefix are built as one SQL expression each (one call to the JVM instead
+    of one per node and per list literal)."""
 
-    def __init__(self, col: Column):
-        self.col = col
+    def __init__(self, name: str):
+        self.name = name
+        self.col = F.col(name)
+
+
+def sql_str(v) -> str:
+    """Spark SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _draw_sql(key: Prefix, slot: str) -> str:
+    return f"cast(conv(substring(md5(concat(`{key.name}`, {sql_str(slot)})), 1, 8), 16, 10) as bigint)"
 
 
 def draw_prefix(seed, key) -> Column:
@@ -32,6 +44,8 @@ def draw_prefix(seed, key) -> Column:
 
 def draw(seed, key, slot) -> Column:
     """Uniform integer in [0, 2^32) for (seed, key, slot)."""
+    if isinstance(key, Prefix) and isinstance(slot, str):
+        return F.expr(_draw_sql(key, slot))
     if isinstance(key, Prefix):
         k = F.concat(key.col, _c(slot).cast("string"))
     else:
@@ -41,16 +55,23 @@ def draw(seed, key, slot) -> Column:
 
 def uniform(seed, key, slot) -> Column:
     """Uniform double in [0, 1)."""
+    if isinstance(key, Prefix) and isinstance(slot, str):
+        return F.expr(f"({_draw_sql(key, slot)}) / {TWO32!r}")
     return draw(seed, key, slot) / F.lit(TWO32)
 
 
 def pick_index(seed, key, slot, n) -> Column:
     """0-based uniform index into a list of size ``n`` (int or Column)."""
+    if isinstance(key, Prefix) and isinstance(slot, str) and isinstance(n, int):
+        return F.expr(f"pmod({_draw_sql(key, slot)}, cast({n} as bigint))")
     return F.pmod(draw(seed, key, slot), _c(n).cast("bigint"))
 
 
 def choice(seed, key, slot, values: list) -> Column:
     """Uniform choice from a fixed list (inlined as a literal array)."""
+    if isinstance(key, Prefix) and isinstance(slot, str) and all(isinstance(v, str) for v in values):
+        arr = "array(" + ", ".join(sql_str(v) for v in values) + ")"
+        return F.expr(f"element_at({arr}, cast(pmod({_draw_sql(key, slot)}, cast({len(values)} as bigint)) + 1 as int))")
     arr = F.array(*[F.lit(v) for v in values])
     return F.element_at(arr, (pick_index(seed, key, slot, len(values)) + 1).cast("int"))
 

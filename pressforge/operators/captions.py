@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions import text as T
 from ..functions.sampling import Prefix, bernoulli, choice, choice_from, draw_prefix, pick_index
-from ..session import ensure_parallel
 from .tags import add_text_tags, objects_for, role_tags, tag_choice, tag_union, text_tags
 
 SPAN_MODES = ("exact", "reference")
@@ -93,10 +92,10 @@ def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool
     copies a large sub-expression into several places (keeps every stage in
     whole-stage codegen).
     """
-    idc = Prefix(F.col("_dk"))
+    idc = Prefix("_dk")
     pats = V.pattern_list(em_dash)
     b = F.col("bucket")
-    df = ensure_parallel(jobs, "id").withColumn("_dk", draw_prefix(seed, F.col("id")))
+    df = jobs.withColumn("_dk", draw_prefix(seed, F.col("id")))
     df = add_text_tags(df, "role", "_rt", V.ROLE_RULES)
     df = add_text_tags(df, "event", "_et", V.EVENT_TAGS)
     df = df.withColumn("tags", tag_union(F.col("_rt"), F.col("_et"))).drop("_rt", "_et")

@@ -30,7 +30,7 @@ def with_prompt(df: DataFrame, seed) -> DataFrame:
     """Image prompt assembled from scene parts (needs id, role, event,
     back_raw, mismatch, shot)."""
     d = T.add_loc_phrase(df, "back_raw", "_bp").withColumn("_dk", draw_prefix(seed, F.col("id")))
-    key = Prefix(F.col("_dk"))
+    key = Prefix("_dk")
     back_prompt = F.when(F.col("mismatch"), F.col("_bp")).otherwise(F.col("back_raw"))
     no_text = V.NO_TEXT_PREFIX + ", ".join(V.TEXT_BLACKLIST)
     style = F.when(F.col("mismatch"), F.lit(V.STYLE_ABSURD)).otherwise(F.lit(V.STYLE_NORMAL))

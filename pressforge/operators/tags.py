@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab as V
-from ..functions.sampling import choice_from
+from ..functions.sampling import choice_from, sql_str
 from ..functions.text import contains_any
 
 
@@ -44,8 +44,11 @@ def add_text_tags(df: DataFrame, src: str, out: str, table: dict[str, list[str]]
     every keyword is a plain ``contains`` (indexOf) on it."""
     table = table if table is not None else V.EVENT_TAGS
     d = df.withColumn("_lc", F.lower(F.col(src)))
-    hits = _tag_hits([(tag, _or_contains(F.col("_lc"), kws)) for tag, kws in table.items()])
-    d = d.withColumn(out, hits).drop("_lc")
+    parts = []
+    for tag, kws in table.items():
+        cond = " OR ".join(f"contains(_lc, {sql_str(k)})" for k in kws)
+        parts.append(f"if({cond}, array({sql_str(tag)}), cast(array() as array<string>))")
+    d = d.withColumn(out, F.expr("concat(" + ", ".join(parts) + ")")).drop("_lc")
     return d.withColumn(out, F.sort_array(F.when(F.size(out) > 0, F.col(out)).otherwise(F.array(F.lit(default)))))
 
 

@@ -27,11 +27,13 @@ def accept_batch(spark, sf_dir, seed=SEED, goals=None):
     counted = G.face_count_gate(v_images(spark, sf_dir), nf)
     gated = nf.join(counted.select("img"), "img", "left_semi")
     good = G.face_quality_gate(gated).filter(F.col("passes")).select(F.col("img").alias("id"))
-    jobs = v_job(spark, sf_dir, seed).join(good, "id", "left_semi")
-    caps = with_captions(jobs, seed).select("id", "accept_order", "bucket", "shot", "text", "fake_text_pos", "fake_cls")
+    job = v_job(spark, sf_dir, seed)
+    jobs = job.join(good, "id", "left_semi")
+    caps = with_captions(jobs, seed).select("id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
     kept = quota_fill(first_wins(caps, ["text"]), goals or GOALS)
-    faces = gated.join(kept.select(F.col("id").alias("img")), "img", "left_semi")
-    boxes = G.shot_crop(faces, kept.select(F.col("id").alias("img"), "shot"))
+    # crop every gated image (cheap per-image geometry) so the kept records,
+    # which carry the whole caption / dedup / quota plan, are consumed once
+    boxes = G.shot_crop(gated, job.select(F.col("id").alias("img"), "shot"))
     per_img = boxes.groupBy("img").agg(F.sort_array(F.collect_list(F.struct(
         "ix", "ix2", "ix3", F.array(*[F.col(c).cast("int") for c in ("bx1", "by1", "bx2", "by2")]).alias("b")))).alias("_bs"))
     per_img = per_img.select(F.col("img").alias("id"), F.transform("_bs", lambda s: s["b"]).alias("mtcnn_boxes"))

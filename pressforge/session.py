@@ -78,8 +78,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread a CPU-heavy narrow stage over the cluster's cores when the input
-    arrives in fewer partitions (a single small file). Planning-only check; no
-    shuffle is added when the input is already split."""
+    arrives in fewer partitions (a single small file). No shuffle is added
+    when the input is already split.
+
+    Call it on a plain scan only: on a plan that already contains a shuffle,
+    asking adaptive execution for the partition count runs those stages."""
     want = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
