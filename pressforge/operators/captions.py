@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions import text as T
 from ..functions.sampling import Prefix, bernoulli, choice, choice_from, draw_prefix, pick_index
-from .tags import add_text_tags, objects_for, role_tags, tag_choice, tag_union, text_tags
+from .tags import add_text_tags, objects_for, tag_choice, tag_union
 
 SPAN_MODES = ("exact", "reference")
 

@@ -17,7 +17,7 @@ from ..sources.sinks import image_path, make_records
 from . import oracle as O
 from . import sqlgen as Q
 from .pipeline import GOALS, records_as_text
-from .queries_geo import _QUALITY_SQL, GATED_SQL, center_rect_sql, remap_sql, union_rect_sql, _SHOT_EX, _IS_UNION, CROP_COLS
+from .queries_geo import _QUALITY_SQL, GATED_SQL, center_rect_sql, remap_sql, union_rect_sql, _SHOT_EX, _IS_UNION
 from .registry import register
 from .views import SEED, v_face, v_images, v_job
 

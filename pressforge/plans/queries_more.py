@@ -21,7 +21,7 @@ from .pipeline import caption_records, records_as_text
 from .queries_core import FLAGSHIP_SQL
 from .queries_eval import EV_SQL, v_eval
 from .queries_geo import GATED_SQL, NF_SQL, READABLE_SQL, TARGET, _QUALITY_SQL, _SIZE_SQL
-from .queries_quota import _FILL_SQL, JOBS_SQL, RESUME_GOALS, _jobs_status, _remainders
+from .queries_quota import _FILL_SQL, JOBS_SQL, _jobs_status, _remainders
 from .registry import register
 from .views import SEED, table, v_face, v_images, v_job, v_word
 

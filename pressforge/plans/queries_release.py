@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions.sampling import draw, uniform
 from ..operators import evaluate as EV
-from ..operators import quota as QU
 from ..operators import scenes as SC
 from ..plans.ranking import DENSE_BITS, ordered_rank
 from ..session import scratch_dir
@@ -18,7 +17,7 @@ from ..sources import readers as RD
 from ..sources import sinks as SK
 from . import sqlgen as Q
 from .queries_eval import EV_SQL, v_eval
-from .queries_quota import RESUME_GOALS, _NEW_SQL, _REM_SQL, _jobs_status, _remainders
+from .queries_quota import _NEW_SQL, _REM_SQL, _jobs_status, _remainders
 from .queries_scene import _DEDUP_SQL
 from .registry import register
 from .views import SEED, v_job

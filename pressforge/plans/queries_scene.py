@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import vocab as V
-from ..functions import text as T
 from ..functions.sampling import draw, uniform
 from ..operators import scenes as SC
 from ..operators import tags as TG

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import text as T
-from ..functions.sampling import Prefix, choice, draw, draw_prefix, uniform, weighted_choice_col
+from ..functions.sampling import Prefix, choice, draw_prefix, uniform, weighted_choice_col
 from ..session import ensure_parallel
 
 SEED = 7
@@ -66,7 +66,7 @@ def v_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
-__all__ = ["table", "v_job", "v_cap", "draw", "SEED"]
+__all__ = ["table", "v_job", "v_cap", "v_face", "v_word", "v_images", "SEED"]
 
 
 IMG_W = IMG_H = 1024
