@@ -49,3 +49,26 @@ def test_auc_matches_pairs(spark):
     neg = [s for g, s in rows if g != "manipulated"]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert abs(EV.roc_auc(df).first().auc - want) < 1e-12
+
+
+def test_rank_with_hot_key(spark):
+    """One partition key holds a third of all rows: ranks stay exact."""
+    df = spark.range(0, 9000).select(F.col("id").alias("k"),
+                                     F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 97).cast("string")).alias("p"))
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("p").orderBy("k")))
+    got = ordered_rank(df.repartition(5), "k", ["p"], bits=6)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == 9000
+
+
+def test_flagship_partition_invariant(spark):
+    import __spark_entry__ as E
+    q = E.queries()["caption_records"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = sorted(tuple(r) for r in q(spark, "/root/testdata/sf0.001").collect())
+        spark.conf.set("spark.sql.shuffle.partitions", "11")
+        b = sorted(tuple(r) for r in q(spark, "/root/testdata/sf0.001").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert a == b and len(a) > 0
