@@ -82,8 +82,8 @@ def bucket_assign(jobs: DataFrame, remainders: dict[str, int], seed, order_col:
     """Hand out quota slots in a seeded random order to jobs in arrival
     order. Slot rows = the total remainder (the output size), never the input.
 
-    Slot order is (draw, bucket index, slot number) packed into one integer
-    (slot numbers below 2^25 per bucket)."""
+    Slot order is (draw, bucket index, slot number); blocks are cut on the
+    32-bit draw and ties ordered by the rest."""
     spark = jobs.sparkSession
     order = list(buckets or V.BUCKETS)
     live = [(b, int(n)) for b, n in remainders.items() if int(n) > 0]
@@ -99,8 +99,8 @@ def bucket_assign(jobs: DataFrame, remainders: dict[str, int], seed, order_col:
     slots = spark.range(0, total).select(bucket.alias("bucket"), bix.alias("bix"),
                                          (F.col("id") - start + 1).alias("slot"))
     key = draw(seed, F.concat_ws(":", F.col("bucket"), F.col("slot").cast("string")), "slot")
-    slots = slots.withColumn("_ord", key * F.lit(1 << 27) + F.col("bix").cast("long") * F.lit(1 << 25) + F.col("slot"))
-    slots = ordered_rank(slots, "_ord", None, out="_srank").select("bucket", "_srank")
+    slots = slots.withColumn("_ord", key)
+    slots = ordered_rank(slots, "_ord", None, out="_srank", bits=12, tiebreak=["bix", "slot"]).select("bucket", "_srank")
     base = jobs.drop("bucket") if "bucket" in jobs.columns else jobs
     j = ordered_rank(base, order_col, None, out="job_rank", bits=DENSE_BITS)
     return j.join(slots, j["job_rank"] == slots["_srank"]).drop("_srank")

@@ -131,7 +131,7 @@ def _slots_sql(rem_sql: str) -> str:
     order = {b: i for i, b in enumerate(V.BUCKETS)}
     bix = "CASE bucket " + " ".join(f"WHEN '{b}' THEN {i}" for b, i in order.items()) + " END"
     key = Q.draw(SEED, "bucket || ':' || cast(slot AS VARCHAR)", "slot")
-    return (f"SELECT bucket, row_number() OVER (ORDER BY {key} * {1 << 27} + ({bix}) * {1 << 25} + slot) AS srank FROM "
+    return (f"SELECT bucket, row_number() OVER (ORDER BY {key}, {bix}, slot) AS srank FROM "
             f"(SELECT bucket, unnest(range(1, remainder + 1)) AS slot FROM ({rem_sql}) WHERE remainder > 0)")
 
 

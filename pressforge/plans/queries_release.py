@@ -33,8 +33,8 @@ _POOL_DRAW_SQL = f"""
 WITH rem AS (SELECT sum(remainder) AS total FROM ({_REM_SQL})),
 sz AS (SELECT greatest({V.POOL_MIN}, cast(trunc(total * CASE WHEN total >= {V.POOL_BIG_AT} THEN {V.POOL_MULT_BIG} ELSE {V.POOL_MULT_SMALL} END) AS BIGINT)) AS n,
               greatest({V.BACKUP_MIN}, cast(trunc(total * {V.BACKUP_FRAC}) AS BIGINT)) AS b FROM rem),
-pool AS (SELECT id AS scene_id, row_number() OVER (ORDER BY pool_pos) AS pos FROM (
-           SELECT id, {_PSHUF} * {1 << 31} + id AS pool_pos FROM (
+pool AS (SELECT id AS scene_id, row_number() OVER (ORDER BY d, id) AS pos FROM (
+           SELECT id, {_PSHUF} AS d FROM (
              SELECT id, row_number() OVER (ORDER BY id) AS rk FROM ({_DEDUP_SQL})) WHERE rk <= (SELECT n FROM sz))),
 jobs AS (SELECT id, row_number() OVER (ORDER BY accept_order) AS i FROM ({_NEW_SQL}))
 SELECT j.id, p.scene_id FROM jobs j, sz JOIN pool p ON p.pos = CASE WHEN j.i <= least(sz.n, (SELECT count(*) FROM pool))
@@ -50,8 +50,8 @@ def q_pool_draw(spark, sf_dir):
     total = sum(_remainders(spark, sf_dir).values())
     n, b = _pool_sizes(total)
     pool = SC.scene_pool(v_job(spark, sf_dir), n, SEED).select(F.col("id").alias("scene_id"))
-    pool = pool.withColumn("_k", draw(SEED, F.col("scene_id"), "poolshuf") * F.lit(1 << 31) + F.col("scene_id"))
-    pool = ordered_rank(pool, "_k", None, out="pos").select("scene_id", "pos")
+    pool = pool.withColumn("_k", draw(SEED, F.col("scene_id"), "poolshuf"))
+    pool = ordered_rank(pool, "_k", None, out="pos", bits=12, tiebreak=["scene_id"]).select("scene_id", "pos")
     size = pool.count()  # one number: the pool may be smaller than asked
     jobs = _jobs_status(spark, sf_dir).filter(~F.col("is_old")).select("id", "accept_order")
     jobs = ordered_rank(jobs, "accept_order", None, out="i", bits=DENSE_BITS)

@@ -172,11 +172,11 @@ def q_scene_distinct(spark, sf_dir):
 @register("seeded_shuffle",
           f"SELECT doc_id AS id, row_number() OVER (ORDER BY {Q.draw(SEED, 'doc_id', 'shuffle')}, doc_id) AS pos FROM documents")
 def q_seeded_shuffle(spark, sf_dir):
-    """A seeded permutation of the documents (exact global rank on a
-    packed (draw, id) key; ids below 2^31)."""
+    """A seeded permutation of the documents: exact global rank on
+    (draw, id), blocks cut on the 32-bit draw."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    d = d.withColumn("_k", draw(SEED, F.col("id"), "shuffle") * F.lit(1 << 31) + F.col("id"))
-    return ordered_rank(d, "_k", None, out="pos").select("id", "pos")
+    d = d.withColumn("_k", draw(SEED, F.col("id"), "shuffle"))
+    return ordered_rank(d, "_k", None, out="pos", bits=12, tiebreak=["id"]).select("id", "pos")
 
 
 _SHUF_SQL = ("list_transform(list_sort([" + ", ".join(

@@ -41,18 +41,23 @@ def _block(order_col: str, bits: int):
 
 
 def ordered_rank(df: DataFrame, order_col: str, part_cols: list[str] | None = None,
-                 out: str = "rn", bits: int | None = None) -> DataFrame:
-    """Exact ``row_number()`` over (partition by part_cols order by order_col).
+                 out: str = "rn", bits: int | None = None, tiebreak: list[str] | None = None) -> DataFrame:
+    """Exact ``row_number()`` over (partition by part_cols order by
+    order_col, *tiebreak).
 
-    ``order_col`` must be an integer key, unique within each partition key.
+    ``order_col`` is an integer key (blocks are cut on it); ``(order_col,
+    *tiebreak)`` must be unique within each partition key. Ties on the
+    integer key stay inside one block and are ordered by ``tiebreak``, so no
+    packing of several keys into one integer is needed.
     """
     part = list(part_cols or [])
+    ties = list(tiebreak or [])
     bits = auto_bits(df, order_col) if bits is None else bits
     d = df.withColumn("_blk", _block(order_col, bits))
     stats = d.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.select(*part, "_blk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy(*part, "_blk").orderBy(order_col))
+    local = F.row_number().over(Window.partitionBy(*part, "_blk").orderBy(order_col, *ties))
     d = d.withColumn("_loc", local)
     return (d.join(offs, part + ["_blk"])
             .withColumn(out, (F.col("_off") + F.col("_loc")).cast("bigint"))
