@@ -5,8 +5,9 @@ one task: a hot key (one bucket holding a third of the rows) or an empty
 ``partition by`` (a global order) does not scale. For a unique integer order
 key we split the key range into blocks of ``2^bits`` consecutive values:
 
-* per (p, block) counts / sums - a partial aggregation, tiny output;
-* block offsets - a running sum over that small table;
+* per (p, block) counts / sums - a partial aggregation, small output;
+* block offsets - a two-level running sum over that table (super-blocks of
+  1,024 blocks, then blocks inside a super-block);
 * the in-block rank - a window over (p, block), at most ``2^bits`` rows each.
 
 The result is exact and every task sees a bounded amount of data.
@@ -40,6 +41,24 @@ def _block(order_col: str, bits: int):
     return F.shiftright(F.col(order_col).cast("bigint"), bits)
 
 
+FAN_BITS = 10
+
+
+def _block_offsets(stats: DataFrame, part: list[str], val: str, fan_bits: int | None = None) -> DataFrame:
+    """Exclusive running sum of ``val`` over blocks, per partition key, in two
+    levels: super-blocks of 2^fan_bits blocks get their offsets from a small
+    window, blocks inside a super-block from a window of at most 2^fan_bits
+    rows. No window ever sees the whole block table in one task."""
+    fan_bits = FAN_BITS if fan_bits is None else fan_bits
+    s = stats.withColumn("_sb", F.shiftright(F.col("_blk"), fan_bits))
+    sup = s.groupBy(*part, "_sb").agg(F.sum(val).alias("_sv"))
+    ws = Window.partitionBy(*part).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    sup = sup.select(*part, "_sb", F.coalesce(F.sum("_sv").over(ws), F.lit(0)).alias("_soff"))
+    wb = Window.partitionBy(*part, "_sb").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    inner = s.select(*part, "_sb", "_blk", F.coalesce(F.sum(val).over(wb), F.lit(0)).alias("_ioff"))
+    return inner.join(sup, part + ["_sb"]).select(*part, "_blk", (F.col("_soff") + F.col("_ioff")).alias("_off"))
+
+
 def ordered_rank(df: DataFrame, order_col: str, part_cols: list[str] | None = None,
                  out: str = "rn", bits: int | None = None, tiebreak: list[str] | None = None) -> DataFrame:
     """Exact ``row_number()`` over (partition by part_cols order by
@@ -55,8 +74,7 @@ def ordered_rank(df: DataFrame, order_col: str, part_cols: list[str] | None = No
     bits = auto_bits(df, order_col) if bits is None else bits
     d = df.withColumn("_blk", _block(order_col, bits))
     stats = d.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.select(*part, "_blk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offs = _block_offsets(stats, part, "_n")
     local = F.row_number().over(Window.partitionBy(*part, "_blk").orderBy(order_col, *ties))
     d = d.withColumn("_loc", local)
     return (d.join(offs, part + ["_blk"])
@@ -71,8 +89,7 @@ def ordered_running_sum(df: DataFrame, value_col: str, order_col: str, part_cols
     bits = auto_bits(df, order_col) if bits is None else bits
     d = df.withColumn("_blk", _block(order_col, bits))
     stats = d.groupBy(*part, "_blk").agg(F.sum(value_col).alias("_s"))
-    w = Window.partitionBy(*part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.select(*part, "_blk", F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_off"))
+    offs = _block_offsets(stats, part, "_s")
     wl = Window.partitionBy(*part, "_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_loc", F.sum(value_col).over(wl))
     return d.join(offs, part + ["_blk"]).withColumn(out, F.col("_off") + F.col("_loc")).drop("_blk", "_loc", "_off")

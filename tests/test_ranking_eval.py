@@ -72,3 +72,15 @@ def test_flagship_partition_invariant(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b and len(a) > 0
+
+
+def test_two_level_offsets(spark, monkeypatch):
+    """Many blocks and a tiny fan-out exercise both offset levels."""
+    from pressforge.plans import ranking
+    monkeypatch.setattr(ranking, "FAN_BITS", 2)
+    df = spark.range(0, 3000).select((F.col("id") * 13 % 3001).alias("k"), (F.col("id") % 2).alias("p"), F.lit(1).alias("v"))
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("p").orderBy("k")))
+    got = ordered_rank(df, "k", ["p"], bits=3)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    rs = ordered_running_sum(df, "v", "k", ["p"], bits=3)
+    assert rs.select("p", "k", F.col("running").alias("rn")).exceptAll(want.select("p", "k", "rn")).count() == 0
