@@ -250,9 +250,12 @@ _SUB_SQL = (f"SELECT id, CASE WHEN {Q.uniform(SEED, 'id', 'badlab')} < 0.02 THEN
           f"UNION ALL SELECT id, 'type_domain' FROM ({_SUB_SQL}) WHERE manipulation_type NOT IN ('origin', 'text_swap', 'text_attribute') "
           f"UNION ALL SELECT id, 'authentic_type' FROM ({_SUB_SQL}) WHERE label = 'authentic' AND manipulation_type <> 'origin' "
           f"UNION ALL SELECT id, 'authentic_tokens' FROM ({_SUB_SQL}) WHERE label = 'authentic' AND len(tokens) > 0 "
-          f"UNION ALL SELECT id, 'token_range' FROM ({_SUB_SQL}) WHERE len(list_filter(tokens, lambda t: t < 0 OR t >= n_tok)) > 0")
+          f"UNION ALL SELECT id, 'token_range' FROM ({_SUB_SQL}) WHERE len(list_filter(tokens, lambda t: t < 0 OR t >= n_tok)) > 0 "
+          f"UNION ALL SELECT id, 'duplicate_id' FROM ({_SUB_SQL}) GROUP BY id HAVING count(*) > 1")
 def q_submission_violations(spark, sf_dir):
-    """One row per (id, violated rule) of a submission with injected errors."""
+    """One row per (id, violated rule) of a submission with injected
+    errors; ids appearing more than once are found by aggregation (missing
+    and unknown ids: ``submission_coverage``)."""
     d = v_eval(spark, sf_dir)
     idc = F.col("id")
     sub = d.select("id", "n_tok",
@@ -270,7 +273,10 @@ def q_submission_violations(spark, sf_dir):
         "token_range": F.exists("tokens", lambda t: (t < 0) | (t >= F.col("n_tok"))),
     }
     arr = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]))
-    return sub.select("id", F.explode(arr).alias("violation"))
+    per_row = sub.select("id", F.explode(arr).alias("violation"))
+    dup = (sub.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+           .select("id", F.lit("duplicate_id").alias("violation")))
+    return per_row.unionByName(dup)
 
 
 @register("plausibility_prompt",
