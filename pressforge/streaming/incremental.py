@@ -63,7 +63,9 @@ def run_accept(spark: SparkSession, src: str, schema, work: str, goals: dict[str
         s = df.sparkSession
         seen = _read_before(s, seen_p, batch_id, "text string")
         accepted = _read_before(s, acc_p, batch_id, rec_schema)
-        fresh = anti_seen(first_wins(df, ["text"], order_col), seen, "text")
+        # used twice below; kept for the batch only (a lost executor's blocks
+        # are recomputed from the batch's own lineage)
+        fresh = anti_seen(first_wins(df, ["text"], order_col), seen, "text").persist()
         fresh.select("text").write.mode("overwrite").parquet(os.path.join(seen_p, f"batch={batch_id}"))
         have = {r["bucket"]: r["n"] for r in accepted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
         left = {b: max(0, g - int(have.get(b, 0))) for b, g in goals.items()}
@@ -76,6 +78,7 @@ def run_accept(spark: SparkSession, src: str, schema, work: str, goals: dict[str
             v = after // snap_every
             (s.createDataFrame([(v, batch_id, after)], "version long, upto_batch long, rows long")
              .coalesce(1).write.mode("overwrite").json(os.path.join(snap_p, f"version={v}")))
+        fresh.unpersist()
 
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(src))
