@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 TWO32 = 4294967296.0
 
 
+def resolve_seed(seed=None) -> int:
+    """A fixed seed as given; ``None`` draws one fresh 32-bit seed once on
+    the driver (then every draw of the run derives from it, so retries and
+    re-executions still agree)."""
+    if seed is not None:
+        return int(seed)
+    import os
+    return int.from_bytes(os.urandom(4), "little")
+
+
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sampling import resolve_seed
 from ..functions.text import ints_to_str
 from ..operators.captions import with_captions
 from ..operators.dedup import first_wins
@@ -18,7 +19,9 @@ GOALS = {"lit": 2000, "inv": 1500, "irr": 1500}
 def caption_records(spark: SparkSession, sf_dir: str, seed=SEED, goals=None,
                     span_mode: str = "exact") -> DataFrame:
     """Flagship: caption jobs -> tags -> captions + spans -> first-wins caption
-    dedup -> per-class quota in arrival order -> sample records."""
+    dedup -> per-class quota in arrival order -> sample records.
+    ``seed=None`` picks a random seed for the run."""
+    seed = resolve_seed(seed)
     jobs = v_job(spark, sf_dir, seed)
     caps = with_captions(jobs, seed, span_mode).select(
         "id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
