@@ -27,10 +27,6 @@ def v_eval(spark, sf_dir, team=None):
     lab = table(spark, sf_dir, "labels")
     doc = table(spark, sf_dir, "documents").select("doc_id", "text")
     j = lab.join(doc, "doc_id").select(F.col("doc_id").alias("id"), "quality", "toxic", "text")
-    if team is not None:
-        j = j.withColumn("team", team)
-    sfx = F.lit("") if team is None else F.col("team").cast("string")
-    rate = F.lit(0.2) if team is None else F.lit(0.1) + F.col("team") * F.lit(0.05)
     gm = F.col("quality") == 0
     d = j.select("*", F.when(gm, F.lit(EV.POS)).otherwise(F.lit(EV.NEG)).alias("gold_label"),
                  F.when(gm, F.when(F.col("toxic") == 1, F.lit("text_swap")).otherwise(F.lit("text_attribute")))
@@ -39,6 +35,11 @@ def v_eval(spark, sf_dir, team=None):
     rng = T.index_range(F.lit(0), F.col("n_tok"))
     d = d.withColumn("gold_tokens", F.when(gm, F.filter(rng, lambda p: uniform(SEED, _tok_key(p), "gold") < GOLD_RATE))
                      .otherwise(T.empty_int_array()))
+    if team is not None:
+        # gold is the same for every team: computed once, then one row per team
+        d = d.withColumn("team", team)
+    sfx = F.lit("") if team is None else F.col("team").cast("string")
+    rate = F.lit(0.2) if team is None else F.lit(0.1) + F.col("team") * F.lit(0.05)
     flip = uniform(SEED, F.col("id"), F.concat(F.lit("flip"), sfx)) < rate
     pred_m = (gm & ~flip) | (~gm & flip)
     u_conf = uniform(SEED, F.col("id"), F.concat(F.lit("conf"), sfx))
