@@ -69,3 +69,23 @@ def test_whitespace_class_equals_python(spark):
     got = {r.cp for r in df.filter(F.col("ch").rlike(f"\\A{WS}\\z")).collect()}
     want = {c for c in cps if not 0xD800 <= c <= 0xDFFF and chr(c).isspace()}
     assert got == want
+
+
+def test_tidy_idempotent_property(spark):
+    """Hypothesis: tidy(tidy(x)) == tidy(x) on text without prepositions
+    (chains of 3+ prepositions are reduced one pair per pass by design)."""
+    from hypothesis import given, settings, strategies as st
+    from pressforge import vocab as V
+    banned = set(V.TIDY_PREPS) | {"the"}
+    word = st.from_regex(r"[a-zA-Z]{1,8}", fullmatch=True).filter(lambda w: w.lower() not in banned)
+    token = st.one_of(word, st.sampled_from([",", ".", ":", "!", "  ", "\t"]))
+    sentence = st.lists(token, min_size=0, max_size=12).map(lambda ts: " ".join(ts))
+
+    @settings(max_examples=3, deadline=None)
+    @given(st.lists(sentence, min_size=30, max_size=60))
+    def check(batch):
+        df = spark.createDataFrame([(s,) for s in batch], "s string")
+        once = df.select(T.headline_tidy(F.col("s")).alias("t"))
+        twice = once.select("t", T.headline_tidy(F.col("t")).alias("t2")).collect()
+        assert all(r.t == r.t2 for r in twice)
+    check()
