@@ -86,19 +86,34 @@ def _first_combo(x: Column, masks: list[int]) -> Column:
     return e
 
 
+def auto_bands(n_distinct: int, k: int) -> int:
+    """Bands for about n distinct hashes: wider keys as n grows, so random
+    hashes meet few candidates per key (~n^2 / 2^(key bits) per combination)."""
+    if n_distinct <= (1 << 16):
+        return k + 1
+    if n_distinct <= (1 << 24):
+        return max(k + 1, 6)
+    return max(k + 1, 7)
+
+
 def near_pairs(a: DataFrame, b: DataFrame | None = None, col: str = "h", k: int = V.PHASH_DISTANCE_MAX,
-               bands: int | None = None) -> DataFrame:
+               bands: int | str | None = "auto") -> DataFrame:
     """distinct hash-value pairs within Hamming distance ``k``.
 
     Self-join when ``b`` is None (pairs with ha < hb); otherwise all (ha, hb)
-    with ha from ``a`` and hb from ``b``. Exact; every pair is emitted once
-    (only from the first band combination it agrees on)."""
-    m = bands or (k + 1)
+    with ha from ``a`` and hb from ``b``. Exact for any band count; every pair
+    is emitted once (only from the first band combination it agrees on).
+    ``bands="auto"`` sizes the keys from the number of distinct hashes (one
+    count read on the driver)."""
+    av = a.select(F.col(col).alias("ha")).where(F.col("ha").isNotNull()).distinct()
+    bv = (b if b is not None else a).select(F.col(col).alias("hb")).where(F.col("hb").isNotNull()).distinct()
+    if bands == "auto":
+        m = auto_bands(av.count(), k)
+    else:
+        m = bands or (k + 1)
     if m < k + 1:
         raise ValueError("need at least k+1 bands for an exact join")
     masks = combo_masks(k, m)
-    av = a.select(F.col(col).alias("ha")).where(F.col("ha").isNotNull()).distinct()
-    bv = (b if b is not None else a).select(F.col(col).alias("hb")).where(F.col("hb").isNotNull()).distinct()
     ka = _keyed(av, "ha", masks, "a")
     kb = _keyed(bv, "hb", masks, "b")
     x = F.col("ha").bitwiseXOR(F.col("hb"))
@@ -111,7 +126,7 @@ def near_pairs(a: DataFrame, b: DataFrame | None = None, col: str = "h", k: int
 
 
 def near_dup_anti(new: DataFrame, stored: DataFrame, col: str = "h", k: int = V.PHASH_DISTANCE_MAX,
-                  bands: int | None = None) -> DataFrame:
+                  bands: int | str | None = "auto") -> DataFrame:
     """rows of ``new`` whose hash is not within ``k`` of any stored hash
     (NULL hashes are unreadable images and pass)."""
     hit = near_pairs(new, stored, col, k, bands).select(F.col("ha").alias("_h")).distinct()
