@@ -103,12 +103,13 @@ def near_pairs(a: DataFrame, b: DataFrame | None = None, col: str = "h", k: int
     Self-join when ``b`` is None (pairs with ha < hb); otherwise all (ha, hb)
     with ha from ``a`` and hb from ``b``. Exact for any band count; every pair
     is emitted once (only from the first band combination it agrees on).
-    ``bands="auto"`` sizes the keys from the number of distinct hashes (one
-    count read on the driver)."""
+    ``bands="auto"`` sizes the keys from the input row count, an upper bound
+    on the distinct hashes (one count read on the driver; the count needs no
+    hash column, so the optimizer drops the hashing from that job)."""
     av = a.select(F.col(col).alias("ha")).where(F.col("ha").isNotNull()).distinct()
     bv = (b if b is not None else a).select(F.col(col).alias("hb")).where(F.col("hb").isNotNull()).distinct()
     if bands == "auto":
-        m = auto_bands(av.count(), k)
+        m = auto_bands(a.count(), k)
     else:
         m = bands or (k + 1)
     if m < k + 1:
