@@ -70,3 +70,14 @@ def test_first_wins(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (5, "b"), (4, "c")], "accept_order long, text string")
     got = sorted((r.text, r.accept_order) for r in D.first_wins(df, ["text"]).collect())
     assert got == [("a", 1), ("b", 2), ("c", 4)]
+
+
+def test_auto_bands_widen_with_size():
+    assert N.auto_bands(1000, 3) == 4
+    assert N.auto_bands(1 << 20, 3) == 6
+    assert N.auto_bands(10 ** 10, 3) == 7
+    # every choice keeps the join exact: at least k+1 bands, combos cover 64 bits
+    for n in (10, 1 << 20, 10 ** 10):
+        m = N.auto_bands(n, 3)
+        masks = N.band_masks(m)
+        assert m >= 4 and sum(bin(x).count("1") for x in masks) == 64 and len(N.combo_masks(3, m)) > 0
