@@ -84,3 +84,16 @@ def test_two_level_offsets(spark, monkeypatch):
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     rs = ordered_running_sum(df, "v", "k", ["p"], bits=3)
     assert rs.select("p", "k", F.col("running").alias("rn")).exceptAll(want.select("p", "k", "rn")).count() == 0
+
+
+def test_bucket_assign_fills_each_remainder(spark):
+    jobs = spark.range(0, 500).select((F.col("id") * 3 + 1).alias("accept_order"), F.col("id").alias("id"))
+    rem = {"lit": 40, "inv": 25, "irr": 0}
+    out = QU.bucket_assign(jobs, rem, 11).collect()
+    per = {}
+    for r in out:
+        per[r.bucket] = per.get(r.bucket, 0) + 1
+    assert per == {"lit": 40, "inv": 25}
+    # the first 65 jobs in arrival order take the 65 slots
+    assert sorted(r.job_rank for r in out) == list(range(1, 66))
+    assert sorted(r.id for r in out) == list(range(65))
