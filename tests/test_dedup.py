@@ -81,3 +81,12 @@ def test_auto_bands_widen_with_size():
         m = N.auto_bands(n, 3)
         masks = N.band_masks(m)
         assert m >= 4 and sum(bin(x).count("1") for x in masks) == 64 and len(N.combo_masks(3, m)) > 0
+
+
+def test_null_hash_conflicts_with_nothing(spark):
+    rows = [(1, 1, None, "a"), (2, 2, None, "b"), (3, 3, 5, "c"), (4, 4, 5, "d"), (5, 5, None, "a")]
+    df = spark.createDataFrame(rows, "id long, accept_order long, h long, text string")
+    edges = N.neighbour_edges(N.near_pairs(df))
+    kept = {r.id for r in D.greedy_keep(df, "accept_order", [("h", edges), ("text", None)]).filter("kept").collect()}
+    # 1, 2 unreadable but distinct captions: kept; 4 repeats hash 5 of kept 3; 5 repeats caption "a" of kept 1
+    assert kept == {1, 2, 3}
