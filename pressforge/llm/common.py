@@ -65,3 +65,19 @@ def text_bytes(batch, name: str = "text") -> list:
 
     col = batch.column(batch.schema.get_field_index(name)).cast(pa.binary())
     return [b"" if x is None else x for x in col.to_pylist()]
+
+
+WS = r"[\x20\x09-\x0D]"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def lower_ascii(text: Column) -> Column:
+    """Lower-case A-Z only; a text of ASCII alone takes the fast way."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def row_key(docs: DataFrame) -> DataFrame:
+    """Adds k1, k2: a 128-bit key of (doc_id, text), so that null ids and repeated ids join
+    only with themselves."""
+    return docs.withColumns({"k1": F.xxhash64(F.col("doc_id"), F.col("text")),
+                             "k2": F.xxhash64(F.lit("key"), F.col("text"), F.col("doc_id"), F.col("text").isNull())})

@@ -2,10 +2,9 @@
 
 Features of a text are its distinct words, word pairs and pairs with one word
 left out, hashed into 2^BITS places. Training rows are a bounded sample of the
-labelled ones (``sample`` per label), dealt into ``shards`` groups; each group
-runs FTRL-proximal (a learning rate per coordinate, L1 sparsity) for some epochs,
-and the groups' weights are averaged. Only non-zero weights remain (at most
-2^BITS), so they can be broadcast.
+labelled ones (about ``sample`` per label), small enough for one task, which runs
+FTRL-proximal (a learning rate per coordinate, L1 sparsity) for some epochs. Only
+non-zero weights remain (at most 2^BITS), so they can be broadcast.
 
 Edge cases: a null or empty text has no feature and gets the bias alone. With no
 label of one kind nothing is learned: every score is the share of label 1, or 0
@@ -42,8 +41,8 @@ def features(text: bytes, words: WordHashes) -> np.ndarray:
     return np.unique(np.concatenate(list(feature_slices(text, words))))
 
 
-def ftrl(rows: list[np.ndarray], y: np.ndarray, epochs: int = 3, alpha: float = 0.3, beta: float = 1.0,
-         l1: float = 2.0, l2: float = 1.0):
+def ftrl(rows: list[np.ndarray], y: np.ndarray, epochs: int = 8, alpha: float = 2.0, beta: float = 1.0,
+         l1: float = 8.0, l2: float = 0.1):
     """Weights and bias. Place 2^BITS is the bias, without L1."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     bias = np.array([1 << BITS])
@@ -68,7 +67,7 @@ def ftrl(rows: list[np.ndarray], y: np.ndarray, epochs: int = 3, alpha: float =
     return every, weight(every)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, shards: int = 4) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> dict:
     """Weights from a sample of about ``sample`` documents of each label."""
     spark = docs.sparkSession
     marks = (labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold("doc_id", 5) != 0))
@@ -86,9 +85,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, shards: int = 4)
         words = WordHashes()
         for b in batches:
             f = [features(t, words) for t in text_bytes(b)]
-            shard = [int(x.sum() % shards) for x in f]
-            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), b.column(1).cast(pa.int32()), pa.array([x.tolist() for x in f], pa.list_(pa.int32()))],
-                                             names=["shard", "y", "f"])
+            yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.int32()), pa.array([x.tolist() for x in f], pa.list_(pa.int32()))], names=["y", "f"])
 
     def train(pdf):
         import pandas as pd
@@ -97,8 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, shards: int = 4)
         i, w = ftrl([np.asarray(f, dtype=np.int64) for f in pdf["f"]], pdf["y"].to_numpy(dtype=float))
         return pd.DataFrame({"i": i, "w": w})
 
-    got = (rows.mapInArrow(featurise, "shard int, y int, f array<int>").groupBy("shard").applyInPandas(train, "i long, w double")
-           .groupBy("i").agg((F.sum("w") / F.lit(float(shards))).alias("w")).orderBy("i").collect())
+    got = rows.mapInArrow(featurise, "y int, f array<int>").groupBy().applyInPandas(train, "i long, w double").collect()
     i, w = np.array([r.i for r in got], dtype=np.int64), np.array([r.w for r in got])
     return {"i": i[i < 1 << BITS], "w": w[i < 1 << BITS], "bias": float(w[i == 1 << BITS].sum())}
 
