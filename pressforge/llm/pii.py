@@ -78,11 +78,13 @@ def base_spans(text: Column) -> Column:
         (CARD, text.rlike("[0-9](?:[\\x20-]?[0-9]){13}"), lambda m: let(digits(m), lambda d: F.length(d).between(14, 19) & luhn(d))),
         (PHONE, text.contains("+"), lambda m: F.length(digits(m)).between(10, 15)),
     ]
+    def of_kind(found: Column, k: int, good) -> Column:
+        return F.transform(F.filter(found, lambda s: good(s["m"])), lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
+
     none = F.expr("cast(array() as array<struct<start: int, kind: int, end: int>>)")
     kinds = []
     for k, (regex, gate, good) in enumerate(rules):
-        found = F.filter(F.when(gate, matches(text, regex)), lambda s, good=good: good(s["m"]))
-        kinds.append(F.coalesce(F.transform(found, lambda s, k=k: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end"))), none))
+        kinds.append(F.coalesce(of_kind(F.when(gate, matches(text, regex)), k, good), none))
     return F.sort_array(F.concat(*kinds))
 
 
@@ -147,7 +149,10 @@ def written(found: Column) -> Column:
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, the number of base spans of each kind, base_sha256, spans."""
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    def count(k: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+
+    counts = [count(k) for k in range(4)]
     return spans(docs).select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("all")).alias("spans"))
 
 
