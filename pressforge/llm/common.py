@@ -81,3 +81,35 @@ def row_key(docs: DataFrame) -> DataFrame:
     only with themselves."""
     return docs.withColumns({"k1": F.xxhash64(F.col("doc_id"), F.col("text")),
                              "k2": F.xxhash64(F.lit("key"), F.col("text"), F.col("doc_id"), F.col("text").isNull())})
+
+
+FILTER_BITS = 24
+
+
+def id_filter(ids: DataFrame, column: str):
+    """A broadcast bitmap of 2^FILTER_BITS places (2 MB, whatever the number of ids): may an id be
+    among ``ids``? It only saves moving rows that a later join would drop."""
+    import numpy as np
+
+    place = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS)) + 1
+    rows = (ids.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())  # 512 rows of 4 kB at most
+    bits = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    for r in rows:
+        part = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+        bits[(r.k - 1) * 4096:(r.k - 1) * 4096 + len(part)] = part
+    return ids.sparkSession.sparkContext.broadcast(bits)
+
+
+def maybe_in(docs: DataFrame, column: str, bits) -> DataFrame:
+    """The rows of docs whose ``column`` may be in the filter."""
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            p = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+            on = (bits.value[p >> 3] >> (p & 7)) & 1
+            yield b.drop_columns(["p__"]).filter(pa.array(on.astype(bool)))
+
+    place = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+    return docs.withColumn("p__", place).mapInArrow(run, docs.schema)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, packing, pii, quality, toxicity
+from . import decontam, langid, ngram_join, packing, pii, quality, substring, toxicity
 from .common import table
 
 QUERIES = {
+    "op1_substring_dedup": lambda s, d: substring.dedup(table(s, d, "documents")),
     "op2_quality_rules": lambda s, d: quality.clean(table(s, d, "documents")).drop("clean_text"),
     "op3_best_fit_packing": lambda s, d: packing.pack(table(s, d, "documents")),
     "op4_pii": lambda s, d: pii.report(table(s, d, "documents")),
     "op5_toxicity": lambda s, d: toxicity.classify(table(s, d, "documents"), table(s, d, "labels")),
     "op7_language_id": lambda s, d: langid.identify(table(s, d, "documents")),
     "op9_decontamination": lambda s, d: decontam.report(table(s, d, "documents"), table(s, d, "benchmark")),
+    "op10_ngram_jaccard": lambda s, d: ngram_join.join(table(s, d, "documents")),
 }
 ORACLE: dict[str, str] = {}
