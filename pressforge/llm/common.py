@@ -101,15 +101,15 @@ def id_filter(ids: DataFrame, column: str):
     return ids.sparkSession.sparkContext.broadcast(bits)
 
 
-def maybe_in(docs: DataFrame, column: str, bits) -> DataFrame:
-    """The rows of docs whose ``column`` may be in the filter."""
+def maybe_in(docs: DataFrame, column: str, bits, inside: bool = True) -> DataFrame:
+    """The rows of docs whose ``column`` may be in the filter (or, if not ``inside``, surely isn't)."""
     import pyarrow as pa
 
     def run(batches):
         for b in batches:
             p = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
             on = (bits.value[p >> 3] >> (p & 7)) & 1
-            yield b.drop_columns(["p__"]).filter(pa.array(on.astype(bool)))
+            yield b.drop_columns(["p__"]).filter(pa.array((on == 1) == inside))
 
     place = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
     return docs.withColumn("p__", place).mapInArrow(run, docs.schema)
