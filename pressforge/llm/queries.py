@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, ngram_join, packing, pii, quality, substring, suffix, toxicity
+from . import decontam, langid, lm, ngram_join, packing, pii, quality, substring, suffix, toxicity
 from .common import table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_best_fit_packing": lambda s, d: packing.pack(table(s, d, "documents")),
     "op4_pii": lambda s, d: pii.report(table(s, d, "documents")),
     "op5_toxicity": lambda s, d: toxicity.classify(table(s, d, "documents"), table(s, d, "labels")),
+    "op6_lm_scoring": lambda s, d: lm.evaluate(table(s, d, "documents")),
     "op7_language_id": lambda s, d: langid.identify(table(s, d, "documents")),
     "op8_suffix_dedup": lambda s, d: suffix.dedup(table(s, d, "documents")).drop("kept"),
     "op9_decontamination": lambda s, d: decontam.report(table(s, d, "documents"), table(s, d, "benchmark")),
