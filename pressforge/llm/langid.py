@@ -20,13 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fold
 
 DIM = 4096
 SLICE = 1 << 20  # characters counted at a time
 MAX_LANGS = 1000
-RESULT = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
 
 
 def letter_table():
@@ -130,12 +130,11 @@ def fit(train: DataFrame, sample: int = 1500, clusters: int = 4, rounds: int = 8
             "of": np.repeat(np.arange(len(c)), [len(x) for x in c]), "low": np.array([r.low for r in rows])}
 
 
-def predict(docs: DataFrame, model: dict | None, columns: list[str]) -> DataFrame:
-    """``columns`` of docs, then lang_pred, score (cosine) and rejected."""
-    keep = [docs.schema[c] for c in columns]
+def predict(docs: DataFrame, model: dict | None) -> DataFrame:
+    """docs' columns but the last, which is the text, then lang_pred, score (cosine) and rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + ", lang_pred string, score double, rejected boolean"
-    own_text = "text" in columns
+    schema = T.StructType([*docs.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("rejected", T.BooleanType())])
 
     def run(batches):
         letters, m = letter_table(), shared.value
@@ -144,21 +143,19 @@ def predict(docs: DataFrame, model: dict | None, columns: list[str]) -> DataFram
             for text in b.column(b.num_columns - 1).to_pylist():
                 counts = gram_counts(text, letters) if text else None
                 if counts is None or not counts.any():
-                    lang, score, rejected = [*lang, "und"], [*score, 0.0], [*rejected, True]
+                    one = ("und", 0.0, True)
                 elif m is None:
-                    lang, score, rejected = [*lang, "und"], [*score, 0.0], [*rejected, False]
+                    one = ("und", 0.0, False)
                 else:
                     cos = m["c"] @ weigh(counts, m["idf"])
                     j = int(np.argmax(cos))
-                    lang.append(m["langs"][m["of"][j]])
-                    score.append(float(min(1.0, max(0.0, cos[j]))))
-                    rejected.append(bool(cos[j] < m["low"][m["of"][j], band(counts)]))
-            own = [b.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
-                                             names=[*columns, "lang_pred", "score", "rejected"])
+                    one = (m["langs"][m["of"][j]], float(min(1.0, max(0.0, cos[j]))), bool(cos[j] < m["low"][m["of"][j], band(counts)]))
+                for col, v in zip((lang, score, rejected), one):
+                    col.append(v)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
+                                             names=schema.names)
 
-    cols = [F.col(c) for c in columns] + [F.col("text").alias("text__scored" if own_text else "text")]
-    return docs.select(*cols).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -169,12 +166,10 @@ def identify(docs: DataFrame, sample: int = 1500, clusters: int = 4) -> DataFram
     """doc_id, held_out, lang_pred, score, rejected for every row of docs."""
     docs = docs.select("doc_id", "text", "lang")
     model = fit(training_rows(docs), sample, clusters)
-    rows = docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "text")
-    return predict(rows, model, ["doc_id", "held_out"])
+    return predict(docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "text"), model)
 
 
 def keep_known(docs: DataFrame, sample: int = 1500, clusters: int = 4) -> DataFrame:
     """The rows of docs that are not rejected, with their own columns."""
-    columns = docs.columns
     model = fit(training_rows(docs), sample, clusters)
-    return predict(docs, model, columns).filter(~F.col("rejected")).select(*columns)
+    return predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), model).filter(~F.col("rejected")).select("row.*")

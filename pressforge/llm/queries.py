@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import decontam, langid, lm, ngram_join, packing, pii, quality, substring, suffix, toxicity
 from .common import table
 
@@ -16,5 +18,6 @@ QUERIES = {
     "op8_suffix_dedup": lambda s, d: suffix.dedup(table(s, d, "documents")).drop("kept"),
     "op9_decontamination": lambda s, d: decontam.report(table(s, d, "documents"), table(s, d, "benchmark")),
     "op10_ngram_jaccard": lambda s, d: ngram_join.join(table(s, d, "documents")),
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {}
