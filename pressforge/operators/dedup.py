@@ -71,41 +71,50 @@ def greedy_keep(nodes: DataFrame, order_col: str, groups: list[tuple[str, DataFr
             c = c & F.col(f"_e{gi}").isNull()
         c = c | F.col(gcol).isNull()  # a NULL value (unreadable) conflicts with nothing
         alone = c if alone is None else (alone & c)
+    # edges are read every round: computed once, and only those between rows that iterate
     flags = cut_lineage(flags.withColumn("_alone", alone).select(*cols, "_alone"))
     free = flags.filter(F.col("_alone")).select(*cols).withColumn("kept", F.lit(True))
     nodes = flags.filter(~F.col("_alone")).select(*cols)
+    groups = [(g, None if e is None else _between(e, nodes.select(F.col(g).alias("v")).distinct())) for g, e in groups]
     return free.unionByName(_greedy_rounds(nodes, order_col, groups, max_rounds))
 
 
+def _between(edges: DataFrame, values: DataFrame) -> DataFrame:
+    e = edges.join(values, edges.a == values.v, "left_semi")
+    return cut_lineage(e.join(values, e.b == values.v, "left_semi").select("a", "b"))
+
+
 def _greedy_rounds(nodes: DataFrame, order_col: str, groups, max_rounds: int) -> DataFrame:
-    state = nodes.withColumn("_st", F.lit(0))  # 0 undecided, 1 kept, 2 dropped
-    state = cut_lineage(state)
     big = F.lit(2 ** 62).cast("bigint")
+    und, done = cut_lineage(nodes), []
+    # what is kept so far, as the smallest kept arrival of each value: decided rows are not rewritten
+    kept = [None] * len(groups)
     for _ in range(max_rounds):
-        n_und = state.filter(F.col("_st") == 0).count()
-        if n_und == 0:
+        if not und.limit(1).count():
             break
-        cols = []
+        rated = und
         for gi, (gcol, edges) in enumerate(groups):
-            per_val = state.filter(F.col("_st") != 2).groupBy(gcol).agg(
-                F.min(F.when(F.col("_st") == 1, F.col(order_col))).alias("_k"),
-                F.min(F.when(F.col("_st") == 0, F.col(order_col))).alias("_u"))
+            seen = und.groupBy(gcol).agg(F.min(order_col).alias("_u")).withColumn("_k", F.lit(None).cast("bigint"))
+            if kept[gi] is not None:
+                seen = seen.unionByName(kept[gi].withColumn("_u", F.lit(None).cast("bigint")))
             if edges is not None:
-                nb = (edges.join(per_val.withColumnRenamed(gcol, "b"), "b")
-                      .groupBy("a").agg(F.min("_k").alias("_k"), F.min("_u").alias("_u"))
-                      .withColumnRenamed("a", gcol))
-                per_val = per_val.unionByName(nb).groupBy(gcol).agg(F.min("_k").alias("_k"), F.min("_u").alias("_u"))
-            per_val = per_val.select(gcol, F.col("_k").alias(f"_k{gi}"), F.col("_u").alias(f"_u{gi}"))
-            cols.append(per_val)
-        und = state.filter(F.col("_st") == 0)
-        for gi, ((gcol, _), pv) in enumerate(zip(groups, cols)):
-            und = und.join(pv, gcol, "left")
+                near = edges.join(seen.withColumnRenamed(gcol, "b"), "b").select(F.col("a").alias(gcol), "_u", "_k")
+                seen = seen.unionByName(near)
+            seen = seen.groupBy(gcol).agg(F.min("_k").alias(f"_k{gi}"), F.min("_u").alias(f"_u{gi}"))
+            rated = rated.join(seen, gcol, "left")
         kmin = _least([F.coalesce(F.col(f"_k{gi}"), big) for gi in range(len(groups))])
         umin = _least([F.coalesce(F.col(f"_u{gi}"), big) for gi in range(len(groups))])
         o = F.col(order_col)
         verdict = F.when(kmin < o, F.lit(2)).when(umin < o, F.lit(0)).otherwise(F.lit(1))
-        und = und.withColumn("_st", verdict).select(*state.columns)
-        state = cut_lineage(state.filter(F.col("_st") != 0).unionByName(und))
+        rated = cut_lineage(rated.withColumn("_st", verdict).select(*nodes.columns, "_st"))
+        done.append(rated.filter("_st != 0"))
+        und = rated.filter("_st = 0").drop("_st")
+        for gi, (gcol, _) in enumerate(groups):
+            new = rated.filter("_st = 1").groupBy(gcol).agg(F.min(order_col).alias("_k"))
+            kept[gi] = cut_lineage(new if kept[gi] is None else kept[gi].unionByName(new).groupBy(gcol).agg(F.min("_k").alias("_k")))
     else:
         raise RuntimeError("greedy_keep did not converge")
-    return state.withColumn("kept", F.col("_st") == 1).drop("_st")
+    out = nodes.limit(0).withColumn("_st", F.lit(0))
+    for part in done:
+        out = out.unionByName(part)
+    return out.withColumn("kept", F.col("_st") == 1).drop("_st")

@@ -50,19 +50,23 @@ def f1_binary(df: DataFrame, gold: str = "gold_label", pred: str = "pred_label")
                     _f1(tp, fp, fn).alias("f1_binary"))
 
 
+SCORE_BITS = 37  # blocks of 2^-16 of the score range
+
+
 def score_key(score: Column) -> Column:
-    """Integer sort key for a score in [0, 1] (exact for multiples of 2^-53)."""
+    """Integer image of a score in [0, 1] that never reverses two scores (closer ones may share it)."""
     return (score * F.lit(float(2 ** 53))).cast("bigint")
 
 
 def roc_auc(df: DataFrame, gold: str = "gold_label", score: str = "confidence") -> DataFrame:
     """Mann-Whitney AUC with tie-averaged ranks.
 
-    Rows are folded into (score, positives, negatives) groups; negatives
-    below each score come from an exact block-split running sum."""
-    g = df.groupBy(score_key(F.col(score)).alias("_key")).agg(
+    Rows are folded into (score, positives, negatives) groups by the score itself;
+    negatives below each score come from an exact block-split running sum."""
+    g = df.groupBy(F.col(score).alias("_score")).agg(
         F.sum((F.col(gold) == POS).cast("bigint")).alias("p"), F.sum((F.col(gold) != POS).cast("bigint")).alias("n"))
-    c = ordered_running_sum(g, "n", "_key", None, out="_ncum")
+    g = g.withColumn("_key", score_key(F.col("_score")))
+    c = ordered_running_sum(g, "n", "_key", None, out="_ncum", bits=SCORE_BITS, tiebreak=["_score"])
     c = c.withColumn("_nb", F.col("_ncum") - F.col("n"))
     return c.agg((F.sum(F.col("p") * (F.col("_nb") + F.lit(0.5) * F.col("n"))) /
                   (F.sum("p") * F.sum("n"))).alias("auc"))

@@ -211,9 +211,27 @@ def scrub_plan(words: DataFrame, protected: DataFrame, scale: int = V.OCR_SCALE,
     any protected box (same image) exceeds ``max_iou``, then clamped and
     dropped if degenerate. ``protected``: (key, bx1, by1, bx2, by2), a handful
     per image (faces after the count gate), so the join fans out by at most
-    that handful per word."""
+    that handful per word. ``words`` names each word by ``word`` (unique)."""
+    d, hits = _words_and_hits(words, protected, scale, pad, max_iou, key)
+    keep = d.join(hits, "word", "left_anti")
+    out = keep.select(key, "ix", "text",
+                      F.greatest(F.lit(0), F.col("wx1")).alias("rx1"), F.greatest(F.lit(0), F.col("wy1")).alias("ry1"),
+                      F.least(F.lit(w), F.col("wx2")).alias("rx2"), F.least(F.lit(h), F.col("wy2")).alias("ry2"))
+    return out.filter((F.col("rx2") > F.col("rx1")) & (F.col("ry2") > F.col("ry1")))
+
+
+def still_readable(images: DataFrame, words: DataFrame, protected: DataFrame, scale: int = V.OCR_SCALE, pad: int = 2,
+                   max_iou: float = V.PROTECT_IOU, key: str = "img") -> DataFrame:
+    """Per image: does a readable word stay after scrubbing, because it lies on a protected box?"""
+    _, hits = _words_and_hits(words, protected, scale, pad, max_iou, key)
+    left = hits.select(key).distinct().withColumn("_left", F.lit(True))
+    return images.select(key).join(left, key, "left").select(key, F.coalesce("_left", F.lit(False)).alias("still_readable"))
+
+
+def _words_and_hits(words, protected, scale, pad, max_iou, key):
+    """Readable words in crop coordinates, and those on a protected box."""
     r = readable_words(words)
-    d = r.select(key, "ix", "text",
+    d = r.select("word", key, "ix", "text",
                  (F.floor(F.col("left") / scale) - pad).cast("bigint").alias("wx1"),
                  (F.floor(F.col("top") / scale) - pad).cast("bigint").alias("wy1"),
                  (F.floor(F.col("left") / scale) + F.floor(F.col("width") / scale) + pad).cast("bigint").alias("wx2"),
@@ -222,9 +240,5 @@ def scrub_plan(words: DataFrame, protected: DataFrame, scale: int = V.OCR_SCALE,
     hits = (d.join(p, key)
             .filter(iou([F.col("wx1"), F.col("wy1"), F.col("wx2"), F.col("wy2")],
                         [F.col("bx1"), F.col("by1"), F.col("bx2"), F.col("by2")]) > F.lit(max_iou))
-            .select(key, "ix").distinct())
-    keep = d.join(hits, [key, "ix"], "left_anti")
-    out = keep.select(key, "ix", "text",
-                      F.greatest(F.lit(0), F.col("wx1")).alias("rx1"), F.greatest(F.lit(0), F.col("wy1")).alias("ry1"),
-                      F.least(F.lit(w), F.col("wx2")).alias("rx2"), F.least(F.lit(h), F.col("wy2")).alias("ry2"))
-    return out.filter((F.col("rx2") > F.col("rx1")) & (F.col("ry2") > F.col("ry1")))
+            .select("word", key).distinct())
+    return d, hits

@@ -4,7 +4,7 @@ Hamming distance <= k is found with a banded equi-join that is exact by the
 pigeonhole principle: split the 64 bits into m >= k+1 bands; two hashes
 within distance k agree on at least m-k bands, so they share the key
 (combo, hash & mask(combo)) for some combination of m-k bands. Each distinct
-hash is replicated C(m, k) times (4 for the default m = 4, k = 3); larger m
+hash is replicated C(m, k) times (20 for the default m = 6, k = 3); larger m
 gives finer keys (fewer candidates per key) at a higher replication.
 
 Work is done on *distinct* hash values: a value copied by a third of all rows
@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 
 
+BANDS = 6  # 20 keys of about 32 bits for distance 3; 7 (35 keys of about 37) suits the largest sets
+
+
 def _signed(x: int) -> int:
     x &= (1 << 64) - 1
     return x - (1 << 64) if x >= (1 << 63) else x
@@ -86,32 +89,16 @@ def _first_combo(x: Column, masks: list[int]) -> Column:
     return e
 
 
-def auto_bands(n_distinct: int, k: int) -> int:
-    """Bands for about n distinct hashes: wider keys as n grows, so random
-    hashes meet few candidates per key (~n^2 / 2^(key bits) per combination)."""
-    if n_distinct <= (1 << 16):
-        return k + 1
-    if n_distinct <= (1 << 24):
-        return max(k + 1, 6)
-    return max(k + 1, 7)
-
-
 def near_pairs(a: DataFrame, b: DataFrame | None = None, col: str = "h", k: int = V.PHASH_DISTANCE_MAX,
-               bands: int | str | None = "auto") -> DataFrame:
+               bands: int = BANDS) -> DataFrame:
     """distinct hash-value pairs within Hamming distance ``k``.
 
     Self-join when ``b`` is None (pairs with ha < hb); otherwise all (ha, hb)
     with ha from ``a`` and hb from ``b``. Exact for any band count; every pair
-    is emitted once (only from the first band combination it agrees on).
-    ``bands="auto"`` sizes the keys from the input row count, an upper bound
-    on the distinct hashes (one count read on the driver; the count needs no
-    hash column, so the optimizer drops the hashing from that job)."""
+    is emitted once (only from the first band combination it agrees on)."""
     av = a.select(F.col(col).alias("ha")).where(F.col("ha").isNotNull()).distinct()
     bv = (b if b is not None else a).select(F.col(col).alias("hb")).where(F.col("hb").isNotNull()).distinct()
-    if bands == "auto":
-        m = auto_bands(a.count(), k)
-    else:
-        m = bands or (k + 1)
+    m = bands
     if m < k + 1:
         raise ValueError("need at least k+1 bands for an exact join")
     masks = combo_masks(k, m)
@@ -127,7 +114,7 @@ def near_pairs(a: DataFrame, b: DataFrame | None = None, col: str = "h", k: int
 
 
 def near_dup_anti(new: DataFrame, stored: DataFrame, col: str = "h", k: int = V.PHASH_DISTANCE_MAX,
-                  bands: int | str | None = "auto") -> DataFrame:
+                  bands: int = BANDS) -> DataFrame:
     """rows of ``new`` whose hash is not within ``k`` of any stored hash
     (NULL hashes are unreadable images and pass)."""
     hit = near_pairs(new, stored, col, k, bands).select(F.col("ha").alias("_h")).distinct()

@@ -92,5 +92,5 @@ def captions_sql(src: str, seed=SEED, span_mode: str = "exact") -> str:
 
 def image_path_sql(bucket: str, idc: str, seed=SEED) -> str:
     dirs = " ".join(f"WHEN {Q.q(k)} THEN {Q.q(v)}" for k, v in V.BUCKET_DIR.items())
-    name = f"substr(md5(concat_ws('|', {Q.q(seed)}, cast({idc} as varchar), 'img')), 1, 10)"
+    name = f"md5(concat_ws('|', {Q.q(seed)}, cast({idc} as varchar), 'img'))"
     return f"((CASE {bucket} {dirs} END) || '/' || {name} || '.jpg')"

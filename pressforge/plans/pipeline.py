@@ -13,21 +13,37 @@ from ..operators.quota import quota_fill
 from ..sources.sinks import image_path, make_records
 from .views import SEED, v_job
 
-GOALS = {"lit": 2000, "inv": 1500, "irr": 1500}
+GOAL_SHARE = {"lit": 0.5, "inv": 0.4, "irr": 0.4}  # of a class's jobs: quotas grow with the input
+
+
+def goals_of(jobs: DataFrame) -> dict[str, int]:
+    """Quota per class, a share of its jobs (one number per class is read)."""
+    n = {r.bucket: r.n for r in jobs.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+    return {b: int(n.get(b, 0) * s) for b, s in GOAL_SHARE.items()}
 
 
 def caption_records(spark: SparkSession, sf_dir: str, seed=SEED, goals=None,
                     span_mode: str = "exact") -> DataFrame:
     """Flagship: caption jobs -> tags -> captions + spans -> first-wins caption
     dedup -> per-class quota in arrival order -> sample records.
-    ``seed=None`` picks a random seed for the run."""
+    ``goals=None`` takes GOAL_SHARE of each class's jobs; ``seed=None`` picks a random seed for the run."""
     seed = resolve_seed(seed)
     jobs = v_job(spark, sf_dir, seed)
+    caps = _captions(jobs, seed, span_mode)
+    filled = quota_fill(caps, goals or goals_of(jobs))
+    return make_records(filled.withColumn("image", image_path(F.col("bucket"), F.col("id"), seed)))
+
+
+def all_records(spark: SparkSession, sf_dir: str, seed=SEED) -> DataFrame:
+    """The records of every distinct caption, without a quota."""
+    caps = _captions(v_job(spark, sf_dir, seed), seed)
+    return make_records(caps.withColumn("image", image_path(F.col("bucket"), F.col("id"), seed)))
+
+
+def _captions(jobs: DataFrame, seed, span_mode: str = "exact") -> DataFrame:
     caps = with_captions(jobs, seed, span_mode).select(
         "id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
-    caps = first_wins(caps, ["text"])
-    filled = quota_fill(caps, goals or GOALS)
-    return make_records(filled.withColumn("image", image_path(F.col("bucket"), F.col("id"), seed)))
+    return first_wins(caps, ["text"])
 
 
 def records_as_text(df: DataFrame) -> DataFrame:

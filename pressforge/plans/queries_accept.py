@@ -16,7 +16,8 @@ from ..operators.quota import quota_fill
 from ..sources.sinks import image_path, make_records
 from . import oracle as O
 from . import sqlgen as Q
-from .pipeline import GOALS, records_as_text
+from .pipeline import goals_of, records_as_text
+from .queries_core import GOAL_SQL
 from .queries_geo import _QUALITY_SQL, GATED_SQL, center_rect_sql, remap_sql, union_rect_sql, _SHOT_EX, _IS_UNION
 from .registry import register
 from .views import SEED, v_face, v_images, v_job
@@ -30,7 +31,7 @@ def accept_batch(spark, sf_dir, seed=SEED, goals=None):
     job = v_job(spark, sf_dir, seed)
     jobs = job.join(good, "id", "left_semi")
     caps = with_captions(jobs, seed).select("id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
-    kept = quota_fill(first_wins(caps, ["text"]), goals or GOALS)
+    kept = quota_fill(first_wins(caps, ["text"]), goals or goals_of(job))
     # crop every gated image (cheap per-image geometry) so the kept records,
     # which carry the whole caption / dedup / quota plan, are consumed once
     boxes = G.shot_crop(gated, job.select(F.col("id").alias("img"), "shot"))
@@ -44,9 +45,8 @@ def accept_batch(spark, sf_dir, seed=SEED, goals=None):
 _GOOD = (f"SELECT img FROM ({GATED_SQL}) QUALIFY row_number() OVER (PARTITION BY img ORDER BY prob DESC, ix, ix2, ix3) = 1 "
          f"AND coalesce({_QUALITY_SQL}, false)")
 _JOBS = f"SELECT * FROM ({O.v_job_sql()}) WHERE id IN ({_GOOD})"
-_GOAL_CASE = "CASE bucket " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in GOALS.items()) + " END"
-_KEPT = (f"SELECT * FROM (SELECT * FROM ({O.captions_sql(_JOBS)}) QUALIFY row_number() OVER (PARTITION BY text ORDER BY accept_order) = 1) "
-         f"QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY accept_order) <= {_GOAL_CASE}")
+_KEPT = (f"SELECT * EXCLUDE (gb, goal) FROM (SELECT * FROM ({O.captions_sql(_JOBS)}) QUALIFY row_number() OVER (PARTITION BY text ORDER BY accept_order) = 1) "
+         f"JOIN ({GOAL_SQL}) ON bucket = gb QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY accept_order) <= goal")
 _FACES = f"SELECT * FROM ({GATED_SQL}) WHERE img IN (SELECT id FROM ({_KEPT}))"
 _RECT = (f"SELECT img, " + ", ".join(f"CASE WHEN {_IS_UNION} THEN u{c} ELSE c{c} END AS {c}" for c in ("cx1", "cy1", "cx2", "cy2"))
          + f" FROM (SELECT g.img, k.shot, {union_rect_sql(_SHOT_EX, pre='u')}, {center_rect_sql(pre='c')} "

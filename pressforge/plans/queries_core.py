@@ -9,22 +9,24 @@ from ..functions import text as T
 from ..operators import captions as CAP
 from . import oracle as O
 from . import sqlgen as Q
-from .pipeline import GOALS, caption_records, records_as_text
+from .pipeline import GOAL_SHARE, caption_records, records_as_text
 from .registry import register
 from .views import SEED, table, v_cap, v_job
 
 JOB = O.v_job_sql()
 CAPS = O.captions_sql(f"SELECT * FROM ({JOB})")
-GOAL_CASE = "CASE bucket " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in GOALS.items()) + " END"
+GOAL_SQL = (f"SELECT bucket AS gb, cast(floor(count(*) * CASE bucket " + " ".join(f"WHEN '{k}' THEN cast({v} AS DOUBLE)" for k, v in GOAL_SHARE.items())
+            + f" END) AS BIGINT) AS goal FROM ({JOB}) GROUP BY bucket")
 
-FLAGSHIP_SQL = f"""
+_HEAD = f"""
 WITH cap AS ({CAPS}),
 d AS (SELECT * FROM cap QUALIFY row_number() OVER (PARTITION BY text ORDER BY accept_order) = 1),
-f AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY accept_order) <= {GOAL_CASE})
-SELECT id, {O.image_path_sql('bucket', 'id')} AS image, text, fake_cls, '' AS fake_image_box,
-       {Q.ints_to_str('fake_text_pos')} AS fake_text_pos, '' AS mtcnn_boxes
-FROM f
+f AS (SELECT d.* FROM d JOIN ({GOAL_SQL}) ON bucket = gb QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY accept_order) <= goal)
 """
+_RECORD = f"""SELECT id, {O.image_path_sql('bucket', 'id')} AS image, text, fake_cls, '' AS fake_image_box,
+       {Q.ints_to_str('fake_text_pos')} AS fake_text_pos, '' AS mtcnn_boxes"""
+FLAGSHIP_SQL = f"{_HEAD}{_RECORD} FROM f"
+ALL_RECORDS_SQL = f"{_HEAD}{_RECORD} FROM d"
 
 
 @register("caption_records", FLAGSHIP_SQL)

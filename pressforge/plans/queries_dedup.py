@@ -87,17 +87,33 @@ def q_near_dup_anti(spark, sf_dir):
     return N.near_dup_anti(d.filter("c > 0"), d.filter("c = 0")).select("id", "h")
 
 
-@register("near_dup_greedy")
+def greedy_sql(columns: str, conflict: str, rounds: int) -> str:
+    """First-wins selection in rounds: a row without an earlier undecided or kept conflict is kept, one with an
+    earlier kept conflict is dropped. A row left undecided after the last round fails the query."""
+    ctes = [f"d AS MATERIALIZED ({V_HASH_DUP_SQL})",
+            f"x AS MATERIALIZED (SELECT a.id AS early, b.id AS late FROM d a JOIN d b ON a.id < b.id AND ({conflict}))",
+            "u0 AS MATERIALIZED (SELECT id FROM d)", "k0 AS MATERIALIZED (SELECT id FROM d WHERE false)"]
+    for r in range(1, rounds + 1):
+        ctes += [f"n{r} AS MATERIALIZED (SELECT id FROM u{r - 1} WHERE id NOT IN (SELECT late FROM x WHERE early IN (SELECT id FROM u{r - 1}) OR early IN (SELECT id FROM k{r - 1})))",
+                 f"k{r} AS MATERIALIZED (SELECT id FROM k{r - 1} UNION ALL SELECT id FROM n{r})",
+                 f"u{r} AS MATERIALIZED (SELECT id FROM u{r - 1} WHERE id NOT IN (SELECT id FROM n{r}) AND id NOT IN (SELECT late FROM x WHERE early IN (SELECT id FROM n{r})))"]
+    return (f"WITH {', '.join(ctes)} SELECT {columns} FROM d WHERE id IN (SELECT id FROM k{rounds}) "
+            f"AND CASE WHEN (SELECT count(*) FROM u{rounds}) > 0 THEN error('undecided rows') ELSE true END")
+
+
+_NEAR = f"bit_count(xor(a.h, b.h)) <= {V.PHASH_DISTANCE_MAX}"
+
+
+@register("near_dup_greedy", greedy_sql("id, h", _NEAR, 8))
 def q_near_dup_greedy(spark, sf_dir):
-    """H2: greedy first-wins near-dup dedup (kept rows). Order-dependent and
-    not expressible as a set query; tests check it against a sequential loop."""
+    """H2: greedy first-wins near-dup dedup (kept rows)."""
     d = v_hash_dup(spark, sf_dir)
     edges = N.neighbour_edges(N.near_pairs(d))
     out = D.greedy_keep(d.select("id", "accept_order", "h"), "accept_order", [("h", edges)])
     return out.filter("kept").select("id", "h")
 
 
-@register("joint_dedup")
+@register("joint_dedup", greedy_sql("id, h, text", f"{_NEAR} OR a.text = b.text", 12))
 def q_joint_dedup(spark, sf_dir):
     """H3: a row conflicts with an earlier kept row on a near hash OR the same
     caption; a rejected row registers neither."""

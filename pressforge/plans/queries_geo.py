@@ -207,7 +207,8 @@ def q_box_center(spark, sf_dir):
 
 
 V_WORD_SQL = """
-SELECT l_orderkey AS img, l_linenumber AS ix, split_part(p_name, ' ', 1) AS text,
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS word,
+       l_orderkey AS img, l_linenumber AS ix, split_part(p_name, ' ', 1) AS text,
        CASE WHEN l_linenumber = 7 THEN 'x' ELSE printf('%.1f', l_quantity * 2) END AS conf,
        cast(l_suppkey * 29 % 780 AS INTEGER) AS "left", cast(l_partkey * 31 % 500 AS INTEGER) AS top,
        cast(length(split_part(p_name, ' ', 1)) * 18 + l_linenumber AS INTEGER) AS width, 22 AS height
@@ -226,17 +227,17 @@ def q_has_text(spark, sf_dir):
     return G.has_readable_text(v_images(spark, sf_dir), v_word(spark, sf_dir))
 
 
-_WBOX_SQL = (f"SELECT img, ix, text, cast(floor(\"left\" / 2.0) - 2 AS BIGINT) AS wx1, cast(floor(top / 2.0) - 2 AS BIGINT) AS wy1, "
+_WBOX_SQL = (f"SELECT word, img, ix, text, cast(floor(\"left\" / 2.0) - 2 AS BIGINT) AS wx1, cast(floor(top / 2.0) - 2 AS BIGINT) AS wy1, "
              f"cast(floor(\"left\" / 2.0) + floor(width / 2.0) + 2 AS BIGINT) AS wx2, "
              f"cast(floor(top / 2.0) + floor(height / 2.0) + 2 AS BIGINT) AS wy2 FROM ({READABLE_SQL})")
 _PROT_SQL = f"SELECT img, bx1, by1, bx2, by2 FROM ({union_crop_sql(GATED_SQL, '2.0')})"
 _IOU_WB = ("(CASE WHEN i = 0 THEN 0.0 WHEN a > 0 THEN cast(i AS DOUBLE) / cast(a AS DOUBLE) ELSE 0.0 END)")
-_HITS_SQL = (f"SELECT DISTINCT img, ix FROM (SELECT w.img, w.ix, "
+_HITS_SQL = (f"SELECT DISTINCT word, img FROM (SELECT w.word, w.img, "
              f"greatest(0, least(wx2, bx2) - greatest(wx1, bx1)) * greatest(0, least(wy2, by2) - greatest(wy1, by1)) AS i, "
              f"(wx2 - wx1) * (wy2 - wy1) + (bx2 - bx1) * (by2 - by1) - "
              f"greatest(0, least(wx2, bx2) - greatest(wx1, bx1)) * greatest(0, least(wy2, by2) - greatest(wy1, by1)) AS a "
              f"FROM ({_WBOX_SQL}) w JOIN ({_PROT_SQL}) p ON w.img = p.img) WHERE {_IOU_WB} > {V.PROTECT_IOU!r}")
-_KEEP_SQL = f"SELECT w.* FROM ({_WBOX_SQL}) w ANTI JOIN ({_HITS_SQL}) h ON w.img = h.img AND w.ix = h.ix"
+_KEEP_SQL = f"SELECT w.* FROM ({_WBOX_SQL}) w WHERE NOT EXISTS (SELECT 1 FROM ({_HITS_SQL}) h WHERE h.word = w.word)"
 
 
 @register("word_box_anti", f"SELECT img, ix, text FROM ({_KEEP_SQL})")
@@ -253,3 +254,12 @@ def q_scrub_plan(spark, sf_dir):
     """Blur rectangles in the 400 x 256 crop."""
     prot = G.union_crop(_gated(spark, sf_dir), expand=2.0)
     return G.scrub_plan(v_word(spark, sf_dir), prot)
+
+
+@register("still_readable",
+          f"SELECT o_orderkey AS img, (h.img IS NOT NULL) AS still_readable FROM orders "
+          f"LEFT JOIN (SELECT DISTINCT img FROM ({_HITS_SQL})) h ON o_orderkey = h.img")
+def q_still_readable(spark, sf_dir):
+    """Images on which a readable word stays, because it lies on a protected box."""
+    prot = G.union_crop(_gated(spark, sf_dir), expand=2.0)
+    return G.still_readable(v_images(spark, sf_dir), v_word(spark, sf_dir), prot)

@@ -16,8 +16,8 @@ from ..sources import readers as RD
 from ..sources import sinks as SK
 from ..session import scratch_dir
 from ..streaming import incremental as INC
-from .pipeline import GOALS, records_as_text
-from .queries_core import FLAGSHIP_SQL
+from .pipeline import all_records, goals_of, records_as_text
+from .queries_core import ALL_RECORDS_SQL, FLAGSHIP_SQL
 from .registry import register
 from .views import SEED, table, v_job
 
@@ -38,7 +38,7 @@ def q_stream_accept(spark, sf_dir):
     src = os.path.join(work, "src")
     c = _candidates(spark, sf_dir)
     INC.stage_in_order(c, src, "accept_order", 4)
-    INC.run_accept(spark, src, c.schema, work, GOALS)
+    INC.run_accept(spark, src, c.schema, work, goals_of(v_job(spark, sf_dir)))
     return _records(INC.accepted(spark, work))
 
 
@@ -49,12 +49,13 @@ def q_stream_resume(spark, sf_dir):
     work = scratch_dir(spark, "resume")
     src = os.path.join(work, "src")
     c = _candidates(spark, sf_dir)
+    goals = goals_of(v_job(spark, sf_dir))
     INC.stage_in_order(c, src, "accept_order", 4, only=range(3))
-    INC.run_accept(spark, src, c.schema, work, GOALS)
+    INC.run_accept(spark, src, c.schema, work, goals)
     INC.stage_in_order(c, src, "accept_order", 4, only=[3])
-    INC.run_accept(spark, src, c.schema, work, GOALS)
+    INC.run_accept(spark, src, c.schema, work, goals)
     before = INC.accepted(spark, work).count()
-    INC.run_accept(spark, src, c.schema, work, GOALS)
+    INC.run_accept(spark, src, c.schema, work, goals)
     if INC.accepted(spark, work).count() != before:
         raise AssertionError("a resumed run with no new input added rows")
     return _records(INC.accepted(spark, work))
@@ -75,7 +76,7 @@ def q_stream_dedup(spark, sf_dir):
 _CITY_SQL = ("SELECT name, min(pos) AS first_pos FROM (SELECT trim(coalesce(nullif(city_ascii, ''), nullif(city, ''), nullif(nm, ''))) AS name, "
              "row_number() OVER (ORDER BY pos) AS pos FROM (SELECT CASE WHEN c_custkey % 3 = 0 THEN '' ELSE n_name END AS city_ascii, "
              "' ' || c_name || ' ' AS city, c_mktsegment AS nm, c_custkey AS pos FROM customer JOIN nation ON c_nationkey = n_nationkey) "
-             "WHERE coalesce(nullif(city_ascii, ''), nullif(city, ''), nullif(nm, '')) IS NOT NULL QUALIFY pos <= {m}) GROUP BY name")
+             "WHERE coalesce(nullif(city_ascii, ''), nullif(city, ''), nullif(nm, '')) IS NOT NULL) GROUP BY name")
 
 
 def _city_rows(spark, sf_dir):
@@ -84,53 +85,52 @@ def _city_rows(spark, sf_dir):
     return (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(F.when(F.col("c_custkey") % 3 == 0, F.lit("")).otherwise(F.col("n_name")).alias("city_ascii"),
                     F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("city"), F.col("c_mktsegment").alias("name"),
-                    F.col("c_custkey")).orderBy("c_custkey").drop("c_custkey"))
+                    F.col("c_custkey")).repartitionByRange("c_custkey").sortWithinPartitions("c_custkey").drop("c_custkey"))
 
 
-@register("scan_city_csv", _CITY_SQL.format(m=RD.MAX_NAMES))
+@register("scan_city_csv", _CITY_SQL)
 def q_scan_city_csv(spark, sf_dir):
     """A1 + I1 + J1: CSV gazetteer, first non-empty name column, limit in
     file order before an order-preserving distinct."""
     path = os.path.join(scratch_dir(spark, "city"), "cities.csv")
-    _city_rows(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
+    _city_rows(spark, sf_dir).write.option("header", True).csv(path)
     return RD.city_names_csv(spark, path).select("name", "first_pos")
 
 
 @register("scan_city_tsv",
           "SELECT name, min(pos) AS first_pos FROM (SELECT trim(c_name) AS name, row_number() OVER (ORDER BY c_custkey) AS pos "
-          f"FROM customer QUALIFY pos <= {RD.MAX_NAMES}) GROUP BY name")
+          "FROM customer) GROUP BY name")
 def q_scan_city_tsv(spark, sf_dir):
     """A2: headerless TSV, name in field 1 (quoting off)."""
     path = os.path.join(scratch_dir(spark, "tsv"), "cities.txt")
-    c = table(spark, sf_dir, "customer").orderBy("c_custkey")
+    c = table(spark, sf_dir, "customer").repartitionByRange("c_custkey").sortWithinPartitions("c_custkey")
     c.select(F.concat_ws("\t", F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment")).alias("value")) \
-        .coalesce(1).write.text(path)
+        .write.text(path)
     return RD.city_names_tsv(spark, path).select("name", "first_pos")
 
 
 @register("source_fallback",
           "SELECT name, min(pos) AS first_pos FROM (SELECT trim(c_name) AS name, row_number() OVER (ORDER BY c_custkey) AS pos "
-          f"FROM customer QUALIFY pos <= {RD.MAX_NAMES}) GROUP BY name")
+          "FROM customer) GROUP BY name")
 def q_source_fallback(spark, sf_dir):
     """A3: explicit path missing, CSV present but empty -> the TSV wins."""
     d = scratch_dir(spark, "fallback")
     csv = os.path.join(d, "cities.csv")
-    table(spark, sf_dir, "customer").limit(0).select(F.col("c_name").alias("city")).write.option("header", True).csv(csv)
+    spark.createDataFrame([], "city string").write.option("header", True).csv(csv)
     tsv = os.path.join(d, "cities.txt")
-    c = table(spark, sf_dir, "customer").orderBy("c_custkey")
-    c.select(F.concat_ws("\t", F.col("c_custkey").cast("string"), F.col("c_name")).alias("value")).coalesce(1).write.text(tsv)
+    c = table(spark, sf_dir, "customer").repartitionByRange("c_custkey").sortWithinPartitions("c_custkey")
+    c.select(F.concat_ws("\t", F.col("c_custkey").cast("string"), F.col("c_name")).alias("value")).write.text(tsv)
     return RD.datelines(spark, [os.path.join(d, "missing.csv"), csv, tsv]).select("name", "first_pos")
 
 
-_REC_SQL = f"SELECT * FROM ({FLAGSHIP_SQL})"
+_REC_SQL = f"SELECT * FROM ({ALL_RECORDS_SQL})"
 
 
 @register("sink_append", _REC_SQL)
 def q_sink_append(spark, sf_dir):
     """B1 + A5: records appended as JSON lines in two runs, read back FAILFAST."""
-    from .pipeline import caption_records
     path = os.path.join(scratch_dir(spark, "jsonl"), "metadata.jsonl")
-    rec = caption_records(spark, sf_dir)
+    rec = all_records(spark, sf_dir)
     SK.append_jsonl(rec.filter(F.col("id") % 2 == 0), path)
     SK.append_jsonl(rec.filter(F.col("id") % 2 == 1), path)
     return records_as_text(RD.read_jsonl(spark, path))
@@ -139,26 +139,23 @@ def q_sink_append(spark, sf_dir):
 @register("sink_snapshot", _REC_SQL)
 def q_sink_snapshot(spark, sf_dir):
     """B2 + A6: versioned full snapshot, overwritten, read back."""
-    from .pipeline import caption_records
     base = scratch_dir(spark, "snap")
-    rec = caption_records(spark, sf_dir)
-    SK.write_snapshot(rec.limit(10), base, version=1)
-    out = SK.write_snapshot(rec, base, version=1, files=2)
+    rec = all_records(spark, sf_dir)
+    SK.write_snapshot(rec.filter("fake_cls = 'origin'"), base, version=1)
+    out = SK.write_snapshot(rec, base, version=1)
     return records_as_text(RD.read_snapshot(spark, out))
 
 
 @register("sink_partitioned",
-          "SELECT fake_cls, count(*) AS n FROM (" + FLAGSHIP_SQL + ") GROUP BY fake_cls")
+          "SELECT fake_cls, count(*) AS n FROM (" + ALL_RECORDS_SQL + ") GROUP BY fake_cls")
 def q_sink_partitioned(spark, sf_dir):
     """One directory per class; counts read back with partition pruning."""
-    from .pipeline import caption_records
     path = os.path.join(scratch_dir(spark, "part"), "records")
-    SK.write_partitioned(caption_records(spark, sf_dir), path)
+    SK.write_partitioned(all_records(spark, sf_dir), path)
     return spark.read.parquet(path).groupBy("fake_cls").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("build_records", f"SELECT id, image, fake_image_box, fake_text_pos, mtcnn_boxes FROM ({FLAGSHIP_SQL})")
+@register("build_records", f"SELECT id, image, fake_image_box, fake_text_pos, mtcnn_boxes FROM ({ALL_RECORDS_SQL})")
 def q_build_records(spark, sf_dir):
     """Record constructor with empty-list defaults."""
-    from .pipeline import caption_records
-    return records_as_text(caption_records(spark, sf_dir)).select("id", "image", "fake_image_box", "fake_text_pos", "mtcnn_boxes")
+    return records_as_text(all_records(spark, sf_dir)).select("id", "image", "fake_image_box", "fake_text_pos", "mtcnn_boxes")

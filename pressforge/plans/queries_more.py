@@ -17,8 +17,8 @@ from ..sources import readers as RD
 from ..sources import sinks as SK
 from . import oracle as O
 from . import sqlgen as Q
-from .pipeline import caption_records, records_as_text
-from .queries_core import FLAGSHIP_SQL
+from .pipeline import all_records, records_as_text
+from .queries_core import ALL_RECORDS_SQL
 from .queries_eval import EV_SQL, v_eval
 from .queries_geo import GATED_SQL, NF_SQL, READABLE_SQL, TARGET, _QUALITY_SQL, _SIZE_SQL
 from .queries_quota import _FILL_SQL, JOBS_SQL, _jobs_status, _remainders
@@ -38,22 +38,22 @@ def q_ts_span(spark, sf_dir):
     return c.select("id", T.ints_to_str("fake_text_pos").alias("span"), T.token_count(F.col("text")).alias("n_tokens"))
 
 
-@register("scan_jsonl", f"SELECT * FROM ({FLAGSHIP_SQL})")
+@register("scan_jsonl", f"SELECT * FROM ({ALL_RECORDS_SQL})")
 def q_scan_jsonl(spark, sf_dir):
     """A5: JSON Lines with blank lines in between, read FAILFAST (blank lines
     are skipped; a malformed line would fail the read)."""
     path = os.path.join(scratch_dir(spark, "jsonl-blank"), "metadata.jsonl")
-    rec = caption_records(spark, sf_dir)
+    rec = all_records(spark, sf_dir)
     lines = rec.select(F.to_json(F.struct(*rec.columns)).alias("value"))
     lines.unionByName(rec.select(F.lit("").alias("value"))).write.text(path)
     return records_as_text(RD.read_jsonl(spark, path))
 
 
-@register("scan_snapshot", f"SELECT * FROM ({FLAGSHIP_SQL})")
+@register("scan_snapshot", f"SELECT * FROM ({ALL_RECORDS_SQL})")
 def q_scan_snapshot(spark, sf_dir):
     """A6 + A7: no JSONL log exists, so the snapshot is read."""
     base = scratch_dir(spark, "meta")
-    snap = SK.write_snapshot(caption_records(spark, sf_dir), os.path.join(base, "snapshot"), files=2)
+    snap = SK.write_snapshot(all_records(spark, sf_dir), os.path.join(base, "snapshot"))
     return records_as_text(RD.read_metadata(spark, os.path.join(base, "metadata.jsonl"), snap))
 
 
@@ -71,7 +71,7 @@ def q_submission_write(spark, sf_dir):
     cls = RD.read_classification(spark, os.path.join(d, "classification.csv"))
     grd = RD.read_grounding_lines(spark, os.path.join(d, "text_grounding.jsonl"))
     n = grd.groupBy("id").agg(F.count("token").alias("n_tokens"))
-    return cls.join(n, "id").select("id", "label", "n_tokens")
+    return cls.join(n, "id", "full").select("id", "label", "n_tokens")
 
 
 @register("resolution_qc",
@@ -158,8 +158,8 @@ def q_limit_then_distinct(spark, sf_dir):
     """The first 1,000 names in file order are taken before the distinct
     (the cap is the feature: the gazetteer's max_items)."""
     path = os.path.join(scratch_dir(spark, "tsv1000"), "cities.txt")
-    c = table(spark, sf_dir, "customer").orderBy("c_custkey")
-    c.select(F.concat_ws("\t", F.col("c_custkey").cast("string"), F.col("c_name")).alias("value")).coalesce(1).write.text(path)
+    c = table(spark, sf_dir, "customer").repartitionByRange("c_custkey").sortWithinPartitions("c_custkey")
+    c.select(F.concat_ws("\t", F.col("c_custkey").cast("string"), F.col("c_name")).alias("value")).write.text(path)
     return RD.city_names_tsv(spark, path, max_items=1000)
 
 

@@ -103,9 +103,7 @@ def q_scan_explanations(spark, sf_dir):
     path = os.path.join(scratch_dir(spark, "expl"), "explanations.jsonl")
     e = _explanations(spark, sf_dir)
     e.select(F.to_json(F.create_map("id", F.struct(F.col("e_tokens").alias("tokens"), "regions"))).alias("v")).write.text(path)
-    m = spark.read.text(path).select(F.from_json("value", RD.EXPLANATION_TYPE).alias("m"))
-    r = m.select(F.explode("m").alias("id", "e")).select("id", "e.tokens", "e.regions")
-    return r.select("id", F.size("tokens").alias("n_tokens"), F.size("regions").alias("n_regions"))
+    return RD.read_explanations(spark, path).select("id", F.size("tokens").alias("n_tokens"), F.size("regions").alias("n_regions"))
 
 
 @register("explanation_violations",
@@ -134,13 +132,6 @@ def q_release_read(spark, sf_dir):
     rel = d.select(F.col("doc_id").alias("id"), F.md5("text").alias("text_md5"),
                    EV.split_assign(None, F.md5("text"), SEED).alias("split"), F.lit("v1").alias("version"))
     path = os.path.join(scratch_dir(spark, "release"), "release")
-    rel.repartition("version", "split").write.partitionBy("version", "split").parquet(path)
+    rel.write.partitionBy("version", "split").parquet(path)
     back = spark.read.parquet(path).filter((F.col("version") == "v1") & (F.col("split") == "train"))
     return back.select("id", "version")
-
-
-@register("scan_files")
-def q_scan_files(spark, sf_dir):
-    """A4: non-recursive listing of the input folder (path and size only; the
-    file content column is pruned)."""
-    return RD.list_files(spark, sf_dir, "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")

@@ -6,8 +6,8 @@ one task: a hot key (one bucket holding a third of the rows) or an empty
 key we split the key range into blocks of ``2^bits`` consecutive values:
 
 * per (p, block) counts / sums - a partial aggregation, small output;
-* block offsets - a two-level running sum over that table (super-blocks of
-  1,024 blocks, then blocks inside a super-block);
+* block offsets - a running sum over that table, level by level (groups of
+  65,536 blocks, groups of groups, ...), so sparse keys are bounded too;
 * the in-block rank - a window over (p, block), at most ``2^bits`` rows each.
 
 The result is exact and every task sees a bounded amount of data.
@@ -41,22 +41,26 @@ def _block(order_col: str, bits: int):
     return F.shiftright(F.col(order_col).cast("bigint"), bits)
 
 
-FAN_BITS = 10
+FAN_BITS = 16
 
 
-def _block_offsets(stats: DataFrame, part: list[str], val: str, fan_bits: int | None = None) -> DataFrame:
-    """Exclusive running sum of ``val`` over blocks, per partition key, in two
-    levels: super-blocks of 2^fan_bits blocks get their offsets from a small
-    window, blocks inside a super-block from a window of at most 2^fan_bits
-    rows. No window ever sees the whole block table in one task."""
+def _block_offsets(stats: DataFrame, part: list[str], val: str, bits: int, fan_bits: int | None = None) -> DataFrame:
+    """Exclusive running sum of ``val`` over blocks, per partition key, level by level: blocks in
+    groups of 2^fan_bits, groups in groups, until 63 bits of key are used up. A window sees the
+    2^fan_bits members of one group at most, also when keys are sparse and every row is a block
+    of its own; with dense keys the upper levels hold a row or two."""
     fan_bits = FAN_BITS if fan_bits is None else fan_bits
-    s = stats.withColumn("_sb", F.shiftright(F.col("_blk"), fan_bits))
-    sup = s.groupBy(*part, "_sb").agg(F.sum(val).alias("_sv"))
-    ws = Window.partitionBy(*part).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    sup = sup.select(*part, "_sb", F.coalesce(F.sum("_sv").over(ws), F.lit(0)).alias("_soff"))
-    wb = Window.partitionBy(*part, "_sb").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    inner = s.select(*part, "_sb", "_blk", F.coalesce(F.sum(val).over(wb), F.lit(0)).alias("_ioff"))
-    return inner.join(sup, part + ["_sb"]).select(*part, "_blk", (F.col("_soff") + F.col("_ioff")).alias("_off"))
+    levels = max(2, -(-(64 - bits) // fan_bits))
+    up = [f"_u{i}" for i in range(levels)]
+    s = stats.withColumns({u: F.shiftright(F.col("_blk"), min(63, fan_bits * i)) for i, u in enumerate(up)})
+    total = None
+    for i in range(levels):  # level i: the sum before block _ui inside its group _u(i+1)
+        group = [*part, *up[i + 1:i + 2]]
+        at = s.groupBy(*part, *up[i:i + 2]).agg(F.sum(val).alias("_v"))
+        w = Window.partitionBy(*group).orderBy(up[i]).rowsBetween(Window.unboundedPreceding, -1)
+        at = at.select(*part, up[i], F.coalesce(F.sum("_v").over(w), F.lit(0)).alias(f"_o{i}"))
+        total = s.select(*part, *up, "_blk").join(at, [*part, up[i]]) if total is None else total.join(at, [*part, up[i]])
+    return total.select(*part, "_blk", sum((F.col(f"_o{i}") for i in range(1, levels)), F.col("_o0")).alias("_off"))
 
 
 def ordered_rank(df: DataFrame, order_col: str, part_cols: list[str] | None = None,
@@ -74,7 +78,7 @@ def ordered_rank(df: DataFrame, order_col: str, part_cols: list[str] | None = No
     bits = auto_bits(df, order_col) if bits is None else bits
     d = df.withColumn("_blk", _block(order_col, bits))
     stats = d.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    offs = _block_offsets(stats, part, "_n")
+    offs = _block_offsets(stats, part, "_n", bits)
     local = F.row_number().over(Window.partitionBy(*part, "_blk").orderBy(order_col, *ties))
     d = d.withColumn("_loc", local)
     return (d.join(offs, part + ["_blk"])
@@ -83,13 +87,13 @@ def ordered_rank(df: DataFrame, order_col: str, part_cols: list[str] | None = No
 
 
 def ordered_running_sum(df: DataFrame, value_col: str, order_col: str, part_cols: list[str] | None = None,
-                        out: str = "running", bits: int | None = None) -> DataFrame:
-    """Exact ``sum(v) over (partition by p order by k rows unbounded preceding)``."""
+                        out: str = "running", bits: int | None = None, tiebreak: list[str] | None = None) -> DataFrame:
+    """Exact ``sum(v) over (partition by p order by k, *tiebreak rows unbounded preceding)``."""
     part = list(part_cols or [])
     bits = auto_bits(df, order_col) if bits is None else bits
     d = df.withColumn("_blk", _block(order_col, bits))
     stats = d.groupBy(*part, "_blk").agg(F.sum(value_col).alias("_s"))
-    offs = _block_offsets(stats, part, "_s")
-    wl = Window.partitionBy(*part, "_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    offs = _block_offsets(stats, part, "_s", bits)
+    wl = Window.partitionBy(*part, "_blk").orderBy(order_col, *(tiebreak or [])).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_loc", F.sum(value_col).over(wl))
     return d.join(offs, part + ["_blk"]).withColumn(out, F.col("_off") + F.col("_loc")).drop("_blk", "_loc", "_off")

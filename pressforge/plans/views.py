@@ -94,7 +94,8 @@ def v_face(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_word(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OCR words derived from lineitem x part: the first word of the part
     name, confidence from the quantity (unparsable on every seventh line),
-    boxes in 2x OCR coordinates of the 400 x 256 crop."""
+    boxes in 2x OCR coordinates of the 400 x 256 crop. ``word`` names the row
+    (an image may hold several words with one ``ix``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = li.join(p, li.l_partkey == p.p_partkey)
@@ -102,6 +103,7 @@ def v_word(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string("%.1f", F.col("l_quantity") * 2))
     word = F.element_at(F.split(F.col("p_name"), " "), 1)
     return j.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("word"),
         F.col("l_orderkey").alias("img"), F.col("l_linenumber").alias("ix"), word.alias("text"), conf.alias("conf"),
         (F.col("l_suppkey") * 29 % 780).cast("int").alias("left"), (F.col("l_partkey") * 31 % 500).cast("int").alias("top"),
         (F.length(word) * 18 + F.col("l_linenumber")).cast("int").alias("width"), F.lit(22).alias("height"))

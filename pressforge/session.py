@@ -51,7 +51,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         d = tempfile.mkdtemp(prefix="pf-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -70,19 +70,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for round-trip writes: under the shared checkpoint
     folder on a cluster, a new temp folder in local mode."""
     sc = spark.sparkContext
-    if sc.master.startswith("local"):
+    if sc.master.startswith("local[") and not spark.conf.get("spark.checkpoint.dir", None):
         return tempfile.mkdtemp(prefix=f"pf-{name}-")
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
 
 
 def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a CPU-heavy narrow stage over the cluster's cores when the input
-    arrives in fewer partitions (a single small file). No shuffle is added
-    when the input is already split.
+    """In a single-JVM session (tests, bench), spread a CPU-heavy narrow stage
+    over the cores when the input is one small file. On a cluster the scan is
+    left as it is; ``spark.sql.files.maxPartitionBytes`` splits it there.
 
     Call it on a plain scan only: on a plan that already contains a shuffle,
     asking adaptive execution for the partition count runs those stages."""
+    if not df.sparkSession.sparkContext.master.startswith("local["):
+        return df
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= want:

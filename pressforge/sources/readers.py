@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..plans.ranking import ordered_rank
+from ..plans.ranking import DENSE_BITS, ordered_rank
 from .sinks import RECORD_SCHEMA
 
-MAX_NAMES = 10000
 NAME_COLUMNS = ["city_ascii", "city", "name"]
 CLASSIFICATION_SCHEMA = "id STRING, label STRING, confidence DOUBLE, manipulation_type STRING"
 GROUNDING_TYPE = "map<string,array<int>>"
@@ -23,33 +22,45 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _first_names(df: DataFrame, name: F.Column, max_items: int) -> DataFrame:
-    """Rows with a name, in file order; the first ``max_items``; then the
-    first occurrence of each name (order-preserving distinct, J1 / I1)."""
-    d = df.select(name.alias("name"), F.monotonically_increasing_id().alias("_pos")).filter(F.col("name").isNotNull())
-    d = ordered_rank(d, "_pos", None, out="pos").filter(F.col("pos") <= max_items)
+def _first_names(df: DataFrame, name: F.Column, max_items: int | None) -> DataFrame:
+    """Rows with a name, in file order (by file name, then by place in the file); the first
+    ``max_items`` if given; then the first occurrence of each name (order-preserving distinct, J1 / I1).
+
+    Spark reads a file's lines in order within a split, so the row's number inside its split
+    (the low bits of the row id) follows the split's own place."""
+    f = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    low = (1 << 33) - 1
+    d = df.select(f[0].alias("_f"), f[1].alias("_b"), F.monotonically_increasing_id().bitwiseAND(low).alias("_r"), name.alias("name"))
+    d = d.filter(F.col("name") != "")
+    splits = d.groupBy("_f", "_b").agg(F.max("_r").alias("_m"))  # one row per file split
+    w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    base = splits.select("_f", "_b", F.coalesce(F.sum(F.col("_m") + 1).over(w), F.lit(0)).alias("_o"))
+    d = d.join(base, ["_f", "_b"]).select("name", (F.col("_o") + F.col("_r")).alias("_pos"))
+    d = ordered_rank(d, "_pos", None, out="pos", bits=DENSE_BITS)
+    if max_items is not None:
+        d = d.filter(F.col("pos") <= max_items)
     return d.groupBy("name").agg(F.min("pos").alias("first_pos"))
 
 
-def city_names_csv(spark: SparkSession, path: str, max_items: int = MAX_NAMES) -> DataFrame:
-    """A1: header CSV; first non-empty of city_ascii / city / name, stripped."""
-    df = spark.read.option("header", True).csv(path)
-    cols = [F.nullif(F.col(c), F.lit("")) for c in NAME_COLUMNS if c in df.columns]
+def city_names_csv(spark: SparkSession, path: str, max_items: int | None = None) -> DataFrame:
+    """A1: header CSV (quotes doubled inside quotes); first non-empty of city_ascii / city / name,
+    stripped; blank names dropped."""
+    df = spark.read.option("header", True).option("escape", '"').csv(path)
+    cols = [F.nullif(strip(F.col(c)), F.lit("")) for c in NAME_COLUMNS if c in df.columns]
     if not cols:
         return spark.createDataFrame([], "name string, first_pos bigint")
-    return _first_names(df, strip(F.coalesce(*cols)), max_items)
+    return _first_names(df, F.coalesce(*cols), max_items)
 
 
-def city_names_tsv(spark: SparkSession, path: str, max_items: int = MAX_NAMES) -> DataFrame:
+def city_names_tsv(spark: SparkSession, path: str, max_items: int | None = None) -> DataFrame:
     """A2: headerless TSV, field 1, quoting off; lines without the field are skipped."""
     df = spark.read.option("sep", "\t").option("quote", "").option("header", False).csv(path)
     if "_c1" not in df.columns:
         return spark.createDataFrame([], "name string, first_pos bigint")
-    nm = strip(F.col("_c1"))
-    return _first_names(df, F.when(nm != "", nm), max_items)
+    return _first_names(df, strip(F.col("_c1")), max_items)
 
 
-def datelines(spark: SparkSession, paths: list[str], max_items: int = MAX_NAMES) -> DataFrame:
+def datelines(spark: SparkSession, paths: list[str], max_items: int | None = None) -> DataFrame:
     """A3: ordered source fallback; the first source that yields a name wins."""
     for p in paths:
         try:
@@ -84,27 +95,14 @@ def read_classification(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CLASSIFICATION_SCHEMA).option("header", True).csv(path)
 
 
-def read_grounding(spark: SparkSession, path: str) -> DataFrame:
-    """A10: one JSON object id -> token list; one row per (id, token), an
-    empty list gives one row with a NULL token."""
-    m = spark.read.text(path, wholetext=True).select(F.from_json("value", GROUNDING_TYPE).alias("m"))
-    return m.select(F.explode("m").alias("id", "tokens")).select("id", F.explode_outer("tokens").alias("token"))
-
-
 def read_grounding_lines(spark: SparkSession, path: str) -> DataFrame:
-    """A10 at scale: one ``{"id": [..]}`` object per line (what
+    """A10: one ``{"id": [..]}`` object per line (what
     ``sinks.grounding_lines`` writes); parsed in parallel."""
     m = spark.read.text(path).select(F.from_json("value", GROUNDING_TYPE).alias("m"))
     return m.select(F.explode("m").alias("id", "tokens")).select("id", F.explode_outer("tokens").alias("token"))
 
 
 def read_explanations(spark: SparkSession, path: str) -> DataFrame:
-    """Optional explanation file, one row per id."""
-    m = spark.read.text(path, wholetext=True).select(F.from_json("value", EXPLANATION_TYPE).alias("m"))
+    """Optional explanation file, one ``{"id": {...}}`` object per line, one row per id."""
+    m = spark.read.text(path).select(F.from_json("value", EXPLANATION_TYPE).alias("m"))
     return m.select(F.explode("m").alias("id", "e")).select("id", "e.tokens", "e.regions")
-
-
-def list_files(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFrame:
-    """A4: files directly in ``path`` matching ``glob`` (content not read)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
-            .load(path).select("path", "length"))

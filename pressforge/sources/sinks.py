@@ -21,9 +21,9 @@ def normalise_path(p: Column) -> Column:
 
 
 def image_path(bucket: Column, id_col: Column, seed) -> Column:
-    """<bucket dir>/<10 hex chars>.jpg, unique per (seed, id)."""
+    """<bucket dir>/<32 hex chars>.jpg: the whole digest of (seed, id), so names stay apart at any size."""
     dirs = F.create_map(*[x for k, v in V.BUCKET_DIR.items() for x in (F.lit(k), F.lit(v))])
-    name = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), id_col.cast("string"), F.lit("img"))), 1, 10)
+    name = F.md5(F.concat_ws("|", F.lit(str(seed)), id_col.cast("string"), F.lit("img")))
     return F.concat(F.element_at(dirs, bucket), F.lit("/"), name, F.lit(".jpg"))
 
 
@@ -50,19 +50,16 @@ def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
-def write_snapshot(df: DataFrame, path: str, version: int | None = None, files: int = 1) -> str:
-    """B2: full snapshot, overwritten; versioned sub-folder when given.
-
-    ``files`` bounds the output file count (coalesce narrows without a
-    shuffle); use more files for large snapshots."""
+def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> str:
+    """B2: full snapshot, overwritten; versioned sub-folder when given. Every task writes its own file."""
     out = os.path.join(path, f"version={version}") if version is not None else path
-    df.coalesce(files).write.mode("overwrite").json(out)
+    df.write.mode("overwrite").json(out)
     return out
 
 
 def write_partitioned(df: DataFrame, path: str, col: str = "fake_cls", fmt: str = "parquet") -> None:
-    """Route rows to one directory per class."""
-    df.repartition(col).write.mode("overwrite").partitionBy(col).format(fmt).save(path)
+    """Route rows to one directory per class. No shuffle by class: each task writes its share of every class."""
+    df.write.mode("overwrite").partitionBy(col).format(fmt).save(path)
 
 
 def write_classification(df: DataFrame, path: str) -> None:
@@ -71,15 +68,6 @@ def write_classification(df: DataFrame, path: str) -> None:
      .write.mode("overwrite").option("header", True).csv(path))
 
 
-def grounding_json(df: DataFrame, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
-    """One JSON object id -> token list, built by aggregation.
-
-    The object is a single value by format; prefer ``grounding_lines`` (one
-    object per line, same content) for large submissions."""
-    return df.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
-        F.col(id_col).cast("string"), F.col(tokens_col))))).alias("json"))
-
-
 def grounding_lines(df: DataFrame, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
-    """B7, scalable form: one ``{"id": [..]}`` object per row."""
+    """One ``{"id": [..]}`` object per row."""
     return df.select(F.to_json(F.create_map(F.col(id_col).cast("string"), F.col(tokens_col))).alias("json"))

@@ -1,10 +1,10 @@
 """Incremental accept loop with resume (M1-M4) on Structured Streaming.
 
 Candidates arrive as files, in arrival order. Each micro-batch:
-  1. first-wins caption dedup inside the batch, anti-joined with the texts
-     seen in earlier batches (dedup over all candidates, as in the batch plan);
+  1. first-wins caption dedup inside the batch, anti-joined with the digests
+     of texts seen in earlier batches (dedup over all candidates, as in the batch plan);
   2. per-class quota against the rows accepted by earlier batches;
-  3. writes ``seen/batch=<id>`` and ``accepted/batch=<id>`` with overwrite, so
+  3. writes ``seen``, ``accepted`` and ``counts`` under ``batch=<id>`` with overwrite, so
      a replayed batch (after a failure) rewrites the same partition.
 
 The checkpoint makes a restart continue where it stopped (resume); a run
@@ -19,68 +19,84 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import anti_seen, first_wins
+from ..operators.dedup import first_wins
 from ..operators.quota import quota_fill
+from ..sources.readers import path_exists
+
+FILES = 4  # files of a chunk, and of a micro-batch
 
 
 def _read_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    if not os.path.exists(path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(path).filter(F.col("batch") < batch_id).drop("batch")
+    return spark.read.schema(f"{schema}, batch int").parquet(path).filter(F.col("batch") < batch_id).drop("batch")
+
 
+def digest(df: DataFrame) -> DataFrame:
+    """128 bits of a caption: what the loop remembers of it."""
+    return df.withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("caption"), F.col("text"))})
 
-def stage_in_order(df: DataFrame, src: str, order_col: str, chunks: int, only=None) -> None:
-    """Write candidates as ``chunks`` files by arrival range (one file per
-    range, written one after another, so arrival order is file order).
 
-    The candidates are computed once into a staging table; each chunk file
-    is then a cheap filtered read of it."""
+def stage_in_order(df: DataFrame, src: str, order_col: str, chunks: int, only=None, files: int = FILES) -> None:
+    """Write candidates as ``chunks`` groups of ``files`` files by arrival range, one
+    group after another, so that a micro-batch of ``files`` files is one range.
+
+    The candidates are computed once into a staging table; each chunk is then
+    a cheap filtered read of it."""
+    spark = df.sparkSession
     stage = os.path.join(os.path.dirname(src.rstrip("/")), "_staged_" + os.path.basename(src.rstrip("/")))
-    if not os.path.exists(stage):
+    if not path_exists(spark, stage):
         df.write.mode("overwrite").parquet(stage)
-    st = df.sparkSession.read.parquet(stage)
+    st = spark.read.parquet(stage)
     lo, hi = st.agg(F.min(order_col), F.max(order_col)).first()
     width = max(1, (int(hi) - int(lo)) // chunks + 1)
     c = ((F.col(order_col) - F.lit(int(lo))) / F.lit(width)).cast("int")
     for i in (only if only is not None else range(chunks)):
-        st.filter(c == i).coalesce(1).write.mode("overwrite").parquet(os.path.join(src, f"chunk={i:06d}"))
+        st.filter(c == i).repartition(files).write.mode("overwrite").parquet(os.path.join(src, f"chunk={i:06d}"))
 
 
 def run_accept(spark: SparkSession, src: str, schema, work: str, goals: dict[str, int],
-               order_col: str = "accept_order", snap_every: int = 50) -> None:
+               order_col: str = "accept_order", snap_every: int = 50, files: int = FILES) -> None:
     """One availableNow run of the accept loop over the files now in ``src``.
 
-    M4: when a batch takes the accepted total across a multiple of
-    ``snap_every``, a snapshot *manifest* (version, last batch, rows) is
-    written instead of a full rewrite of all records (which would cost
-    O(n^2 / snap_every) bytes over a run); ``snapshot(version)`` reads the
-    accepted partitions it names."""
-    seen_p, acc_p, ck = (os.path.join(work, x) for x in ("seen", "accepted", "checkpoint"))
+    A batch reads two things of earlier ones: the digests of the captions seen
+    (each once), and how many rows of each class were accepted, from the
+    batches' small count files; accepted rows are never read again.
+
+    M4: for every multiple of ``snap_every`` that a batch's total crosses, a
+    snapshot *manifest* (version, last batch, rows) is written instead of a full
+    rewrite of all records (which would cost O(n^2 / snap_every) bytes over a
+    run); ``snapshot(version)`` reads the accepted partitions it names. Work
+    folders may be on any file system that Spark reads."""
+    seen_p, acc_p, have_p, ck = (os.path.join(work, x) for x in ("seen", "accepted", "counts", "checkpoint"))
     snap_p = os.path.join(work, "snapshots")
-    rec_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         s = df.sparkSession
-        seen = _read_before(s, seen_p, batch_id, "text string")
-        accepted = _read_before(s, acc_p, batch_id, rec_schema)
-        # used twice below; kept for the batch only (a lost executor's blocks
+        seen = _read_before(s, seen_p, batch_id, "t1 long, t2 long")
+        # used three times below; kept for the batch only (a lost executor's blocks
         # are recomputed from the batch's own lineage)
-        fresh = anti_seen(first_wins(df, ["text"], order_col), seen, "text").persist()
-        fresh.select("text").write.mode("overwrite").parquet(os.path.join(seen_p, f"batch={batch_id}"))
-        have = {r["bucket"]: r["n"] for r in accepted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+        fresh = digest(first_wins(df, ["text"], order_col)).join(seen, ["t1", "t2"], "left_anti").persist()
+        fresh.select("t1", "t2").write.mode("overwrite").parquet(os.path.join(seen_p, f"batch={batch_id}"))
+        have = {r["bucket"]: r["n"] for r in _read_before(s, have_p, batch_id, "bucket string, n long")
+                .groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # one row per class
         left = {b: max(0, g - int(have.get(b, 0))) for b, g in goals.items()}
-        out = quota_fill(fresh, left, order_col)
+        out = quota_fill(fresh.drop("t1", "t2"), left, order_col)
         out_p = os.path.join(acc_p, f"batch={batch_id}")
         out.write.mode("overwrite").parquet(out_p)
+        new = s.read.schema(schema).parquet(out_p).groupBy("bucket").agg(F.count("*").alias("n")).collect()
+        s.createDataFrame([(r["bucket"], r["n"]) for r in new], "bucket string, n long").coalesce(1).write.mode("overwrite").parquet(
+            os.path.join(have_p, f"batch={batch_id}"))
         before = sum(int(v) for v in have.values())
-        after = before + s.read.parquet(out_p).count()
-        if after // snap_every > before // snap_every:
-            v = after // snap_every
-            (s.createDataFrame([(v, batch_id, after)], "version long, upto_batch long, rows long")
-             .coalesce(1).write.mode("overwrite").json(os.path.join(snap_p, f"version={v}")))
+        after = before + sum(int(r["n"]) for r in new)
+        versions = range(before // snap_every + 1, after // snap_every + 1)
+        if versions:
+            manifest = s.range(versions.start, versions.stop).select(
+                F.col("id").alias("version"), F.lit(batch_id).cast("long").alias("upto_batch"), F.lit(after).cast("long").alias("rows"))
+            manifest.coalesce(1).write.mode("overwrite").json(os.path.join(snap_p, f"batch={batch_id}"))
         fresh.unpersist()
 
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
               .option("recursiveFileLookup", "true").parquet(src))
     q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", ck)
          .trigger(availableNow=True).start())
@@ -101,10 +117,10 @@ def accepted(spark: SparkSession, work: str) -> DataFrame:
     return spark.read.parquet(os.path.join(work, "accepted")).drop("batch")
 
 
-def stream_dedup(spark: SparkSession, src: str, schema, keys: list[str], work: str) -> DataFrame:
+def stream_dedup(spark: SparkSession, src: str, schema, keys: list[str], work: str, files: int = FILES) -> DataFrame:
     """M2: unbounded exact dedup state (no watermark): each key once."""
     out, ck = os.path.join(work, "out"), os.path.join(work, "checkpoint")
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
               .option("recursiveFileLookup", "true").parquet(src))
     q = (stream.dropDuplicates(keys).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
