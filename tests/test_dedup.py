@@ -72,15 +72,26 @@ def test_first_wins(spark):
     assert got == [("a", 1), ("b", 2), ("c", 4)]
 
 
-def test_auto_bands_widen_with_size():
-    assert N.auto_bands(1000, 3) == 4
-    assert N.auto_bands(1 << 20, 3) == 6
-    assert N.auto_bands(10 ** 10, 3) == 7
-    # every choice keeps the join exact: at least k+1 bands, combos cover 64 bits
-    for n in (10, 1 << 20, 10 ** 10):
-        m = N.auto_bands(n, 3)
+def test_any_band_count_is_exact(spark):
+    hs = _hashes(120)
+    df = spark.createDataFrame([(h,) for h in hs], "h long")
+    for m in (4, 6, 7):
         masks = N.band_masks(m)
-        assert m >= 4 and sum(bin(x).count("1") for x in masks) == 64 and len(N.combo_masks(3, m)) > 0
+        assert sum(bin(x).count("1") for x in masks) == 64
+        got = {(r.ha, r.hb) for r in N.near_pairs(df, bands=m).collect()}
+        v = sorted(set(hs))
+        assert got == {(x, y) for i, x in enumerate(v) for y in v[i + 1:] if bin((x ^ y) & (2 ** 64 - 1)).count("1") <= 3}
+
+
+def test_greedy_rounds_do_not_read_the_source_again(spark, tmp_path):
+    """Chains of conflicts need several rounds; each works on cut tables only."""
+    df = spark.createDataFrame([(i, (1 << min(63, i)) - 1) for i in range(40)], "id long, h long").withColumn("accept_order", F.col("id"))
+    df.write.parquet(str(tmp_path / "src"))
+    src = spark.read.parquet(str(tmp_path / "src"))
+    out = D.greedy_keep(src, "accept_order", [("h", N.neighbour_edges(N.near_pairs(src)))])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+    assert {r.id for r in out.filter("kept").collect()} == _greedy([(i, (1 << min(63, i)) - 1, None) for i in range(40)])
 
 
 def test_null_hash_conflicts_with_nothing(spark):

@@ -74,10 +74,10 @@ def test_flagship_partition_invariant(spark):
     assert a == b and len(a) > 0
 
 
-def test_two_level_offsets(spark, monkeypatch):
-    """Many blocks and a tiny fan-out exercise both offset levels."""
+def test_levels_of_offsets(spark, monkeypatch):
+    """Many blocks and a small fan-out exercise several offset levels."""
     from pressforge.plans import ranking
-    monkeypatch.setattr(ranking, "FAN_BITS", 2)
+    monkeypatch.setattr(ranking, "FAN_BITS", 8)
     df = spark.range(0, 3000).select((F.col("id") * 13 % 3001).alias("k"), (F.col("id") % 2).alias("p"), F.lit(1).alias("v"))
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("p").orderBy("k")))
     got = ordered_rank(df, "k", ["p"], bits=3)
@@ -97,3 +97,18 @@ def test_bucket_assign_fills_each_remainder(spark):
     # the first 65 jobs in arrival order take the 65 slots
     assert sorted(r.job_rank for r in out) == list(range(1, 66))
     assert sorted(r.id for r in out) == list(range(65))
+
+
+def test_rank_of_sparse_keys(spark):
+    """62-bit keys: every row is a block of its own, negative keys too."""
+    df = spark.range(0, 4000).select((F.xxhash64("id") / 2).cast("bigint").alias("k"), (F.col("id") % 7).alias("v"))
+    want = df.select("k", F.row_number().over(Window.orderBy("k")).alias("rn"), F.sum("v").over(Window.orderBy("k")).alias("running"))
+    got = ordered_rank(df, "k", None, bits=16).join(ordered_running_sum(df, "v", "k", None, bits=16).select("k", "running"), "k")
+    assert got.select("k", "rn", "running").exceptAll(want).count() == 0 and got.count() == 4000
+
+
+def test_auc_of_close_scores(spark):
+    df = spark.createDataFrame([("manipulated", 2e-17), ("origin", 1e-17)], "gold_label string, confidence double")
+    pos = EV.POS
+    df = df.withColumn("gold_label", F.when(F.col("gold_label") == "manipulated", F.lit(pos)).otherwise(F.lit("other")))
+    assert EV.roc_auc(df).first().auc == 1.0

@@ -38,3 +38,24 @@ def test_snapshot_manifests(spark):
     total = INC.accepted(spark, work).count()
     assert m and m[-1].rows == INC.snapshot(spark, work, m[-1].version).count()
     assert all(r.rows >= 50 * r.version for r in m) and total >= m[-1].rows
+    assert [r.version for r in m] == list(range(1, total // 50 + 1))  # every multiple that was crossed
+
+
+def test_accept_on_a_file_uri_equals_the_batch_plan(spark, tmp_path):
+    import os
+    from pressforge.operators.captions import with_captions
+    from pressforge.operators.dedup import first_wins
+    from pressforge.operators.quota import quota_fill
+    from pressforge.plans.views import SEED, v_job
+    from pressforge.streaming import incremental as INC
+    goals = {"lit": 100, "inv": 100, "irr": 100}
+    c = with_captions(v_job(spark, SF), SEED).select("id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
+    work = f"file://{tmp_path}/work"
+    src = os.path.join(work, "src")
+    INC.stage_in_order(c, src, "accept_order", 4, only=range(2))
+    INC.run_accept(spark, src, c.schema, work, goals)
+    INC.stage_in_order(c, src, "accept_order", 4, only=range(2, 4))
+    INC.run_accept(spark, src, c.schema, work, goals)
+    want = quota_fill(first_wins(c, ["text"]), goals)
+    got = INC.accepted(spark, work)
+    assert _rows(got.select("id", "text")) == _rows(want.select("id", "text")) and got.count() == 300
