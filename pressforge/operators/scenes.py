@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions import text as T
 from ..functions.sampling import Prefix, choice, draw, draw_prefix, uniform
+from ..session import cut_lineage
 from ..plans.ranking import DENSE_BITS, ordered_rank
 from .dedup import first_wins
 from .tags import add_text_tags, semantic_match
@@ -52,13 +53,18 @@ def with_validity(df: DataFrame) -> DataFrame:
     return d.withColumn("valid", F.col("mismatch") | semantic_match(F.col("role_tags"), F.col("event_tags"), F.col("back_tags")))
 
 
-def scene_pool(candidates: DataFrame, n: int, seed) -> DataFrame:
+def scene_pool(candidates: DataFrame, n: int, seed, partial: bool = False) -> DataFrame:
     """The first ``n`` valid, distinct scenes in candidate (id) order.
 
     Candidates are rows the caller derives from its tables (one per job);
     the distinct step is a partial aggregation and the cut is an exact
-    block-split rank, so no step gathers the pool in one task."""
-    return distinct_valid(candidates, seed, n)
+    block-split rank, so no step gathers the pool in one task. A pool that the
+    candidates can't fill is an error, unless the caller takes a ``partial`` one."""
+    pool = cut_lineage(distinct_valid(candidates, seed, n))
+    found = pool.count()
+    if found < n and not partial:
+        raise ValueError(f"{found} valid distinct scenes for a pool of {n}")
+    return pool
 
 
 def distinct_valid(candidates: DataFrame, seed, n: int | None = None) -> DataFrame:

@@ -77,21 +77,3 @@ def objects_for(tag: Column, table: dict[str, list[str]] | None = None) -> Colum
 def tag_choice(tags: Column, seed, key, slot="tag") -> Column:
     """Uniform pick from the sorted tag set; default tag when empty."""
     return F.coalesce(choice_from(F.sort_array(tags), seed, key, slot), F.lit(V.DEFAULT_TAG))
-
-
-def keyword_table(spark, table: dict[str, list[str]]) -> DataFrame:
-    """Keyword map as a (tag, keyword) DataFrame (for theta joins at scale)."""
-    rows = [(t, k) for t, kws in table.items() for k in kws]
-    return spark.createDataFrame(rows, "tag string, keyword string")
-
-
-def tags_by_join(df: DataFrame, col: str, kw: DataFrame, key: str = "id",
-                 default: str = V.DEFAULT_TAG) -> DataFrame:
-    """theta join text x keyword table on substring containment.
-
-    The keyword side is a small fixed table, so it is broadcast; the result is
-    aggregated back per key (partial aggregation before the shuffle)."""
-    j = (df.select(key, F.lower(F.col(col)).alias("_t"))
-         .join(F.broadcast(kw), F.col("_t").contains(F.col("keyword")), "left")
-         .groupBy(key).agg(F.sort_array(F.collect_set("tag")).alias("tags")))
-    return j.select(key, F.when(F.size("tags") > 0, F.col("tags")).otherwise(F.array(F.lit(default))).alias("tags"))

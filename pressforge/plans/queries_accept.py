@@ -1,26 +1,49 @@
 """Registered query: the whole accept loop as one batch plan.
 
-jobs -> face count gate (1-3 faces) -> best-face quality gate -> captions ->
-first-wins caption dedup -> per-class quota -> shot crop of the kept images'
-faces -> sample records with their remapped face boxes.
+jobs -> face count gate (1-3 faces) -> best-face quality gate -> text gate (no
+readable word is left after scrubbing) -> captions -> joint first-wins dedup (a
+near image or the same caption as an earlier kept row) -> per-class quota ->
+shot crop of the kept images' faces -> sample records with their remapped boxes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import vocab as V
+from ..functions.sampling import draw, uniform
 from ..operators import geometry as G
 from ..operators.captions import with_captions
-from ..operators.dedup import first_wins
+from ..operators.dedup import greedy_keep
+from ..operators.neardup import near_pairs, neighbour_edges
 from ..operators.quota import quota_fill
+from ..session import cut_lineage
 from ..sources.sinks import image_path, make_records
 from . import oracle as O
 from . import sqlgen as Q
 from .pipeline import goals_of, records_as_text
 from .queries_core import GOAL_SQL
-from .queries_geo import _QUALITY_SQL, GATED_SQL, center_rect_sql, remap_sql, union_rect_sql, _SHOT_EX, _IS_UNION
+from .queries_dedup import V_HASH_SQL, greedy_sql, v_hash
+from .queries_geo import _HITS_SQL, _QUALITY_SQL, GATED_SQL, center_rect_sql, remap_sql, union_rect_sql, _SHOT_EX, _IS_UNION
 from .registry import register
-from .views import SEED, v_face, v_images, v_job
+from .views import SEED, table, v_face, v_images, v_job, v_word
+
+
+def v_image_hash(spark, sf_dir, seed=SEED):
+    """A fingerprint per image (id, h), from the embeddings: three in ten images are near copies
+    (at most two bits off) of the others on the same vector."""
+    e = v_hash(spark, sf_dir).select("vec_id", F.col("h").alias("_h"))
+    n = table(spark, sf_dir, "embeddings").count()  # one number
+    i = v_images(spark, sf_dir).select(F.col("img").alias("id"), F.pmod(F.col("img"), F.lit(max(1, n))).alias("vec_id"))
+    near = F.element_at(F.array(*[F.lit(m).cast("bigint") for m in (0, 1, 3)]), (F.pmod(draw(seed, F.col("id"), "hash"), F.lit(3)) + 1).cast("int"))
+    far = F.shiftleft(draw(seed, F.col("id"), "hash").cast("bigint"), 16)
+    mask = F.when(uniform(seed, F.col("id"), "near") < 0.3, near).otherwise(far)
+    return i.join(e, "vec_id", "left").select("id", F.col("_h").bitwiseXOR(mask).alias("h"))
+
+
+_HASH_SQL = (f"SELECT o_orderkey AS id, xor(h, CASE WHEN {Q.uniform(SEED, 'o_orderkey', 'near')} < 0.3 "
+             f"THEN ([0, 1, 3])[{Q.draw(SEED, 'o_orderkey', 'hash')} % 3 + 1] ELSE cast({Q.draw(SEED, 'o_orderkey', 'hash')} AS BIGINT) << 16 END) AS h "
+             f"FROM orders LEFT JOIN ({V_HASH_SQL}) v ON o_orderkey % (SELECT count(*) FROM embeddings) = vec_id")
 
 
 def accept_batch(spark, sf_dir, seed=SEED, goals=None):
@@ -29,12 +52,17 @@ def accept_batch(spark, sf_dir, seed=SEED, goals=None):
     gated = nf.join(counted.select("img"), "img", "left_semi")
     good = G.face_quality_gate(gated).filter(F.col("passes")).select(F.col("img").alias("id"))
     job = v_job(spark, sf_dir, seed)
-    jobs = job.join(good, "id", "left_semi")
-    caps = with_captions(jobs, seed).select("id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
-    kept = quota_fill(first_wins(caps, ["text"]), goals or goals_of(job))
-    # crop every gated image (cheap per-image geometry) so the kept records,
-    # which carry the whole caption / dedup / quota plan, are consumed once
-    boxes = G.shot_crop(gated, job.select(F.col("id").alias("img"), "shot"))
+    left = G.still_readable(v_images(spark, sf_dir), v_word(spark, sf_dir), G.union_crop(gated, expand=2.0))
+    clean = left.filter(~F.col("still_readable")).select(F.col("img").alias("id"))
+    jobs = job.join(good, "id", "left_semi").join(clean, "id", "left_semi")
+    caps = with_captions(jobs, seed).select("id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls", "shot")
+    caps = cut_lineage(caps.join(v_image_hash(spark, sf_dir, seed), "id"))
+    edges = neighbour_edges(near_pairs(caps))
+    kept = greedy_keep(caps, "accept_order", [("h", edges), ("text", None)]).filter("kept").drop("kept", "h")
+    kept = cut_lineage(quota_fill(kept, goals or goals_of(job)))
+    # only what the quota keeps is cropped
+    shots = kept.select(F.col("id").alias("img"), "shot")
+    boxes = G.shot_crop(gated.join(shots.select("img"), "img", "left_semi"), shots)
     per_img = boxes.groupBy("img").agg(F.sort_array(F.collect_list(F.struct(
         "ix", "ix2", "ix3", F.array(*[F.col(c).cast("int") for c in ("bx1", "by1", "bx2", "by2")]).alias("b")))).alias("_bs"))
     per_img = per_img.select(F.col("img").alias("id"), F.transform("_bs", lambda s: s["b"]).alias("mtcnn_boxes"))
@@ -44,8 +72,10 @@ def accept_batch(spark, sf_dir, seed=SEED, goals=None):
 
 _GOOD = (f"SELECT img FROM ({GATED_SQL}) QUALIFY row_number() OVER (PARTITION BY img ORDER BY prob DESC, ix, ix2, ix3) = 1 "
          f"AND coalesce({_QUALITY_SQL}, false)")
-_JOBS = f"SELECT * FROM ({O.v_job_sql()}) WHERE id IN ({_GOOD})"
-_KEPT = (f"SELECT * EXCLUDE (gb, goal) FROM (SELECT * FROM ({O.captions_sql(_JOBS)}) QUALIFY row_number() OVER (PARTITION BY text ORDER BY accept_order) = 1) "
+_JOBS = f"SELECT * FROM ({O.v_job_sql()}) WHERE id IN ({_GOOD}) AND id NOT IN (SELECT img FROM ({_HITS_SQL}))"
+_DEDUP = greedy_sql("*", f"bit_count(xor(a.h, b.h)) <= {V.PHASH_DISTANCE_MAX} OR a.text = b.text", 16,
+                    f"SELECT * FROM ({O.captions_sql(_JOBS)}) JOIN ({_HASH_SQL}) USING (id)")
+_KEPT = (f"SELECT * EXCLUDE (gb, goal) FROM ({_DEDUP}) "
          f"JOIN ({GOAL_SQL}) ON bucket = gb QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY accept_order) <= goal")
 _FACES = f"SELECT * FROM ({GATED_SQL}) WHERE img IN (SELECT id FROM ({_KEPT}))"
 _RECT = (f"SELECT img, " + ", ".join(f"CASE WHEN {_IS_UNION} THEN u{c} ELSE c{c} END AS {c}" for c in ("cx1", "cy1", "cx2", "cy2"))

@@ -87,10 +87,10 @@ def q_near_dup_anti(spark, sf_dir):
     return N.near_dup_anti(d.filter("c > 0"), d.filter("c = 0")).select("id", "h")
 
 
-def greedy_sql(columns: str, conflict: str, rounds: int) -> str:
-    """First-wins selection in rounds: a row without an earlier undecided or kept conflict is kept, one with an
+def greedy_sql(columns: str, conflict: str, rounds: int, source: str = V_HASH_DUP_SQL) -> str:
+    """First-wins selection (by id) in rounds: a row without an earlier undecided or kept conflict is kept, one with an
     earlier kept conflict is dropped. A row left undecided after the last round fails the query."""
-    ctes = [f"d AS MATERIALIZED ({V_HASH_DUP_SQL})",
+    ctes = [f"d AS MATERIALIZED ({source})",
             f"x AS MATERIALIZED (SELECT a.id AS early, b.id AS late FROM d a JOIN d b ON a.id < b.id AND ({conflict}))",
             "u0 AS MATERIALIZED (SELECT id FROM d)", "k0 AS MATERIALIZED (SELECT id FROM d WHERE false)"]
     for r in range(1, rounds + 1):

@@ -49,7 +49,7 @@ def q_pool_draw(spark, sf_dir):
     first positions) with replacement. Pool size from E10 on the remainder."""
     total = sum(_remainders(spark, sf_dir).values())
     n, b = _pool_sizes(total)
-    pool = SC.scene_pool(v_job(spark, sf_dir), n, SEED).select(F.col("id").alias("scene_id"))
+    pool = SC.scene_pool(v_job(spark, sf_dir), n, SEED, partial=True).select(F.col("id").alias("scene_id"))
     pool = pool.withColumn("_k", draw(SEED, F.col("scene_id"), "poolshuf"))
     pool = ordered_rank(pool, "_k", None, out="pos", bits=12, tiebreak=["scene_id"]).select("scene_id", "pos")
     size = pool.count()  # one number: the pool may be smaller than asked

@@ -14,7 +14,7 @@ from . import sqlgen as Q
 from .registry import register
 from .views import SEED, table, v_job
 
-POOL_N = 1200
+POOL_SHARE = 2  # the pool is one scene for so many jobs
 JOB = O.v_job_sql()
 
 
@@ -140,11 +140,10 @@ _KW = " UNION ALL ".join(f"SELECT {Q.q(t)} AS tag, {Q.q(k)} AS keyword" for t, k
           f"SELECT doc_id AS id, CASE WHEN count(tag) > 0 THEN array_to_string(list_sort(list_distinct(list(tag) FILTER (WHERE tag IS NOT NULL))), ',') "
           f"ELSE 'community' END AS tags FROM documents LEFT JOIN ({_KW}) k ON contains(lower(text), keyword) GROUP BY doc_id")
 def q_text_tags(spark, sf_dir):
-    """Whole documents x keyword table, a broadcast theta join on
-    substring containment (keyword table is fixed-size)."""
+    """Keywords contained in whole documents, row by row: the keyword
+    table is a parameter of fixed size, so no join and no shuffle is needed."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    kw = TG.keyword_table(spark, V.EVENT_TAGS)
-    return TG.tags_by_join(d, "text", kw).select("id", _tags_str("tags").alias("tags"))
+    return TG.add_text_tags(d, "text", "tags", V.EVENT_TAGS).select("id", _tags_str("tags").alias("tags"))
 
 
 _SCENE_SQL = (f"SELECT *, {_PROMPT_SQL} AS prompt FROM ({_TAGGED}) WHERE mismatch OR {_MATCH}")
@@ -154,10 +153,11 @@ _POOL_SQL = (f"SELECT id, md5(prompt) AS prompt_md5, back_caption, shot, role, e
              f"row_number() OVER (ORDER BY id) AS pool_pos FROM ({_DEDUP_SQL})")
 
 
-@register("scene_pool", f"SELECT * FROM ({_POOL_SQL}) WHERE pool_pos <= {POOL_N}")
+@register("scene_pool", f"SELECT * FROM ({_POOL_SQL}) WHERE pool_pos <= (SELECT count(*) // {POOL_SHARE} FROM ({JOB}))")
 def q_scene_pool(spark, sf_dir):
-    """E8 + E9: the first 1,200 valid, distinct scenes in job order."""
-    p = SC.scene_pool(v_job(spark, sf_dir), POOL_N, SEED)
+    """E8 + E9: the first valid, distinct scenes in job order, one for two jobs."""
+    jobs = v_job(spark, sf_dir)
+    p = SC.scene_pool(jobs, jobs.count() // POOL_SHARE, SEED)
     return p.select("id", F.md5("prompt").alias("prompt_md5"), "back_caption", "shot", "role", "event", "mismatch",
                     F.col("pool_pos").cast("bigint").alias("pool_pos"))
 
