@@ -17,6 +17,18 @@ def fold(column: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(n))
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """Texts can be long, so Python tasks get at most BATCH_ROWS of them at a time (a setting of the
+    session; a smaller one stays)."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return docs
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body`` as a variable."""
     return F.transform(F.array(value), body)[0]
@@ -36,7 +48,7 @@ def mix64(x):
 class WordHashes(dict):
     """Word bytes -> 64-bit hash, remembered for a bounded number of words."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word):
         import xxhash

@@ -9,7 +9,8 @@ is its anchor (the first of equal ones), so equal windows have equal anchors at
 equal places. Consecutive windows with one anchor are a run. Runs are grouped by
 anchor over the whole corpus; an anchor that occurs once needs no further look.
 Runs equal as a whole (anchor hash and a second hash of all their bytes) are
-counted; all windows of those that occur twice or more repeat.
+counted; all windows of those that occur twice or more repeat. A text that occurs
+more than once repeats as a whole, so each text is looked at once a task.
 
 Sorting. Where the runs of an anchor differ, one of each kind sends its bytes to
 the anchor's task. There their suffixes, one for each window, are merge-sorted.
@@ -36,10 +37,10 @@ from pyspark.sql import functions as F
 
 from pressforge.session import cut_lineage
 
-from .common import as_long, id_filter, maybe_in, mix64, row_key, text_bytes
+from .common import as_long, id_filter, maybe_in, mix64, small_batches, text_bytes
 
 LENGTH, GRAM = 200, 48
-BUFFER = 1 << 18  # bytes looked at together
+BUFFER = 1 << 17  # bytes looked at together
 PLACE_BITS = 20
 BASE = 0x5851F42D4C957F2D  # odd: it has an inverse modulo 2^64
 
@@ -115,32 +116,52 @@ def anchor_runs(data: bytes, pieces: list, powers: Powers):
     return new, windows, anchor[new], h[anchor[new]], piece[new]
 
 
-def place(s: int, windows: int, off: int):
-    return (s << 16) | (windows << 8) | off
+def place(s, reps, windows, off):
+    """First byte, equal runs in a row (as in a text that repeats a word), windows of each, anchor's offset."""
+    return (s << 34) | (reps << 16) | (windows << 8) | off
+
+
+def place_parts(at):
+    return at >> 34, (at >> 16) & 0x3FFFF, (at >> 8) & 255, at & 255
+
+
+def place_columns(c: str):
+    return F.shiftright(c, 34), F.shiftright(c, 16).bitwiseAND(0x3FFFF), F.shiftright(c, 8).bitwiseAND(255), F.col(c).bitwiseAND(255)
 
 
 def run_rows(keyed: DataFrame, full: bool) -> DataFrame:
-    """anchor of each run; if ``full`` with seg (hash of its bytes), k1 and place (first byte, windows, anchor's offset)."""
-    names = ["anchor", "seg", "k1", "place"] if full else ["anchor"]
+    """anchor of each run and how many (c); if ``full`` with seg (hash of its bytes), k1 and place. keyed: k1, text."""
+    names = ["anchor", "c", "seg", "k1", "place"] if full else ["anchor", "c"]
 
-    def run(batches):
+    def rows_of(data, pieces, keys, powers):
         import xxhash
 
-        powers = Powers()
+        first, windows, x, h, piece = anchor_runs(data, pieces, powers)
+        if not full:
+            h, c = np.unique(h, return_counts=True)
+            return [as_long(h), c]
+        view = memoryview(data)
+        seg = np.fromiter((xxhash.xxh3_64_intdigest(view[i:i + m + LENGTH - 1]) for i, m in zip(first.tolist(), windows.tolist())), dtype=np.uint64, count=len(first))
+        again = (h[1:] == h[:-1]) & (seg[1:] == seg[:-1]) & (piece[1:] == piece[:-1]) & (first[1:] == first[:-1] + windows[:-1])
+        head = np.flatnonzero(np.concatenate([[True], ~again])) if len(h) else np.zeros(0, dtype=np.int64)
+        reps = np.diff(np.append(head, len(h)))
+        first, windows, x, h, piece, seg = (v[head] for v in (first, windows, x, h, piece, seg))
+        shift = np.array([p[1] - p[2] for p in pieces], dtype=np.int64)
+        key = np.array([keys[p[0]] for p in pieces], dtype=np.int64)
+        return [as_long(h), reps, as_long(seg), key[piece], place(first + shift[piece], reps, windows, x - first)]
+
+    def run(batches):
+        powers, seen = Powers(), set()
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                keys = part.column(0).to_pylist()
-                for data, pieces in buffers(text_bytes(part)):
-                    first, windows, x, h, piece = anchor_runs(data, pieces, powers)
-                    out = [pa.array(as_long(h))]
-                    if full:
-                        view, s, n = memoryview(data), first.tolist(), windows.tolist()
-                        seg = np.fromiter((xxhash.xxh3_64_intdigest(view[i:i + m + LENGTH - 1]) for i, m in zip(s, n)), dtype=np.uint64, count=len(s))
-                        shift = np.array([p[1] - p[2] for p in pieces], dtype=np.int64)
-                        key = np.array([keys[p[0]] for p in pieces], dtype=np.int64)
-                        out += [pa.array(as_long(seg)), pa.array(key[piece]), pa.array(place(first + shift[piece], windows, x - first))]
-                    yield pa.RecordBatch.from_arrays(out, names=names)
+                keys, texts = part.column(0).to_pylist(), text_bytes(part)
+                for i, k in enumerate(keys):
+                    if k in seen:
+                        texts[i] = b""
+                    seen.add(k)
+                for data, pieces in buffers(texts):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows_of(data, pieces, keys, powers)], names=names)
 
     return keyed.select("k1", "text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
@@ -303,10 +324,9 @@ def contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
             for k1, text, runs in zip(b.column(0).to_pylist(), text_bytes(b), b.column(2)):
                 runs = runs.values
                 anchor, at, single = (runs.field(i) for i in range(3))
-                at = at.to_numpy()
-                s, n = at >> 16, (at >> 8) & 255
+                s, _, n, off = place_parts(at.to_numpy())
                 data = [text[i:i + m + LENGTH - 1] for i, m in zip(s.tolist(), n.tolist())]
-                yield pa.RecordBatch.from_arrays([anchor, pa.array([k1] * len(data), pa.int64()), pa.array(s), pa.array(at & 255), single, pa.array(data, pa.binary())],
+                yield pa.RecordBatch.from_arrays([anchor, pa.array([k1] * len(data), pa.int64()), pa.array(s), pa.array(off), single, pa.array(data, pa.binary())],
                                                  names=["anchor", "k1", "s", "off", "single", "bytes"])
 
     return texts.join(asked, "k1").mapInArrow(run, "anchor long, k1 long, s long, off long, single boolean, bytes binary")
@@ -314,11 +334,11 @@ def contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, wide: int = 20_000) -> DataFrame:
     """k1, s, n: n windows from byte s on repeat. docs: k1, text."""
-    often = run_rows(docs, False).groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
+    often = cut_lineage(run_rows(docs, False).groupBy("anchor").agg(F.sum("c").alias("c")).filter("c > 1").select("anchor"))
     runs = cut_lineage(run_rows(docs, True).join(often, "anchor"))
-    kinds = cut_lineage(runs.groupBy("anchor", "seg").agg(F.count("*").alias("c"), F.min(F.struct("k1", "place")).alias("one")))
-    whole = runs.join(kinds.filter("c > 1").select("anchor", "seg"), ["anchor", "seg"]).select(
-        "k1", F.shiftright("place", 16).alias("s"), F.shiftright("place", 8).bitwiseAND(255).alias("n"))
+    kinds = cut_lineage(runs.groupBy("anchor", "seg").agg(F.sum("c").alias("c"), F.min(F.struct("k1", "place")).alias("one")))
+    s, reps, n, _ = place_columns("place")
+    whole = runs.join(kinds.filter("c > 1").select("anchor", "seg"), ["anchor", "seg"]).select("k1", s.alias("s"), (reps * n).alias("n"))
     mixed = cut_lineage(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("c").alias("least")).filter("kinds > 1 and least = 1"))
     one = kinds.select("anchor", "one.k1", "one.place", (F.col("c") == 1).alias("single"))
     found = whole.unionByName(sorted_contexts(contexts(docs, one.join(mixed.filter(F.col("kinds") <= wide), "anchor"))))
@@ -330,8 +350,9 @@ def repeats(docs: DataFrame, wide: int = 20_000) -> DataFrame:
 
 def dedup(docs: DataFrame, wide: int = 20_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay) for every row of docs."""
-    keyed = row_key(docs.select("doc_id", "text")).select("doc_id", "k1", "text")
-    found = cut_lineage(repeats(keyed.select("k1", "text"), wide).groupBy("k1").agg(F.collect_set(F.struct("s", "n")).alias("found")))
+    keyed = small_batches(docs).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k1"), "text")
+    copies = keyed.groupBy("k1").agg(F.count("*").alias("c")).filter("c > 1").select("k1", F.lit(0).cast("long").alias("s"), F.lit(-1).cast("long").alias("n"))
+    found = cut_lineage(repeats(keyed.select("k1", "text"), wide).unionByName(copies).groupBy("k1").agg(F.collect_set(F.struct("s", "n")).alias("found")))
     bits = id_filter(found, "k1")
 
     def run(batches):
@@ -339,8 +360,10 @@ def dedup(docs: DataFrame, wide: int = 20_000) -> DataFrame:
             out = [[], [], [], [], []]
             for text, found in zip(text_bytes(b), b.column(2)):
                 spans = []
-                if found.is_valid and len(found.values):
-                    s, n = (found.values.field(i).to_numpy() for i in range(2))
+                s, n = (found.values.field(i).to_numpy() for i in range(2)) if found.is_valid else (np.zeros(0, dtype=np.int64),) * 2
+                if len(n) and n.min() < 0:
+                    spans = [(0, len(text))] if len(text) >= LENGTH else []
+                elif len(n):
                     gone = np.zeros(len(text) + 1, dtype=np.int32)
                     np.add.at(gone, s, 1)
                     np.add.at(gone, s + n + LENGTH - 1, -1)
