@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold
+from .common import fold, small_batches
 
 DIM = 4096
 SLICE = 1 << 20  # characters counted at a time
@@ -164,12 +164,12 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 def identify(docs: DataFrame, sample: int = 1500, clusters: int = 4) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected for every row of docs."""
-    docs = docs.select("doc_id", "text", "lang")
+    docs = small_batches(docs).select("doc_id", "text", "lang")
     model = fit(training_rows(docs), sample, clusters)
     return predict(docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "text"), model)
 
 
 def keep_known(docs: DataFrame, sample: int = 1500, clusters: int = 4) -> DataFrame:
     """The rows of docs that are not rejected, with their own columns."""
-    model = fit(training_rows(docs), sample, clusters)
+    model = fit(training_rows(small_batches(docs)), sample, clusters)
     return predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), model).filter(~F.col("rejected")).select("row.*")

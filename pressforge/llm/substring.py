@@ -22,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, mix64, row_key, text_bytes
+from pressforge.session import cut_lineage
+
+from .common import as_long, mix64, row_key, small_batches, text_bytes
 
 BOUNDARY = re.compile(rb"[.!?][\"')\]]*[\x20\x09-\x0D]+|\n")
 
@@ -71,10 +73,11 @@ def span_rows(docs: DataFrame, span: int, min_words: int) -> DataFrame:
 
 def dedup(docs: DataFrame, span: int = 2, min_words: int = 15) -> DataFrame:
     """doc_id, n_sentences, n_removed, clean_text for every row of docs."""
-    docs = docs.select("doc_id", "text")
+    docs = small_batches(docs).select("doc_id", "text")
     rows = span_rows(docs, span, min_words)
     place = F.struct("doc_id", "k1", "pos")
-    first = rows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").select("h", "first")
+    # a table of its own, so that the join below may split a hash that very many documents share
+    first = cut_lineage(rows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").select("h", "first"))
     gone = (rows.join(first, "h").filter(place != F.col("first")).groupBy("k1", "doc_id")
             .agg(F.sort_array(F.collect_set("pos")).alias("gone")).select("k1", F.col("doc_id").alias("of"), "gone"))
     keyed = row_key(docs).select("doc_id", "k1", "text")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, fold, mix64, text_bytes
+from .common import WordHashes, fold, mix64, small_batches, text_bytes
 
 BITS = 20
 SPAN = 1 << 18  # words hashed at a time
@@ -121,4 +121,4 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> DataFrame:
-    return score(docs, fit(docs, labels, sample))
+    return score(docs, fit(small_batches(docs), labels, sample))
