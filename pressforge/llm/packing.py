@@ -29,48 +29,69 @@ from pyspark.sql import functions as F
 
 from pressforge.session import cut_lineage
 
+from .common import small_batches
+
 CAPACITY = 2048
 BLOCKS = 1024
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def byte_letters() -> dict[int, str]:
+    """Byte -> the character a byte-level tokeniser writes for it: printable Latin-1 stands for
+    itself, the rest follow from code point 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
     The tokeniser never joins characters over white space, so each
     blank-separated word is encoded once and remembered (a bounded number of
     words). It lower-cases what it reads, so words differing in A-Z are one.
-    A text that may hold a special token's name goes to the tokeniser whole.
+    A word of Latin letters, with or without marks after it, goes straight to the
+    vocabulary's merges: its letters and its marks are one piece each for the
+    tokeniser, and its normalisation leaves them as they are. A text that may hold
+    a special token's name goes to the tokeniser whole.
     """
 
     LIMIT = 700_000
+    SIMPLE = "([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)"
 
     def __init__(self, path: str):
+        import re
+
         from tokenizers import Tokenizer
 
-        self.tok, self.known = Tokenizer.from_file(path), {}
+        self.tok, self.known, self.parts = Tokenizer.from_file(path), {}, {}
+        self.letters, self.simple = str.maketrans({chr(b): c for b, c in byte_letters().items()}), re.compile(self.SIMPLE).fullmatch
 
     def encode(self, texts: list[str]) -> list[bytes]:
         many = self.tok.encode_batch(texts, add_special_tokens=False)
         return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in many]
 
+    def part(self, s: str) -> bytes:
+        ids = self.parts.get(s)
+        if ids is None:
+            tokens = self.tok.model.tokenize(s.encode().decode("latin-1").translate(self.letters))
+            ids = self.parts[s] = b"".join(t.id.to_bytes(4, "little") for t in tokens)
+        return ids
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        known = self.known
+        known, other = self.known, []
         if len(known) > self.LIMIT:
             known.clear()
+            self.parts.clear()
         words = [None if b"<|" in t else t.lower().split() for t in texts]
-        new = {w for ws in words if ws is not None for w in ws if w not in known}
-        # a closing comma or stop is a token of its own after a letter or digit
-        ends = {e: x for e, x in zip(b",.", self.encode([",", "."]))} if new else {}
-        stems = {w[:-1] for w in new if len(w) > 1 and w[-1] in ends and w[-2:-1].isalnum()}
-        ask = [w for w in (new | stems) if w not in known and not (w[:-1] in stems and w[-1] in ends)]
-        known.update(zip(ask, self.encode([w.decode() for w in ask])))
-        for w in sorted(new, key=len):
-            if w not in known:
-                if w[:-1] not in known:
-                    known.update(zip([w[:-1]], self.encode([w[:-1].decode()])))
-                known[w] = known[w[:-1]] + ends[w[-1]]
+        for w in {w for ws in words if ws is not None for w in ws if w not in known}:
+            m = self.simple(w.decode().lower())
+            if m:
+                known[w] = self.part(m[1]) + (self.part(m[2]) if m[2] else b"")
+            else:
+                other.append(w)
+        known.update(zip(other, self.encode([w.decode() for w in other])))
         return [self.encode([t.decode()])[0] if ws is None else b"".join(map(known.__getitem__, ws))
                 for t, ws in zip(texts, words)]
 
@@ -169,7 +190,7 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int = CAPACITY) -> lis
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     cut = cut_lineage(pieces(docs, capacity, tokenizer))
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # <= capacity rows
     steps = spark.createDataFrame(best_fit_decreasing(counts, capacity),
