@@ -38,18 +38,35 @@ TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 
+BLOCK = 256
+
+
+def running(lens: Column, body) -> Column:
+    """Hands ``body`` a function i -> sum of lens[0..i], from sums of whole blocks and a rest, so
+    that the work stays in proportion to the array."""
+    def total(a: Column) -> Column:
+        return F.aggregate(a, F.lit(0), lambda x, y: x + y)
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(lens) - 1) / BLOCK).cast("int"))
+    sums = F.transform(blocks, lambda b: total(F.slice(lens, b * BLOCK + 1, F.lit(BLOCK))))
+    before = let(sums, lambda s: F.transform(s, lambda _, b: total(F.slice(s, F.lit(1), b))))
+    return let(before, lambda o: body(lambda i: F.get(o, F.floor(i / BLOCK).cast("int")) + total(
+        F.slice(lens, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK + 1))))
+
+
 def matches(text: Column, regex: str) -> Column:
-    """start, end, m of each match, left to right; null where there is none."""
+    """start, end, m, before, after of each match, left to right; null where there is none. before and
+    after: some of the text around, reaching into the neighbouring matches."""
     def placed(parts: Column) -> Column:
-        def walk(found: Column) -> Column:
-            def step(acc: Column, i: Column) -> Column:
-                start = acc["at"] + F.length(F.get(parts, i))
-                end = start + F.length(F.get(found, i))
-                one = F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("m"))
-                return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        def one(found: Column, m: Column, i: Column, end: Column) -> Column:
+            before = F.concat(F.when(i > 0, F.concat(F.substring(F.get(parts, i - 1), F.lit(-40), F.lit(40)), F.get(found, i - 1))).otherwise(F.lit("")), F.get(parts, i))
+            after = F.concat(F.substring(F.get(parts, i + 1), F.lit(1), F.lit(24)), F.coalesce(F.get(found, i + 1), F.lit("")))
+            return F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("m"), F.substring(before, F.lit(-40), F.lit(40)).alias("before"),
+                            F.substring(after, F.lit(1), F.lit(24)).alias("after"))
 
-            none = F.expr("cast(array() as array<struct<start: int, end: int, m: string>>)")
-            return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
+        def walk(found: Column) -> Column:
+            lens = F.transform(found, lambda m, i: F.length(F.get(parts, i)) + F.length(m))
+            return let(lens, lambda n: running(n, lambda end: F.transform(found, lambda m, i: one(found, m, i, end(i)))))
 
         return let(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), walk)
 
@@ -99,8 +116,8 @@ def instances(text: Column, base: Column) -> Column:
         start = s["start"] + head
         end = start + F.length(core)
         # a few characters around are enough for two words; a cut word still is a pattern
-        before = F.split(F.rtrim(F.substring(text, F.greatest(s["start"] - 40, F.lit(0)) + 1, F.least(s["start"], F.lit(40)))), r"[\x20\x09-\x0D]+")
-        after = F.split(F.ltrim(F.substring(text, s["end"] + 1, F.lit(24))), r"[\x20\x09-\x0D]+")
+        before = F.split(F.rtrim(s["before"]), r"[\x20\x09-\x0D]+")
+        after = F.split(F.ltrim(s["after"]), r"[\x20\x09-\x0D]+")
         shape = F.regexp_replace(F.regexp_replace(core, r"\p{L}+", "a"), "[0-9]+", "9")
         n = F.size(before)
         last, prior = word(F.get(before, n - 1)), word(F.coalesce(F.get(before, n - 2), F.lit("")))
