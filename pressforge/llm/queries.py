@@ -9,7 +9,7 @@ from .common import table
 from .oracle import ORACLE  # noqa: F401 - read by the entry module
 
 QUERIES = {
-    "op1_substring_dedup": lambda s, d: substring.dedup(table(s, d, "documents")),
+    "op1_substring_dedup": lambda s, d: substring.dedup(table(s, d, "documents"), stretch_words=15),
     "op2_quality_rules": lambda s, d: quality.clean(table(s, d, "documents")).drop("clean_text"),
     "op3_best_fit_packing": lambda s, d: packing.pack(table(s, d, "documents")),
     "op4_pii": lambda s, d: pii.report(table(s, d, "documents")),

@@ -8,6 +8,13 @@ sentences under every other place are removed.
 A text with fewer sentences than ``span`` is one run. Runs of fewer than
 ``min_words`` words are let be: such phrases recur by chance.
 
+With ``stretch_words`` every run is hashed, whatever its words, and the minimum is
+asked of the repeated stretch: runs that follow one another and repeat consecutive
+places of one earlier document (or go round in a list that repeats itself) count
+together. Between two parts of a stretch there may be runs that an even earlier
+document has. A sentence of ``stretch_words`` words is a span of its own, and so is
+a whole text: of one that repeats another sentence by sentence nothing stays.
+
 Edge cases: a null text counts as empty (clean text ""). Rows that repeat both
 doc_id and text are one document: all stay or lose the same. Null ids come first.
 Columns other than doc_id and text are not looked at.
@@ -26,7 +33,9 @@ from pressforge.session import cut_lineage
 
 from .common import as_long, mix64, row_key, small_batches, text_bytes
 
-BOUNDARY = re.compile(rb"[.!?][\"')\]]*[\x20\x09-\x0D]+|\n")
+CJK = "(?:{})(?:{})*".format("|".join("。！？｡"), "|".join("」』”’）】")).encode()  # no blank need follow these
+BOUNDARY = re.compile(rb"[.!?][\"')\]]*[\x20\x09-\x0D]+|\n|" + CJK + rb"[\x20\x09-\x0D]*")
+WHOLE, ALONE = -1, 1 << 30  # places of whole texts, and (added to the place) of single sentences
 
 
 def sentences(text: bytes) -> list[tuple[int, int, bytes, int]]:
@@ -40,7 +49,7 @@ def sentences(text: bytes) -> list[tuple[int, int, bytes, int]]:
     return out
 
 
-def runs(found: list, span: int, min_words: int):
+def runs(found: list, span: int, min_words: int, stretch_words: int | None = None):
     """Positions and hashes of the runs of a text's sentences."""
     import xxhash
 
@@ -53,17 +62,59 @@ def runs(found: list, span: int, min_words: int):
     total = np.zeros(n - k + 1, dtype=np.uint64)
     for j in range(k):
         total = mix64(total * np.uint64(0x9E3779B97F4A7C15) + h[j:n - k + 1 + j])
+    if stretch_words is not None:
+        alone = np.flatnonzero(np.diff(w) >= stretch_words)
+        whole = np.uint64(xxhash.xxh3_64_intdigest(b"whole" + h.tobytes()))
+        pos, total = (np.arange(len(total)), total) if n >= span else (np.zeros(0, dtype=np.int64), h[:0])
+        return (np.concatenate([[WHOLE], pos, alone + ALONE]).astype(np.int32),
+                np.concatenate([[whole], total, mix64(h[alone] + np.uint64(1))]).astype(np.uint64))
     long = np.flatnonzero(w[k:] - w[:-k] >= min_words)
     return long.astype(np.int32), total[long]
 
 
-def span_rows(docs: DataFrame, span: int, min_words: int) -> DataFrame:
+def stretches(found: list, pos: list, doc: list, first: list, span: int, least: int) -> set:
+    """Sentences to remove. The span at pos[i] (in order) has its first place first[i] of document
+    doc[i]; stretches of at least ``least`` words go."""
+    if pos and pos[0] == WHOLE:
+        return set(range(len(found)))
+    w = np.concatenate([[0], np.cumsum([s[3] for s in found])])
+    out, region, at = {p - ALONE for p in pos if p >= ALONE}, [], None
+
+    def close():
+        reach, chain, begin = {}, [], None  # (document, shift) -> first and last run; runs in a row
+        for p, d, f in region:
+            reach.setdefault((d, p - f), [p, p])[1] = p
+            if begin is not None and d == begin[0] and f in (last + 1, begin[1]):
+                chain[-1][1] = p
+            else:
+                chain.append([p, p])
+                begin = (d, f)
+            last = f
+        done = -1  # reaches may overlap; each sentence is put in once
+        for lo, hi in sorted([*reach.values(), *chain]):
+            if hi + span > done and w[hi + span] - w[lo] >= least:
+                out.update(range(max(lo, done), hi + span))
+                done = hi + span
+
+    for p, d, f in zip(pos, doc, first):
+        if p >= ALONE:
+            break
+        if region and p != at + 1:
+            close()
+            region = []
+        region.append((p, d, f))
+        at = p
+    close()
+    return out
+
+
+def span_rows(docs: DataFrame, span: int, min_words: int, stretch_words: int | None = None) -> DataFrame:
     """doc_id, k1, pos, h: one row per run."""
     def run(batches):
         for b in batches:
             ids, k1 = b.column(0), b.column(1)
             for at in range(0, b.num_rows, 512):
-                found = [runs(sentences(t), span, min_words) for t in text_bytes(b.slice(at, 512))]
+                found = [runs(sentences(t), span, min_words, stretch_words) for t in text_bytes(b.slice(at, 512))]
                 own = pa.array(np.repeat(np.arange(at, at + len(found)), [len(p) for p, _ in found]))
                 yield pa.RecordBatch.from_arrays([ids.take(own), k1.take(own), pa.array(np.concatenate([p for p, _ in found])),
                                                   pa.array(as_long(np.concatenate([h for _, h in found])))], names=["doc_id", "k1", "pos", "h"])
@@ -71,24 +122,30 @@ def span_rows(docs: DataFrame, span: int, min_words: int) -> DataFrame:
     return row_key(docs).select("doc_id", "k1", "text").mapInArrow(run, "doc_id long, k1 long, pos int, h long")
 
 
-def dedup(docs: DataFrame, span: int = 2, min_words: int = 15) -> DataFrame:
-    """doc_id, n_sentences, n_removed, clean_text for every row of docs."""
+def dedup(docs: DataFrame, span: int = 2, min_words: int = 15, stretch_words: int | None = None) -> DataFrame:
+    """doc_id, n_sentences, n_removed, clean_text for every row of docs. With ``stretch_words``,
+    ``min_words`` isn't looked at."""
     docs = small_batches(docs).select("doc_id", "text")
-    rows = span_rows(docs, span, min_words)
+    rows = span_rows(docs, span, min_words, stretch_words)
     place = F.struct("doc_id", "k1", "pos")
     # a table of its own, so that the join below may split a hash that very many documents share
     first = cut_lineage(rows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").select("h", "first"))
     gone = (rows.join(first, "h").filter(place != F.col("first")).groupBy("k1", "doc_id")
-            .agg(F.sort_array(F.collect_set("pos")).alias("gone")).select("k1", F.col("doc_id").alias("of"), "gone"))
+            .agg(F.sort_array(F.collect_set(F.struct("pos", F.col("first.k1").alias("doc"), F.col("first.pos").alias("at")))).alias("gone"))
+            .select("k1", F.col("doc_id").alias("of"), "gone"))
     keyed = row_key(docs).select("doc_id", "k1", "text")
     joined = keyed.join(gone, (keyed.k1 == gone.k1) & keyed.doc_id.eqNullSafe(gone.of), "left").select("doc_id", "text", "gone")
 
     def cut(batches):
         for b in batches:
             total, lost, texts = [], [], []
-            for t, gone in zip(text_bytes(b), b.column(2).to_pylist()):
+            for t, gone in zip(text_bytes(b), b.column(2)):
                 found = sentences(t)
-                under = sorted({p + j for p in gone or [] for j in range(span) if p + j < len(found)})
+                pos, doc, first = (gone.values.field(i).to_pylist() for i in range(3)) if gone.is_valid else ((), (), ())
+                if stretch_words is None:
+                    under = sorted({p + j for p in pos for j in range(span) if p + j < len(found)})
+                else:
+                    under = sorted(stretches(found, pos, doc, first, span, stretch_words)) if pos else []
                 at, kept = 0, []
                 for i in under:
                     kept.append(t[at:found[i][0]])

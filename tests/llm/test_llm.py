@@ -291,6 +291,32 @@ def test_substring(docs, rows):
             (t or "").encode()[a:b] for j, (a, b) in enumerate((s[0], s[1]) for s in found) if j not in gone) or len(found) != len(got[i].clean_text)
 
 
+def test_substring_stretches(spark):
+    """The query's way: short sentences repeat as a stretch, a copy loses all, chance pairs stay."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+
+    def short(n):
+        return [" ".join(rng.choice(words) for _ in range(5)) + "." for _ in range(n)]
+
+    a, b, lone, item = short(8), short(3), " ".join(words[:20]) + ".", ["Buy now.", "Call us.", "Read on."]
+    chance = ["Yes.", "No."]
+    texts = [(1, " ".join([*short(2), *a, *short(2)])), (2, " ".join([*a[2:4], *short(3)])), (3, " ".join([*short(1), *a, *chance, *short(1)])),
+             (4, " ".join([*short(2), lone, *short(2)])), (5, " ".join([*short(1), lone, *short(1)])), (6, " ".join([*short(1), *chance, *short(1)])),
+             (7, "Hi. Ho."), (8, "hi. ho."), (9, " ".join(item * 6)), (10, " ".join([*short(1), *b, *short(1)])),
+             (11, "これは長い文です。もう一つの文です。" + " ".join(words[30:50])), (12, "別の始まり。これは長い文です。もう一つの文です。" + " ".join(words[30:50]))]
+    texts += [(20 + i, " ".join(a[i:i + 2])) for i in range(0, 8, 4)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = by_id(substring.dedup(df, stretch_words=15))
+    assert got[1].n_removed == 0 and got[2].n_removed == 0 and got[10].n_removed == 0
+    assert (got[3].n_sentences, got[3].n_removed) == (12, 8) and "Yes. No." in got[3].clean_text
+    assert (got[5].n_removed, got[6].n_removed, got[7].n_removed, got[8].n_removed, got[8].clean_text) == (1, 0, 0, 2, "")
+    assert got[9].n_removed == 15 and got[9].clean_text.split() == " ".join(item).split()
+    assert (got[12].n_sentences, got[12].clean_text) == (4, "別の始まり。")
+    assert substring.dedup(df).filter("doc_id = 3 and n_removed = 0").count() == 1  # runs of ten words, under the minimum of the default
+    assert queries.QUERIES["op1_substring_dedup"](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
 def test_packing(docs, rows):
     import public_tokenizers
     from tokenizers import Tokenizer
