@@ -3,7 +3,7 @@
 A text becomes the TF-IDF vector of its character 1- to 3-grams, hashed into
 DIM buckets and normalised. Document frequencies come from every training row.
 Each language's centroids are a spherical k-means over a bounded sample of its
-rows (``sample`` per language). A text gets the language of the centroid with
+distinct texts (``sample`` per language). A text gets the language of the centroid with
 the highest cosine; one whose distance from it is far beyond that of training
 texts of similar length is marked ``rejected``.
 
@@ -91,17 +91,17 @@ def document_frequencies(train: DataFrame) -> tuple[int, np.ndarray]:
 def fit(train: DataFrame, sample: int = 1500, clusters: int = 4, rounds: int = 8) -> dict | None:
     """train: text, lang (neither null). The model is bounded: at most MAX_LANGS
     languages, ``clusters`` vectors of DIM floats each."""
-    langs = {r.lang: r.n for r in train.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
+    hashed = train.select("lang", "text", F.xxhash64("text").alias("h"))
+    langs = {r.lang: r.n for r in hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
     if not langs:
         return None
     if len(langs) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     n, df = document_frequencies(train)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    # about 1.3 * sample rows of each language, by a hash of the text; copies count once
+    # about 1.3 * sample distinct texts of each language, by their hash; all of them where there are fewer
     rate = F.create_map(*[F.lit(x) for k, v in langs.items() for x in (k, int(min(1.0, 1.3 * sample / v) * (1 << 30)))])
-    chosen = (train.select("lang", "text", F.xxhash64("text").alias("h"))
-              .filter(F.pmod("h", F.lit(1 << 30)) < rate[F.col("lang")])
+    chosen = (hashed.filter(F.pmod("h", F.lit(1 << 30)) < rate[F.col("lang")])
               .groupBy("lang", "h").agg(F.first("text").alias("text")))
 
     def centroids(pdf):

@@ -371,6 +371,15 @@ def test_language_id(spark):
     assert all(0 <= r.score <= 1 for r in got) and np.mean([r.rejected for r in got]) < 0.01
 
 
+def test_language_of_many_copies(spark):
+    """The sample is drawn from the distinct texts, so copies don't thin it out."""
+    one = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("the quick brown fox and the lazy dog").alias("text"), F.lit("en").alias("lang"))
+    assert {(r.lang_pred, r.rejected) for r in langid.identify(one).select("lang_pred", "rejected").distinct().collect()} == {("en", False)}
+    few = spark.createDataFrame([(50_000 + i, f"der schnelle braune Fuchs und ein fauler Hund Nummer {chr(97 + i)}", "de") for i in range(20)], "doc_id long, text string, lang string")
+    got = langid.identify(one.union(few)).groupBy("lang_pred").count().collect()
+    assert {r.lang_pred: r["count"] for r in got} == {"en": 40_000, "de": 20}
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.classify(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").filter("held_out").collect()
