@@ -72,6 +72,24 @@ def band(counts: np.ndarray) -> int:
     return int(counts.sum()).bit_length()
 
 
+ENOUGH, MARGIN = 20, 0.6  # texts that a length band's threshold needs; its part of their lowest cosine
+
+
+def thresholds(cos: np.ndarray, bands: np.ndarray) -> list[float]:
+    """Least cosine of each length band: the lowest of its training texts, less a margin. A band with
+    too few looks at its neighbours too. Longer texts only get closer to their centroid; cosines
+    taken from longer ones are lowered by the square root of the length. A language with fewer than
+    ENOUGH texts rejects nothing."""
+    if len(cos) < ENOUGH:
+        return [0.0] * 64
+    low = []
+    for j in range(64):
+        away = np.abs(bands - j)
+        near = away <= np.sort(away)[ENOUGH - 1]
+        low.append(float((cos[near] * 2.0 ** (-0.5 * np.maximum(0, bands[near] - j))).min() * MARGIN))
+    return low
+
+
 def document_frequencies(train: DataFrame) -> tuple[int, np.ndarray]:
     """Rows, and rows with each gram bucket, over all training texts (DIM + 1 numbers)."""
     def count(batches):
@@ -119,8 +137,7 @@ def fit(train: DataFrame, sample: int = 1500, clusters: int = 4, rounds: int = 8
             c = np.stack([x[own == j].mean(axis=0) if (own == j).any() else c[j] for j in range(k)])
             c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
         cos, bands = (x @ c.T).max(axis=1), np.array([band(t) for t in counts])
-        # lowest cosine of a band with enough texts, less a margin; other bands reject nothing
-        low = [float(cos[bands == j].min() * 0.6) if (bands == j).sum() >= 20 else 0.0 for j in range(64)]
+        low = thresholds(cos, bands)
         return __import__("pandas").DataFrame({"lang": [pdf["lang"].iloc[0]], "c": [c.astype(np.float32).tobytes()], "low": [low]})
 
     rows = sorted(chosen.groupBy("lang").applyInPandas(centroids, "lang string, c binary, low array<double>").collect(),

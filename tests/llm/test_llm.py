@@ -380,6 +380,21 @@ def test_language_of_many_copies(spark):
     assert {r.lang_pred: r["count"] for r in got} == {"en": 40_000, "de": 20}
 
 
+def test_language_rejection_at_any_length(spark):
+    """Lengths that few training texts have get a threshold from their neighbours."""
+    bands, cos = np.array([6] * 30 + [9] * 40 + [12] * 3), np.array([0.4] * 30 + [0.6] * 40 + [0.7] * 3)
+    low = langid.thresholds(cos, bands)
+    assert math.isclose(low[6], 0.24) and math.isclose(low[9], 0.36) and all(x >= 0.36 for x in low[12:])
+    assert 0 < low[2] < low[4] < low[6] and langid.thresholds(cos[:19], bands[:19]) == [0.0] * 64
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(11)
+    foreign = [(10**9 + i, " ".join("".join(rng.choice("абвгдежзийклмнопрстуфхцчшщыьэюя") for _ in range(rng.randint(2, 9))) for _ in range(n)), None)
+               for i, n in enumerate((60, 600, 3000, 12000))]
+    got = langid.keep_known(docs.unionByName(spark.createDataFrame(foreign, docs.schema)))
+    n = docs.filter("text rlike '[a-zA-Z]'").count()
+    assert got.filter("doc_id >= 1000000000").count() == 0 and got.count() > 0.99 * n
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.classify(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").filter("held_out").collect()
