@@ -5,7 +5,8 @@ also the seeds of a bootstrap. Every token with a digit or an @ is an instance;
 the words around it are its patterns ("two words before", "one word before and
 one after", each with the token's shape). Instances and patterns form a bipartite
 graph, over which scores go back and forth for a few rounds: a pattern is worth
-the mean score of its distinct instances, lowered when few seeds support it; an
+the mean score of its distinct instances, lowered when they are few, and needs
+``support`` of them that are seeds or, after the first round, well scored; an
 instance is worth 1 if a seed, else the noisy-or of its good patterns. Tokens in
 patterns of at least ``threshold`` are reported as kind ``id``.
 
@@ -35,6 +36,10 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+# digit groups with a space between them are one token, up to a group that a comma or the like ends;
+# an IP address is a token of its own
+GROUP = r"[+(]*+[0-9][0-9()./-]*+"
+GROUPED = rf"(?<![^\x20\x09-\x0D]){GROUP}(?:\x20(?![0-9]++\.[0-9]++\.[0-9]++\.[0-9]){GROUP}(?![^\x20\x09-\x0D,;:!?'\"]))++[^\x20\x09-\x0D]*+"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 
@@ -118,15 +123,17 @@ def instances(text: Column, base: Column) -> Column:
         # a few characters around are enough for two words; a cut word still is a pattern
         before = F.split(F.rtrim(s["before"]), r"[\x20\x09-\x0D]+")
         after = F.split(F.ltrim(s["after"]), r"[\x20\x09-\x0D]+")
-        shape = F.regexp_replace(F.regexp_replace(core, r"\p{L}+", "a"), "[0-9]+", "9")
+        shape = F.when(core.contains("@"), "@").otherwise(F.regexp_replace(F.regexp_replace(core, r"\p{L}+", "a"), "[0-9]+", "9"))
         n = F.size(before)
         last, prior = word(F.get(before, n - 1)), word(F.coalesce(F.get(before, n - 2), F.lit("")))
         patterns = F.array(F.concat_ws(" ", F.lit("2"), prior, last, shape), F.concat_ws(" ", F.lit("1"), last, shape, word(F.get(after, F.lit(0)))))
+        # groups are context to each other
+        patterns = F.when(core.contains(" "), F.concat(patterns, F.array(F.concat_ws(" ", F.lit("3"), shape)))).otherwise(patterns)
         seed = F.exists(base, lambda b: (b["start"] < end) & (b["end"] > start))
         return F.struct(start.alias("start"), end.alias("end"), core.alias("token"), seed.alias("seed"), patterns.alias("patterns"))
 
-    found = F.transform(matches(text, TOKEN), one)
-    return F.filter(found, lambda x: F.length(digits(x["token"])) >= 4)
+    found = F.transform(matches(text, f"{GROUPED}|{TOKEN}"), one)
+    return F.filter(found, lambda x: x["token"].rlike("[0-9@]"))
 
 
 def good_patterns(inst: DataFrame, rounds: int = 3, support: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -136,8 +143,8 @@ def good_patterns(inst: DataFrame, rounds: int = 3, support: int = 5, threshold:
     scored = edges.withColumn("v", F.col("seed").cast("double"))
     for r in range(rounds):
         mass, n = F.sum("v"), F.count("*")
-        patterns = (scored.groupBy("p").agg((mass / (n + 1)).alias("w"), F.sum("seed").alias("seeds"))
-                    .filter((F.col("seeds") >= support) & (F.col("w") >= threshold)).select("p", "w"))
+        patterns = (scored.groupBy("p").agg((mass / (n + 1)).alias("w"), F.sum((F.col("v") >= threshold).cast("int")).alias("sure"))
+                    .filter((F.col("sure") >= support) & (F.col("w") >= threshold)).select("p", "w"))
         if r + 1 < rounds:
             worth = (edges.join(patterns, "p").groupBy("i").agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("w"), F.lit(0.999)))))).alias("x")))
             scored = (edges.join(worth, "i", "left").select("p", "i", "seed", F.greatest(F.col("seed").cast("double"), F.coalesce("x", F.lit(0.0))).alias("v")))

@@ -164,6 +164,27 @@ def test_pii_bootstrap_finds_new_formats(spark):
     assert got[40].spans == "id:22:36" and got[41].spans == ""
 
 
+def test_pii_every_token_is_an_instance(spark):
+    """Addresses without four digits are seeds and are found; so are numbers written in groups, as a whole."""
+    name = [a + b for a in "abcdefgh" for b in "klmnopq"]
+    texts = [f"please send mail to {n}@{n}.org before noon" for n in name[:40]] + ["please send mail to someone@localhost before noon"]
+    texts += [f"you can reach me under +1 555 010 {1000 + i} all day" for i in range(40)] + ["you can reach me under +1 (171) 55, all day"]
+    texts += [f"my line is +1 5{i} 010 {1000 + i} or so" for i in range(10, 50)] + ["my line is +1 23 456 78 or so", "in 1999 there were 3 of 12 500 left"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, n = by_id(pii.report(df)), len(texts)
+    assert got[40].spans == "id:20:37" and got[n - 1].spans == ""
+    assert got[n - 2].spans == "id:11:23"
+    clean = {r.doc_id: r.text for r in pii.redact(df.withColumn("n_chars", F.length("text"))).collect()}
+    assert clean[n - 2] == "my line is [id] or so" and clean[40] == "please send mail to [id] before noon"
+
+
+def test_pii_discovered_instances_support(spark):
+    """Tokens found in one pattern carry a pattern of their own."""
+    edges = [(f"s{i}", True, ["a"]) for i in range(60)] + [(f"d{i}", False, ["a", "b"]) for i in range(6)] + [(f"x{i}", False, ["c"]) for i in range(6)]
+    good = pii.good_patterns(spark.createDataFrame(edges, "token string, seed boolean, patterns array<string>"), threshold=0.7)
+    assert {r.p for r in good.collect()} == {"a", "b"}
+
+
 def test_leaks(spark, docs, rows):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     listed = [(r.item_id, r.text) for r in items.collect()]
