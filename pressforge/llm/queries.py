@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontam, langid, lm, ngram_join, packing, pii, quality, substring, suffix, toxicity
+from . import centroids, chat, decontam, divergence, langid, lm, ngram_join, packing, pii, quality, substring, suffix, toxicity
 from .common import table
 from .oracle import ORACLE  # noqa: F401 - read by the entry module
 
@@ -19,5 +19,8 @@ QUERIES = {
     "op8_suffix_dedup": lambda s, d: suffix.dedup(table(s, d, "documents")).drop("kept"),
     "op9_decontamination": lambda s, d: decontam.report(table(s, d, "documents"), table(s, d, "benchmark")),
     "op10_ngram_jaccard": lambda s, d: ngram_join.join(table(s, d, "documents")),
+    "op11_chat_format": lambda s, d: chat.formatted(table(s, d, "conversations")),
+    "op12_centroid_clustering": lambda s, d: centroids.digests(table(s, d, "embeddings")),
+    "op13_source_divergence": lambda s, d: divergence.audit(table(s, d, "documents")),
     "pipeline": corpus_pipeline.run,
 }
