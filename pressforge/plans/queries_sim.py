@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import similarity as S
+from ..operators import similarity as S, topk
 from .registry import register
 from .views import table
 
@@ -53,3 +53,14 @@ def q_similarity_classifier(spark, sf_dir):
     r = S.threshold_classifier(F.col("c"))
     return p.select(F.col("pair_id").alias("id"), r["label"].alias("label"), F.round(r["confidence"], 6).alias("confidence"),
                     r["manipulation_type"].alias("manipulation_type"))
+
+
+@register("background_topk",
+          "SELECT query, cast(rank AS INTEGER) AS rank, neighbour, round(s, 6) AS score FROM (SELECT query, neighbour, s, "
+          "row_number() OVER (PARTITION BY query ORDER BY s DESC, neighbour) AS rank FROM (SELECT q.vec_id AS query, e.vec_id AS neighbour, "
+          f"round({_cos_sql('q.embedding', 'e.embedding')}, 9) AS s FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 20 = 0)) WHERE rank <= 10")
+def q_background_topk(spark, sf_dir):
+    """The ten nearest backgrounds of every twentieth vector, among all vectors, exactly."""
+    e = table(spark, sf_dir, "embeddings")
+    found = topk.background_topk(e, e.filter(F.col("vec_id") % 20 == 0))
+    return found.withColumn("score", F.round("score", 6))
