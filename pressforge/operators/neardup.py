@@ -80,6 +80,14 @@ def _keyed(hv: DataFrame, col: str, masks: list[int], sfx: str) -> DataFrame:
         col, F.col("_ck.c").alias(f"c{sfx}"), F.col("_ck.k").alias(f"k{sfx}"))
 
 
+def band_keys(df: DataFrame, col: str, k: int = V.PHASH_DISTANCE_MAX, bands: int = BANDS) -> DataFrame:
+    """h, k: the 64-bit keys under which a near hash can be found, for every distinct hash of ``df``.
+    Hashes within distance ``k`` share at least one."""
+    hv = df.select(F.col(col).alias("h")).where(F.col("h").isNotNull()).distinct()
+    keys = F.array(*[F.xxhash64(F.lit(i), F.col("h").bitwiseAND(F.lit(m))) for i, m in enumerate(combo_masks(k, bands))])
+    return hv.select("h", F.explode(keys).alias("k"))
+
+
 def _first_combo(x: Column, masks: list[int]) -> Column:
     """Index of the first band combination on which the two hashes agree."""
     e = None

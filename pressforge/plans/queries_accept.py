@@ -8,6 +8,8 @@ shot crop of the kept images' faces -> sample records with their remapped boxes.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from .. import vocab as V
@@ -17,8 +19,9 @@ from ..operators.captions import with_captions
 from ..operators.dedup import greedy_keep
 from ..operators.neardup import near_pairs, neighbour_edges
 from ..operators.quota import quota_fill
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_dir
 from ..sources.sinks import image_path, make_records
+from ..streaming import incremental as INC
 from . import oracle as O
 from . import sqlgen as Q
 from .pipeline import goals_of, records_as_text
@@ -46,28 +49,62 @@ _HASH_SQL = (f"SELECT o_orderkey AS id, xor(h, CASE WHEN {Q.uniform(SEED, 'o_ord
              f"FROM orders LEFT JOIN ({V_HASH_SQL}) v ON o_orderkey % (SELECT count(*) FROM embeddings) = vec_id")
 
 
-def accept_batch(spark, sf_dir, seed=SEED, goals=None):
-    nf = G.normalize_boxes(v_face(spark, sf_dir))
-    counted = G.face_count_gate(v_images(spark, sf_dir), nf)
+def passing_images(images, faces, words):
+    """img of the images that pass the gates, and their normalised faces: 1-3 faces, a good best
+    face, and no readable word left after scrubbing (one on a protected face box stays)."""
+    nf = G.normalize_boxes(faces)
+    counted = G.face_count_gate(images, nf)
     gated = nf.join(counted.select("img"), "img", "left_semi")
-    good = G.face_quality_gate(gated).filter(F.col("passes")).select(F.col("img").alias("id"))
-    job = v_job(spark, sf_dir, seed)
-    left = G.still_readable(v_images(spark, sf_dir), v_word(spark, sf_dir), G.union_crop(gated, expand=2.0))
-    clean = left.filter(~F.col("still_readable")).select(F.col("img").alias("id"))
-    jobs = job.join(good, "id", "left_semi").join(clean, "id", "left_semi")
-    caps = with_captions(jobs, seed).select("id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls", "shot")
-    caps = cut_lineage(caps.join(v_image_hash(spark, sf_dir, seed), "id"))
-    edges = neighbour_edges(near_pairs(caps))
-    kept = greedy_keep(caps, "accept_order", [("h", edges), ("text", None)]).filter("kept").drop("kept", "h")
-    kept = cut_lineage(quota_fill(kept, goals or goals_of(job)))
-    # only what the quota keeps is cropped
+    good = G.face_quality_gate(gated).filter(F.col("passes")).select("img")
+    left = G.still_readable(images, words, G.union_crop(gated, expand=2.0))
+    clean = left.filter(~F.col("still_readable")).select("img")
+    return good.join(clean, "img", "left_semi"), gated
+
+
+def with_crops(kept, gated, seed=SEED):
+    """Sample records of the kept rows, with the crop of their shot and the faces mapped into it."""
     shots = kept.select(F.col("id").alias("img"), "shot")
     boxes = G.shot_crop(gated.join(shots.select("img"), "img", "left_semi"), shots)
     per_img = boxes.groupBy("img").agg(F.sort_array(F.collect_list(F.struct(
         "ix", "ix2", "ix3", F.array(*[F.col(c).cast("int") for c in ("bx1", "by1", "bx2", "by2")]).alias("b")))).alias("_bs"))
     per_img = per_img.select(F.col("img").alias("id"), F.transform("_bs", lambda s: s["b"]).alias("mtcnn_boxes"))
-    rec = kept.join(per_img, "id", "left").withColumn("image", image_path(F.col("bucket"), F.col("id"), seed))
-    return make_records(rec)
+    return make_records(kept.join(per_img, "id", "left").withColumn("image", image_path(F.col("bucket"), F.col("id"), seed)))
+
+
+CANDIDATE = ["id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls", "shot"]
+
+
+def accept_batch(spark, sf_dir, seed=SEED, goals=None):
+    passing, gated = passing_images(v_images(spark, sf_dir), v_face(spark, sf_dir), v_word(spark, sf_dir))
+    job = v_job(spark, sf_dir, seed)
+    jobs = job.join(passing.withColumnRenamed("img", "id"), "id", "left_semi")
+    caps = with_captions(jobs, seed).select(*CANDIDATE)
+    caps = cut_lineage(caps.join(v_image_hash(spark, sf_dir, seed), "id"))
+    edges = neighbour_edges(near_pairs(caps))
+    kept = greedy_keep(caps, "accept_order", [("h", edges), ("text", None)]).filter("kept").drop("kept", "h")
+    kept = cut_lineage(quota_fill(kept, goals or goals_of(job)))
+    return with_crops(kept, gated, seed)  # only what the quota keeps is cropped
+
+
+def v_candidates(spark, sf_dir, seed=SEED):
+    """What arrives at the accept loop: a caption with the fingerprint of its image, and what the
+    detectors found in it (faces, words), so that a batch needs nothing but its own rows."""
+    f, w = v_face(spark, sf_dir), v_word(spark, sf_dir)
+    faces = f.groupBy("img").agg(F.collect_list(F.struct(*[c for c in f.columns if c != "img"])).alias("faces"))
+    words = w.groupBy("img").agg(F.collect_list(F.struct(*[c for c in w.columns if c != "img"])).alias("words"))
+    caps = with_captions(v_job(spark, sf_dir, seed), seed).select(*CANDIDATE).join(v_image_hash(spark, sf_dir, seed), "id")
+    return caps.join(faces.withColumnRenamed("img", "id"), "id", "left").join(words.withColumnRenamed("img", "id"), "id", "left")
+
+
+def detections(df, name):
+    """The faces or words of candidates as rows."""
+    return df.select(F.col("id").alias("img"), F.inline(name))
+
+
+def gates(df):
+    """The rows of a batch whose images pass, without their words."""
+    passing, _ = passing_images(df.select(F.col("id").alias("img")), detections(df, "faces"), detections(df, "words"))
+    return df.drop("words").join(passing.withColumnRenamed("img", "id"), "id", "left_semi")
 
 
 _GOOD = (f"SELECT img FROM ({GATED_SQL}) QUALIFY row_number() OVER (PARTITION BY img ORDER BY prob DESC, ix, ix2, ix3) = 1 "
@@ -95,3 +132,54 @@ def q_accept_batch(spark, sf_dir):
     """The accept loop end to end as one batch plan (gates, captions, dedup,
     quota, crop boxes, records)."""
     return records_as_text(accept_batch(spark, sf_dir))
+
+
+@register("stream_accept_gated", ACCEPT_SQL)
+def q_stream_accept_gated(spark, sf_dir):
+    """M1 whole: the accept loop as a stream with all gates (faces, text, near image, caption,
+    quota); equals the batch plan."""
+    work = scratch_dir(spark, "gated")
+    src = os.path.join(work, "src")
+    c = v_candidates(spark, sf_dir)
+    INC.stage_in_order(c, src, "accept_order", 4)
+    INC.run_accept(spark, src, c.schema, work, goals_of(v_job(spark, sf_dir)), gates=gates, hash_col="h")
+    kept = INC.accepted(spark, work)
+    return records_as_text(with_crops(kept.drop("faces"), G.normalize_boxes(detections(kept, "faces"))))
+
+
+def accept_funnel(spark, sf_dir, seed=SEED):
+    """id, reason for every candidate: the first gate of the accept loop that it fails, in the
+    loop's order, with the loop's own gates; ``passed`` rows go on to the quota."""
+    images, faces, words = v_images(spark, sf_dir), v_face(spark, sf_dir), v_word(spark, sf_dir)
+    nf = G.normalize_boxes(faces)
+    counted = G.face_count_gate(images, nf).select(F.col("img").alias("id"), F.lit(True).alias("counted"))
+    gated = nf.join(counted.withColumnRenamed("id", "img"), "img", "left_semi")
+    good = G.face_quality_gate(gated).filter("passes").select(F.col("img").alias("id"), F.lit(True).alias("good"))
+    left = G.still_readable(images, words, G.union_crop(gated, expand=2.0)).filter("still_readable").select(F.col("img").alias("id"), F.lit(True).alias("readable"))
+    caps = with_captions(v_job(spark, sf_dir, seed), seed).select("id", "accept_order", "text")
+    d = caps.join(counted, "id", "left").join(good, "id", "left").join(left, "id", "left")
+    early = F.when(F.col("counted").isNull(), "face_count").when(F.col("good").isNull(), "face_quality").when(F.col("readable").isNotNull(), "residual_text")
+    d = cut_lineage(d.withColumn("reason", early).drop("counted", "good", "readable").join(v_image_hash(spark, sf_dir, seed), "id"))
+    clean = d.filter("reason is null").drop("reason")
+    edges = cut_lineage(neighbour_edges(near_pairs(clean)))
+    judged = cut_lineage(greedy_keep(clean, "accept_order", [("h", edges), ("text", None)]).select("id", "accept_order", "h", "kept"))
+    first = judged.filter("kept").groupBy("h").agg(F.min("accept_order").alias("first"))
+    near = first.unionByName(edges.join(first.withColumnRenamed("h", "b"), "b").select(F.col("a").alias("h"), "first")).groupBy("h").agg(F.min("first").alias("first"))
+    late = judged.join(near, "h", "left").select("id", F.when(F.col("kept"), "passed").when(F.col("first") < F.col("accept_order"), "near_image").otherwise("same_caption").alias("reason"))
+    return d.filter("reason is not null").select("id", "reason").unionByName(late)
+
+
+_CAPTIONED = f"SELECT * FROM ({O.captions_sql(O.v_job_sql())}) JOIN ({_HASH_SQL}) USING (id)"
+_EARLY = (f"SELECT id, accept_order, text, h, CASE WHEN id NOT IN (SELECT img FROM ({GATED_SQL})) THEN 'face_count' WHEN id NOT IN ({_GOOD}) THEN 'face_quality' "
+          f"WHEN id IN (SELECT img FROM ({_HITS_SQL})) THEN 'residual_text' END AS reason FROM ({_CAPTIONED})")
+_FUNNEL_DEDUP = greedy_sql("*", f"bit_count(xor(a.h, b.h)) <= {V.PHASH_DISTANCE_MAX} OR a.text = b.text", 16, "SELECT * EXCLUDE (reason) FROM early WHERE reason IS NULL")
+
+
+@register("accept_funnel",
+          f"WITH early AS MATERIALIZED ({_EARLY}), kept AS MATERIALIZED ({_FUNNEL_DEDUP}) "
+          f"SELECT reason, count(*) AS n FROM (SELECT CASE WHEN reason IS NOT NULL THEN reason WHEN id IN (SELECT id FROM kept) THEN 'passed' "
+          f"WHEN EXISTS (SELECT 1 FROM kept k WHERE k.accept_order < e.accept_order AND bit_count(xor(k.h, e.h)) <= {V.PHASH_DISTANCE_MAX}) THEN 'near_image' "
+          f"ELSE 'same_caption' END AS reason FROM early e) GROUP BY reason")
+def q_accept_funnel(spark, sf_dir):
+    """Candidates by the first gate of the accept loop that they fail, near images included."""
+    return accept_funnel(spark, sf_dir).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from .. import vocab as V
 from ..operators import captions as CAP
 from ..sources import readers as RD
 from ..sources import sinks as SK
@@ -61,6 +62,20 @@ def q_stream_resume(spark, sf_dir):
     return _records(INC.accepted(spark, work))
 
 
+@register("snapshot_at",
+          f"WITH r AS ({FLAGSHIP_SQL}), a AS (SELECT id, row_number() OVER (ORDER BY id) AS arrival FROM r) "
+          f"SELECT arrival // {V.SNAP_EVERY} AS version, arrival AS rows, cast(total AS BIGINT) AS total FROM (SELECT arrival, sum(id) OVER (ORDER BY arrival) AS total FROM a) WHERE arrival % {V.SNAP_EVERY} = 0")
+def q_snapshot_at(spark, sf_dir):
+    """M4 / H5: every snapshot that a run of the accept loop logged, with its rows and the sum of
+    their ids, read back by arrival ranges."""
+    work = scratch_dir(spark, "snapshots")
+    src = os.path.join(work, "src")
+    c = _candidates(spark, sf_dir)
+    INC.stage_in_order(c, src, "accept_order", 4)
+    INC.run_accept(spark, src, c.schema, work, goals_of(v_job(spark, sf_dir)))
+    return INC.snapshot_totals(spark, work, "id")
+
+
 @register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def q_stream_dedup(spark, sf_dir):
     """M2: streaming exact dedup on (user_id, event_type) over events files."""
