@@ -88,6 +88,9 @@ def bucket_assign(jobs: DataFrame, remainders: dict[str, int], seed, order_col:
     order = list(buckets or V.BUCKETS)
     live = [(b, int(n)) for b, n in remainders.items() if int(n) > 0]
     total = sum(n for _, n in live)
+    base = jobs.drop("bucket") if "bucket" in jobs.columns else jobs
+    if not total:  # every quota is met
+        return base.withColumns({"job_rank": F.lit(0).cast("bigint"), "bucket": F.lit(None).cast("string")}).limit(0)
     # distributed slot generation: one range, cut into per-bucket intervals
     bucket, bix, start, acc = None, None, None, 0
     for b, n in live:
@@ -101,6 +104,5 @@ def bucket_assign(jobs: DataFrame, remainders: dict[str, int], seed, order_col:
     key = draw(seed, F.concat_ws(":", F.col("bucket"), F.col("slot").cast("string")), "slot")
     slots = slots.withColumn("_ord", key)
     slots = ordered_rank(slots, "_ord", None, out="_srank", bits=12, tiebreak=["bix", "slot"]).select("bucket", "_srank")
-    base = jobs.drop("bucket") if "bucket" in jobs.columns else jobs
     j = ordered_rank(base, order_col, None, out="job_rank", bits=DENSE_BITS)
     return j.join(slots, j["job_rank"] == slots["_srank"]).drop("_srank")

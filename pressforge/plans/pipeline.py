@@ -16,10 +16,10 @@ from .views import SEED, v_job
 GOAL_SHARE = {"lit": 0.5, "inv": 0.4, "irr": 0.4}  # of a class's jobs: quotas grow with the input
 
 
-def goals_of(jobs: DataFrame) -> dict[str, int]:
+def goals_of(jobs: DataFrame, share: dict[str, float] = GOAL_SHARE) -> dict[str, int]:
     """Quota per class, a share of its jobs (one number per class is read)."""
     n = {r.bucket: r.n for r in jobs.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
-    return {b: int(n.get(b, 0) * s) for b, s in GOAL_SHARE.items()}
+    return {b: int(n.get(b, 0) * s) for b, s in share.items()}
 
 
 def caption_records(spark: SparkSession, sf_dir: str, seed=SEED, goals=None,

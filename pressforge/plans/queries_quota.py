@@ -11,10 +11,13 @@ from ..operators import quota as QU
 from ..sources.sinks import image_path
 from . import oracle as O
 from . import sqlgen as Q
+from .pipeline import goals_of
 from .registry import register
 from .views import SEED, table, v_job
 
-RESUME_GOALS = {"lit": 4000, "inv": 3000, "irr": 3000}
+# goals of the resumed run, as a share of a class's jobs: about a third is accepted already, so
+# there is something left to build at any size, and one class is complete
+RESUME_SHARE = {"lit": 0.6, "inv": 0.5, "irr": 0.25}
 BUDGET_CAP = 5000
 
 
@@ -25,17 +28,18 @@ def _jobs_status(spark, sf_dir):
 
 
 JOBS_SQL = f"SELECT j.*, o_orderstatus = 'F' AS is_old FROM ({O.v_job_sql()}) j JOIN orders ON j.id = o_orderkey"
-_GOAL_CASE = "CASE bucket " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in RESUME_GOALS.items()) + " ELSE 0 END"
 _DOMAIN = "(SELECT unnest(" + Q.lst(V.BUCKETS) + ") AS bucket)"
 _HAVE_SQL = (f"SELECT d.bucket, cast(coalesce(n, 0) AS BIGINT) AS n FROM {_DOMAIN} d LEFT JOIN "
              f"(SELECT bucket, count(*) AS n FROM ({JOBS_SQL}) WHERE is_old GROUP BY bucket) c ON d.bucket = c.bucket")
-_REM_SQL = (f"SELECT bucket, n AS have, cast({_GOAL_CASE} AS BIGINT) AS goal, "
-            f"greatest(cast(0 AS BIGINT), cast({_GOAL_CASE} AS BIGINT) - n) AS remainder FROM ({_HAVE_SQL})")
+_GOALS_SQL = (f"SELECT bucket, cast(floor(count(*) * CASE bucket " + " ".join(f"WHEN '{k}' THEN cast({v} AS DOUBLE)" for k, v in RESUME_SHARE.items())
+              + f" END) AS BIGINT) AS goal FROM ({JOBS_SQL}) GROUP BY bucket")
+_REM_SQL = (f"SELECT h.bucket, n AS have, coalesce(goal, 0) AS goal, greatest(cast(0 AS BIGINT), coalesce(goal, 0) - n) AS remainder "
+            f"FROM ({_HAVE_SQL}) h LEFT JOIN ({_GOALS_SQL}) g ON h.bucket = g.bucket")
 
 
 def _remainder_df(spark, sf_dir):
     j = _jobs_status(spark, sf_dir)
-    return QU.remainder(QU.bucket_counts(j.filter("is_old")), RESUME_GOALS)
+    return QU.remainder(QU.bucket_counts(j.filter("is_old")), goals_of(j, RESUME_SHARE))
 
 
 def _remainders(spark, sf_dir) -> dict[str, int]:
