@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 MAX_BLOCKS = 1 << 20
 # Block width for dense integer keys (arrival numbers, row ids): 65,536 keys
 # per block. Exact for any key; only the block sizes depend on density.
@@ -63,6 +65,13 @@ def _block_offsets(stats: DataFrame, part: list[str], val: str, bits: int, fan_b
     return total.select(*part, "_blk", sum((F.col(f"_o{i}") for i in range(1, levels)), F.col("_o0")).alias("_off"))
 
 
+def sorted_keys(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """Adds a unique integer key that grows in the order of any columns: a sort by ranges, then row
+    numbers of the sorted partitions (sparse, which the block-split sums allow). The result is
+    written to the checkpoint folder, so that the numbers stay as they are."""
+    return cut_lineage(df.orderBy(*order).withColumn(out, F.monotonically_increasing_id()))
+
+
 def ordered_rank(df: DataFrame, order_col: str, part_cols: list[str] | None = None,
                  out: str = "rn", bits: int | None = None, tiebreak: list[str] | None = None) -> DataFrame:
     """Exact ``row_number()`` over (partition by part_cols order by

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..plans.ranking import DENSE_BITS, ordered_rank
+from ..plans.ranking import DENSE_BITS, ordered_rank, ordered_running_sum, sorted_keys
 from .sinks import RECORD_SCHEMA
 
 NAME_COLUMNS = ["city_ascii", "city", "name"]
@@ -15,6 +16,9 @@ GROUNDING_TYPE = "map<string,array<int>>"
 EXPLANATION_TYPE = "map<string,struct<tokens:array<int>,regions:array<array<double>>>>"
 
 
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "MALFORMED_", "INVALID_CSV", "UNSUPPORTED_DATA_TYPE")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's file system (any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -32,9 +36,8 @@ def _first_names(df: DataFrame, name: F.Column, max_items: int | None) -> DataFr
     low = (1 << 33) - 1
     d = df.select(f[0].alias("_f"), f[1].alias("_b"), F.monotonically_increasing_id().bitwiseAND(low).alias("_r"), name.alias("name"))
     d = d.filter(F.col("name") != "")
-    splits = d.groupBy("_f", "_b").agg(F.max("_r").alias("_m"))  # one row per file split
-    w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    base = splits.select("_f", "_b", F.coalesce(F.sum(F.col("_m") + 1).over(w), F.lit(0)).alias("_o"))
+    splits = sorted_keys(d.groupBy("_f", "_b").agg((F.max("_r") + 1).alias("_m")), ["_f", "_b"], "_s")  # one row per file split
+    base = ordered_running_sum(splits, "_m", "_s", out="_o", bits=DENSE_BITS).select("_f", "_b", (F.col("_o") - F.col("_m")).alias("_o"))
     d = d.join(base, ["_f", "_b"]).select("name", (F.col("_o") + F.col("_r")).alias("_pos"))
     d = ordered_rank(d, "_pos", None, out="pos", bits=DENSE_BITS)
     if max_items is not None:
@@ -69,8 +72,9 @@ def datelines(spark: SparkSession, paths: list[str], max_items: int | None = Non
             names = city_names_csv(spark, p, max_items) if p.lower().endswith(".csv") else city_names_tsv(spark, p, max_items)
             if names.limit(1).count() > 0:
                 return names
-        except Exception:  # noqa: BLE001 - a failing source is skipped
-            continue
+        except PySparkException as e:  # a source that can't be read is skipped; a failing cluster is not its fault
+            if not (e.getCondition() or "").startswith(UNREADABLE):
+                raise
     raise RuntimeError("no dateline source yielded a name")
 
 
