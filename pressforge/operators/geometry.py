@@ -190,6 +190,21 @@ def shot_crop(faces: DataFrame, shots: DataFrame, iw: int = 1024, ih: int = 1024
     return _remap(faces.join(rect, key), w, h)
 
 
+def crop_rects(images: DataFrame, faces: DataFrame, iw: int = 1024, ih: int = 1024, w: int = V.POST_W, h: int = V.POST_H,
+               key: str = "img") -> DataFrame:
+    """K6-K8 for every image of ``images`` (key, shot): the rectangle of its shot, or, without
+    any face, the centred one (K5). One aggregation of the faces, one join on the image."""
+    agg = faces.groupBy(key).agg(
+        F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"),
+        F.avg((F.col("x1") + F.col("x2")) / F.lit(2.0)).alias("mx"), F.avg((F.col("y1") + F.col("y2")) / F.lit(2.0)).alias("my"))
+    a = images.select(key, "shot").join(agg, key, "left")
+    ex = F.when(F.col("shot") == "wide shot", F.lit(2.4)).otherwise(F.lit(2.0))
+    union, centre, plain = union_rect_cols(a, iw, ih, w, h, ex), center_rect_cols(iw, ih, w, h), central_crop(F.lit(iw), F.lit(ih), w, h)
+    is_union = F.col("shot").isin("wide shot", "medium shot")
+    return a.select(key, "shot", F.col("x1").isNotNull().alias("has_face"),
+                    *[F.when(F.col("x1").isNull(), plain[k]).when(is_union, union[k]).otherwise(centre[k]).cast("bigint").alias(k) for k in ("cx1", "cy1", "cx2", "cy2")])
+
+
 def readable_words(words: DataFrame, min_len: int = 3, conf_min: int = V.TEXT_CONF_THRESH) -> DataFrame:
     """K9 filter: words with >= 3 characters and truncated confidence >= 60;
     an unparsable confidence counts as 0."""
@@ -228,14 +243,19 @@ def still_readable(images: DataFrame, words: DataFrame, protected: DataFrame, sc
     return images.select(key).join(left, key, "left").select(key, F.coalesce("_left", F.lit(False)).alias("still_readable"))
 
 
-def _words_and_hits(words, protected, scale, pad, max_iou, key):
-    """Readable words in crop coordinates, and those on a protected box."""
+def word_boxes(words: DataFrame, scale: int = V.OCR_SCALE, pad: int = 2, key: str = "img") -> DataFrame:
+    """Readable words with their padded boxes in crop coordinates (wx1 to wy2)."""
     r = readable_words(words)
-    d = r.select("word", key, "ix", "text",
+    return r.select("word", key, "ix", "text",
                  (F.floor(F.col("left") / scale) - pad).cast("bigint").alias("wx1"),
                  (F.floor(F.col("top") / scale) - pad).cast("bigint").alias("wy1"),
                  (F.floor(F.col("left") / scale) + F.floor(F.col("width") / scale) + pad).cast("bigint").alias("wx2"),
                  (F.floor(F.col("top") / scale) + F.floor(F.col("height") / scale) + pad).cast("bigint").alias("wy2"))
+
+
+def _words_and_hits(words, protected, scale, pad, max_iou, key):
+    """Readable words in crop coordinates, and those on a protected box."""
+    d = word_boxes(words, scale, pad, key)
     p = protected.select(key, "bx1", "by1", "bx2", "by2")
     hits = (d.join(p, key)
             .filter(iou([F.col("wx1"), F.col("wy1"), F.col("wx2"), F.col("wy2")],

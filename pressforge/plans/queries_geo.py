@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..operators import geometry as G
+from ..operators import tiles as TL
 from .registry import register
 from .views import table, v_face, v_images, v_job, v_word
 from . import oracle as O
@@ -263,3 +264,32 @@ def q_still_readable(spark, sf_dir):
     """Images on which a readable word stays, because it lies on a protected box."""
     prot = G.union_crop(_gated(spark, sf_dir), expand=2.0)
     return G.still_readable(v_images(spark, sf_dir), v_word(spark, sf_dir), prot)
+
+
+_PROT_ALL_SQL = f"SELECT img, bx1, by1, bx2, by2 FROM ({union_crop_sql(NF_SQL, '2.0')})"
+_TILE_HITS_SQL = _HITS_SQL.replace(_PROT_SQL, _PROT_ALL_SQL)
+
+
+@register("word_box_tiles", f"SELECT img, ix, text FROM ({_WBOX_SQL}) w WHERE NOT EXISTS (SELECT 1 FROM ({_TILE_HITS_SQL}) h WHERE h.word = w.word)")
+def q_word_box_tiles(spark, sf_dir):
+    """F7 without a bound on faces: readable words off every face box of their image, on all images."""
+    boxes = G.union_crop(_nf(spark, sf_dir), expand=2.0).select("img", "bx1", "by1", "bx2", "by2")
+    words = G.word_boxes(v_word(spark, sf_dir))
+    hits = TL.overlapping(words.select("word", "img", "wx1", "wy1", "wx2", "wy2"), boxes, "img",
+                          ["wx1", "wy1", "wx2", "wy2"], ["bx1", "by1", "bx2", "by2"], V.PROTECT_IOU)
+    return words.join(hits.select("word").distinct(), "word", "left_anti").select("img", "ix", "text")
+
+
+_RECT_SQL = (f"SELECT j.id AS img, j.shot, g.img IS NOT NULL AS has_face, " + ", ".join(
+    f"cast(CASE WHEN g.img IS NULL THEN {plain} WHEN {_IS_UNION} THEN u{c} ELSE c{c} END AS BIGINT) AS {c}"
+    for c, plain in (("cx1", 0), ("cy1", 184), ("cx2", 1024), ("cy2", 839)))
+    + f" FROM ({O.v_job_sql()}) j LEFT JOIN (SELECT j.shot AS s, g.*, {union_rect_sql(_SHOT_EX.replace('shot', 'j.shot', 1), pre='u')}, {center_rect_sql(pre='c')} FROM "
+    f"(SELECT img, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2, avg((x1 + x2) / 2.0) AS mx, avg((y1 + y2) / 2.0) AS my "
+    f"FROM ({NF_SQL}) GROUP BY img) g JOIN ({O.v_job_sql()}) j ON g.img = j.id) g ON g.img = j.id")
+
+
+@register("crop_rects", _RECT_SQL)
+def q_crop_rects(spark, sf_dir):
+    """K6-K8 with K5 for images without a face: the crop rectangle of every job's image."""
+    shots = v_job(spark, sf_dir).select(F.col("id").alias("img"), "shot")
+    return G.crop_rects(shots, _nf(spark, sf_dir))

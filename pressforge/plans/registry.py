@@ -27,4 +27,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_core, queries_dedup, queries_eval, queries_geo, queries_accept, queries_io, queries_quota, queries_release, queries_more, queries_scene, queries_sim  # noqa: F401
+    from . import queries_core, queries_dedup, queries_eval, queries_geo, queries_accept, queries_io, queries_keyword, queries_quota, queries_release, queries_runs, queries_more, queries_scene, queries_sim, queries_walk  # noqa: F401
