@@ -271,10 +271,10 @@ def share(n: str, total: str, v: str, prior: int) -> Column:
     return F.expr(f"1 + (cast({ONE} as decimal(10,0)) * cast({n} + {prior} as decimal(20,0))) div cast({total} + {prior} * {v} as decimal(20,0))")
 
 
-def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_sums(counts: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, a, b, value for every two sources a < b of a lang: the differences of their shares
     added up over all kept terms. counts: lang, source, term, p (where n > 0); groups: lang,
-    source, v, p0 (the share of count 0; null if v is 0)."""
+    source, v, p0 (the share of count 0; null if v is 0); kept: lang, term."""
     def differences(key, pdf):
         import numpy as np
         import pandas as pd
@@ -284,14 +284,16 @@ def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
         source, block = base["source"].to_numpy(), base["block"].to_numpy()
         there = pdf[pdf["term"].notna()]
         column, names = pd.factorize(there["term"])
-        m = np.repeat(base["p"].fillna(0).to_numpy(dtype=np.int64)[:, None], len(names), axis=1)
+        p0, held = base["p"].fillna(0).to_numpy(dtype=np.int64), int(base["terms"].iloc[0])
+        m = np.repeat(p0[:, None], len(names), axis=1)
         row = pd.Series(np.arange(len(source)), index=source)
         m[row.loc[there["source"]].to_numpy(), column] = there["p"].to_numpy(dtype=np.int64)
         out = []
         right = np.flatnonzero(block == two)
         for i in np.flatnonzero(block == one).tolist():
             js = right[source[right] > source[i]] if one == two else right
-            out.append(pd.DataFrame({"x": source[i], "y": source[js], "value": np.abs(m[js] - m[i]).sum(axis=1)}))
+            none = (held - len(names)) * np.abs(p0[js] - p0[i])  # terms of the shard that only sources of other blocks have
+            out.append(pd.DataFrame({"x": source[i], "y": source[js], "value": np.abs(m[js] - m[i]).sum(axis=1) + none}))
         return pd.concat(out).assign(lang=key[0]) if out else pd.DataFrame({"x": [], "y": [], "value": [], "lang": []})
 
     langs = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"), F.max("v").alias("v")).select(
@@ -299,11 +301,13 @@ def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
         F.greatest(F.lit(1), F.ceil(F.col("v") / MATRIX_TERMS)).cast("long").alias("shards"))
     block = F.pmod(F.xxhash64("source"), F.col("blocks"))
     shard = F.pmod(F.xxhash64("term"), F.col("shards"))
-    rows = counts.join(langs, "lang").select("lang", "source", "term", "p", "blocks", block.alias("block"), shard.alias("shard")).unionByName(
+    per_shard = kept.join(langs, "lang").groupBy("lang", shard.alias("shard")).agg(F.count(F.lit(1)).alias("terms"))
+    rows = counts.join(langs, "lang").select("lang", "source", "term", "p", "blocks", block.alias("block"), shard.alias("shard"), F.lit(0).cast("long").alias("terms")).unionByName(
         groups.join(langs, "lang").select("lang", "source", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"), "blocks", block.alias("block"),
-                                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard")))
+                                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
+        .join(per_shard, ["lang", "shard"], "left").na.fill(0, ["terms"]))
     met = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "lang", "shard", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "source", "term", "p")
+        "lang", "shard", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "source", "term", "p", "terms")
     parts = met.groupBy("lang", "shard", "one", "two").applyInPandas(differences, "lang string, x string, y string, value long")
     return parts.groupBy("lang", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("value").alias("value"))
 
@@ -327,7 +331,7 @@ def audit(docs: DataFrame, min_docs: int = 30, prior: int = 5, top: int = 50, sl
     lang_total = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("v").alias("v"))
     q = counts.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(lang_total, "lang").select("lang", "term", share("n", "total", "v", prior).alias("q"))
     over = p.join(q, ["lang", "term"]).filter("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
-    ab = pair_sums(p.select("lang", "source", "term", "p"), groups)
+    ab = pair_sums(p.select("lang", "source", "term", "p"), groups, kept.select("lang", "term"))
     both = ab.select("lang", F.col("a").alias("source"), F.col("b").alias("item"), "value").unionByName(
         ab.select("lang", F.col("b").alias("source"), F.col("a").alias("item"), "value"))
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")

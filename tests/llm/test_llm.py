@@ -125,7 +125,8 @@ def test_quality_counts(docs, rows):
 
 
 def test_quality_lines(spark):
-    good = "\n".join(f"Sentence number {i} says something that is quite unlike the other {i * i} ones." for i in range(8))
+    words = [f"{a}{b}" for a in ("stone", "river", "cloud", "garden", "winter", "letter", "market", "signal") for b in ("light", "path", "house", "song", "field", "bridge", "water", "fire")]
+    good = "\n".join(" ".join(words[8 * i:8 * i + 8]).capitalize() + "." for i in range(8))
     bad = "\n".join(["Home | News | About | Contact | Help | Login"] * 3 + ["All rights reserved."] + ["### *** $$$ %%% &&&"] * 2)
     df = spark.createDataFrame([(1, good), (2, good + "\n" + bad), (3, bad + "\n" + "\n".join(f"{k} Menu {k} | Item {k} | More {k} | Go {k}" for k in range(30)))], "doc_id long, text string")
     got = by_id(quality.clean(df))
@@ -456,4 +457,4 @@ def test_bloom_counts(spark):
 
 def test_queries_registered():
     names = set(queries.QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
