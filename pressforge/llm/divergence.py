@@ -140,10 +140,10 @@ class Slots(dict):
     LIMIT = 200_000
 
     def __init__(self, shards):
-        self.shards, self.first, total = shards, [], 0
+        self.shards, self.first, self.size = shards, [], 0
         for *_, keys in shards:
-            self.first.append(total)
-            total += len(keys)
+            self.first.append(self.size)
+            self.size += len(keys)
 
     def place(self, key: bytes) -> int:
         h = key_hash(key)
@@ -161,12 +161,6 @@ class Slots(dict):
             self[key] = p
         return p
 
-    def key(self, place: int) -> bytes:
-        from bisect import bisect_right
-
-        s = bisect_right(self.first, place) - 1
-        return self.shards[s][2][place - self.first[s]]
-
 
 def perfect_hashes(keys: DataFrame, n: int):
     """A broadcast list of (seed, displacements, keys) by shard, built by one task a shard. keys: a
@@ -185,7 +179,7 @@ def perfect_hashes(keys: DataFrame, n: int):
         seed, at, slots = build(sorted(t.encode() for t in pdf["term"]))
         return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "seed": [seed], "at": [at], "slots": [[k.decode() for k in slots]]})
 
-    rows = (keys.select("term").mapInArrow(shard, "term string, shard long").groupBy("shard")
+    rows = (keys.select("term").mapInArrow(shard, "term string, shard long").repartition(shards, "shard").groupBy("shard")
             .applyInPandas(make, "shard long, seed long, at array<long>, slots array<string>").collect())  # n keys at most
     made = {r.shard: (r.seed, list(r.at), [k.encode() for k in r.slots]) for r in rows}
     return keys.sparkSession.sparkContext.broadcast([made.get(s, (0, [0], [])) for s in range(shards)])
@@ -208,36 +202,43 @@ def head_cut(kept: DataFrame, slots: int) -> tuple[int, int]:
     return least, total
 
 
+def slots_of(keys: DataFrame, shards) -> DataFrame:
+    """term, slot: the place of every key."""
+    def run(batches):
+        import pyarrow as pa
+
+        index = Slots(shards.value)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([index.place(t) for t in text_bytes(b, "term")], pa.int64())], ["term", "slot"])
+
+    return keys.select("term").mapInArrow(run, "term string, slot long")
+
+
 def recount(docs: DataFrame, shards, beyond: bool) -> DataFrame:
-    """lang, source, term, n: occurrences of the terms in the shards, by dense slots. ``beyond``:
-    of all others too, by a table of bounded size (the caller joins them with those it keeps)."""
+    """lang, source, slot, term, n: occurrences of the terms in the shards, by dense slots (term is
+    null). ``beyond``: of all others too, by a table of bounded size (slot is null)."""
     def run(batches):
         from collections import Counter, defaultdict
 
         import numpy as np
         import pyarrow as pa
 
+        names = ["lang", "source", "slot", "term", "n"]
         index = Slots(shards.value)
-        size = sum(len(k) for *_, k in shards.value)
+        most = max(4, (16 << 20) // max(1, index.size))  # dense arrays a task holds: 128 MB at most, or four
 
         def rows():
-            lang, source, term, n = [], [], [], []
-            for (a, b), slots in dense.items():
+            for (lang, source), slots in dense.items():
                 at = np.flatnonzero(slots)
-                lang += [a] * len(at)
-                source += [b] * len(at)
-                term += [index.key(i).decode() for i in at.tolist()]
-                n += slots[at].tolist()
-            for (a, b), found in rest.items():
-                lang += [a] * len(found)
-                source += [b] * len(found)
-                term += [t.decode() for t in found]
-                n += found.values()
+                n = len(at)
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, n), pa.repeat(source, n), pa.array(at), pa.nulls(n, pa.string()), pa.array(slots[at])], names)
+            for (lang, source), found in rest.items():
+                n = len(found)
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, n), pa.repeat(source, n), pa.nulls(n, pa.int64()), pa.array([t.decode() for t in found], pa.string()),
+                                                  pa.array(list(found.values()), pa.int64())], names)
             dense.clear()
             rest.clear()
-            return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.string()), pa.array(n, pa.int64())], ["lang", "source", "term", "n"])
 
-        most = max(4, (16 << 20) // max(1, size))  # dense arrays a task holds: 128 MB at most, or four
         dense, rest, held = {}, defaultdict(Counter), 0
         for b in batches:
             for lang, source, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), text_bytes(b)):
@@ -248,9 +249,9 @@ def recount(docs: DataFrame, shards, beyond: bool) -> DataFrame:
                 group = (lang, source)
                 if group not in dense:
                     if len(dense) >= most:
-                        yield rows()
+                        yield from rows()
                         held = 0
-                    dense[group] = np.zeros(size, dtype=np.int64)
+                    dense[group] = np.zeros(index.size, dtype=np.int64)
                 known = place[place >= 0]
                 np.add.at(dense[group], known, 1)
                 if beyond and len(known) < len(words):
@@ -258,12 +259,12 @@ def recount(docs: DataFrame, shards, beyond: bool) -> DataFrame:
                     rest[group].update(new)
                     held += len(new)
                     if held >= ENTRIES:
-                        yield rows()
+                        yield from rows()
                         held = 0
-        yield rows()
+        yield from rows()
 
-    parts = docs.select("text", "lang", "source").mapInArrow(run, "lang string, source string, term string, n long")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    parts = docs.select("text", "lang", "source").mapInArrow(run, "lang string, source string, slot long, term string, n long")
+    return parts.groupBy("lang", "source", "slot", "term").agg(F.sum("n").alias("n"))
 
 
 def share(n: str, total: str, v: str, prior: int) -> Column:
@@ -321,7 +322,13 @@ def audit(docs: DataFrame, min_docs: int = 30, prior: int = 5, top: int = 50, sl
     highest = kept.groupBy("term").agg(F.max("df").alias("top"))
     head = highest.filter((F.octet_length("term") <= KEY_BYTES) & (F.col("top") >= F.lit(2.0) ** least))
     beyond = highest.count() > n
-    counts = recount(d, perfect_hashes(head, n), beyond).join(kept.select("lang", "term"), ["lang", "term"])
+    shards = perfect_hashes(head, n)
+    found = recount(d, shards, beyond)
+    slots_by_lang = kept.select("lang", "term").join(slots_of(head, shards), "term")
+    counts = found.filter("slot is not null").drop("term").join(slots_by_lang, ["lang", "slot"]).select("lang", "source", "term", "n")
+    if beyond:
+        rest = found.filter("term is not null").drop("slot").join(kept.select("lang", "term"), ["lang", "term"])
+        counts = counts.unionByName(rest.select("lang", "source", "term", "n"))
     counts = cut_lineage(counts)
     lang_v = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     group_n = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
