@@ -5,7 +5,9 @@ when 100 * intersection >= percent * union. Equal sets are one class from the st
 
 Candidates. A class's shingles are ordered (those in crowded hash buckets last,
 else by hash); linked sets share a shingle among their first
-n - ceil(percent * n / 100) + 1, so only those are grouped ("blocks"). The order
+n - ceil(percent * n / 100) + 1 (and two among one more, above 50 percent), so only
+those are grouped ("blocks"). Two classes that are alone in a single block share it by
+chance: if they link, their second shingle is in a larger block. The order
 needs no more than a bitmap of crowded buckets, of fixed size; any order gives all
 links, this one keeps passages that many documents share out of the blocks.
 
@@ -105,6 +107,13 @@ def needed(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def shared_keys(percent: int) -> int:
+    """How many shingles of their prefixes two linked classes share at least. Above 50 percent two
+    different sets that link have two shingles in common, whatever their size, so prefixes that
+    are longer by one share two."""
+    return 2 if percent > 50 else 1
+
+
 def crowded_buckets(docs: DataFrame, size: int) -> np.ndarray:
     """Hash buckets that hold far more classes than others: a mark per bucket."""
     def count(batches):
@@ -153,7 +162,7 @@ def describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     counts.append(packed(p))
                     coarse.append(packed(folded(p)))
                     late = mark[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
-                    first = np.concatenate([s[~late], s[late]])[:len(s) + (-percent * len(s) // 100) + 1]
+                    first = np.concatenate([s[~late], s[late]])[:len(s) + (-percent * len(s) // 100) + shared_keys(percent)]
                     prefix.append(as_long(first))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(counts, pa.binary()), pa.array(coarse, pa.binary()),
                                                   pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "k1", "n", "node", "counts", "coarse", "prefix"])
@@ -302,8 +311,8 @@ def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def join(docs: DataFrame, size: int = 4, percent: int = 85, cell: int = 2048) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs."""
+def linked_rows(docs: DataFrame, size: int = 4, percent: int = 85, cell: int = 2048) -> DataFrame:
+    """doc_id, k1 (the row), n (its shingles), c (its component; null without a word) for every row of docs."""
     docs = row_key(small_batches(docs).select("doc_id", "text")).select("doc_id", "k1", "text")
     seen = cut_lineage(describe(docs, size, percent))
     classes = cut_lineage(seen.filter("node is not null").groupBy("node")
@@ -318,15 +327,17 @@ def join(docs: DataFrame, size: int = 4, percent: int = 85, cell: int = 2048) ->
     blocks = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("m"), F.min("n").alias("least"),
                                       F.max("n").alias("most"), *sums).filter((F.col("lo") != F.col("hi")) & ~apart)
               .groupBy("lo", "hi", "m", "s1", "s2").agg(F.min("key").alias("key"), F.count("*").alias("alike"))
-              .select("key", (F.col("m") * F.col("alike")).alias("w")))
-    shared = cut_lineage(rows.drop("n").join(blocks, "key").distinct())
+              # two classes that meet in one block of their own only: if they link they also meet in a larger block
+              .filter((F.col("m") > 2) | (F.col("alike") >= shared_keys(percent))).select("key", (F.col("m") * F.col("alike")).alias("w")))
+    shared = cut_lineage(rows.join(blocks, "key").distinct())
     # how full a class's blocks are on average, and its first few blocks
     own = shared.groupBy("node").agg(F.sum("w").alias("w"), F.slice(F.sort_array(F.collect_list("key")), 1, FEW).alias("few"))
     own = cut_lineage(own.join(classes.select("node", "n", "coarse"), "node").select(
         "node", "n", "coarse", "few", (F.col("w") / (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).alias("central")))
     lead = (shared.join(own.select("node", "central"), "node").groupBy("key")
-            .agg(F.max(F.struct("central", "node")).alias("l")).select("key", F.col("l.node").alias("lead")))
-    pairs = shared.join(lead, "key").filter("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
+            .agg(F.max(F.struct("central", "node", "n")).alias("l")).select("key", F.col("l.node").alias("lead"), F.col("l.n").alias("most")))
+    close = F.least("n", "most") * 100 >= F.greatest("n", "most") * percent
+    pairs = shared.join(lead, "key").filter((F.col("node") != F.col("lead")) & close).select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     links = verified(pairs, classes, docs, size, percent)
     linked = components(links)
     # what the first pass left in different components meets in the blocks' R-trees
@@ -341,16 +352,24 @@ def join(docs: DataFrame, size: int = 4, percent: int = 85, cell: int = 2048) ->
     cells = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     more = verified(block_pairs(cells, percent).distinct(), classes, docs, size, percent)
     final = components(links.union(more)).toDF("node", "component")
-    named = (seen.filter("doc_id is not null and node is not null").select("doc_id", "node").join(final, "node", "left")
-             .select("doc_id", F.coalesce("component", "node").alias("c"), "node"))
-    ids = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    of_node = named.select("node", "c").distinct().join(ids, "c").select("node", "component_id")
-    return (seen.select("doc_id", F.col("n").alias("n_shingles"), "node").join(of_node, "node", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+    return seen.select("doc_id", "k1", "n", "node").join(final, "node", "left").select("doc_id", "k1", "n", F.coalesce("component", "node").alias("c"))
+
+
+def join(docs: DataFrame, size: int = 4, percent: int = 85, cell: int = 2048) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs."""
+    rows = linked_rows(docs, size, percent, cell)
+    ids = rows.filter("doc_id is not null and c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(ids, "c", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def dedup(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """One document of each component (its smallest doc_id), with docs' own columns. Rows that
-    repeat both id and text stay once; rows without an id are in no component."""
-    gone = join(docs, size, percent).filter("doc_id != component_id").select(F.col("doc_id").alias("gone__")).distinct()
-    return docs.join(gone, docs.doc_id == gone["gone__"], "left_anti").dropDuplicates(["doc_id", "text"])
+    """One document of each component (its smallest doc_id; of several rows of that id, the one with
+    the smallest key), with docs' own columns. Rows that repeat both id and text stay once; rows
+    without an id, and rows without a word, are in no component and stay."""
+    rows = linked_rows(docs, size, percent).filter("doc_id is not null and c is not null")
+    stays = rows.groupBy("c").agg(F.min(F.struct("doc_id", "k1")).alias("s"))
+    gone = rows.join(stays, "c").filter(F.struct("doc_id", "k1") != F.col("s")).select(F.col("doc_id").alias("gone__"), F.col("k1").alias("k1__")).distinct()
+    keyed = docs.withColumn("row__", F.xxhash64("doc_id", "text"))  # k1 of row_key
+    left = keyed.join(gone, (keyed["doc_id"] == gone["gone__"]) & (keyed["row__"] == gone["k1__"]), "left_anti").drop("row__")
+    return left.dropDuplicates(["doc_id", "text"])

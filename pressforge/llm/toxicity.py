@@ -3,7 +3,9 @@
 Features of a text are its distinct words, word pairs and pairs with one word
 left out, hashed into 2^BITS places. Training rows are a bounded sample of the
 labelled ones (about ``sample`` per label), small enough for one task, which runs
-FTRL-proximal (a learning rate per coordinate, L1 sparsity) for some epochs. Only
+FTRL-proximal (a learning rate per coordinate, L1 sparsity) for some epochs. The task
+holds four bytes a feature of the sample: a text has as many as three times its distinct
+words, 2^BITS (4 MB) at most. Only
 non-zero weights remain (at most 2^BITS), so they can be broadcast.
 
 Edge cases: a null or empty text has no feature and gets the bias alone. With no
@@ -79,22 +81,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> dict:
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     rate = F.when(F.col("y") == 1, F.lit(int(min(1.0, sample / n[1]) * (1 << 30)))).otherwise(F.lit(int(min(1.0, sample / n[0]) * (1 << 30))))
     chosen = marks.filter(u < rate)
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "y")
+    # about 2 * sample ids: counted, and sent to the texts, so that only sampled texts are shuffled
+    if chosen.count() <= 8 * sample:
+        chosen = F.broadcast(chosen)
+    # a document that is there more than once counts once, with its smallest text
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).select("text", "y")
 
     def featurise(batches):
         words = WordHashes()
         for b in batches:
-            f = [features(t, words) for t in text_bytes(b)]
-            yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.int32()), pa.array([x.tolist() for x in f], pa.list_(pa.int32()))], names=["y", "f"])
+            f = [features(t, words).astype("<i4").tobytes() for t in text_bytes(b)]
+            yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.int32()), pa.array(f, pa.binary())], names=["y", "f"])
 
     def train(pdf):
         import pandas as pd
 
-        pdf = pdf.assign(k=[(len(f), int(np.sum(f, dtype=np.int64))) for f in pdf["f"]]).sort_values(["k", "y"], kind="stable")
-        i, w = ftrl([np.asarray(f, dtype=np.int64) for f in pdf["f"]], pdf["y"].to_numpy(dtype=float))
+        rows = [np.frombuffer(f, dtype="<i4") for f in pdf["f"]]
+        y = pdf["y"].to_numpy(dtype=float)
+        order = sorted(range(len(rows)), key=lambda r: (len(rows[r]), int(rows[r].sum(dtype=np.int64)), y[r], rows[r].tobytes()))
+        i, w = ftrl([rows[r] for r in order], y[order])
         return pd.DataFrame({"i": i, "w": w})
 
-    got = rows.mapInArrow(featurise, "y int, f array<int>").groupBy().applyInPandas(train, "i long, w double").collect()
+    got = rows.mapInArrow(featurise, "y int, f binary").groupBy().applyInPandas(train, "i long, w double").collect()
     i, w = np.array([r.i for r in got], dtype=np.int64), np.array([r.w for r in got])
     return {"i": i[i < 1 << BITS], "w": w[i < 1 << BITS], "bias": float(w[i == 1 << BITS].sum())}
 
