@@ -98,6 +98,12 @@ def token_count(s) -> Column:
     return F.when(x == F.lit(""), F.lit(0)).otherwise(F.size(F.split(x, f"{WS}+")))
 
 
+def tokens(s) -> Column:
+    """C14: the tokens themselves."""
+    x = strip(s)
+    return F.when(x == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(x, f"{WS}+"))
+
+
 def is_plural_subject(s) -> Column:
     """C1."""
     x = strip(s)

@@ -33,12 +33,12 @@ def headline_core(id_col: Column, role: Column, event: Column, back_caption: Col
     return T.headline_tidy(core)
 
 
-def affect(id_col: Column, seed) -> Column:
+def affect(id_col: Column, seed, vocab=V) -> Column:
     """C10 helper: one member of a drawn affect pair."""
-    pair = pick_index(seed, id_col, "aff_pair", len(V.AFFECT_PAIRS))
+    pair = pick_index(seed, id_col, "aff_pair", len(vocab.AFFECT_PAIRS))
     side = pick_index(seed, id_col, "aff_side", 2)
-    pos = F.element_at(F.array(*[F.lit(p) for p, _ in V.AFFECT_PAIRS]), (pair + 1).cast("int"))
-    neg = F.element_at(F.array(*[F.lit(n) for _, n in V.AFFECT_PAIRS]), (pair + 1).cast("int"))
+    pos = F.element_at(F.array(*[F.lit(p) for p, _ in vocab.AFFECT_PAIRS]), (pair + 1).cast("int"))
+    neg = F.element_at(F.array(*[F.lit(n) for _, n in vocab.AFFECT_PAIRS]), (pair + 1).cast("int"))
     return F.when(side == 0, pos).otherwise(neg)
 
 
@@ -66,14 +66,14 @@ def ts_caption(id_col: Column, seed) -> Column:
     return T.headline_tidy(ts_raw(s, a, id_col, seed))
 
 
-def ts_raw(s: Column, a: Column, id_col: Column, seed) -> Column:
+def ts_raw(s: Column, a: Column, id_col: Column, seed, vocab=V) -> Column:
     """C12 before tidy: subject + conjugated first verb word + rest + place + tail."""
     parts = F.split(a, " ", 2)
     verb_base = F.element_at(parts, 1)
     rest = F.when(F.size(parts) > 1, F.concat(F.lit(" "), F.element_at(parts, 2))).otherwise(F.lit(""))
     verb = T.conjugate_third_person(verb_base, T.is_plural_subject(s))
-    p = choice(seed, id_col, "irr_place", V.IRREL_PLACES)
-    tail = choice(seed, id_col, "irr_tail", V.IRREL_TAILS)
+    p = choice(seed, id_col, "irr_place", vocab.IRREL_PLACES)
+    tail = choice(seed, id_col, "irr_tail", vocab.IRREL_TAILS)
     return F.concat(s, F.lit(" "), verb, rest, F.lit(" "), p, tail)
 
 
@@ -82,45 +82,46 @@ def ts_span(text: Column) -> Column:
     return T.index_range(F.lit(0), T.token_count(text))
 
 
-def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool = False) -> DataFrame:
+def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool = False, vocab=V) -> DataFrame:
     """Caption path for job rows with columns
     ``id, bucket, role, event, back_caption, dateline``.
 
     Adds ``tags, text, fake_text_pos, fake_cls``; bucket ``lit`` gives a
     literal headline, ``inv`` a text-attribute edit, ``irr`` a text swap.
+    ``vocab`` holds the word lists (see ``vocab.with_lists``).
     Slots and intermediate texts are separate columns so the optimizer never
     copies a large sub-expression into several places (keeps every stage in
     whole-stage codegen).
     """
     idc = Prefix("_dk")
-    pats = V.pattern_list(em_dash)
+    pats = vocab.PATTERNS_EM_DASH if em_dash else vocab.PATTERNS
     b = F.col("bucket")
     df = jobs.withColumn("_dk", draw_prefix(seed, F.col("id")))
-    df = add_text_tags(df, "role", "_rt", V.ROLE_RULES)
-    df = add_text_tags(df, "event", "_et", V.EVENT_TAGS)
+    df = add_text_tags(df, "role", "_rt", vocab.ROLE_RULES)
+    df = add_text_tags(df, "event", "_et", vocab.EVENT_TAGS)
     df = df.withColumn("tags", tag_union(F.col("_rt"), F.col("_et"))).drop("_rt", "_et")
     df = T.add_role_to_subject(df, "role", "_S")
     df = (df.withColumn("_E", T.clean_event(F.col("event")))
-          .withColumn("_W", F.when(bernoulli(seed, idc, "when_u", V.WHEN_RATE),
-                                   choice(seed, idc, "when", V.WHEN_FRAG)).otherwise(F.lit("")))
-          .withColumn("_V", T.conjugate_third_person(choice(seed, idc, "verb", V.ACTIONS_BASE), False))
-          .withColumn("_O", choice_from(objects_for(tag_choice(F.col("tags"), seed, idc, "tag")), seed, idc, "obj"))
+          .withColumn("_W", F.when(bernoulli(seed, idc, "when_u", vocab.WHEN_RATE),
+                                   choice(seed, idc, "when", vocab.WHEN_FRAG)).otherwise(F.lit("")))
+          .withColumn("_V", T.conjugate_third_person(choice(seed, idc, "verb", vocab.ACTIONS_BASE), False))
+          .withColumn("_O", choice_from(objects_for(tag_choice(F.col("tags"), seed, idc, "tag"), vocab.OBJECTS_BY_TAG), seed, idc, "obj"))
           .withColumn("_k", pick_index(seed, idc, "pattern", len(pats))))
     slots = {n: F.col(f"_{n}") for n in "SEWVO"}
     slots.update({"B": F.col("back_caption"), "D": F.col("dateline")})
     df = df.withColumn("_raw", F.when(b != "irr", T.render_pattern(F.col("_k"), slots, pats)))
     df = T.add_headline_tidy(df, "_raw", "_core")
-    df = df.withColumn("_aff", affect(idc, seed))
+    df = df.withColumn("_aff", affect(idc, seed, vocab))
     df = df.withColumn("_ta", ta_caption(F.col("_core"), F.col("_aff")))
-    df = (df.withColumn("_is", choice(seed, idc, "irr_subject", V.IRREL_SUBJECTS))
-          .withColumn("_ia", choice(seed, idc, "irr_action", V.IRREL_ACTIONS_BASE)))
-    df = df.withColumn("_tsraw", F.when(b == "irr", ts_raw(F.col("_is"), F.col("_ia"), idc, seed)))
+    df = (df.withColumn("_is", choice(seed, idc, "irr_subject", vocab.IRREL_SUBJECTS))
+          .withColumn("_ia", choice(seed, idc, "irr_action", vocab.IRREL_ACTIONS_BASE)))
+    df = df.withColumn("_tsraw", F.when(b == "irr", ts_raw(F.col("_is"), F.col("_ia"), idc, seed, vocab)))
     df = T.add_headline_tidy(df, "_tsraw", "_ts")
     df = df.withColumn("text", F.when(b == "lit", F.col("_core")).when(b == "inv", F.col("_ta")).otherwise(F.col("_ts")))
     df = df.withColumn("fake_text_pos",
                        F.when(b == "lit", T.empty_int_array())
                        .when(b == "inv", ta_span(F.col("_ta"), F.col("_aff"), span_mode))
                        .otherwise(ts_span(F.col("_ts"))))
-    cls = F.create_map(*[x for k, v in V.BUCKET_CLASS.items() for x in (F.lit(k), F.lit(v))])
+    cls = F.create_map(*[x for k, v in vocab.BUCKET_CLASS.items() for x in (F.lit(k), F.lit(v))])
     df = df.withColumn("fake_cls", F.element_at(cls, b))
     return df.drop("_S", "_E", "_W", "_V", "_O", "_k", "_raw", "_core", "_aff", "_ta", "_ts", "_is", "_ia", "_tsraw", "_dk")

@@ -30,6 +30,18 @@ def centroid_distance(df: DataFrame, key: str, vec: str) -> DataFrame:
     return df.join(c, key).withColumn("distance", F.lit(1.0) - cosine(F.col(vec), F.col("centroid")))
 
 
+def parts_distance(parts: DataFrame, image: str, foreground: Column, vec: str) -> DataFrame:
+    """L2 per image: 1 - cosine between the mean vectors of its foreground and of its background parts,
+    and how many of each. Images without one of them have no distance (null)."""
+    p = parts.select(image, foreground.alias("_fg"), F.posexplode(vec).alias("pos", "v")).filter(F.col("_fg").isNotNull())
+    v = F.col("v").cast("double")
+    m = p.groupBy(image, "pos").agg(F.avg(F.when(F.col("_fg"), v)).alias("f"), F.avg(F.when(~F.col("_fg"), v)).alias("b"))
+    s = m.groupBy(image).agg(F.sum(F.col("f") * F.col("b")).alias("fb"), F.sum(F.col("f") * F.col("f")).alias("ff"), F.sum(F.col("b") * F.col("b")).alias("bb"))
+    n = parts.groupBy(image).agg(F.count_if(foreground).alias("n_foreground"), F.count_if(~foreground).alias("n_background"))
+    norm = F.sqrt(F.col("ff") * F.col("bb"))
+    return n.join(s, image, "left").select(image, "n_foreground", "n_background", F.when(norm > 0, F.lit(1.0) - F.col("fb") / norm).alias("distance"))
+
+
 def threshold_classifier(sim: Column, t: float = 0.0) -> dict[str, Column]:
     """L3: similarity below ``t`` -> manipulated; confidence clipped to [0, 1]."""
     label = F.when(sim < F.lit(t), F.lit("manipulated")).otherwise(F.lit("authentic"))

@@ -24,7 +24,8 @@ from .. import vocab as V
 from ..functions import text as T
 from ..functions.sampling import draw
 from ..plans.ranking import DENSE_BITS, ordered_rank
-from .scenes import with_validity
+from ..session import cut_lineage
+from .tags import semantic_match
 
 ROUNDS = 4
 
@@ -77,45 +78,59 @@ def part(values: list[str], at: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (at + 1).cast("int"))
 
 
-def decoded(df: DataFrame, space: SceneSpace) -> DataFrame:
-    """Adds scene (its number in the space), role, event, back_raw, mismatch, shot, back_caption."""
+def _tag_lists(values: list[str], table: dict[str, list[str]]) -> Column:
+    """The tags of every value of a vocabulary list (D1, D2), worked out once, here."""
+    def tags(value: str) -> list[str]:
+        low = value.lower()
+        return sorted(t for t, kws in table.items() if any(k in low for k in kws)) or [V.DEFAULT_TAG]
+
+    return F.array(*[F.array(*[F.lit(t) for t in tags(v)]) for v in values])
+
+
+def decoded(df: DataFrame, space: SceneSpace, vocab=V) -> DataFrame:
+    """Adds scene (its number in the space), role, event, back_raw, mismatch, shot, back_caption, and
+    whether the scene makes sense (D4: valid; absurd ones do by construction).
+
+    What a scene's parts have in common is looked up by their numbers in the lists, not searched
+    for in texts, so a filter on ``valid`` stays a small expression wherever the optimizer puts it."""
     a, _ = space.sides
-    back = F.expr(f"right div {len(space.events)}")
+    n_events, n_roles = len(space.events), len(space.roles)
+    role, event = F.pmod(F.col("left"), F.lit(n_roles)), F.pmod(F.col("right"), F.lit(n_events))
+    back = F.expr(f"right div {n_events}")
+
+    def at(lists: Column, i: Column) -> Column:
+        return F.element_at(lists, (i + 1).cast("int"))
+
+    match = semantic_match(at(_tag_lists(space.roles, vocab.ROLE_RULES), role), at(_tag_lists(space.events, vocab.EVENT_TAGS), event),
+                           at(_tag_lists(space.backdrops, vocab.BACKDROP_TAGS), back))
     d = df.withColumns({
         "scene": F.col("left") + F.col("right") * a,
-        "role": part(space.roles, F.pmod(F.col("left"), F.lit(len(space.roles)))),
-        "shot": part(space.shots, F.expr(f"left div {len(space.roles)}")),
-        "event": part(space.events, F.pmod(F.col("right"), F.lit(len(space.events)))),
-        "back_raw": part(space.backdrops, back),
-        "mismatch": back >= len(space.normal)}).drop("left", "right")
+        "role": part(space.roles, role), "event": part(space.events, event), "back_raw": part(space.backdrops, back),
+        "shot": part(space.shots, F.expr(f"left div {n_roles}")),
+        "mismatch": back >= len(space.normal), "valid": (back >= len(space.normal)) | match}).drop("left", "right")
     d = T.add_caption_backdrop(d, "back_raw", "_bc")
     return d.withColumn("back_caption", F.when(F.col("mismatch"), F.col("_bc")).otherwise(F.col("back_raw"))).drop("_bc")
 
 
-def walk(jobs: DataFrame, seed, space: SceneSpace | None = None, order_col: str = "accept_order") -> DataFrame:
+def walk(jobs: DataFrame, seed, space: SceneSpace | None = None, order_col: str = "accept_order", vocab=V) -> DataFrame:
     """A scene for every job, in arrival order: the columns of ``jobs`` and those of ``decoded``."""
     space = space or SceneSpace()
     d = ordered_rank(jobs, order_col, None, out="_n", bits=DENSE_BITS).withColumn("_n", F.col("_n") - 1)
-    return decoded(permuted(d, "_n", space.sides, seed), space).drop("_n")
-
+    return decoded(permuted(d, "_n", space.sides, seed), space, vocab).drop("_n")
 
-def walk_pool(spark: SparkSession, n: int, seed, space: SceneSpace | None = None, start: int = 0) -> DataFrame:
-    """n valid scenes of the walk from position ``start`` on, with their position: the pool of E8
-    for any n up to what one lap holds (a larger one is an error), distinct by construction.
 
-    A first pass over the lap counts the valid ones; both passes are narrow, on a range."""
+def walk_pool(spark: SparkSession, n: int, seed, space: SceneSpace | None = None, start: int = 0, vocab=V) -> DataFrame:
+    """The first n valid scenes of the walk from position ``start`` on, with their position: the pool
+    of E8 for any n up to what one lap holds (a larger one is an error), distinct by construction.
+    A lap is one pass over a range; it has as many rows as the vocabularies have combinations."""
     space = space or SceneSpace()
     lap = spark.range(start, start + space.size).withColumnRenamed("id", "position")
-    valid = with_validity(decoded(permuted(lap, "position", space.sides, seed), space)).filter("valid")
-    ranked = ordered_rank(valid.select("position"), "position", None, out="pool_pos", bits=DENSE_BITS).filter(F.col("pool_pos") <= n)
-    last, found = ranked.agg(F.max("position"), F.count(F.lit(1))).first()
+    valid = cut_lineage(decoded(permuted(lap, "position", space.sides, seed), space, vocab).filter("valid").drop("valid"))
+    found = valid.count()
     if found < n:
         raise ValueError(f"{found} valid scenes in a lap for a pool of {n}")
-    if not n:
-        return valid.limit(0).select("position", "scene", "role", "event", "back_raw", "mismatch", "shot", "back_caption")
-    upto = spark.range(start, last + 1).withColumnRenamed("id", "position")
-    kept = with_validity(decoded(permuted(upto, "position", space.sides, seed), space)).filter("valid")
-    return kept.select("position", "scene", "role", "event", "back_raw", "mismatch", "shot", "back_caption")
+    ranked = ordered_rank(valid, "position", None, out="_rank", bits=DENSE_BITS)
+    return ranked.filter(F.col("_rank") <= n).select("position", "scene", "role", "event", "back_raw", "mismatch", "shot", "back_caption")
 
 
 def unwalk(left: int, right: int, lap: int, sides: tuple[int, int], seed, rounds: int = ROUNDS) -> int:

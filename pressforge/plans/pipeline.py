@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import vocab as V
 from ..functions.sampling import resolve_seed
 from ..functions.text import ints_to_str
 from ..operators.captions import with_captions
@@ -23,13 +24,14 @@ def goals_of(jobs: DataFrame, share: dict[str, float] = GOAL_SHARE) -> dict[str,
 
 
 def caption_records(spark: SparkSession, sf_dir: str, seed=SEED, goals=None,
-                    span_mode: str = "exact") -> DataFrame:
+                    span_mode: str = "exact", vocab=V) -> DataFrame:
     """Flagship: caption jobs -> tags -> captions + spans -> first-wins caption
     dedup -> per-class quota in arrival order -> sample records.
-    ``goals=None`` takes GOAL_SHARE of each class's jobs; ``seed=None`` picks a random seed for the run."""
+    ``goals=None`` takes GOAL_SHARE of each class's jobs; ``seed=None`` picks a random seed for the run;
+    ``vocab`` replaces the word lists (``vocab.with_lists``)."""
     seed = resolve_seed(seed)
-    jobs = v_job(spark, sf_dir, seed)
-    caps = _captions(jobs, seed, span_mode)
+    jobs = v_job(spark, sf_dir, seed, vocab=vocab)
+    caps = _captions(jobs, seed, span_mode, vocab)
     filled = quota_fill(caps, goals or goals_of(jobs))
     return make_records(filled.withColumn("image", image_path(F.col("bucket"), F.col("id"), seed)))
 
@@ -40,8 +42,8 @@ def all_records(spark: SparkSession, sf_dir: str, seed=SEED) -> DataFrame:
     return make_records(caps.withColumn("image", image_path(F.col("bucket"), F.col("id"), seed)))
 
 
-def _captions(jobs: DataFrame, seed, span_mode: str = "exact") -> DataFrame:
-    caps = with_captions(jobs, seed, span_mode).select(
+def _captions(jobs: DataFrame, seed, span_mode: str = "exact", vocab=V) -> DataFrame:
+    caps = with_captions(jobs, seed, span_mode, vocab=vocab).select(
         "id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
     return first_wins(caps, ["text"])
 

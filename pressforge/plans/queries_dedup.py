@@ -155,11 +155,11 @@ def q_distinct_captions(spark, sf_dir):
 
 
 _EDGES = f"SELECT a.h AS a, b.h AS b FROM ({_HV}) a JOIN ({_HV}) b ON a.h <> b.h AND {_NEAR}"
-_CLUSTERS = (f"WITH RECURSIVE e AS MATERIALIZED ({_EDGES}), r(a, b) AS (SELECT h, h FROM ({_HV}) UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a) "
+CLUSTERS_SQL = (f"WITH RECURSIVE e AS MATERIALIZED ({_EDGES}), r(a, b) AS (SELECT h, h FROM ({_HV}) UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a) "
              f"SELECT a AS h, min(b) AS cluster FROM r GROUP BY a")
 
 
-@register("near_clusters", f"SELECT h, cluster FROM ({_CLUSTERS})")
+@register("near_clusters", f"SELECT h, cluster FROM ({CLUSTERS_SQL})")
 def q_near_clusters(spark, sf_dir):
     """Clusters of fingerprints, chained through near ones."""
     return CL.near_clusters(v_hash_dup(spark, sf_dir))
@@ -167,7 +167,7 @@ def q_near_clusters(spark, sf_dir):
 
 @register("split_assign_near",
           f"SELECT id, cluster, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split FROM "
-          f"(SELECT d.id, c.cluster, {Q.uniform(SEED, 'c.cluster', 'split')} AS u FROM ({V_HASH_DUP_SQL}) d JOIN ({_CLUSTERS}) c ON d.h = c.h)")
+          f"(SELECT d.id, c.cluster, {Q.uniform(SEED, 'c.cluster', 'split')} AS u FROM ({V_HASH_DUP_SQL}) d JOIN ({CLUSTERS_SQL}) c ON d.h = c.h)")
 def q_split_assign_near(spark, sf_dir):
     """Train / validation / test by cluster of near images, so none straddles a border."""
     return CL.split_near(v_hash_dup(spark, sf_dir).select("id", "h"), SEED).select("id", "cluster", "split")

@@ -238,11 +238,12 @@ def q_authenticity_label(spark, sf_dir):
     return j.select("id", "bucket", EV.authenticity_label(cls).alias("label"))
 
 
-_SUB_SQL = (f"SELECT id, CASE WHEN {Q.uniform(SEED, 'id', 'badlab')} < 0.02 THEN 'Manipulated' ELSE pred_label END AS label, "
+_ONCE_SQL = (f"SELECT id, CASE WHEN {Q.uniform(SEED, 'id', 'badlab')} < 0.02 THEN 'Manipulated' ELSE pred_label END AS label, "
             f"CASE WHEN {Q.uniform(SEED, 'id', 'badconf')} < 0.02 THEN confidence + 1.0 ELSE confidence END AS confidence, "
             f"CASE WHEN {Q.uniform(SEED, 'id', 'badtype')} < 0.02 THEN 'text_swap' ELSE pred_type END AS manipulation_type, "
             f"CASE WHEN {Q.uniform(SEED, 'id', 'badtok')} < 0.02 THEN list_append(pred_tokens, n_tok) ELSE pred_tokens END AS tokens, "
             f"n_tok FROM ({EV_SQL})")
+_SUB_SQL = f"SELECT * FROM ({_ONCE_SQL}) UNION ALL SELECT * FROM ({_ONCE_SQL}) WHERE {Q.uniform(SEED, 'id', 'twice')} < 0.02"
 
 
 @register("submission_violations",
@@ -265,6 +266,7 @@ def q_submission_violations(spark, sf_dir):
                    F.when(uniform(SEED, idc, "badtype") < 0.02, F.lit("text_swap")).otherwise(F.col("pred_type")).alias("manipulation_type"),
                    F.when(uniform(SEED, idc, "badtok") < 0.02, F.array_append("pred_tokens", F.col("n_tok")))
                    .otherwise(F.col("pred_tokens")).alias("tokens"))
+    sub = sub.unionByName(sub.filter(uniform(SEED, idc, "twice") < 0.02))  # some rows are handed in twice
     rules = {
         "label_domain": ~F.col("label").isin(EV.NEG, EV.POS),
         "confidence_range": ~F.col("confidence").between(0, 1),

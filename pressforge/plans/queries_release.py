@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.sampling import draw, uniform
+from ..functions.text import token_count, tokens
+from ..operators import clusters as CL
 from ..operators import evaluate as EV
 from ..operators import scenes as SC
 from ..plans.ranking import DENSE_BITS, ordered_rank
@@ -16,6 +18,7 @@ from ..session import scratch_dir
 from ..sources import readers as RD
 from ..sources import sinks as SK
 from . import sqlgen as Q
+from .queries_dedup import CLUSTERS_SQL, V_HASH_DUP_SQL, v_hash_dup
 from .queries_eval import EV_SQL, v_eval
 from .queries_quota import _NEW_SQL, _REM_SQL, _jobs_status, _remainders
 from .queries_scene import _DEDUP_SQL
@@ -135,3 +138,23 @@ def q_release_read(spark, sf_dir):
     rel.write.partitionBy("version", "split").parquet(path)
     back = spark.read.parquet(path).filter((F.col("version") == "v1") & (F.col("split") == "train"))
     return back.select("id", "version")
+
+
+_REL_SQL = (f"SELECT d.id, c.cluster, md5(d.text) AS text_md5, {Q.token_count('d.text')} AS n_tokens, "
+            f"CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split FROM "
+            f"(SELECT *, {Q.uniform(SEED, 'cluster', 'split')} AS u FROM ({CLUSTERS_SQL})) c JOIN ({V_HASH_DUP_SQL}) d ON d.h = c.h")
+
+
+@register("release_samples", f"SELECT id, split, text_md5, n_tokens, n_tokens AS n_read FROM ({_REL_SQL}) WHERE split <> 'train'")
+def q_release_samples(spark, sf_dir):
+    """P6 + P1: the release as the docs have it: whole captions with their tokens, split by clusters
+    of near images, written by (version, split); the held-out splits of the latest version are read
+    back (an older version lies beside it)."""
+    d = v_hash_dup(spark, sf_dir)
+    rel = CL.split_near(d.select("id", "h", "text"), SEED).select("id", "split", "text", tokens(F.col("text")).alias("tokens"), token_count(F.col("text")).alias("n_tokens"))
+    path = os.path.join(scratch_dir(spark, "release"), "samples")
+    old = rel.withColumn("version", F.lit("v1")).filter("split = 'train'")
+    old.unionByName(rel.withColumn("version", F.lit("v2"))).write.partitionBy("version", "split").parquet(path)
+    latest = spark.read.parquet(path).agg(F.max("version")).first()[0]  # from the folder names
+    back = spark.read.parquet(path).filter((F.col("version") == latest) & (F.col("split") != "train"))
+    return back.select("id", "split", F.md5("text").alias("text_md5"), "n_tokens", F.size("tokens").cast("bigint").alias("n_read"))

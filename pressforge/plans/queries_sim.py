@@ -64,3 +64,19 @@ def q_background_topk(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     found = topk.background_topk(e, e.filter(F.col("vec_id") % 20 == 0))
     return found.withColumn("score", F.round("score", 6))
+
+
+_PARTS = "SELECT vec_id // 6 AS img, (vec_id * 7 + label) % 5 < 2 AS fg, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings"
+
+
+@register("fg_bg_parts",
+          f"WITH m AS (SELECT img, pos, avg(cast(v AS DOUBLE)) FILTER (WHERE fg) AS f, avg(cast(v AS DOUBLE)) FILTER (WHERE NOT fg) AS b FROM ({_PARTS}) GROUP BY img, pos), "
+          "s AS (SELECT img, sum(f * b) AS fb, sum(f * f) AS ff, sum(b * b) AS bb FROM m GROUP BY img) "
+          "SELECT n.img, n_foreground, n_background, round(CASE WHEN sqrt(ff * bb) > 0 THEN 1.0 - fb / sqrt(ff * bb) END, 6) AS distance FROM "
+          "(SELECT vec_id // 6 AS img, count(*) FILTER (WHERE (vec_id * 7 + label) % 5 < 2) AS n_foreground, count(*) FILTER (WHERE (vec_id * 7 + label) % 5 >= 2) AS n_background "
+          "FROM embeddings GROUP BY 1) n LEFT JOIN s ON n.img = s.img")
+def q_fg_bg_parts(spark, sf_dir):
+    """L2: foreground against background of one image: six part vectors an image, some of them foreground."""
+    e = table(spark, sf_dir, "embeddings").withColumn("img", F.expr("vec_id div 6"))
+    d = S.parts_distance(e, "img", F.pmod(F.col("vec_id") * 7 + F.col("label"), F.lit(5)) < 2, "embedding")
+    return d.withColumn("distance", F.round("distance", 6))

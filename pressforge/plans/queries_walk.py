@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import walk as W
-from ..operators.scenes import with_validity
 from . import sqlgen as Q
 from .queries_scene import _BT, _ET, _MATCH, _RT
 from .registry import register
@@ -37,7 +36,7 @@ def q_scene_walk(spark, sf_dir):
     """a scene for every order, in arrival order: all roles, events, backdrops and shots
     in a keyed cyclic order, each combination once a lap; which of them make sense (D4)."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("accept_order"))
-    d = with_validity(W.walk(o, SEED))
+    d = W.walk(o, SEED)
     return d.select("id", "lap", "scene", "role", "event", "shot", "mismatch", "back_caption", "valid")
 
 

@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def v_job(spark: SparkSession, sf_dir: str, seed=SEED, absurd_rate: float = JOB_ABSURD_RATE,
-          buckets=None) -> DataFrame:
+          buckets=None, vocab=V) -> DataFrame:
     """One caption job per order: id, accept_order, dateline (customer's
     nation), bucket, role, event, backdrop, shot."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -44,18 +44,18 @@ def v_job(spark: SparkSession, sf_dir: str, seed=SEED, absurd_rate: float = JOB_
     j = j.withColumn("_dk", draw_prefix(seed, F.col("o_orderkey")))
     idc = Prefix("_dk")
     absurd = uniform(seed, idc, "absurd") < F.lit(absurd_rate)
-    back_raw = F.when(absurd, choice(seed, idc, "absurd_bg", V.ABSURD_BACKDROPS)).otherwise(
-        choice(seed, idc, "normal_bg", V.BACKDROPS))
+    back_raw = F.when(absurd, choice(seed, idc, "absurd_bg", vocab.ABSURD_BACKDROPS)).otherwise(
+        choice(seed, idc, "normal_bg", vocab.BACKDROPS))
     df = j.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderkey").alias("accept_order"),
         F.col("n_name").alias("dateline"),
-        choice(seed, idc, "bucket", buckets or V.BUCKETS).alias("bucket"),
-        choice(seed, idc, "role", V.ROLES).alias("role"),
-        choice(seed, idc, "event", V.EVENTS).alias("event"),
+        choice(seed, idc, "bucket", buckets or vocab.BUCKETS).alias("bucket"),
+        choice(seed, idc, "role", vocab.ROLES).alias("role"),
+        choice(seed, idc, "event", vocab.EVENTS).alias("event"),
         absurd.alias("mismatch"),
         back_raw.alias("back_raw"),
-        weighted_choice_col(uniform(seed, idc, "shot"), V.SHOT_TYPES).alias("shot"),
+        weighted_choice_col(uniform(seed, idc, "shot"), vocab.SHOT_TYPES).alias("shot"),
     )
     df = T.add_caption_backdrop(df, "back_raw", "_bc")
     return df.withColumn("back_caption", F.when(F.col("mismatch"), F.col("_bc")).otherwise(F.col("back_raw"))).drop("_bc")

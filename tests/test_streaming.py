@@ -22,23 +22,159 @@ def test_stream_dedup_distinct_keys(spark):
     assert s.count() == s.distinct().count() > 0
 
 
-def test_snapshot_manifests(spark):
-    import os
+def _plain_candidates(spark, n, first=0):
+    """n candidates in arrival order: classes in turn, some repeated captions, some near images."""
     from pyspark.sql import functions as F
-    from pressforge.operators.captions import with_captions
-    from pressforge.plans.views import SEED, v_job
+    i = F.col("id")
+    mix = F.xxhash64(F.when(i % 7 == 3, i - 2).otherwise(i))
+    return spark.range(first, first + n).select(
+        i, i.alias("accept_order"), F.element_at(F.array(F.lit("lit"), F.lit("inv"), F.lit("irr")), (i % 3 + 1).cast("int")).alias("bucket"),
+        F.concat(F.lit("caption "), F.when(i % 5 == 4, i - 3).otherwise(i)).alias("text"), mix.bitwiseXOR(i % 4).alias("h"))
+
+
+def _greedy(rows, goals, max_distance=3):
+    """The accept loop in plain Python."""
+    texts, hashes, n, out = set(), [], dict.fromkeys(goals, 0), []
+    for r in sorted(rows, key=lambda r: r.accept_order):
+        if r.text in texts or any(bin((r.h ^ h) & (2**64 - 1)).count("1") <= max_distance for h in hashes):
+            continue
+        texts.add(r.text)
+        hashes.append(r.h)
+        if n[r.bucket] < goals[r.bucket]:
+            n[r.bucket] += 1
+            out.append(r.id)
+    return out
+
+
+def test_every_snapshot_is_its_first_rows(spark):
+    """Versions cut inside batches, at batch borders, and several in one batch."""
+    import os
     from pressforge.session import scratch_dir
     from pressforge.streaming import incremental as INC
     work = scratch_dir(spark, "snaptest")
-    c = with_captions(v_job(spark, SF), SEED).select("id", "accept_order", "bucket", "text", "fake_text_pos", "fake_cls")
+    c = _plain_candidates(spark, 330).drop("h")
     src = os.path.join(work, "src")
     INC.stage_in_order(c, src, "accept_order", 4)
-    INC.run_accept(spark, src, c.schema, work, {"lit": 60, "inv": 60, "irr": 60}, snap_every=50)
-    m = spark.read.json(os.path.join(work, "snapshots")).orderBy("version").collect()
-    total = INC.accepted(spark, work).count()
-    assert m and m[-1].rows == INC.snapshot(spark, work, m[-1].version).count()
-    assert all(r.rows >= 50 * r.version for r in m) and total >= m[-1].rows
-    assert [r.version for r in m] == list(range(1, total // 50 + 1))  # every multiple that was crossed
+    INC.run_accept(spark, src, c.schema, work, {"lit": 60, "inv": 70, "irr": 80}, snap_every=15)
+    rows = sorted(INC.accepted(spark, work).collect(), key=lambda r: r.accept_order)
+    log = INC.versions(spark, work).orderBy("version").collect()
+    assert [r.version for r in log] == list(range(1, len(rows) // 15 + 1))
+    for r in log:
+        assert (r.rows, r.first_arrival, r.last_arrival) == (15 * r.version, 15 * r.version - 14, 15 * r.version)
+        assert sorted(x.id for x in INC.snapshot(spark, work, r.version).collect()) == sorted(x.id for x in rows[:r.rows])
+    assert INC.snapshot(spark, work).count() == len(rows)  # the one written on finish
+    totals = {r.version: (r["rows"], r.total) for r in INC.snapshot_totals(spark, work, "id").collect()}
+    assert totals == {r.version: (r.rows, sum(x.id for x in rows[:r.rows])) for r in log}
+
+
+def test_a_replayed_batch_rewrites_its_own_files_only(spark, tmp_path):
+    """The last batch is run once more from the checkpoint of the one before it, after a crash that
+    left everything but the commit of the batch."""
+    import glob
+    import os
+    from pressforge.streaming import incremental as INC
+    work = str(tmp_path / "w")
+    c = _plain_candidates(spark, 200)
+    src = os.path.join(work, "src")
+    goals = {"lit": 40, "inv": 40, "irr": 40}
+    INC.stage_in_order(c, src, "accept_order", 4)
+
+    def run():
+        INC.run_accept(spark, src, c.schema, work, goals, snap_every=10, hash_col="h", target=100)
+    run()
+    want = _rows(INC.accepted(spark, work)), _rows(INC.versions(spark, work)), _rows(spark.read.parquet(f"{work}/state").drop("batch"))
+    times = {f: os.path.getmtime(f) for f in glob.glob(f"{work}/snapshots/batch=*/part*")}
+    last = max(int(os.path.basename(f)) for f in glob.glob(f"{work}/checkpoint/commits/[0-9]*"))
+    for f in glob.glob(f"{work}/checkpoint/commits/*{last}*"):
+        os.unlink(f)
+    run()
+    got = _rows(INC.accepted(spark, work)), _rows(INC.versions(spark, work)), _rows(spark.read.parquet(f"{work}/state").drop("batch"))
+    assert got[0] == want[0] and got[1] == want[1]
+    for f, t in times.items():
+        if f"batch={last}" not in f:
+            assert os.path.getmtime(f) == t
+
+
+def test_joint_loop_equals_greedy(spark, tmp_path):
+    """Near images and captions against all earlier batches, the index growing as it goes."""
+    import os
+    from pressforge.streaming import incremental as INC
+    work = f"file://{tmp_path}/w"
+    c = _plain_candidates(spark, 400)
+    goals = {"lit": 90, "inv": 30, "irr": 200}
+    src = os.path.join(work, "src")
+    INC.stage_in_order(c, src, "accept_order", 5, only=range(3))
+    INC.run_accept(spark, src, c.schema, work, goals, hash_col="h", target=300)
+    INC.stage_in_order(c, src, "accept_order", 5, only=range(3, 5))
+    INC.run_accept(spark, src, c.schema, work, goals, hash_col="h", target=300)
+    assert sorted(r.id for r in INC.accepted(spark, work).collect()) == sorted(_greedy(c.collect(), goals))
+
+
+def test_bytes_read_by_a_late_batch_stay_flat(spark, tmp_path):
+    """Forty batches of the same size: what the index hands to one of the last is no more than
+    what it hands to one of the first that met a full folder."""
+    from pyspark.sql import functions as F
+    from pressforge.streaming.keyindex import KeyIndex, State
+    index, state, read = KeyIndex(spark, str(tmp_path / "i"), target=500), State(), []
+    for b in range(40):
+        keys = spark.range(b * 400, (b + 1) * 400).select(F.xxhash64("id").alias("k"), F.col("id").alias("v"))
+        state = index.open(state, b)
+        asked = keys.limit(3).union(spark.range(0, 2).select(F.xxhash64("id").alias("k"), F.col("id").alias("v")))
+        found, state = index.lookup(asked, state, b)
+        if b:
+            hit = found.join(asked.select("k"), "k")
+            assert sorted(r.v for r in hit.collect()) == [0, 1]  # what the first batch wrote
+        read.append(state.bytes_read)
+        state = index.add(keys, state, b)
+    assert state.pairs == 16_000 and state.gen >= 4
+    assert max(read[30:]) < 2 * max(read[:10]) and read[-1] < 0.5 * 16_000 * 16
+
+
+def test_key_index_forgets_nothing_and_ignores_later_batches(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from pressforge.streaming.keyindex import KeyIndex, State
+    index = KeyIndex(spark, str(tmp_path / "i"), target=10)
+    keys = spark.range(0, 60).select(F.xxhash64("id").alias("k"), F.col("id").alias("v"))
+    s1 = index.add(keys.filter("v < 30"), index.open(State(), 0), 0)
+    lost = index.add(keys.filter("v >= 30"), index.open(s1, 1), 1)  # an attempt whose state was never written
+    assert lost.pairs == 60
+    again = index.open(s1, 1)
+    found, again = index.lookup(keys, again, 1)
+    assert sorted(r.v for r in found.collect()) == list(range(30))
+    again = index.add(keys.filter("v >= 50"), again, 1)
+    found, _ = index.lookup(keys, index.open(again, 2), 2)
+    assert sorted(r.v for r in found.collect()) == [*range(30), *range(50, 60)]
+    none, _ = index.lookup(keys.limit(0), again, 2)
+    assert none.collect() == []
+
+
+def test_dedup_state_survives_a_restart(spark, tmp_path):
+    """Keys of an earlier run are still known after the query starts again, from state on disk."""
+    import os
+    from pressforge.streaming import incremental as INC
+    src, work = str(tmp_path / "src"), str(tmp_path / "w")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    df = spark.range(0, 300).selectExpr("id", "id % 40 as k")
+    INC.stage_in_order(df, src, "id", 3, only=range(2))
+    first = INC.stream_dedup(spark, src, df.schema, ["k"], work).count()
+    INC.stage_in_order(df, src, "id", 3, only=[2])
+    assert first == 40 == INC.stream_dedup(spark, src, df.schema, ["k"], work).count()
+    files = [f for _, _, names in os.walk(f"{work}/checkpoint/state") for f in names]
+    assert any(f.endswith((".changelog", ".zip")) for f in files)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_gated_stream_equals_the_batch_plan(spark):
+    q = E.queries()
+    want = _rows(q["accept_batch"](spark, SF))
+    assert want and _rows(q["stream_accept_gated"](spark, SF)) == want
+
+
+def test_funnel_passes_what_the_loop_keeps(spark):
+    from pressforge.plans.queries_accept import accept_funnel
+    reasons = {r.id: r.reason for r in accept_funnel(spark, SF).collect()}
+    kept = [r.id for r in E.queries()["accept_batch"](spark, SF).collect()]
+    assert kept and all(reasons[i] == "passed" for i in kept) and "near_image" in reasons.values()
 
 
 def test_accept_on_a_file_uri_equals_the_batch_plan(spark, tmp_path):
