@@ -151,18 +151,15 @@ def test_pii_edges(spark):
 
 
 def test_pii_bootstrap_finds_new_formats(spark):
-    texts = [f"Please note my number {w} reach me via +1 555 010 {1000 + i} today then go" for i, w in enumerate("abcdefghij")]
-    texts += ["Please note my number z reach me via +1 555 today 12345678 then", "They reach me via +9 777 then", "We reach me via 555010 then", "room 4711 was empty"]
-    seeds = [f"write to reach me via {i}{i}.{i}.1.{i + 1} today ok" for i in range(10)]
-    hidden = "write to reach me via 1234.5678.99 today ok"
-    clean = "the year 1999 was not 20000 long"
-    df = spark.createDataFrame(list(enumerate([*seeds, hidden, clean])), "doc_id long, text string")
-    got = by_id(pii.report(df))
-    at = hidden.index("1234")
-    assert got[10].spans in ("", f"id:{at}:{at + 12}") and got[11].spans == ""
-    same = [f"write to reach me via {i}{i}.{i}.1.{i + 1} today ok" for i in range(40)]
-    got = by_id(pii.report(spark.createDataFrame(list(enumerate([*same, "write to reach me via 999.888.777.66 today ok", clean])), "doc_id long, text string")))
-    assert got[40].spans == "id:22:36" and got[41].spans == ""
+    """A context that holds addresses only tells of a number that is none; clean numbers stay."""
+    hidden, clean = "write to reach me via 999.888.777.66 today ok", "the year 1999 was not 20000 long"
+    same = [f"write to reach me via {i + 1}.{i}.1.{i + 100} today ok" for i in range(40)]
+    got = by_id(pii.report(spark.createDataFrame(list(enumerate([*same, hidden, clean])), "doc_id long, text string")))
+    assert all(got[i].n_ip == 1 and got[i].spans == f"ip:22:{len(t) - 9}" for i, t in enumerate(same))
+    assert got[40].n_ip == 0 and got[40].spans == "id:22:36" and got[41].spans == ""
+    few = [*same[:3], hidden, clean]  # too few seeds to make a pattern
+    got = by_id(pii.report(spark.createDataFrame(list(enumerate(few)), "doc_id long, text string")))
+    assert got[3].spans == "" and got[4].spans == ""
 
 
 def test_pii_every_token_is_an_instance(spark):
