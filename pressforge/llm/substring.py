@@ -9,11 +9,10 @@ A text with fewer sentences than ``span`` is one run. Runs of fewer than
 ``min_words`` words are let be: such phrases recur by chance.
 
 With ``stretch_words`` every run is hashed, whatever its words, and the minimum is
-asked of the repeated stretch: runs that follow one another and repeat consecutive
-places of one earlier document (or go round in a list that repeats itself) count
-together. Between two parts of a stretch there may be runs that an even earlier
-document has. A sentence of ``stretch_words`` words is a span of its own, and so is
-a whole text: of one that repeats another sentence by sentence nothing stays.
+asked of the stretch of sentences that such runs cover without a gap, whichever
+documents hold their first places: a stretch of fewer words is let be (two short
+sentences meet by chance). A sentence of ``stretch_words`` words is a span of its own,
+and so is a whole text: of one that repeats another sentence by sentence nothing stays.
 
 Edge cases: a null text counts as empty (clean text ""). Rows that repeat both
 doc_id and text are one document: all stay or lose the same. Null ids come first.
@@ -72,38 +71,25 @@ def runs(found: list, span: int, min_words: int, stretch_words: int | None = Non
     return long.astype(np.int32), total[long]
 
 
-def stretches(found: list, pos: list, doc: list, first: list, span: int, least: int) -> set:
-    """Sentences to remove. The span at pos[i] (in order) has its first place first[i] of document
-    doc[i]; stretches of at least ``least`` words go."""
+def stretches(found: list, pos: list, span: int, least: int) -> set:
+    """Sentences to remove. Runs at ``pos`` (in order) have an earlier place somewhere; runs that
+    follow one another cover a stretch, and stretches of at least ``least`` words go."""
     if pos and pos[0] == WHOLE:
         return set(range(len(found)))
     w = np.concatenate([[0], np.cumsum([s[3] for s in found])])
-    out, region, at = {p - ALONE for p in pos if p >= ALONE}, [], None
+    out, begin, last = {p - ALONE for p in pos if p >= ALONE}, None, None
 
     def close():
-        reach, chain, begin = {}, [], None  # (document, shift) -> first and last run; runs in a row
-        for p, d, f in region:
-            reach.setdefault((d, p - f), [p, p])[1] = p
-            if begin is not None and d == begin[0] and f in (last + 1, begin[1]):
-                chain[-1][1] = p
-            else:
-                chain.append([p, p])
-                begin = (d, f)
-            last = f
-        done = -1  # reaches may overlap; each sentence is put in once
-        for lo, hi in sorted([*reach.values(), *chain]):
-            if hi + span > done and w[hi + span] - w[lo] >= least:
-                out.update(range(max(lo, done), hi + span))
-                done = hi + span
-
-    for p, d, f in zip(pos, doc, first):
+        if begin is not None and w[last + span] - w[begin] >= least:
+            out.update(range(begin, last + span))
+
+    for p in pos:
         if p >= ALONE:
             break
-        if region and p != at + 1:
+        if last is None or p > last + span:  # a sentence between them is under no run
             close()
-            region = []
-        region.append((p, d, f))
-        at = p
+            begin = p
+        last = p
     close()
     return out
 
@@ -131,7 +117,7 @@ def dedup(docs: DataFrame, span: int = 2, min_words: int = 15, stretch_words: in
     # a table of its own, so that the join below may split a hash that very many documents share
     first = cut_lineage(rows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").select("h", "first"))
     gone = (rows.join(first, "h").filter(place != F.col("first")).groupBy("k1", "doc_id")
-            .agg(F.sort_array(F.collect_set(F.struct("pos", F.col("first.k1").alias("doc"), F.col("first.pos").alias("at")))).alias("gone"))
+            .agg(F.sort_array(F.collect_set("pos")).alias("gone"))
             .select("k1", F.col("doc_id").alias("of"), "gone"))
     keyed = row_key(docs).select("doc_id", "k1", "text")
     joined = keyed.join(gone, (keyed.k1 == gone.k1) & keyed.doc_id.eqNullSafe(gone.of), "left").select("doc_id", "text", "gone")
@@ -141,11 +127,11 @@ def dedup(docs: DataFrame, span: int = 2, min_words: int = 15, stretch_words: in
             total, lost, texts = [], [], []
             for t, gone in zip(text_bytes(b), b.column(2)):
                 found = sentences(t)
-                pos, doc, first = (gone.values.field(i).to_pylist() for i in range(3)) if gone.is_valid else ((), (), ())
+                pos = gone.values.to_pylist() if gone.is_valid else ()
                 if stretch_words is None:
                     under = sorted({p + j for p in pos for j in range(span) if p + j < len(found)})
                 else:
-                    under = sorted(stretches(found, pos, doc, first, span, stretch_words)) if pos else []
+                    under = sorted(stretches(found, pos, span, stretch_words)) if pos else []
                 at, kept = 0, []
                 for i in under:
                     kept.append(t[at:found[i][0]])
