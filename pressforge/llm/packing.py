@@ -45,6 +45,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def word_wise(tok) -> bool:
+    """Does a tokeniser lower-case, drop white space, and mark word ends? Then words can be encoded one by one."""
+    import json
+
+    made = json.loads(tok.to_str())
+
+    def kinds(part) -> set:
+        return {part["type"], *(k for x in [*part.get("normalizers", []), *part.get("pretokenizers", [])] for k in kinds(x))} if part else set()
+
+    return made["model"].get("end_of_word_suffix") == "</w>" and "Lowercase" in kinds(made.get("normalizer")) and {"Split", "ByteLevel"} <= kinds(made.get("pre_tokenizer"))
+
+
 class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
@@ -55,6 +67,8 @@ class Encoder:
     vocabulary's merges: its letters and its marks are one piece each for the
     tokeniser, and its normalisation leaves them as they are. A text that may hold
     a special token's name goes to the tokeniser whole.
+
+    Only for tokenisers that are so made (see ``word_wise``); others read whole texts.
     """
 
     LIMIT = 700_000
@@ -66,6 +80,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok, self.known, self.parts = Tokenizer.from_file(path), {}, {}
+        self.word_wise = word_wise(self.tok)
         self.letters, self.simple = str.maketrans({chr(b): c for b, c in byte_letters().items()}), re.compile(self.SIMPLE).fullmatch
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -80,6 +95,8 @@ class Encoder:
         return ids
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
+        if not self.word_wise:
+            return self.encode([t.decode() for t in texts])
         known, other = self.known, []
         if len(known) > self.LIMIT:
             known.clear()

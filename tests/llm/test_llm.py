@@ -135,6 +135,13 @@ def test_quality_lines(spark):
     assert not got[3].kept and got[3].clean_text == ""
 
 
+def test_quality_notices_are_whole_words(spark):
+    keep = ["The catalog in the reading room lists nine thousand titles.", "She baked a chocolate cookie for the long way home.", "They subscribe to it, and threads more than once."]
+    drop = ["Todos los derechos reservados.", "© 2020 Alle Rechte vorbehalten.", "This site uses cookies.", "Please log in.", "READ MORE.", "Tous droits réservés !"]
+    got = quality.clean(spark.createDataFrame([(0, "\n".join([*keep, *drop]))], "doc_id long, text string")).first()
+    assert got.clean_text == "\n".join(keep) and got.n_lines_removed == len(drop)
+
+
 def test_pii_base(docs, rows):
     got = by_id(pii.report(docs))
     for i, t in rows:
@@ -306,8 +313,70 @@ def test_substring(docs, rows):
                 gone |= set(range(q, q + k)) if key in seen else set()
                 seen.add(key)
         assert (got[i].n_sentences, got[i].n_removed) == (len(found), len(gone))
-        assert got[i].clean_text.encode() == b"".join(
-            (t or "").encode()[a:b] for j, (a, b) in enumerate((s[0], s[1]) for s in found) if j not in gone) or len(found) != len(got[i].clean_text)
+        assert got[i].clean_text.encode() == cut_out(t, found, gone)
+
+
+def cut_out(text, found, gone):
+    """The text without the sentences ``gone``."""
+    out, at = [], 0
+    for j in sorted(gone):
+        out.append((text or "").encode()[at:found[j][0]])
+        at = found[j][1]
+    return b"".join(out) + (text or "").encode()[at:]
+
+
+def brute_stretches(texts, least=15):
+    """The query's way, in plain Python: sentences to remove of every text, in order."""
+    all_found = [substring.sentences((t or "").encode()) for t in texts]
+    forms = [[s[2] for s in found] for found in all_found]
+    runs, singles, wholes, out = set(), set(), set(), []
+    for found, f in zip(all_found, forms):
+        covered, gone = set(), set()
+        for q in range(len(f) - 1):
+            if (f[q], f[q + 1]) in runs:
+                covered |= {q, q + 1}
+            runs.add((f[q], f[q + 1]))
+        starts = sorted(q for q in covered if q - 1 not in covered)
+        for q in starts:
+            e = q
+            while e + 1 in covered:
+                e += 1
+            if sum(found[x][3] for x in range(q, e + 1)) >= least:
+                gone |= set(range(q, e + 1))
+        for q, s in enumerate(found):
+            if s[3] >= least:
+                gone |= {q} if f[q] in singles else set()
+                singles.add(f[q])
+        if tuple(f) in wholes:
+            gone = set(range(len(f)))
+        if f:
+            wholes.add(tuple(f))
+        out.append((found, gone))
+    return out
+
+
+def test_substring_query_path(docs, rows):
+    """op1 as the query calls it, on the given table."""
+    got = by_id(substring.dedup(docs, stretch_words=15))
+    removed = 0
+    for (i, t), (found, gone) in zip(rows, brute_stretches([t for _, t in rows])):
+        assert (got[i].n_sentences, got[i].n_removed) == (len(found), len(gone)), i
+        assert got[i].clean_text.encode() == cut_out(t, found, gone)
+        removed += len(gone)
+    assert removed > 50
+
+
+def test_substring_stretch_over_several_documents(spark):
+    """A stretch counts whole, also where its runs were first in different documents; the awkward
+    rows and the empty table on the query's path."""
+    s = [f"{w} one two three four." for w in ("Alpha", "Beta", "Gamma", "Delta")]
+    texts = [" ".join(s[:3]), " ".join(s[2:]), " ".join(s[1:]), "Beta one two three four. Gamma one two three four."]
+    got = by_id(substring.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), stretch_words=15))
+    assert [got[i].n_removed for i in range(4)] == [0, 0, 3, 0] and got[2].clean_text == ""
+    df, odd = awkward(spark)
+    found = substring.dedup(df, stretch_words=15).collect()
+    assert len(found) == len(odd) and {r.clean_text for r in found if r.doc_id == 1} == {""}
+    assert substring.dedup(df.limit(0), stretch_words=15).collect() == []
 
 
 def test_substring_stretches(spark):
@@ -355,6 +424,19 @@ def test_packing(docs, rows):
     assert len(filled) == brute.bfd([r.length for r in got], 2048)
 
 
+def test_packing_with_another_tokeniser(docs, rows):
+    """A tokeniser that keeps case and white space reads whole texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    name = "byte_bpe_50k.json"
+    tok = Tokenizer.from_file(public_tokenizers.path(name))
+    got = {(r.doc_id, r.piece): (r.length, r.ids_crc32) for r in packing.pieces(docs, tokenizer=name).collect()}
+    for (i, t), e in zip(rows, tok.encode_batch([t or "" for _, t in rows], add_special_tokens=False)):
+        ids = np.array([*e.ids, 0], dtype="<u4")[:2048]
+        assert got[i, 0] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_packing_equals_best_fit_decreasing():
     rng = random.Random(4)
     for _ in range(60):
