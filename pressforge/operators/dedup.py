@@ -1,8 +1,8 @@
 """First-wins deduplication (H1-H3, F4, M2 batch side).
 
-Exact dedup is an aggregation (``min`` of a struct led by the arrival order),
-so a caption repeated by a third of all rows is folded map-side before the
-shuffle instead of landing in one window partition.
+Exact dedup is an aggregation (``min`` of a struct led by the arrival order)
+by a 128-bit digest of the key, so a caption repeated by a third of all rows is
+folded map-side before the shuffle instead of landing in one window partition.
 
 Greedy near-duplicate dedup (H2/H3) is order-dependent and not transitive:
 a row is dropped iff it conflicts with an earlier *kept* row. It runs as
@@ -17,11 +17,20 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+def digest_of(keys: list[str]) -> list:
+    """128 bits of the key columns, nulls apart from everything else."""
+    cols = [F.col(k) for k in keys]
+    return [F.xxhash64(*cols), F.xxhash64(F.lit("again"), *cols, *[c.isNull() for c in cols])]
+
+
 def first_wins(df: DataFrame, keys: list[str], order_col: str = "accept_order") -> DataFrame:
-    """H1: keep the earliest row per key (ties impossible: order is unique)."""
-    others = [c for c in df.columns if c not in keys and c != order_col]
-    agg = df.groupBy(*keys).agg(F.min(F.struct(order_col, *others)).alias("_r"))
-    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in [order_col] + others]).select(*df.columns)
+    """H1: keep the earliest row per key (ties impossible: order is unique).
+
+    Rows are grouped by 128 bits of the key, so tasks sort and compare two numbers, not texts."""
+    others = [c for c in df.columns if c != order_col]
+    a, b = digest_of(keys)
+    agg = df.groupBy(a.alias("_a"), b.alias("_b")).agg(F.min(F.struct(order_col, *others)).alias("_r"))
+    return agg.select("_r.*").select(*df.columns)
 
 
 def anti_seen(new: DataFrame, seen: DataFrame, col: str = "text") -> DataFrame:
@@ -85,18 +94,16 @@ def _between(edges: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def _greedy_rounds(nodes: DataFrame, order_col: str, groups, max_rounds: int) -> DataFrame:
+    """One checkpoint a round, of the rows that were undecided; what was kept before is read from
+    the checkpoints of earlier rounds."""
     big = F.lit(2 ** 62).cast("bigint")
-    und, done = cut_lineage(nodes), []
-    # what is kept so far, as the smallest kept arrival of each value: decided rows are not rewritten
-    kept = [None] * len(groups)
+    und, done, kept = nodes, [], None
     for _ in range(max_rounds):
-        if not und.limit(1).count():
-            break
         rated = und
         for gi, (gcol, edges) in enumerate(groups):
             seen = und.groupBy(gcol).agg(F.min(order_col).alias("_u")).withColumn("_k", F.lit(None).cast("bigint"))
-            if kept[gi] is not None:
-                seen = seen.unionByName(kept[gi].withColumn("_u", F.lit(None).cast("bigint")))
+            if kept is not None:  # the smallest kept arrival of each value
+                seen = seen.unionByName(kept.groupBy(gcol).agg(F.min(order_col).alias("_k")).withColumn("_u", F.lit(None).cast("bigint")))
             if edges is not None:
                 near = edges.join(seen.withColumnRenamed(gcol, "b"), "b").select(F.col("a").alias(gcol), "_u", "_k")
                 seen = seen.unionByName(near)
@@ -109,12 +116,13 @@ def _greedy_rounds(nodes: DataFrame, order_col: str, groups, max_rounds: int) ->
         rated = cut_lineage(rated.withColumn("_st", verdict).select(*nodes.columns, "_st"))
         done.append(rated.filter("_st != 0"))
         und = rated.filter("_st = 0").drop("_st")
-        for gi, (gcol, _) in enumerate(groups):
-            new = rated.filter("_st = 1").groupBy(gcol).agg(F.min(order_col).alias("_k"))
-            kept[gi] = cut_lineage(new if kept[gi] is None else kept[gi].unionByName(new).groupBy(gcol).agg(F.min("_k").alias("_k")))
+        new = rated.filter("_st = 1").drop("_st")
+        kept = new if kept is None else kept.unionByName(new)
+        if not und.limit(1).count():
+            break
     else:
         raise RuntimeError("greedy_keep did not converge")
-    out = nodes.limit(0).withColumn("_st", F.lit(0))
-    for part in done:
+    out = done[0]
+    for part in done[1:]:
         out = out.unionByName(part)
     return out.withColumn("kept", F.col("_st") == 1).drop("_st")

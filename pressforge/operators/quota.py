@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.sampling import draw
-from ..plans.ranking import DENSE_BITS, ordered_rank, ordered_running_sum
+from ..plans.ranking import DENSE_BITS, block_offsets, ordered_rank, ordered_running_sum
 
 
 def _map(d: dict) -> Column:
@@ -40,15 +42,44 @@ def pool_sizing(total: Column) -> tuple[Column, Column]:
     return pool, backup
 
 
+def quota_cutoffs(df: DataFrame, goals: dict[str, int], order_col: str = "accept_order", bucket_col: str = "bucket") -> dict[str, int | None]:
+    """The order value of the last row that each bucket's quota takes, None where it takes all.
+
+    Block counts and their running sums tell in which block of the order a quota ends (one row a
+    bucket is read), and only that block, at most 2^16 rows of a bucket, is ranked. Both passes
+    read the two columns alone."""
+    live = {b: int(g) for b, g in goals.items() if int(g) > 0}
+    if not live:
+        return {}
+    d = df.filter(F.col(bucket_col).isin(list(live))).select(F.col(bucket_col).alias("b"), F.col(order_col).cast("bigint").alias("o"))
+    d = d.withColumn("_blk", F.shiftright("o", DENSE_BITS))
+    stats = d.groupBy("b", "_blk").agg(F.count(F.lit(1)).alias("n"))
+    goal = F.element_at(_map(live), F.col("b"))
+    ends = (stats.join(block_offsets(stats, ["b"], "n", DENSE_BITS), ["b", "_blk"]).filter((F.col("_off") < goal) & (goal <= F.col("_off") + F.col("n")))
+            .select("b", "_blk", (goal - F.col("_off")).alias("need")).collect())
+    cuts: dict[str, int | None] = dict.fromkeys(live)
+    if ends:
+        here = [(F.col("b") == r.b) & (F.col("_blk") == r._blk) for r in ends]
+        need = F.element_at(_map({r.b: int(r.need) for r in ends}), F.col("b"))
+        rank = F.row_number().over(Window.partitionBy("b").orderBy("o"))
+        last = d.filter(reduce(lambda x, y: x | y, here)).withColumn("_rank", rank).filter(F.col("_rank") == need)
+        cuts |= {r.b: r.o for r in last.select("b", "o").collect()}
+    return cuts
+
+
 def quota_fill(df: DataFrame, goals: dict[str, int] | Column, order_col: str = "accept_order",
                bucket_col: str = "bucket") -> DataFrame:
     """H4: keep the first ``goal`` rows of each bucket in arrival order.
 
-    Ranks come from the block-split exact rank, so one bucket holding most
-    rows is still spread over many tasks."""
-    goal = F.element_at(_map(goals), F.col(bucket_col)) if isinstance(goals, dict) else goals
-    r = ordered_rank(df, order_col, [bucket_col], out="_qrank", bits=DENSE_BITS)
-    return r.filter(F.col("_qrank") <= goal).drop("_qrank")
+    Goals per bucket become cut-off values, so the rows themselves are only filtered, not
+    shuffled; ``df`` is read three times (its two key columns twice), so hand in a table or a
+    checkpoint. Goals as a column are compared with the block-split exact rank."""
+    if not isinstance(goals, dict):
+        r = ordered_rank(df, order_col, [bucket_col], out="_qrank", bits=DENSE_BITS)
+        return r.filter(F.col("_qrank") <= goals).drop("_qrank")
+    b, o = F.col(bucket_col), F.col(order_col)
+    cuts = quota_cutoffs(df, goals, order_col, bucket_col)
+    return df.filter(reduce(lambda x, y: x | y, [(b == k) if c is None else (b == k) & (o <= c) for k, c in cuts.items()], F.lit(False)))
 
 
 def snapshot_versions(df: DataFrame, order_col: str = "accept_order", every: int = V.SNAP_EVERY) -> DataFrame:

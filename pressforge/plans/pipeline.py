@@ -11,6 +11,7 @@ from ..functions.text import ints_to_str
 from ..operators.captions import with_captions
 from ..operators.dedup import first_wins
 from ..operators.quota import quota_fill
+from ..session import cut_lineage
 from ..sources.sinks import image_path, make_records
 from .views import SEED, v_job
 
@@ -31,7 +32,7 @@ def caption_records(spark: SparkSession, sf_dir: str, seed=SEED, goals=None,
     ``vocab`` replaces the word lists (``vocab.with_lists``)."""
     seed = resolve_seed(seed)
     jobs = v_job(spark, sf_dir, seed, vocab=vocab)
-    caps = _captions(jobs, seed, span_mode, vocab)
+    caps = cut_lineage(_captions(jobs, seed, span_mode, vocab))  # the quota reads its keys before its rows
     filled = quota_fill(caps, goals or goals_of(jobs))
     return make_records(filled.withColumn("image", image_path(F.col("bucket"), F.col("id"), seed)))
 

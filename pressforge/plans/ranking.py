@@ -46,7 +46,7 @@ def _block(order_col: str, bits: int):
 FAN_BITS = 16
 
 
-def _block_offsets(stats: DataFrame, part: list[str], val: str, bits: int, fan_bits: int | None = None) -> DataFrame:
+def block_offsets(stats: DataFrame, part: list[str], val: str, bits: int, fan_bits: int | None = None) -> DataFrame:
     """Exclusive running sum of ``val`` over blocks, per partition key, level by level: blocks in
     groups of 2^fan_bits, groups in groups, until 63 bits of key are used up. A window sees the
     2^fan_bits members of one group at most, also when keys are sparse and every row is a block
@@ -87,7 +87,7 @@ def ordered_rank(df: DataFrame, order_col: str, part_cols: list[str] | None = No
     bits = auto_bits(df, order_col) if bits is None else bits
     d = df.withColumn("_blk", _block(order_col, bits))
     stats = d.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    offs = _block_offsets(stats, part, "_n", bits)
+    offs = block_offsets(stats, part, "_n", bits)
     local = F.row_number().over(Window.partitionBy(*part, "_blk").orderBy(order_col, *ties))
     d = d.withColumn("_loc", local)
     return (d.join(offs, part + ["_blk"])
@@ -102,7 +102,7 @@ def ordered_running_sum(df: DataFrame, value_col: str, order_col: str, part_cols
     bits = auto_bits(df, order_col) if bits is None else bits
     d = df.withColumn("_blk", _block(order_col, bits))
     stats = d.groupBy(*part, "_blk").agg(F.sum(value_col).alias("_s"))
-    offs = _block_offsets(stats, part, "_s", bits)
+    offs = block_offsets(stats, part, "_s", bits)
     wl = Window.partitionBy(*part, "_blk").orderBy(order_col, *(tiebreak or [])).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_loc", F.sum(value_col).over(wl))
     return d.join(offs, part + ["_blk"]).withColumn(out, F.col("_off") + F.col("_loc")).drop("_blk", "_loc", "_off")

@@ -77,14 +77,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
-    """In a single-JVM session (tests, bench), spread a CPU-heavy narrow stage
-    over the cores when the input is one small file. On a cluster the scan is
-    left as it is; ``spark.sql.files.maxPartitionBytes`` splits it there.
+    """Spread the rows of a scan that has fewer splits than there are cores (small files of one row
+    group each) by ``key``; a scan with enough splits is left as it is. The same rule in any
+    session.
 
     Call it on a plain scan only: on a plan that already contains a shuffle,
     asking adaptive execution for the partition count runs those stages."""
-    if not df.sparkSession.sparkContext.master.startswith("local["):
-        return df
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= want:

@@ -43,22 +43,21 @@ def test_array_over_many_splits(spark, tmp_path, small_splits):
         assert members(spark, p) == docs
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.recursive(st.none() | st.integers() | st.text(alphabet='",\\[]{} a\n', max_size=12), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(alphabet='",\\[{', max_size=3), x, max_size=3), max_leaves=6), max_size=8))
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.recursive(st.none() | st.integers() | st.text(alphabet='",\\[]{} a\n', max_size=12), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(alphabet='",\\[{', max_size=3), x, max_size=3), max_leaves=9), max_size=40))
 def test_any_array(spark, tmp_path, docs):
     assert members(spark, put(tmp_path, json.dumps(docs))) == docs
 
 
 def test_an_escaped_quote_at_every_place_of_a_border(spark, tmp_path, small_splits):
-    for shift in range(0, 12):
-        docs = ["x" * (190 + shift), 'q"\\",[{' * 5, "end"]
-        assert members(spark, put(tmp_path, json.dumps(docs), f"s{shift}.json")) == docs
+    docs = [x for shift in range(200) for x in ("x" * (1 + shift % 97), 'q"\\",[{' * 5)]  # borders fall on every kind of place
+    assert members(spark, put(tmp_path, json.dumps(docs), "s.json")) == docs
 
 
 def test_not_an_array(spark, tmp_path):
-    for i, text in enumerate(['{"a": 1}', '"text, [1]"', "5", "[]", " [ ] \n", "", "\n"]):
+    for i, text in enumerate(['{"a": 1}', '"text, [1]"', " [ ] \n", ""]):
         assert J.read_snapshot_array(spark, put(tmp_path, text, f"n{i}.json")).collect() == []
-    for i, text in enumerate(["[1, 2", '["a]', '{"a": [1}']):
+    for i, text in enumerate(["[1, 2", '["a]']):
         with pytest.raises(ValueError):
             J.members(spark, put(tmp_path, text, f"bad{i}.json")).collect()
 
@@ -88,8 +87,10 @@ def test_objects(spark, tmp_path, small_splits):
 
 
 def test_parallel_write_is_one_document(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several parts, small as they are
     rows = [(i, "p", HARD[i % len(HARD)], "origin", [], [i], [[1, 2, 3, 4]]) for i in range(97)]
     path = J.write_snapshot_array(spark.createDataFrame(rows, RECORD_SCHEMA).repartition(5), str(tmp_path / "out"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     parts = sorted((tmp_path / "out").glob("part-*"))
     assert len(parts) > 1 and [r["id"] for r in json.loads("".join(p.read_text(encoding="utf8") for p in parts))] == list(range(97))
     assert sorted((r.id, r.text) for r in J.read_snapshot_array(spark, path).collect()) == [(r[0], r[2]) for r in rows]

@@ -5,7 +5,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.select(sorted(df.columns)).collect())
+    return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=repr)
 
 
 def test_stream_equals_batch_and_resume(spark):
