@@ -6,8 +6,9 @@ when 100 * intersection >= percent * union. Equal sets are one class from the st
 Candidates. A class's shingles are ordered (those in crowded hash buckets last,
 else by hash); linked sets share a shingle among their first
 n - ceil(percent * n / 100) + 1 (and two among one more, above 50 percent), so only
-those are grouped ("blocks"). Two classes that are alone in a single block share it by
-chance: if they link, their second shingle is in a larger block. The order
+those are grouped ("blocks"). Blocks of two or three classes, as chance makes them, name
+their pairs, and those that are named once are left: if they link, their second shingle
+is in a larger block. The order
 needs no more than a bitmap of crowded buckets, of fixed size; any order gives all
 links, this one keeps passages that many documents share out of the blocks.
 
@@ -319,25 +320,31 @@ def linked_rows(docs: DataFrame, size: int = 4, percent: int = 85, cell: int = 2
                           .agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "k1"))).alias("rep"), F.first("n").alias("n"),
                                F.first("counts", ignorenulls=True).alias("counts"), F.first("coarse", ignorenulls=True).alias("coarse"))
                           .filter("rep is not null"))
-    rows = seen.select(F.explode("prefix").alias("key"), "node", "n")
+    # dealt out once, for the count of a block's classes and for what joins it
+    rows = seen.select(F.explode("prefix").alias("key"), "node").filter("key is not null").repartition("key")  # the join would ask for it too
     # sums of hashes tell blocks of the same classes; where rounding parts equal ones, both are looked at
     sums = [F.sum(F.shiftright(F.xxhash64("node", F.lit(i)), 28).cast("double")).alias(f"s{i}") for i in (1, 2)]
-    # two classes of too different sizes, as shingles shared by chance bring together, can't link
-    apart = (F.col("m") == 2) & (F.col("least") * 100 < F.col("most") * percent)
-    blocks = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("m"), F.min("n").alias("least"),
-                                      F.max("n").alias("most"), *sums).filter((F.col("lo") != F.col("hi")) & ~apart)
-              .groupBy("lo", "hi", "m", "s1", "s2").agg(F.min("key").alias("key"), F.count("*").alias("alike"))
-              # two classes that meet in one block of their own only: if they link they also meet in a larger block
-              .filter((F.col("m") > 2) | (F.col("alike") >= shared_keys(percent))).select("key", (F.col("m") * F.col("alike")).alias("w")))
-    shared = cut_lineage(rows.join(blocks, "key").distinct())
+    blocks = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_xor("node").alias("x"), F.count("*").alias("m"), *sums)
+              .filter(F.col("lo") != F.col("hi")).groupBy("lo", "hi", "x", "m", "s1", "s2").agg(F.min("key").alias("key"), F.count("*").alias("alike")))
+    # blocks of two or three, as chance makes them, name their pairs; one that shares a single block of this
+    # kind links only if it also meets in a larger one
+    few = F.lit(shared_keys(percent) > 1) & (F.col("m") <= 3)
+    mid = F.col("x").bitwiseXOR(F.col("lo")).bitwiseXOR(F.col("hi"))
+    named = F.array(F.struct(F.col("lo").alias("a"), F.col("hi").alias("b")), F.struct(F.col("lo").alias("a"), mid.alias("b")), F.struct(mid.alias("a"), F.col("hi").alias("b")))
+    small = (blocks.filter(few).select(F.inline(F.slice(named, F.lit(1), F.when(F.col("m") == 2, 1).otherwise(3))), "alike").filter("a != b")
+             .groupBy("a", "b").agg(F.sum("alike").alias("alike")).filter(F.col("alike") >= shared_keys(percent)))
+    large = rows.join(blocks.filter(~few).select("key", (F.col("m") * F.col("alike")).alias("w")), "key").distinct()
+    both = cut_lineage(large.select("key", "node", "w", F.lit(False).alias("pair")).union(small.select("a", "b", "alike", F.lit(True))))
+    shared, small = both.filter("not pair").drop("pair"), both.filter("pair").select(F.col("key").alias("a"), F.col("node").alias("b"))
     # how full a class's blocks are on average, and its first few blocks
     own = shared.groupBy("node").agg(F.sum("w").alias("w"), F.slice(F.sort_array(F.collect_list("key")), 1, FEW).alias("few"))
     own = cut_lineage(own.join(classes.select("node", "n", "coarse"), "node").select(
         "node", "n", "coarse", "few", (F.col("w") / (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).alias("central")))
-    lead = (shared.join(own.select("node", "central"), "node").groupBy("key")
-            .agg(F.max(F.struct("central", "node", "n")).alias("l")).select("key", F.col("l.node").alias("lead"), F.col("l.n").alias("most")))
+    rated = shared.select("key", "node").join(own.select("node", "n", "central"), "node")
+    lead = rated.groupBy("key").agg(F.max(F.struct("central", "node", "n")).alias("l")).select("key", F.col("l.node").alias("lead"), F.col("l.n").alias("most"))
+    # two classes of too different sizes can't link
     close = F.least("n", "most") * 100 >= F.greatest("n", "most") * percent
-    pairs = shared.join(lead, "key").filter((F.col("node") != F.col("lead")) & close).select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
+    pairs = rated.join(lead, "key").filter((F.col("node") != F.col("lead")) & close).select(F.col("node").alias("a"), F.col("lead").alias("b")).union(small).distinct()
     links = verified(pairs, classes, docs, size, percent)
     linked = components(links)
     # what the first pass left in different components meets in the blocks' R-trees
