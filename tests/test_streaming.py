@@ -85,8 +85,9 @@ def test_a_replayed_batch_rewrites_its_own_files_only(spark, tmp_path):
     want = _rows(INC.accepted(spark, work)), _rows(INC.versions(spark, work)), _rows(spark.read.parquet(f"{work}/state").drop("batch"))
     times = {f: os.path.getmtime(f) for f in glob.glob(f"{work}/snapshots/batch=*/part*")}
     last = max(int(os.path.basename(f)) for f in glob.glob(f"{work}/checkpoint/commits/[0-9]*"))
-    for f in glob.glob(f"{work}/checkpoint/commits/*{last}*"):
-        os.unlink(f)
+    for f in os.listdir(f"{work}/checkpoint/commits"):
+        if f.lstrip(".").split(".")[0] == str(last):  # the file and its checksum
+            os.unlink(f"{work}/checkpoint/commits/{f}")
     run()
     got = _rows(INC.accepted(spark, work)), _rows(INC.versions(spark, work)), _rows(spark.read.parquet(f"{work}/state").drop("batch"))
     assert got[0] == want[0] and got[1] == want[1]
@@ -111,12 +112,12 @@ def test_joint_loop_equals_greedy(spark, tmp_path):
 
 
 def test_bytes_read_by_a_late_batch_stay_flat(spark, tmp_path):
-    """Forty batches of the same size: what the index hands to one of the last is no more than
+    """Thirty batches of the same size: what the index hands to one of the last is no more than
     what it hands to one of the first that met a full folder."""
     from pyspark.sql import functions as F
     from pressforge.streaming.keyindex import KeyIndex, State
     index, state, read = KeyIndex(spark, str(tmp_path / "i"), target=500), State(), []
-    for b in range(40):
+    for b in range(30):
         keys = spark.range(b * 400, (b + 1) * 400).select(F.xxhash64("id").alias("k"), F.col("id").alias("v"))
         state = index.open(state, b)
         asked = keys.limit(3).union(spark.range(0, 2).select(F.xxhash64("id").alias("k"), F.col("id").alias("v")))
@@ -126,8 +127,8 @@ def test_bytes_read_by_a_late_batch_stay_flat(spark, tmp_path):
             assert sorted(r.v for r in hit.collect()) == [0, 1]  # what the first batch wrote
         read.append(state.bytes_read)
         state = index.add(keys, state, b)
-    assert state.pairs == 16_000 and state.gen >= 4
-    assert max(read[30:]) < 2 * max(read[:10]) and read[-1] < 0.5 * 16_000 * 16
+    assert state.pairs == 12_000 and state.gen >= 2 and state.bits >= 4
+    assert max(read[20:]) < 2 * max(read[:10]) and read[-1] < 0.5 * 12_000 * 16
 
 
 def test_key_index_forgets_nothing_and_ignores_later_batches(spark, tmp_path):
