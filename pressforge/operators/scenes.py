@@ -81,6 +81,7 @@ def distinct_valid(candidates: DataFrame, seed, n: int | None = None, vocab=V) -
     d = d.filter(F.col("valid")).drop("valid")
     if n is None:
         return d.drop("accept_order")
+    d = cut_lineage(d)  # ranking reads its input twice
     r = ordered_rank(d, "accept_order", None, out="pool_pos", bits=DENSE_BITS)
     return r.filter(F.col("pool_pos") <= n).drop("accept_order")
 
