@@ -350,8 +350,12 @@ def repeats(docs: DataFrame, wide: int = 20_000) -> DataFrame:
 
 def dedup(docs: DataFrame, wide: int = 20_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay) for every row of docs."""
-    keyed = small_batches(docs).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k1"), "text")
-    copies = keyed.groupBy("k1").agg(F.count("*").alias("c")).filter("c > 1").select("k1", F.lit(0).cast("long").alias("s"), F.lit(-1).cast("long").alias("n"))
+    text = F.coalesce("text", F.lit(""))
+    keyed = small_batches(docs).select("doc_id", F.xxhash64(text).alias("k1"), "text")
+    # copies agree in 64 more bits and in length: a whole text goes on no less
+    again = F.struct(F.xxhash64(F.lit("again"), text).alias("h"), F.octet_length(text).alias("n"))
+    copies = (small_batches(docs).select(F.xxhash64(text).alias("k1"), again.alias("v")).groupBy("k1").agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+              .filter("c > 1 and lo = hi").select("k1", F.lit(0).cast("long").alias("s"), F.lit(-1).cast("long").alias("n")))
     found = cut_lineage(repeats(keyed.select("k1", "text"), wide).unionByName(copies).groupBy("k1").agg(F.collect_set(F.struct("s", "n")).alias("found")))
     bits = id_filter(found, "k1")
 
