@@ -21,7 +21,7 @@ def low(text: str) -> str:
 
 
 def quality_sql(max_lost: float = 0.5) -> str:
-    phrase = " OR ".join(f"contains(lower(x), {q(p)})" for p in quality.BOILERPLATE)
+    phrase = f"regexp_matches(lower(x), {q(quality.NOTICE)})"
 
     def n(rule: str) -> str:
         return f"len(regexp_extract_all(x, {q(rule)}))"

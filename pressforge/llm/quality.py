@@ -13,14 +13,22 @@ and text are not looked at.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WS, let
 
 POS_BITS = 24  # words of a text that have a position of their own: 16 million
-BOILERPLATE = ["licensed under", "all rights reserved", "copyright", "cookie", "privacy policy", "terms of use", "terms of service",
-               "javascript", "lorem ipsum", "subscribe", "sign up", "log in", "click here", "read more"]
+#: Notices, as whole words in a lower-cased line; a single word that prose uses too is none.
+BOILERPLATE = ["licensed under", "all rights reserved", "copyright", "cookie policy", "cookie settings", "use cookies", "uses cookies", "accept cookies",
+               "accept all cookies", "privacy policy", "terms of use", "terms of service", "enable javascript", "javascript is", "lorem ipsum",
+               "subscribe to our", "subscribe now", "sign up for", "sign up now", "log in to", "log in or", "please log in", "click here", "read more",
+               "todos los derechos reservados", "política de privacidad", "términos de uso", "utiliza cookies", "haga clic aquí", "leer más", "iniciar sesión",
+               "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "verwendet cookies", "klicken sie hier", "mehr lesen", "jetzt anmelden",
+               "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "utilise des cookies", "cliquez ici", "lire la suite", "se connecter"]
+NOTICE = rf"(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(BOILERPLATE)})(?:$|[^\p{{L}}\p{{N}}])"
 END_MARK = r"[.!?…:;。！？][\"')\]’”»]*$"
 
 
@@ -61,18 +69,15 @@ def line_fails(line: Column, notices: Column) -> Column:
     no_end = ~F.rtrim(line).rlike(END_MARK) & ~line.rlike(r"[.!?][\"')\]]* ")
     navigation = (F.regexp_count(line, F.lit(r"[|»›•·]")) * 5 > n) & (n > 3)
     shouting = F.regexp_count(line, F.lit("!!")) * 3 > n
-    phrase = F.lit(False)
-    for p in BOILERPLATE:
-        phrase = phrase | F.lower(line).contains(p)
+    phrase = F.lower(line).rlike(NOTICE)
     return no_end | (symbols * 4 > n) | navigation | shouting | (notices & phrase)
 
 
 def clean(docs: DataFrame, max_lost: float = 0.5) -> DataFrame:
     """doc_id, the base counts, kept, n_lines, n_lines_removed, lost (share of characters) and clean_text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    notices = F.lit(False)
-    for p in BOILERPLATE:
-        notices = notices | F.lower(text).contains(p)
+    # lower-cased once: few texts hold any of the phrases, and only their lines are searched for whole words
+    notices = let(F.lower(text), lambda t: reduce(lambda x, y: x | y, [t.contains(p) for p in BOILERPLATE]))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     judged = let(F.struct(lines.alias("all"), notices.alias("notices")), lambda s: F.struct(
         s["all"].alias("all"), F.filter(s["all"], lambda x: ~line_fails(x, s["notices"])).alias("good")))
