@@ -66,6 +66,7 @@ def greedy_keep(nodes: DataFrame, order_col: str, groups: list[tuple[str, DataFr
     Returns ``nodes`` plus boolean ``kept``.
     """
     cols = nodes.columns
+    groups = [(g, None if e is None else cut_lineage(e)) for g, e in groups]  # read twice below
     flags = nodes
     for gi, (gcol, edges) in enumerate(groups):
         cnt = nodes.groupBy(gcol).agg(F.count(F.lit(1)).alias(f"_n{gi}"))

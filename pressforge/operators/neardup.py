@@ -117,7 +117,9 @@ def near_pairs(a: DataFrame, b: DataFrame | None = None, col: str = "h", k: int
             & (_first_combo(x, masks) == F.col("ca")))
     if b is None:
         cond = cond & (F.col("ha") < F.col("hb"))
-    j = ka.join(kb, cond)
+    # the keys are C(m, k) rows a hash, which the planner's sizes don't count: without the hint it would
+    # broadcast them for what the hashes alone measure
+    j = ka.join(kb.hint("merge"), cond)
     return j.select("ha", "hb", hamming(F.col("ha"), F.col("hb")).alias("dist"))
 
 

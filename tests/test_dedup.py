@@ -101,3 +101,15 @@ def test_null_hash_conflicts_with_nothing(spark):
     kept = {r.id for r in D.greedy_keep(df, "accept_order", [("h", edges), ("text", None)]).filter("kept").collect()}
     # 1, 2 unreadable but distinct captions: kept; 4 repeats hash 5 of kept 3; 5 repeats caption "a" of kept 1
     assert kept == {1, 2, 3}
+
+
+def test_near_pairs_is_not_broadcast(spark):
+    """The band keys are many rows a hash; broadcasting them for the hashes' size took the driver's memory."""
+    from pressforge.operators import neardup as N
+
+    d = spark.range(2000).selectExpr("xxhash64(id) AS h")
+    for bands in (6, 7):
+        q = N.near_pairs(d.union(d.selectExpr("h ^ 5")), bands=bands)
+        q.collect()
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("Initial Plan")[0]
