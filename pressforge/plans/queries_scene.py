@@ -125,12 +125,10 @@ def q_tag_choice(spark, sf_dir):
 def q_object_lookup(spark, sf_dir):
     """Objects by tag with the default-tag fallback (10% of jobs ask for
     'media', which has no object list)."""
-    j = v_job(spark, sf_dir)
-    tags = TG.tag_union(TG.role_tags(F.col("role")), TG.text_tags(F.col("event"), V.EVENT_TAGS))
-    tag = F.when(uniform(SEED, F.col("id"), "mediatag") < 0.1, F.lit("media")).otherwise(TG.tag_choice(tags, SEED, F.col("id"), "tag"))
-    d = j.select("id", tag.alias("tag"))
-    from ..functions.sampling import choice_from
-    return d.select("id", "tag", choice_from(TG.objects_for(F.col("tag")), SEED, F.col("id"), "obj").alias("object"))
+    j = _with_tag_choice(v_job(spark, sf_dir))
+    tag = F.when(uniform(SEED, F.col("id"), "mediatag") < 0.1, F.lit("media")).otherwise(F.col("tag"))
+    d = j.select("id", tag.alias("tag")).withColumn("objects", TG.objects_for(F.col("tag")))
+    return d.select("id", "tag", choice_from(F.col("objects"), SEED, F.col("id"), "obj").alias("object"))
 
 
 _KW = " UNION ALL ".join(f"SELECT {Q.q(t)} AS tag, {Q.q(k)} AS keyword" for t, kws in V.EVENT_TAGS.items() for k in kws)

@@ -28,3 +28,29 @@ def test_first_wins_combines_before_the_shuffle(spark):
     tree = p.split("\n\n")[0]
     # partial aggregate below the exchange, final above it
     assert tree.count("Aggregate") >= 2 and "Exchange" in tree
+
+
+def test_scene_pool_of_too_few_scenes(spark, tmp_path):
+    """The pool is what there is when jobs outnumber the distinct scenes twice; this was an error."""
+    from pressforge.plans.queries_scene import q_scene_pool
+    from pyspark.sql import functions as F
+
+    for t in ("orders", "customer", "nation"):
+        d = spark.read.parquet(f"{SF}/{t}.parquet")
+        if t == "orders":  # all jobs draw alike: one scene
+            d = d.limit(1).withColumn("n", F.explode(F.array_repeat(F.lit(1), 20))).drop("n")
+        d.write.parquet(f"{tmp_path}/{t}.parquet")
+    rows = q_scene_pool(spark, str(tmp_path)).collect()
+    assert len(rows) <= 1
+    assert len(q_scene_pool(spark, SF).collect()) > 0
+
+
+def test_jobs_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    """A core gets one task of a scan, however many jobs; the work after it is a task a ROWS_A_TASK."""
+    from pressforge.plans import views
+
+    monkeypatch.setattr(views, "ROWS_A_TASK", 100)
+    n = spark.read.parquet(f"{SF}/orders.parquet").count()
+    jobs = views.v_job(spark, SF)
+    assert jobs.rdd.getNumPartitions() == -(-n // 100)
+    assert jobs.count() == n
