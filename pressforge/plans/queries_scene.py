@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import vocab as V
-from ..functions.sampling import draw, uniform
+from ..functions.sampling import choice_from, draw, uniform
 from ..operators import scenes as SC
 from ..operators import tags as TG
 from ..plans.ranking import ordered_rank
@@ -107,6 +107,15 @@ def q_semantic_match(spark, sf_dir):
                     _tags_str("back_tags").alias("back_tags"), F.col("valid").alias("matched"))
 
 
+def _with_tag_choice(jobs):
+    """D3 + D6 with every step a column of its own: the pick reads the tags several times, and must
+    not repeat the keyword tests each time."""
+    d = TG.add_text_tags(jobs, "role", "_rt", V.ROLE_RULES)
+    d = TG.add_text_tags(d, "event", "_et", V.EVENT_TAGS)
+    d = d.withColumn("_tags", TG.tag_union(F.col("_rt"), F.col("_et")))
+    return d.withColumn("tag", TG.tag_choice(F.col("_tags"), SEED, F.col("id"), "tag"))
+
+
 _TAGU = O.tag_union_sql(_RT, _ET)
 _TAGC = f"coalesce({Q.choice_from(f'list_sort({_TAGU})', SEED, 'id', 'tag')}, 'community')"
 
@@ -114,9 +123,7 @@ _TAGC = f"coalesce({Q.choice_from(f'list_sort({_TAGU})', SEED, 'id', 'tag')}, 'c
 @register("tag_choice", f"SELECT id, {_TAGC} AS tag FROM ({JOB})")
 def q_tag_choice(spark, sf_dir):
     """Uniform pick from the sorted tag set."""
-    j = v_job(spark, sf_dir)
-    tags = TG.tag_union(TG.role_tags(F.col("role")), TG.text_tags(F.col("event"), V.EVENT_TAGS))
-    return j.select("id", TG.tag_choice(tags, SEED, F.col("id"), "tag").alias("tag"))
+    return _with_tag_choice(v_job(spark, sf_dir)).select("id", "tag")
 
 
 @register("object_lookup",
@@ -153,9 +160,10 @@ _POOL_SQL = (f"SELECT id, md5(prompt) AS prompt_md5, back_caption, shot, role, e
 
 @register("scene_pool", f"SELECT * FROM ({_POOL_SQL}) WHERE pool_pos <= (SELECT count(*) // {POOL_SHARE} FROM ({JOB}))")
 def q_scene_pool(spark, sf_dir):
-    """E8 + E9: the first valid, distinct scenes in job order, one for two jobs."""
+    """E8 + E9: the first valid, distinct scenes in job order, one for two jobs; all there are if
+    that is fewer (the vocabulary has so many distinct scenes only)."""
     jobs = v_job(spark, sf_dir)
-    p = SC.scene_pool(jobs, jobs.count() // POOL_SHARE, SEED)
+    p = SC.scene_pool(jobs, jobs.count() // POOL_SHARE, SEED, partial=True)
     return p.select("id", F.md5("prompt").alias("prompt_md5"), "back_caption", "shot", "role", "event", "mismatch",
                     F.col("pool_pos").cast("bigint").alias("pool_pos"))
 

@@ -89,3 +89,15 @@ def test_tidy_idempotent_property(spark):
         twice = once.select("t", T.headline_tidy(F.col("t")).alias("t2")).collect()
         assert all(r.t == r.t2 for r in twice)
     check()
+
+
+def test_tags_and_captions_are_worked_out_once(spark):
+    """The pick of a tag reads the tags several times, and the two spans share a caption: neither repeats the work."""
+    import __spark_entry__ as E
+
+    sf = "/root/testdata/sf0.001"
+    for name in ("tag_choice", "object_lookup"):
+        plan = E.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert "RLIKE" not in plan and "ontains(" in plan
+    plan = E.queries()["ta_span"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "regexp" not in plan
