@@ -50,8 +50,11 @@ def ta_caption(text: Column, aff: Column) -> Column:
 def ta_span(text: Column, aff: Column, mode: str = "exact") -> Column:
     """C11: token span of the affect words; ``reference`` reproduces the
     one-token-early span of the original builder."""
-    n = T.token_count(text)
-    k = T.token_count(aff)
+    return span_of_counts(T.token_count(text), T.token_count(aff), mode)
+
+
+def span_of_counts(n: Column, k: Column, mode: str = "exact") -> Column:
+    """C11 from the token counts of the caption and of the affect words."""
     if mode == "exact":
         return T.index_range(n - k, n)
     if mode == "reference":
@@ -82,13 +85,14 @@ def ts_span(text: Column) -> Column:
     return T.index_range(F.lit(0), T.token_count(text))
 
 
-def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool = False, vocab=V) -> DataFrame:
+def with_captions(jobs: DataFrame, seed, span_mode: str | tuple[str, ...] = "exact", em_dash: bool = False, vocab=V) -> DataFrame:
     """Caption path for job rows with columns
     ``id, bucket, role, event, back_caption, dateline``.
 
     Adds ``tags, text, fake_text_pos, fake_cls``; bucket ``lit`` gives a
     literal headline, ``inv`` a text-attribute edit, ``irr`` a text swap.
-    ``vocab`` holds the word lists (see ``vocab.with_lists``).
+    ``vocab`` holds the word lists (see ``vocab.with_lists``). Several span modes
+    give a column ``fake_text_pos_<mode>`` each instead of ``fake_text_pos``.
     Slots and intermediate texts are separate columns so the optimizer never
     copies a large sub-expression into several places (keeps every stage in
     whole-stage codegen).
@@ -104,8 +108,11 @@ def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool
     df = (df.withColumn("_E", T.clean_event(F.col("event")))
           .withColumn("_W", F.when(bernoulli(seed, idc, "when_u", vocab.WHEN_RATE),
                                    choice(seed, idc, "when", vocab.WHEN_FRAG)).otherwise(F.lit("")))
-          .withColumn("_V", T.conjugate_third_person(choice(seed, idc, "verb", vocab.ACTIONS_BASE), False))
-          .withColumn("_O", choice_from(objects_for(tag_choice(F.col("tags"), seed, idc, "tag"), vocab.OBJECTS_BY_TAG), seed, idc, "obj"))
+          .withColumn("_vb", choice(seed, idc, "verb", vocab.ACTIONS_BASE))
+          .withColumn("_V", T.conjugate_third_person(F.col("_vb"), False))
+          .withColumn("_tag", tag_choice(F.col("tags"), seed, idc, "tag"))
+          .withColumn("_objs", objects_for(F.col("_tag"), vocab.OBJECTS_BY_TAG))
+          .withColumn("_O", choice_from(F.col("_objs"), seed, idc, "obj"))
           .withColumn("_k", pick_index(seed, idc, "pattern", len(pats))))
     slots = {n: F.col(f"_{n}") for n in "SEWVO"}
     slots.update({"B": F.col("back_caption"), "D": F.col("dateline")})
@@ -118,10 +125,16 @@ def with_captions(jobs: DataFrame, seed, span_mode: str = "exact", em_dash: bool
     df = df.withColumn("_tsraw", F.when(b == "irr", ts_raw(F.col("_is"), F.col("_ia"), idc, seed, vocab)))
     df = T.add_headline_tidy(df, "_tsraw", "_ts")
     df = df.withColumn("text", F.when(b == "lit", F.col("_core")).when(b == "inv", F.col("_ta")).otherwise(F.col("_ts")))
-    df = df.withColumn("fake_text_pos",
-                       F.when(b == "lit", T.empty_int_array())
-                       .when(b == "inv", ta_span(F.col("_ta"), F.col("_aff"), span_mode))
-                       .otherwise(ts_span(F.col("_ts"))))
+    df = df.withColumn("_nt", F.when(b == "lit", F.lit(None)).otherwise(T.token_count(F.col("text"))))
+    df = df.withColumn("_na", F.when(b == "inv", T.token_count(F.col("_aff"))))
+
+    def spans(mode):
+        return (F.when(b == "lit", T.empty_int_array()).when(b == "inv", span_of_counts(F.col("_nt"), F.col("_na"), mode))
+                .otherwise(T.index_range(F.lit(0), F.col("_nt"))))
+
+    modes = [span_mode] if isinstance(span_mode, str) else list(span_mode)
+    df = df.withColumns({"fake_text_pos" if len(modes) == 1 else f"fake_text_pos_{m}": spans(m) for m in modes})
     cls = F.create_map(*[x for k, v in vocab.BUCKET_CLASS.items() for x in (F.lit(k), F.lit(v))])
     df = df.withColumn("fake_cls", F.element_at(cls, b))
-    return df.drop("_S", "_E", "_W", "_V", "_O", "_k", "_raw", "_core", "_aff", "_ta", "_ts", "_is", "_ia", "_tsraw", "_dk")
+    return df.drop("_S", "_E", "_W", "_V", "_O", "_k", "_raw", "_core", "_aff", "_ta", "_ts", "_is", "_ia", "_tsraw", "_dk",
+                   "_vb", "_tag", "_objs", "_nt", "_na")

@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import captions as CAP
 from . import oracle as O
 from . import sqlgen as Q
+from ..session import cut_lineage
 from .pipeline import GOAL_SHARE, caption_records, records_as_text
 from .registry import register
 from .views import SEED, table, v_cap, v_job
@@ -145,9 +146,9 @@ def q_ta_caption(spark, sf_dir):
 def q_ta_span(spark, sf_dir):
     """C11 in both span modes."""
     jobs = v_job(spark, sf_dir).withColumn("bucket", F.lit("inv"))
-    e = CAP.with_captions(jobs, SEED, "exact").select("id", T.ints_to_str("fake_text_pos").alias("span_exact"))
-    r = CAP.with_captions(jobs, SEED, "reference").select("id", T.ints_to_str("fake_text_pos").alias("span_reference"))
-    return e.join(r, "id")
+    both = CAP.with_captions(jobs, SEED, CAP.SPAN_MODES).select("id", *[T.ints_to_str(f"fake_text_pos_{m}").alias(f"span_{m}") for m in CAP.SPAN_MODES])
+    both = cut_lineage(both)  # the captions are made once
+    return both.select("id", "span_exact").join(both.select("id", "span_reference"), "id")
 
 
 _TS_SRC = f"SELECT * EXCLUDE (bucket), 'irr' AS bucket FROM ({JOB})"
