@@ -15,7 +15,7 @@ from .. import vocab as V
 from ..operators import captions as CAP
 from ..sources import readers as RD
 from ..sources import sinks as SK
-from ..session import scratch_dir
+from ..session import cut_lineage, scratch_dir
 from ..streaming import incremental as INC
 from .pipeline import all_records, goals_of, records_as_text
 from .queries_core import ALL_RECORDS_SQL, FLAGSHIP_SQL
@@ -145,7 +145,7 @@ _REC_SQL = f"SELECT * FROM ({ALL_RECORDS_SQL})"
 def q_sink_append(spark, sf_dir):
     """B1 + A5: records appended as JSON lines in two runs, read back FAILFAST."""
     path = os.path.join(scratch_dir(spark, "jsonl"), "metadata.jsonl")
-    rec = all_records(spark, sf_dir)
+    rec = cut_lineage(all_records(spark, sf_dir))  # written in two runs, made once
     SK.append_jsonl(rec.filter(F.col("id") % 2 == 0), path)
     SK.append_jsonl(rec.filter(F.col("id") % 2 == 1), path)
     return records_as_text(RD.read_jsonl(spark, path))
@@ -155,7 +155,7 @@ def q_sink_append(spark, sf_dir):
 def q_sink_snapshot(spark, sf_dir):
     """B2 + A6: versioned full snapshot, overwritten, read back."""
     base = scratch_dir(spark, "snap")
-    rec = all_records(spark, sf_dir)
+    rec = cut_lineage(all_records(spark, sf_dir))  # written twice, made once
     SK.write_snapshot(rec.filter("fake_cls = 'origin'"), base, version=1)
     out = SK.write_snapshot(rec, base, version=1)
     return records_as_text(RD.read_snapshot(spark, out))

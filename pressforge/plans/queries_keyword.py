@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..operators.keywords import keyword_join
-from ..session import scratch_dir
+from ..session import cut_lineage, scratch_dir
 from ..sources import jsonfile as J
 from .pipeline import all_records, records_as_text
 from .queries_core import ALL_RECORDS_SQL
@@ -41,9 +41,10 @@ def q_keyword_join(spark, sf_dir):
 
 @register("scan_snapshot_array", f"SELECT * FROM ({ALL_RECORDS_SQL})")
 def q_scan_snapshot_array(spark, sf_dir):
-    """A6 + B2: the snapshot as one JSON array, written and read in parallel."""
+    """A6 + B2: the snapshot as one JSON array, written and read in parallel. The writer reads its
+    rows for the bounds, the ranges and the lines; they are made once."""
     path = os.path.join(scratch_dir(spark, "array"), "metadata.json")
-    return records_as_text(J.read_snapshot_array(spark, J.write_snapshot_array(all_records(spark, sf_dir), path)))
+    return records_as_text(J.read_snapshot_array(spark, J.write_snapshot_array(cut_lineage(all_records(spark, sf_dir)), path)))
 
 
 @register("scan_grounding_object",

@@ -12,7 +12,7 @@ from ..functions import text as T
 from ..operators import captions as CAP
 from ..operators import geometry as G
 from ..operators.dedup import first_wins
-from ..session import scratch_dir
+from ..session import cut_lineage, scratch_dir
 from ..sources import readers as RD
 from ..sources import sinks as SK
 from . import oracle as O
@@ -43,7 +43,7 @@ def q_scan_jsonl(spark, sf_dir):
     """A5: JSON Lines with blank lines in between, read FAILFAST (blank lines
     are skipped; a malformed line would fail the read)."""
     path = os.path.join(scratch_dir(spark, "jsonl-blank"), "metadata.jsonl")
-    rec = all_records(spark, sf_dir)
+    rec = cut_lineage(all_records(spark, sf_dir))  # read for the lines and for the blank ones
     lines = rec.select(F.to_json(F.struct(*rec.columns)).alias("value"))
     lines.unionByName(rec.select(F.lit("").alias("value"))).write.text(path)
     return records_as_text(RD.read_jsonl(spark, path))
