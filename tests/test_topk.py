@@ -79,3 +79,13 @@ def test_rounds_leave_rings_out(spark):
     finally:
         K.cut_lineage = real
     assert len(got) == 20 * 5 and sum(seen) < 0.5 * 20 * len(index.rings)
+
+
+def test_visits_are_worked_out_a_few_queries_at_a_time(spark, monkeypatch):
+    """An Arrow batch of queries, each with its vector for every ring it visits, filled a worker's memory."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, topk.background_topk(df, df, 3, dims=8, pivots=4, rings=2).collect()))
+    monkeypatch.setattr(topk, "VISITS", 1)
+    assert sorted(map(tuple, topk.background_topk(df, df, 3, dims=8, pivots=4, rings=2).collect())) == want and len(want) == 360
