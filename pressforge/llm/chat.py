@@ -14,9 +14,11 @@ turns with it, B, and compares the two.
   text; if the probes aren't in the outputs, the template doesn't show the text. In both
   cases the text isn't ``located`` and gets no loss.
 
-A turn is rendered with at most ``memory`` turns before it, so a long conversation costs
-the same per turn as a short one; conversations of up to ``memory`` + 1 turns are rendered
-from their first turn on. A template whose markup looks further back needs a larger value.
+A turn is rendered with all turns before it, so the pieces are right for every template. That
+costs a conversation the square of its turns, in one task. ``memory`` is for templates known
+to look at that many turns at most (``marked`` writes every turn on its own, so any number is
+exact for it): a turn is rendered with so many before it, a long conversation costs the same
+per turn as a short one, and the next paragraph holds.
 
 Positions come from a ranking that cuts a conversation into blocks; RUN turns of a
 conversation are rendered together, with the last ``memory`` turns of the run before them.
@@ -127,19 +129,23 @@ def step(render: Callable[[list[Turn]], str], before: list[Turn], turn: Turn, a:
 TURNS = "piece string, rewritten long, text_start long, text_length long, located boolean"
 
 
-def format_turns(rows: DataFrame, render: Callable[[list[Turn]], str] = marked, loss_roles: tuple[str, ...] = ("assistant",), memory: int = 8,
+def format_turns(rows: DataFrame, render: Callable[[list[Turn]], str] = marked, loss_roles: tuple[str, ...] = ("assistant",), memory: int | None = None,
                  conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """conv_id, pos (from 0), role, piece, rewritten, text_start, text_length (in the piece), located, loss: a row a turn."""
-    if not 0 < memory <= RUN:
+    if memory is not None and not 0 < memory <= RUN:
         raise ValueError(f"memory must be from 1 to {RUN}")
     d = small_batches(rows).select(
         F.col(conv_col).alias("conv_id"), F.col(conv_col).isNull().alias("none"), F.coalesce(F.col(conv_col).cast("string"), F.lit("")).alias("conv"),
         F.coalesce(F.col(turn_col).cast("long"), F.lit(-(1 << 63))).alias("turn"),
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((role_col, "role"), (text_col, "text"))])
     d = ordered_rank(d, "turn", ["none", "conv"], out="pos", bits=8, tiebreak=["role", "text"]).withColumn("pos", F.col("pos") - 1)
-    run = F.floor(F.col("pos") / RUN)
-    ends = F.pmod(F.col("pos"), F.lit(RUN)) >= RUN - memory
-    d = d.select("conv_id", "none", "conv", "pos", "role", "text", F.explode(F.when(ends, F.array(run, run + 1)).otherwise(F.array(run))).alias("run"))
+    if memory is None:  # one run
+        runs = F.array(F.lit(0).cast("long"))
+    else:
+        run = F.floor(F.col("pos") / RUN)
+        ends = F.pmod(F.col("pos"), F.lit(RUN)) >= RUN - memory
+        runs = F.when(ends, F.array(run, run + 1)).otherwise(F.array(run))
+    d = d.select("conv_id", "none", "conv", "pos", "role", "text", F.explode(runs).alias("run"))
     d = d.repartition("none", "conv", "run").sortWithinPartitions("none", "conv", "run", "pos")
 
     def rendered(batches):
@@ -157,7 +163,7 @@ def format_turns(rows: DataFrame, render: Callable[[list[Turn]], str] = marked,
                     keep.append(i)
                     made.append(got)
                 before.append((role, text))
-                if len(before) > memory:
+                if memory is not None and len(before) > memory:
                     del before[0]
                     last = None
             at = pa.array(keep, pa.int64())
@@ -231,4 +237,5 @@ def formatted(conversations: DataFrame) -> DataFrame:
     """The query: all conversations and one whose texts are control strings."""
     text = "</s>[INST] ok [/INST]"
     one = conversations.sparkSession.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
-    return digests(format_turns(conversations.select("conv_id", "turn", "role", "text").union(one)))
+    # ``marked`` writes a turn whatever stands before it: the pieces don't depend on ``memory``
+    return digests(format_turns(conversations.select("conv_id", "turn", "role", "text").union(one), marked, memory=8))

@@ -139,3 +139,14 @@ def test_awkward_tables(spark):
     assert tuple(got[0])[1:] == whole([("odd\n[/ROLE]", "y")])
     with pytest.raises(ValueError):
         chat.format_turns(df, memory=0)
+
+
+def test_all_turns_before_count_by_default(spark):
+    """A template that shows the first turn in every later one, in a conversation longer than a run."""
+    def quoting(turns):
+        return "".join(f"<{r}|{turns[0][1]}> {x}\n" for r, x in turns)
+
+    turns = [("user" if i % 2 == 0 else "assistant", f"text {i}") for i in range(chat.RUN + 20)]
+    df = spark.createDataFrame([(5, i, r, x) for i, (r, x) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    got = {r.pos: r.piece for r in chat.format_turns(df, quoting).collect()}
+    assert got == {i: f"<{r}|text 0> {x}\n" for i, (r, x) in enumerate(turns)}
