@@ -86,6 +86,6 @@ def test_visits_are_worked_out_a_few_queries_at_a_time(spark, monkeypatch):
     rng = np.random.default_rng(9)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(120)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    want = sorted(map(tuple, topk.background_topk(df, df, 3, dims=8, pivots=4, rings=2).collect()))
-    monkeypatch.setattr(topk, "VISITS", 1)
-    assert sorted(map(tuple, topk.background_topk(df, df, 3, dims=8, pivots=4, rings=2).collect())) == want and len(want) == 360
+    want = sorted(map(tuple, K.background_topk(df, df, 3, dims=8, pivots=4, rings=2).collect()))
+    monkeypatch.setattr(K, "VISITS", 1)
+    assert sorted(map(tuple, K.background_topk(df, df, 3, dims=8, pivots=4, rings=2).collect())) == want and len(want) == 360
