@@ -7,8 +7,8 @@ and ``contains`` on the candidates decides. Neither side is broadcast by this co
 planner may do so when it measures one to be small.
 
 * Only grams that some keyword has are kept of a text, and each once, before anything is
-  joined, and only their hashes are shuffled, with the row's key; texts come back for the
-  candidates alone.
+  joined, and only their numbers are shuffled, with the row's key; texts come back for the
+  candidates alone. Grams are made in Arrow batches, by shifting the array of code points.
 * Keywords that are shorter than q are their own gram, of their own length.
 * Counting how many texts hold a gram only steers which gram stands for a keyword. It
   never changes the result.
@@ -20,7 +20,7 @@ must be unique.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -28,20 +28,44 @@ from ..session import cut_lineage
 Q = 3
 
 
-def grams(text: Column, q: int) -> Column:
-    """The distinct q-grams of a text, as hashes; one pass over its characters."""
-    chars = F.split(text, "")
-    n = F.size(chars) - (q - 1)
-    window = [F.slice(chars, i + 1, F.greatest(n, F.lit(0))) for i in range(q)]
-    joined = window[0]
-    for w in window[1:]:
-        joined = F.zip_with(joined, w, lambda a, b: F.concat(a, b))
-    return F.array_distinct(F.transform(joined, lambda g: F.xxhash64(g)))
+def _grams(text: str, q: int):
+    """The distinct q-grams of a text as numbers: the code points, 21 bits each (the last three of
+    longer grams, which makes more candidates and no other result)."""
+    import numpy as np
+
+    x = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    n = max(0, len(x) - q + 1)
+    g = np.zeros(n, np.int64)
+    for i in range(q):
+        g = (g << 21) | x[i:i + n]
+    return np.unique(g)
+
+
+def explode_grams(df: DataFrame, key: str, text_col: str, lengths: list[int], own: bool = False) -> DataFrame:
+    """key, g: the grams of each of the ``lengths`` of every text; if ``own``, only those of the
+    largest length that the text has. Null texts have none."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for at in range(0, b.num_rows, 128):  # texts can be long
+                part = b.slice(at, 128)
+                found = []
+                for t in part.column(1).to_pylist():
+                    sizes = [max((q for q in lengths if q <= len(t)), default=1)] if own else lengths
+                    found.append(np.concatenate([_grams(t, q) for q in sizes]))
+                of = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(of)), pa.array(np.concatenate(found))], ["key", "g"])
+
+    kind = df.schema[key].dataType.simpleString()
+    d = df.filter(F.col(text_col).isNotNull()).select(F.col(key).alias("key"), F.col(text_col).alias("text"))
+    return d.mapInArrow(run, f"key {kind}, g long").withColumnRenamed("key", key)
 
 
 def _anchors(words: DataFrame, text_grams: DataFrame, q: int) -> DataFrame:
     """word, g: the gram that stands for each keyword."""
-    own = words.select("word", F.explode(_own_grams(F.col("word"), q)).alias("g"))
+    own = explode_grams(words.withColumn("_w", F.col("word")), "word", "_w", list(range(1, q + 1)), own=True)
     held = text_grams.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     rated = own.join(held, "g")  # a gram that no text holds: neither does any text hold the keyword
     total = own.groupBy("word").agg(F.count(F.lit(1)).alias("all"))
@@ -49,13 +73,6 @@ def _anchors(words: DataFrame, text_grams: DataFrame, q: int) -> DataFrame:
     return best.join(total, "word").filter("found = all").select("word", F.col("r.g").alias("g"))
 
 
-def _own_grams(word: Column, q: int) -> Column:
-    at = grams(word, q)
-    for n in range(q - 1, 0, -1):
-        at = F.when(F.length(word) == n, F.array(F.xxhash64(word))).otherwise(at)
-    return at
-
-
 def keyword_join(texts: DataFrame, keywords: DataFrame, key: str = "id", text_col: str = "text", word_col: str = "keyword", q: int = Q) -> DataFrame:
     """key and the columns of ``keywords``, for every keyword that the text contains."""
     k = keywords.withColumn("word", F.lower(word_col)).filter(F.coalesce(F.col("word") != "", F.lit(False)))
@@ -64,9 +81,8 @@ def keyword_join(texts: DataFrame, keywords: DataFrame, key: str = "id", text_co
     lengths = sorted(r[0] for r in words.select(F.least(F.length("word"), F.lit(q))).distinct().collect())  # q numbers at most
     if not lengths:
         return texts.limit(0).select(key).join(keywords.limit(0))
-    wanted = words.select(F.explode(_own_grams(F.col("word"), q)).alias("g")).distinct()
-    every = F.concat(*[grams(F.col("_text"), n) for n in lengths])
-    held = t.select("_key", F.explode(every).alias("g")).join(wanted, "g", "left_semi")
+    wanted = explode_grams(words.withColumn("_w", F.col("word")), "word", "_w", list(range(1, q + 1)), own=True).select("g").distinct()
+    held = explode_grams(t, "_key", "_text", lengths).join(wanted, "g", "left_semi")
     held = cut_lineage(held)
     candidates = held.join(_anchors(words, held, q), "g").select("_key", "word")
     found = t.join(candidates, "_key").filter(F.contains("_text", "word")).select(F.col("_key").alias(key), "word")

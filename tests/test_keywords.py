@@ -28,3 +28,13 @@ def test_no_nested_loop(spark):
     t = spark.createDataFrame([(1, "abc")], "id long, text string").withColumn("text", F.concat("text", "text"))
     plan = K.keyword_join(t, spark.createDataFrame([("abc",)], "keyword string"))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_grams_of_a_text(spark):
+    """The grams of a text come as numbers from Arrow batches, each once; a short text has its own."""
+    df = spark.createDataFrame([(1, "abab"), (2, "\U0001F600b"), (3, ""), (4, None)], "id long, text string")
+    n = lambda s: sum(ord(c) << 21 * (len(s) - 1 - i) for i, c in enumerate(s))
+    got = sorted((r.id, r.g) for r in K.explode_grams(df, "id", "text", [2, 3]).collect())
+    assert got == sorted([(1, n("ab")), (1, n("ba")), (1, n("aba")), (1, n("bab")), (2, n("\U0001F600b"))])
+    own = sorted((r.id, r.g) for r in K.explode_grams(df, "id", "text", [1, 2, 3], own=True).collect())
+    assert own == sorted([(1, n("aba")), (1, n("bab")), (2, n("\U0001F600b"))])
