@@ -38,8 +38,8 @@ def q_stream_accept(spark, sf_dir):
     work = scratch_dir(spark, "accept")
     src = os.path.join(work, "src")
     c = _candidates(spark, sf_dir)
-    INC.stage_in_order(c, src, "accept_order", 4)
-    INC.run_accept(spark, src, c.schema, work, goals_of(v_job(spark, sf_dir)))
+    files = INC.stage_in_order(c, src, "accept_order", 4)
+    INC.run_accept(spark, src, c.schema, work, goals_of(INC.staged(spark, src)), files=files)
     return _records(INC.accepted(spark, work))
 
 
@@ -50,13 +50,13 @@ def q_stream_resume(spark, sf_dir):
     work = scratch_dir(spark, "resume")
     src = os.path.join(work, "src")
     c = _candidates(spark, sf_dir)
-    goals = goals_of(v_job(spark, sf_dir))
-    INC.stage_in_order(c, src, "accept_order", 4, only=range(3))
-    INC.run_accept(spark, src, c.schema, work, goals)
+    files = INC.stage_in_order(c, src, "accept_order", 4, only=range(3))
+    goals = goals_of(INC.staged(spark, src))
+    INC.run_accept(spark, src, c.schema, work, goals, files=files)
     INC.stage_in_order(c, src, "accept_order", 4, only=[3])
-    INC.run_accept(spark, src, c.schema, work, goals)
+    INC.run_accept(spark, src, c.schema, work, goals, files=files)
     before = INC.accepted(spark, work).count()
-    INC.run_accept(spark, src, c.schema, work, goals)
+    INC.run_accept(spark, src, c.schema, work, goals, files=files)
     if INC.accepted(spark, work).count() != before:
         raise AssertionError("a resumed run with no new input added rows")
     return _records(INC.accepted(spark, work))
@@ -71,8 +71,8 @@ def q_snapshot_at(spark, sf_dir):
     work = scratch_dir(spark, "snapshots")
     src = os.path.join(work, "src")
     c = _candidates(spark, sf_dir)
-    INC.stage_in_order(c, src, "accept_order", 4)
-    INC.run_accept(spark, src, c.schema, work, goals_of(v_job(spark, sf_dir)))
+    files = INC.stage_in_order(c, src, "accept_order", 4)
+    INC.run_accept(spark, src, c.schema, work, goals_of(INC.staged(spark, src)), files=files)
     return INC.snapshot_totals(spark, work, "id")
 
 
@@ -82,8 +82,8 @@ def q_stream_dedup(spark, sf_dir):
     work = scratch_dir(spark, "sdedup")
     src = os.path.join(work, "src")
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    INC.stage_in_order(ev, src, "event_id", 4)
-    return INC.stream_dedup(spark, src, ev.schema, ["user_id", "event_type"], work).select("user_id", "event_type")
+    files = INC.stage_in_order(ev, src, "event_id", 4)
+    return INC.stream_dedup(spark, src, ev.schema, ["user_id", "event_type"], work, files).select("user_id", "event_type")
 
 
 # ---- sources / sinks round trips -------------------------------------------

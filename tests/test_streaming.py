@@ -196,3 +196,41 @@ def test_accept_on_a_file_uri_equals_the_batch_plan(spark, tmp_path):
     want = quota_fill(first_wins(c, ["text"]), goals)
     got = INC.accepted(spark, work)
     assert _rows(got.select("id", "text")) == _rows(want.select("id", "text")) and got.count() == 300
+
+
+def test_files_of_a_chunk_follow_its_rows(spark, tmp_path, monkeypatch):
+    """A batch has as many files as its rows ask for; chunks with few or no rows don't shift the ranges of later batches."""
+    import glob
+    import os
+    from pyspark.sql import functions as F
+    from pressforge.streaming import incremental as INC
+    monkeypatch.setattr(INC, "ROWS_A_FILE", 10)
+    c = _plain_candidates(spark, 240).drop("h")
+    for name, d, want in (("even", c, 6), ("sparse", c.filter((F.col("id") < 60) | F.col("id").isin(121, 122, 123) | (F.col("id") > 200)), 3)):
+        work = str(tmp_path / name)
+        src = os.path.join(work, "src")
+        files = INC.stage_in_order(d, src, "accept_order", 4)
+        assert files == want and {len(glob.glob(f"{x}/*.parquet")) for x in glob.glob(f"{src}/chunk=*")} == {files}
+        assert INC.staged(spark, src).count() == d.count()
+        INC.run_accept(spark, src, d.schema, work, dict.fromkeys(("lit", "inv", "irr"), 70), files=files, target=20)
+        borders = [(r.lo, r.hi) for r in spark.read.parquet(f"{work}/accepted").groupBy("batch").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).orderBy("batch").collect()]
+        assert all(a[1] < b[0] for a, b in zip(borders, borders[1:]))
+        texts, keep = set(), []
+        for r in d.orderBy("accept_order").collect():
+            if r.text not in texts:
+                texts.add(r.text)
+                keep.append(r.id)
+        assert sorted(r.id for r in INC.accepted(spark, work).collect()) == sorted(keep)
+
+
+def test_first_pairs_of_an_index_are_dealt_out(spark, tmp_path):
+    import os
+    from pyspark.sql import functions as F
+    from pressforge.streaming.keyindex import KeyIndex, State
+    index = KeyIndex(spark, str(tmp_path), target=50)
+    pairs = spark.range(1000).select(F.xxhash64("id").alias("k"), F.col("id").alias("v"))
+    state = index.add(pairs, State(), 0)
+    assert (state.gen, state.bits, state.pairs) == (0, 6, 1000) and index.open(state, 1).gen == 0
+    assert len([x for x in os.listdir(tmp_path / "gen=0") if x.startswith("p=")]) > 50
+    found, _ = index.lookup(pairs.filter("v < 3").select("k"), state, 1)
+    assert found.join(pairs, ["k", "v"]).filter("v < 3").count() == 3
