@@ -132,6 +132,7 @@ def near_dup_anti(new: DataFrame, stored: DataFrame, col: str = "h", k: int = V.
 
 
 def neighbour_edges(pairs: DataFrame) -> DataFrame:
-    """Symmetric (a, b) edge list from (ha, hb) pairs, for ``greedy_keep``."""
-    return (pairs.select(F.col("ha").alias("a"), F.col("hb").alias("b"))
-            .unionByName(pairs.select(F.col("hb").alias("a"), F.col("ha").alias("b"))))
+    """Symmetric (a, b) edge list from (ha, hb) pairs, for ``greedy_keep``. The pairs are read once: a
+    union of both directions would join them twice."""
+    both = [F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in (("ha", "hb"), ("hb", "ha"))]
+    return pairs.select(F.inline(F.array(*both)))

@@ -54,3 +54,50 @@ def test_jobs_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
     jobs = views.v_job(spark, SF)
     assert jobs.rdd.getNumPartitions() == -(-n // 100)
     assert jobs.count() == n
+
+
+def test_some_jobs_are_as_in_the_view(spark, tmp_path, monkeypatch):
+    """Jobs made of their keys are the rows of the view, dealt out by their own number, with other columns kept."""
+    from pressforge.plans import views
+
+    keys = views.v_job_key(spark, SF).filter("id % 3 = 0").withColumn("extra", F.col("id") * 2)
+    keys.write.parquet(f"{tmp_path}/keys")
+    keys = spark.read.parquet(f"{tmp_path}/keys")
+    n = keys.count()
+    monkeypatch.setattr(views, "ROWS_A_TASK", 20)
+    some = views.jobs_of(keys)
+    assert n > 100 and some.rdd.getNumPartitions() == -(-n // 20)
+    want = views.v_job(spark, SF).filter("id % 3 = 0").withColumn("extra", F.col("id") * 2)
+    assert some.columns == [*want.columns[:-2], "extra", want.columns[-2]]
+    assert sorted(map(tuple, some.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_edges_join_the_pairs_once(spark):
+    from pressforge.operators.neardup import near_pairs, neighbour_edges
+
+    df = spark.createDataFrame([(0b0,), (0b111,), (0b1111,), (2 ** 40,), (None,)], "h bigint")
+    edges = neighbour_edges(near_pairs(df))
+    tree = _plan(edges).split("\n\n")[0]
+    assert tree.count("Join") == 1 and "Union" not in tree
+    near = {(a, b) for a in (0, 7, 15, 2 ** 40) for b in (0, 7, 15, 2 ** 40) if a != b and bin(a ^ b).count("1") <= 3}
+    got = [(r.a, r.b) for r in edges.select("a", "b").collect()]
+    assert len(got) == len(near) and set(got) == near
+
+
+def test_funnel_captions_what_passes_the_gates(spark, monkeypatch):
+    """The captions are made of the jobs that reach the text, a task a ROWS_A_TASK of them."""
+    from pressforge.plans import queries_accept as A
+    from pressforge.plans import views
+
+    monkeypatch.setattr(views, "ROWS_A_TASK", 40)
+    seen, made = [], A.with_captions
+
+    def with_captions(jobs, *args, **kw):
+        seen.append((jobs.rdd.getNumPartitions(), jobs.count()))
+        return made(jobs, *args, **kw)
+
+    monkeypatch.setattr(A, "with_captions", with_captions)
+    rows = A.accept_funnel(spark, SF).collect()
+    n = sum(r.reason in ("passed", "near_image", "same_caption") for r in rows)
+    assert len(rows) == spark.read.parquet(f"{SF}/orders.parquet").count() > n > 160
+    assert seen == [(-(-n // 40), n)]
