@@ -101,3 +101,16 @@ def test_funnel_captions_what_passes_the_gates(spark, monkeypatch):
     n = sum(r.reason in ("passed", "near_image", "same_caption") for r in rows)
     assert len(rows) == spark.read.parquet(f"{SF}/orders.parquet").count() > n > 160
     assert seen == [(-(-n // 40), n)]
+
+
+def test_records_of_all_captions_are_dealt_by_the_number_of_jobs(spark, monkeypatch):
+    """What the class folders are written from: no task has more jobs than ROWS_A_TASK asks for, at any size."""
+    from pressforge.plans import views
+    from pressforge.plans.pipeline import all_records
+
+    monkeypatch.setattr(views, "ROWS_A_TASK", 100)
+    n = spark.read.parquet(f"{SF}/orders.parquet").count()
+    tasks = -(-n // 100)
+    assert tasks > spark.sparkContext.defaultParallelism
+    dealt = [l for l in _plan(all_records(spark, SF)).splitlines() if "REPARTITION_BY_NUM" in l]
+    assert dealt and all(f", {tasks})" in l for l in dealt)
